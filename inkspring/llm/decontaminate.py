@@ -279,3 +279,26 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
 
         out = arrow_map(out, one, docs.schema)
     return out
+
+
+ORACLE = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM bw WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT m FROM win),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM dw),
+occ AS (
+  SELECT p.doc_id, p.i, x.m, x.item_id
+  FROM (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM pos, sizes WHERE i + m - 1 <= len(w)) p JOIN win x ON p.s = x.s AND p.m = x.m
+), hit AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM occ) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n, string_agg(k, ',' ORDER BY k) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(i.s, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN ids i USING (doc_id)
+"""

@@ -35,7 +35,7 @@ _DOCS_PER_BUCKET = 2_000
 def size_of(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in a text."""
     pieces = F.split(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "), " ")
-    return F.coalesce(F.size(pieces) - F.when(F.expr(r"text rlike '^[\\x20\\x09-\\x0D]'"), 1).otherwise(0) - F.when(F.expr(r"text rlike '[\\x20\\x09-\\x0D]$'"), 1).otherwise(0), F.lit(0))
+    return F.coalesce(F.when(text == "", 0).otherwise(F.size(pieces)) - F.when(F.expr(r"text rlike '^[\\x20\\x09-\\x0D]'"), 1).otherwise(0) - F.when(F.expr(r"text rlike '[\\x20\\x09-\\x0D]$'"), 1).otherwise(0), F.lit(0))
 
 
 def targets(sizes: dict, weights: tuple = WEIGHTS, cap: float = MAX_REPEAT) -> dict:
@@ -137,7 +137,7 @@ def _draws(spark, quota: dict, blocks: dict, total: int, seed: int) -> DataFrame
     counts = stored(counts.join(want, "src"))
     # draws beyond a quota are cut; what a source is short of is topped up, spread over the shards
     short = counts.groupBy("src", "quota", "blocks").agg(F.sum("c").alias("got")).where("got < quota")
-    top = short.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"), "src", "quota", "blocks", "got")
+    top = short.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "src", "quota", "blocks", "got").withColumn("shard", F.col("shard").cast("long"))
     lack = F.col("quota") - F.col("got")
     top = top.select("shard", "src", "blocks", (F.col("got") + F.floor(lack * F.col("shard") / shards)).alias("from"), (F.col("got") + F.floor(lack * (F.col("shard") + 1) / shards)).alias("to"))
     kept = counts.select("shard", "src", "blocks", "from", F.least(F.col("from") + F.col("c"), F.col("quota")).alias("to"))
