@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkspring.llm import decontaminate, jaccard, line_dedup, mixing, sharding
+from inkspring.llm import decontaminate, hamming, jaccard, line_dedup, mixing, secrets, sharding, url_filter
 from inkspring.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@_query("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secrets.train(secrets.labelled_samples(spark))
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents"), model))
+
+
 @_query("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
@@ -38,11 +44,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@_query("op7_hamming_topk", hamming.ORACLE)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.search(table(spark, sf_dir, "embeddings"))
+
+
 @_query("op8_decontamination", decontaminate.ORACLE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+@_query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.mine(url_filter.labelled_urls(spark)))
+
+
 @_query("op10_line_dedup", line_dedup.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
