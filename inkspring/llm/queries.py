@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkspring.llm import decontaminate, hamming, jaccard, line_dedup, mixing, secrets, sharding, url_filter
+from inkspring.llm import decontaminate, hamming, html_text, jaccard, line_dedup, mixing, quality, secrets, sharding, url_filter
 from inkspring.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,11 +23,21 @@ def _query(name: str, oracle: str | None = None):
     return add
 
 
+@_query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query("op2_mixing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@_query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @_query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = secrets.train(secrets.labelled_samples(spark))

@@ -108,3 +108,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFram
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), F.col("vslot").alias("virtual_slot"), F.lit(1).alias("map_version"),
     )
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+    """``docs`` with shard and slot (its place in the shard); columns of these names are replaced."""
+    docs = docs.drop("shard", "slot")
+    text = F.coalesce("text", F.lit(""))
+    whole = docs.select(F.struct("*").alias("_row"), "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    rows = whole.withColumn("vslot", virtual_slot(slots))
+    sizes = slot_sizes(records(docs, slots))
+    table = map_table(docs.sparkSession, build_map(sizes, shards, slots), sizes)
+    return place(rows, table).select("_row.*", "shard", "slot")
