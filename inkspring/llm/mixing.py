@@ -110,8 +110,9 @@ def mix_plan(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, seed
     # block numbers of a source -> bucket and number in the bucket, by the bucket's offset
     drawn = at.groupBy("src", "block").agg(F.count("*").alias("drawn"))
     packed = buckets.select("src", "bucket", F.posexplode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("in_bucket", "block"))
-    drawn = packed.join(drawn, ["src", "block"]).select("src", "bucket", F.col("in_bucket").cast("long").alias("block"), "drawn")
-    return rows, drawn
+    # both sides are made from small tables, which says nothing of their size: never broadcast them
+    drawn = packed.hint("merge").join(drawn.hint("merge"), ["src", "block"]).select("src", "bucket", F.col("in_bucket").cast("long").alias("block"), "drawn")
+    return rows, drawn.hint("merge")
 
 
 def _draws(spark, quota: dict, blocks: dict, total: int, seed: int) -> DataFrame:
