@@ -2,10 +2,116 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+
+def _c(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def squeeze(c: str | Column) -> Column:
     """White space runs (Unicode) become one space, ends trimmed; null stays null."""
     return F.btrim(F.regexp_replace(c, r"(?U)\s+", " "))
+
+
+@F.pandas_udf(StringType())
+def folded(s: pd.Series) -> pd.Series:
+    """NFC and full case folding, which no built-in has."""
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x).casefold())
+
+
+def valid_score(c: str | Column) -> Column:
+    """A finite number from 0 to 10."""
+    return F.coalesce(~F.isnan(_c(c)) & _c(c).between(0, 10), F.lit(False))
+
+
+def short_title(c: str | Column, words: int = 4) -> Column:
+    return F.array_join(F.slice(F.split(squeeze(c), " "), 1, words), " ")
+
+
+def noise_key(c: str | Column) -> Column:
+    return F.btrim(F.lower(squeeze(c)), F.lit(" .!?…"))
+
+
+HONORIFICS = "san|kun|chan|sama|senpai|sensei|dono"
+
+
+def name_parts(form: str) -> list[Column]:
+    """base, honorific and kind of a folded name form."""
+    pattern = rf"^(.+?)\s*[-–—]\s*({HONORIFICS})$"
+    base, title = F.regexp_extract(form, pattern, 1), F.regexp_extract(form, pattern, 2)
+    return [F.when(base != "", base).otherwise(F.col(form)).alias("base"), title.alias("honorific"), F.when(title != "", "honorific").otherwise("plain").alias("kind")]
+
+
+# Example rules of the noise cascade.
+KEEP = ["the", "der", "la"]
+SOUNDS = ["of", "es", "en", "er"]
+
+
+def decide(c: str | Column) -> Column:
+    """Noise decision of a line as struct(action, kind); the first rule that fits wins."""
+    t, key = squeeze(c), noise_key(c)
+    said = lambda a, k: F.struct(F.lit(a).alias("action"), F.lit(k).alias("kind"))
+    return (
+        F.when(key.isin(*KEEP), said("keep", "exception"))
+        .when(t == "", said("exclude", "empty"))
+        .when(key == "", said("exclude", "symbols"))
+        .when(key.isin(*SOUNDS), said("exclude", "sound"))
+        .when(key.rlike("^ha+h{2,}$"), said("exclude", "laugh"))
+        .when(F.lower(t).rlike("license|copyright|all rights reserved"), said("exclude", "credits"))
+        .when(F.lower(t).rlike(r"https?://|www\."), said("review", "url"))
+        .when(~t.rlike(r"[\p{L}\p{N}]"), said("review", "symbols"))
+        .when(key.rlike("a{6,}|e{6,}|h{6,}|o{6,}"), said("review", "repeat"))
+        .otherwise(said("keep", "text"))
+    )
+
+
+def scope_change(a: str | Column, b: str | Column) -> Column:
+    """How a list of name parts changes: same, reordering, shortening (parts gone at an end) or other."""
+    a, b = _c(a), _c(b)
+    n, m = F.size(a), F.size(b)
+    head = F.slice(a, F.lit(1), m) == b
+    tail = F.when((m > 0) & (m <= n), F.slice(a, n - m + 1, m) == b).otherwise(m == 0)
+    return F.when(a == b, "same").when(F.array_sort(a) == F.array_sort(b), "reordering").when((m < n) & (head | tail), "shortening").otherwise("other")
+
+
+def fingerprint(*cols: str) -> Column:
+    """sha256 of canonical JSON: keys sorted, no spaces."""
+    return F.sha2(F.to_json(F.struct(*sorted(cols))), 256)
+
+
+def pair_key(a: str | Column, b: str | Column) -> Column:
+    """Hash of an unordered pair."""
+    return F.sha2(F.concat_ws(":", F.least(_c(a), _c(b)), F.greatest(_c(a), _c(b))), 256)
+
+
+def without_prefix(c: str, pronouns: list[str], prefixes: list[str]) -> Column:
+    """'pronoun' for a pronoun, else the term behind its longest known prefix."""
+    out = F.col(c)
+    for p in sorted(prefixes, key=len):
+        out = F.when(F.startswith(c, F.lit(p)), F.substr(c, F.lit(len(p) + 1))).otherwise(out)
+    return F.when(F.col(c).isin(*pronouns), "pronoun").otherwise(out)
+
+
+def runtime(seconds: Column) -> Column:
+    """Seconds as '1.234s', '2m 3s' or '1h 2m 3s'; a dash for none."""
+    whole = F.floor(seconds).cast("int")
+    minutes = F.floor(seconds / 60).cast("int")
+    hours = F.floor(seconds / 3600).cast("int")
+    return (
+        F.when(seconds.isNull() | (seconds < 0), "-")
+        .when(seconds < 60, F.format_string("%.3fs", seconds))
+        .when(seconds < 3600, F.format_string("%dm %ds", minutes, whole % 60))
+        .otherwise(F.format_string("%dh %dm %ds", hours, minutes % 60, whole % 60))
+    )
+
+
+def unfenced(c: Column) -> Column:
+    """The inside of a text that is one fenced block; other texts stay."""
+    inside = F.regexp_extract(c, r"(?s)\A\s*```[^\n]*\n(.*?)\n?```\s*\z", 1)
+    return F.when(c.rlike(r"(?s)\A\s*```[^\n]*\n.*```\s*\z"), inside).otherwise(c)
