@@ -1,4 +1,4 @@
 """All registered queries of the chapter engine."""
 
-from inkspring.plans import assembly, geometry, relations, scalars, windows  # noqa: F401
+from inkspring.plans import assembly, geometry, graphs, quality_checks, relations, scalars, windows  # noqa: F401
 from inkspring.registry import ORACLES, QUERIES  # noqa: F401
