@@ -258,21 +258,22 @@ def links(docs: DataFrame, prints: DataFrame, width: int = WIDTH) -> DataFrame:
     held = stored(
         held.join(long_lists, "h", "left")
         .join(known.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "o"), ["node", "pivot"], "left")
-        .withColumn("o", F.when(F.col("node") == F.col("pivot"), F.col("n")).otherwise(F.col("o")))
+        .withColumn("o", F.when(F.col("node") == F.col("pivot"), F.col("n") - F.col("u")).otherwise(F.col("o")))
         .withColumn("block", F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM))).cast("int"))
-        .select("h", "node", "comp", "n", "pos", "o", "block")
+        .select("h", "node", "comp", "n", "u", "pos", "o", "block")
     )
     per = held.groupBy("h", "comp").agg(F.count("*").alias("m"))
     per = per.groupBy("h").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
     mixed = held.join(per.select("h", "main"), "h")
-    left = mixed.where("comp <> main").select("h", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "pos", "o")], F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"))
-    right = mixed.select("h", "block", "main", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "n", "pos", "o")])
+    left = mixed.where("comp <> main").select("h", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "u", "pos", "o")], F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"))
+    right = mixed.select("h", "block", "main", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "n", "u", "pos", "o")])
+    # shingles that only one set holds come first and are never shared, nor held by the pivot
     need = _enough("x_n", "y_n")
     pairs = left.join(right, ["h", "block"]).where(
         F.expr("x_comp <> y_comp and (y_comp = main or x_node < y_node)")
         & F.expr(f"{DEN} * least(x_n, y_n) >= {NUM} * greatest(x_n, y_n)")
-        & F.expr(f"least(x_pos, y_pos) + least(x_n - x_pos, y_n - y_pos) >= {need}")
-        & F.expr(f"x_o is null or y_o is null or least(x_o, y_o) + least(x_n - x_o, y_n - y_o) >= {need}")
+        & F.expr(f"least(x_pos - x_u, y_pos - y_u) + least(x_n - x_pos, y_n - y_pos) >= {need}")
+        & F.expr(f"x_o is null or y_o is null or least(x_o, y_o) + least(x_n - x_o - x_u, y_n - y_o - y_u) >= {need}")
     )
     pairs = pairs.select(
         F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"), "h",
