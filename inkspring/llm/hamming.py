@@ -153,7 +153,7 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, k: int = K) -> DataFram
 
 ORACLE = r"""
 WITH c AS (
-  SELECT vec_id, CAST(array_to_string(list_transform(embedding, x -> CASE WHEN x > 0 AND NOT isnan(x) THEN '1' ELSE '0' END), '') AS BIT) AS code
+  SELECT vec_id, CAST(array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 AND NOT isnan(x) THEN '1' ELSE '0' END), '') AS BIT) AS code
   FROM embeddings WHERE len(embedding) = 64
 ), p AS (
   SELECT q.vec_id AS query_id, b.vec_id, bit_count(xor(q.code, b.code))::INT AS distance
