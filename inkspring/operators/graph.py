@@ -30,7 +30,9 @@ def resolved(ids: DataFrame, redirects: DataFrame, rounds: int = 64) -> DataFram
         step = at.select(F.col("id").alias("at"), F.col("at").alias("on"))
         new = _cut(at.join(step, "at", "left").select("id", F.col("at").alias("was"), F.coalesce("on", "at").alias("at")))
         if new.where("was <> at").isEmpty():
-            return new.select("id", F.col("at").alias("root"))
+            if new.join(redirects.where("id <> to").select(F.col("id").alias("at")), "at", "left_semi").isEmpty():
+                return new.select("id", F.col("at").alias("root"))
+            break
         at = new.select("id", "at")
     raise ValueError("redirects have a cycle")
 
