@@ -1,4 +1,4 @@
 """All registered queries of the chapter engine."""
 
-from inkspring.plans import assembly, geometry, graphs, quality_checks, rasters, relations, scalars, sequential, sources, streams, windows  # noqa: F401
+from inkspring.plans import assembly, geometry, graphs, identities, quality_checks, rasters, relations, scalars, sequential, sources, streams, windows  # noqa: F401
 from inkspring.registry import ORACLES, QUERIES  # noqa: F401

@@ -89,3 +89,18 @@ def test_redirect_cycle_is_an_error(spark):
     with pytest.raises(ValueError):
         G.resolved(ids.limit(2), spark.createDataFrame([(1, 2), (2, 1)], "id long, to long"), rounds=3)
     assert G.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_masks():
+    from inkspring.operators import masks as M
+
+    ring = M.draw([(0, 0, 5, 5)], 7, 7)
+    ring[2, 2] = False
+    ring[5, 6] = True
+    ids, n = M.labelled(ring)
+    assert n == 2 and ids[5, 6] == 2 and M.filled(ring)[2, 2] and not M.filled(ring)[6, 0]
+    u = np.array([[1, 0, 1], [1, 0, 1], [1, 1, 1]], bool)
+    assert M.labelled(u)[1] == 1 and M.outline_length(u) == 16 and M.bounds(u) == [0, 0, 3, 3]
+    assert M.rows(u)[0] == [(0, 1), (2, 3)] and M.bounds(np.zeros((2, 2), bool)) is None
+    assert M.eroded(M.draw([(0, 0, 3, 3)], 5, 5), 1).sum() == 1 and M.dilated(M.draw([(2, 2, 3, 3)], 5, 5), 1).sum() == 5
+    assert M.fill_plan(np.ones((3, 3), bool), np.zeros((3, 3), bool)) == "review"
