@@ -223,7 +223,7 @@ def elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _HALF = "0.5::FLOAT"
 
 
-@query("M1_vector_norms", oracle="SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm, list_position(embedding, list_max(embedding)) - 1 AS argmax FROM embeddings")
+@query("M1_vector_norms", oracle="SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm, (list_position(embedding, list_max(embedding)) - 1)::BIGINT AS argmax FROM embeddings")
 def vector_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(V.norm("embedding"), 6).alias("norm"), (F.array_position("embedding", F.array_max("embedding")) - 1).alias("argmax"))
 
