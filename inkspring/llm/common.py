@@ -48,6 +48,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(documents whose extra columns have names of their own, a function that gives the columns their names back)."""
+    own = {"doc_id", "text", "lang", "source", "n_chars"}
+    names = {c: c if c in own else f"__extra{i}" for i, c in enumerate(docs.columns)}
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    return docs.select(*[quoted(c).alias(n) for c, n in names.items()]), lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def ascii_lower(c):
     """Lower A-Z only. Pure ASCII strings take the quick built-in; others go through translate."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))

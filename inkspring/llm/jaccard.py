@@ -29,7 +29,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WordHashes, arrow_map, components, mix, shingle_set, stored
+from .common import BLANKS, WordHashes, arrow_map, components, mix, set_aside, shingle_set, stored
 
 WIDTH = 5
 #: similarity >= NUM / DEN
@@ -56,7 +56,7 @@ def _signature(h: np.ndarray) -> tuple[int, int]:
 
 
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n, s1, s2 per document row; the locally frequent shingles of a batch ride on its first row."""
+    """doc_id, th (hash of the text), n, s1, s2 per document row; the locally frequent shingles of a batch ride on its first row."""
 
     def run(batches):
         words = WordHashes()
@@ -76,11 +76,12 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             often = [[{"h": int(a), "c": int(k)} for a, k in zip(u, c, strict=True)]] + [None] * (len(ns) - 1)
             kind = pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(often, kind)],
-                ["doc_id", "n", "s1", "s2", "often"],
+                [b.column("doc_id"), b.column("th"), pa.array(ns, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(often, kind)],
+                ["doc_id", "th", "n", "s1", "s2", "often"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, often array<struct<h:long,c:long>>")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    return rows.mapInArrow(run, "doc_id long, th long, n long, s1 long, s2 long, often array<struct<h:long,c:long>>")
 
 
 def frequent(prints: DataFrame) -> np.ndarray:
@@ -305,27 +306,33 @@ def _with_node(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("s1", "text").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, class_id, component_id."""
+def _grouped(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, th, n, s1, class_id, comp of every row; class and component are null for empty sets and null ids only."""
     docs = docs.select("doc_id", "text")
     prints = stored(fingerprints(docs, width))
     label = components(links(docs, prints, width))
     reps = prints.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("class_id"))
     groups = reps.join(label.withColumnRenamed("node", "class_id"), "class_id", "left").select("s1", "s2", "class_id", F.coalesce("comp", "class_id").alias("comp"))
-    return prints.join(groups, ["s1", "s2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return prints.drop("often").join(groups, ["s1", "s2"], "left")
+
+
+def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, class_id, component_id."""
+    own = lambda c: F.when(F.col("n") > 0, F.col(c)).otherwise(F.col("doc_id"))
+    return _grouped(docs, width).select("doc_id", F.col("n").alias("n_shingles"), own("class_id").alias("class_id"), own("comp").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id (and one row of it).
+    """``docs`` with one document of each component: that of the smallest doc_id, each of its texts once.
 
-    Documents without words are linked with nothing and all stay.
+    Rows that share an id are one document. Documents without words are linked with nothing and all stay; so does one
+    row of every set that only null ids hold.
     """
-    groups = jaccard_components(docs, width)
-    first = groups.where("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("_id"), (F.col("n_shingles") == 0).alias("_empty")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
-    some = kept.where(F.btrim("text", F.lit(BLANKS)) != "")
-    none = kept.where(F.col("text").isNull() | (F.btrim("text", F.lit(BLANKS)) == ""))
-    return some.dropDuplicates(["doc_id"]).unionByName(none)
+    last = F.lit(2**63 - 1)
+    some = _grouped(docs, width).where("n > 0 and (comp is null or doc_id = comp)")
+    first = some.groupBy(F.coalesce("doc_id", last).alias("_id"), F.when(F.col("comp").isNull(), F.col("s1")).otherwise(F.col("th")).alias("_k")).agg(F.min("th").alias("_th")).select("_id", "_th")
+    blank = F.coalesce(F.btrim("text", F.lit(BLANKS)) == "", F.lit(True))
+    docs, named = set_aside(docs)
+    some = docs.where(~blank).withColumn("_id", F.coalesce("doc_id", last)).withColumn("_th", F.xxhash64("text"))
+    kept = some.join(first, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select(*docs.columns)
+    return named(kept.unionByName(docs.where(blank)))

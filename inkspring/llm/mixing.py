@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stored
+from .common import arrow_map, set_aside, stored
 
 BLOCK = 32
 WEIGHTS = (5, 2, 1)
@@ -183,6 +183,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOC
     A row's text holds the words of the blocks used in that pass, in their order; a document used whole keeps its text
     as it is. A document without words stays as it is; one the mix takes nothing of goes.
     """
+    docs, named = set_aside(docs)
     names = docs.columns
     rows, drawn = mix_plan(docs, weights, block, seed, cap)
     parts = _spread(rows.select("doc_id", "text_hash", "src", "bucket", "start", "size"), block).join(drawn, ["src", "bucket", "block"])
@@ -212,7 +213,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOC
         return pa.RecordBatch.from_arrays(cols, names)
 
     none = docs.where(size_of(F.col("text")) == 0)
-    return arrow_map(used, build, docs.schema).unionByName(none)
+    return named(arrow_map(used, build, docs.schema).unionByName(none))
 
 
 def _ascii_words(text: str) -> list[str]:

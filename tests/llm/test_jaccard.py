@@ -60,6 +60,8 @@ def test_empty_table(spark):
 
 
 def test_keep_one(spark):
-    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (2, "A b c d e f", "y"), (3, "", "z"), (4, None, "z"), (5, "other words", None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n long" if False else "doc_id long, text string, source string")
-    assert sorted(r["doc_id"] for r in jaccard.keep_one(df).collect()) == [1, 3, 4, 5]
+    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (2, "A b c d e f", "y"), (3, "", "z"), (3, "", "z"), (4, None, "z"), (5, "other words", None)]
+    rows += [(None, "null id one", "n"), (None, "null id two", "n"), (None, "null id two", "n"), (None, "other words", "n"), (6, "same id one text", "s"), (6, "same id another text", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in jaccard.keep_one(df).collect()))
+    assert got == [(False, 1, "a b c d e f"), (False, 3, ""), (False, 3, ""), (False, 4, ""), (False, 5, "other words"), (False, 6, "same id another text"), (False, 6, "same id one text"), (True, 0, "null id one"), (True, 0, "null id two")]
