@@ -53,9 +53,8 @@ KEEP = ["the", "der", "la"]
 SOUNDS = ["of", "es", "en", "er"]
 
 
-def decide(c: str | Column) -> Column:
-    """Noise decision of a line as struct(action, kind); the first rule that fits wins."""
-    t, key = squeeze(c), noise_key(c)
+def decide(t: Column, key: Column) -> Column:
+    """Noise decision of a squeezed line and its noise key as struct(action, kind); the first rule that fits wins."""
     said = lambda a, k: F.struct(F.lit(a).alias("action"), F.lit(k).alias("kind"))
     return (
         F.when(key.isin(*KEEP), said("keep", "exception"))

@@ -77,7 +77,9 @@ def noise_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def decide_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The noise rules as one cascade over all lines, counted by action and kind."""
-    return lines(spark, sf_dir).select(F.inline(F.array(T.decide("line")))).groupBy("action", "kind").agg(F.count("*").alias("n"))
+    # text and key are columns of their own, so the cascade's branches share them
+    rows = lines(spark, sf_dir).select(T.squeeze("line").alias("t")).withColumn("key", F.btrim(F.lower("t"), F.lit(" .!?…")))
+    return rows.select(T.decide(F.col("t"), F.col("key")).alias("d")).groupBy("d.action", "d.kind").agg(F.count("*").alias("n"))
 
 
 @query(
