@@ -336,3 +336,20 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     some = docs.where(~blank).withColumn("_id", F.coalesce("doc_id", last)).withColumn("_th", F.xxhash64("text"))
     kept = some.join(first, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select(*docs.columns)
     return named(kept.unionByName(docs.where(blank)))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n, sha256(string_agg(g, chr(10) ORDER BY g)) AS digest FROM s GROUP BY 1
+), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)
+), r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen
+), c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       CASE WHEN n.n IS NULL THEN d.doc_id ELSE min(d.doc_id) OVER (PARTITION BY n.digest) END AS class_id, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
+"""

@@ -49,7 +49,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-@_query("op6_jaccard_join")
+@_query("op6_jaccard_join", jaccard.ORACLE)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
