@@ -35,7 +35,8 @@ _SEP = bytes(
     (b + 32 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A else 0x20
     for b in range(256)
 )
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word before lowering: capitals count.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def words_of(text: str | None) -> list[bytes]:
