@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkspring.operators import graph as G
+from inkspring.operators import pairs as P
 from inkspring.plans.windows import _SCENES, scenes
 from inkspring.registry import query, table
 
@@ -100,6 +101,17 @@ def threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id").join(G.components(near).withColumnRenamed("node", "vec_id"), "vec_id", "left").select("vec_id", F.coalesce("component", "vec_id").alias("first"))
 
 
+@query("X4_threshold_clusters_whole")
+def threshold_clusters_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters over all vectors: any two nearer than the threshold are linked, whatever their ids (X4's SQL compares blocks of ids)."""
+    return vector_clusters(table(spark, sf_dir, "embeddings"), 1.15)
+
+
+def vector_clusters(e: DataFrame, limit: float, block: int = P.BLOCK) -> DataFrame:
+    near = G.components(P.links(e, "vec_id", "embedding", limit, block)).withColumnRenamed("node", "vec_id")
+    return e.select("vec_id").join(near, "vec_id", "left").select("vec_id", F.coalesce("component", "vec_id").alias("first"))
+
+
 @query("S18_mermaid", oracle="SELECT conv_id, string_agg('t' || turn || '[' || role || '] --> t' || next, chr(10) ORDER BY turn) AS chart FROM (SELECT conv_id, turn, role, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS next FROM conversations) WHERE next IS NOT NULL GROUP BY 1")
 def mermaid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flowchart text of each conversation."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from inkspring.functions import text as T
 from inkspring.functions import vectors as V
 from inkspring.operators import registry as R
+from inkspring.operators import sequences as Q
 from inkspring.registry import query, table
 
 
@@ -89,6 +90,22 @@ def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.scores(e.where("vec_id % 5 = 0").select("vec_id", "embedding"), R.means(e, "label", "embedding").withColumnRenamed("label", "candidate"))
 
 
+@query("J13_nearest_anchor_whole")
+def nearest_anchor_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every crop against the anchors of all identities, the four crops nearest to each identity's mean (J13's SQL takes crops by their ids)."""
+    e = table(spark, sf_dir, "embeddings")
+    best = Q.nearest_to_mean(e, "label", "vec_id", "embedding", 4).select("label", "vec_id")
+    anchors = e.join(F.broadcast(best), ["label", "vec_id"]).select(F.col("label").alias("person"), "embedding")
+    return R.nearest(e.select("vec_id", "embedding"), anchors, 1.3)
+
+
+@query("J14_candidate_scores_whole")
+def candidate_scores_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every observation against the mean vector of every identity (J14's SQL scores each fifth)."""
+    e = table(spark, sf_dir, "embeddings")
+    return R.scores(e.select("vec_id", "embedding"), R.means(e, "label", "embedding").withColumnRenamed("label", "candidate"))
+
+
 @query("J15_pairs", oracle="SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n FROM (SELECT role AS a, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations) WHERE b IS NOT NULL AND a <> b GROUP BY 1, 2")
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unordered pairs of consecutive speakers."""

@@ -131,6 +131,14 @@ def reading_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b).withColumn("place", F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "kind", "n")).cast("long"))
 
 
+@query("W18_reading_pages_whole")
+def reading_pages_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Utterances merged with all events (W18's SQL takes one of 97)."""
+    a = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit(0).alias("kind"), F.char_length("text").cast("long").alias("n"))
+    b = table(spark, sf_dir, "events").select((F.col("event_id") % 100).alias("conv_id"), (F.col("user_id") % 8).alias("turn"), F.lit(1).alias("kind"), F.char_length("props").cast("long").alias("n"))
+    return a.unionByName(b).withColumn("place", F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "kind", "n")).cast("long"))
+
+
 _CENTRES = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), x AS (SELECT label, i, avg(v[i]) AS m FROM e, range(1, 65) t(i) GROUP BY 1, 2),
 c AS (SELECT label, list(m ORDER BY i) AS m FROM x GROUP BY 1)"""
 
