@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from inkspring.functions import text as T
 from inkspring.functions import vectors as V
+from inkspring.operators import pairs as P
 from inkspring.operators import registry as R
 from inkspring.operators import sequences as Q
 from inkspring.registry import query, table
@@ -190,10 +191,8 @@ def propose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("A8_consensus_mean")
 def consensus_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unit mean of the most compact group of neighbours of each identity's first sixteen vectors."""
-    e = table(spark, sf_dir, "embeddings").select("label", "vec_id", "embedding")
-    first = e.groupBy("label").agg(F.slice(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), 1, 16).alias("v"))
-    return R.consensus(first, "label", 5)
+    """Unit mean of the most compact group of up to sixteen neighbours among all vectors of each identity."""
+    return P.consensus(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 16)
 
 
 @query("A10_catalog", oracle="SELECT c_nationkey, string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) AS members FROM customer GROUP BY 1")
@@ -248,16 +247,16 @@ def top_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("A19_distance_stats", oracle=f"WITH {_E}, d AS (SELECT x.label, x.vec_id AS a, y.vec_id AS b, round(list_distance(x.v, y.v), 5) AS d FROM e x JOIN e y ON x.label = y.label AND x.vec_id < y.vec_id) SELECT label, min(d) AS least, quantile_cont(d, 0.5) AS median, max(d) AS most, arg_min(a, (d, a, b)) AS a, arg_min(b, (d, a, b)) AS b, count(*) FILTER (WHERE d < 1.2) AS near FROM d GROUP BY 1")
 def distance_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spread of the crops of an identity."""
-    d = R.pair_distances(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding")
-    nearest = F.min(F.struct("d", "a", "b"))
-    return d.groupBy("label").agg(F.min("d").alias("least"), F.percentile("d", F.lit(0.5)).alias("median"), F.max("d").alias("most"), nearest.alias("n"), F.count_if(F.col("d") < 1.2).alias("near")).select("label", "least", "median", "most", "n.a", "n.b", "near")
+    d = P.spread(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 1.2)
+    d = d.groupBy("label", "d").agg(F.sum("n").alias("n"), F.sum("near").alias("near"), F.min(F.when(F.col("a").isNotNull(), F.struct("a", "b"))).alias("p"))
+    nearest = F.min(F.when(F.col("p").isNotNull(), F.struct("d", "p.a", "p.b")))
+    return d.groupBy("label").agg(F.min("d").alias("least"), F.percentile("d", F.lit(0.5), F.col("n")).alias("median"), F.max("d").alias("most"), nearest.alias("n"), F.sum("near").alias("near")).select("label", "least", "median", "most", "n.a", "n.b", "near")
 
 
 @query("A20_blended_score", oracle=f"WITH {_E}, d AS (SELECT x.vec_id AS a, round(list_distance(x.v, y.v), 5) AS d, row_number() OVER (PARTITION BY x.vec_id ORDER BY round(list_distance(x.v, y.v), 5), y.vec_id) AS k FROM e x JOIN e y ON x.label = y.label AND x.vec_id <> y.vec_id) SELECT a AS vec_id, round(0.6 * min(d) + 0.4 * avg(d), 4) AS score FROM d WHERE k <= 3 GROUP BY 1")
 def blended_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = R.pair_distances(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding")
-    both = d.select(F.col("a").alias("vec_id"), "d").unionByName(d.select(F.col("b").alias("vec_id"), "d"))
-    three = both.groupBy("vec_id").agg(F.slice(F.array_sort(F.collect_list("d")), 1, 3).alias("t"))
+    three = P.closest(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 3)
+    three = three.where(F.size("near") > 0).select(F.col("id").alias("vec_id"), F.transform("near", lambda x: x["d"]).alias("t"))
     total = F.aggregate("t", F.lit(0.0), lambda s, x: s + x)
     return three.select("vec_id", F.round(0.6 * F.get("t", F.lit(0)) + 0.4 * total / F.size("t"), 4).alias("score"))
 

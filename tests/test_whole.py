@@ -82,3 +82,38 @@ def test_every_event_has_a_place(spark, sf):
         place[r[0]] = place.get(r[0], 0) + 1
         want.append((*r, place[r[0]]))
     assert sorted((r["conv_id"], r["turn"], r["kind"], r["n"], r["place"]) for r in QUERIES["W18_reading_pages_whole"](spark, sf).collect()) == sorted(want)
+
+
+def test_consensus_looks_at_all_vectors(spark, sf, vectors):
+    ids, labels, x, _ = vectors
+    from inkspring.operators import registry as R
+
+    e = table(spark, sf, "embeddings")
+    for got in (QUERIES["A8_consensus_mean"](spark, sf), P.consensus(e, "label", "vec_id", "embedding", 16, block=7)):
+        means = {r["label"]: r["mean"] for r in got.collect()}
+        assert set(means) == set(labels)
+        for n, mean in means.items():
+            assert np.allclose(mean, R.unit_mean(x[[k == n for k in labels]], 16))
+
+
+def test_consensus_of_few_copies_and_opposites(spark):
+    rows = [(1, 1, [2.0, 0.0]), (2, 1, [1.0, 0.0]), (2, 2, [-1.0, 0.0])] + [(3, i, [0.0, 1.0]) for i in range(100)] + [(3, 200 + i, [1.0, 0.1 * i]) for i in range(20)]
+    got = {r["label"]: r["mean"] for r in P.consensus(spark.createDataFrame(rows, "label int, vec_id long, embedding array<float>"), "label", "vec_id", "embedding", 16, block=9).collect()}
+    assert got == {1: [1.0, 0.0], 2: [1.0, 0.0], 3: [0.0, 1.0]}
+
+
+def test_pairs_are_counted_before_the_shuffle(spark, sf, vectors):
+    ids, labels, _, d = vectors
+    e = table(spark, sf, "embeddings")
+    rows = P.spread(e, "label", "vec_id", "embedding", 1.2, block=9).collect()
+    near = P.closest(e, "label", "vec_id", "embedding", 3, block=9).collect()
+    for n in set(labels):
+        at = [i for i, k in enumerate(labels) if k == n]
+        want = sorted((d[i, j], ids[i], ids[j]) for i in at for j in at if i < j)
+        mine = [r for r in rows if r["label"] == n]
+        assert sum(r["n"] for r in mine) == len(want) and sum(r["near"] for r in mine) == sum(v < 1.2 for v, _, _ in want)
+        assert min((r["d"], r["a"], r["b"]) for r in mine if r["a"] is not None) == want[0]
+        for r in near:
+            if r["label"] == n:
+                i = ids.index(r["id"])
+                assert [(x["d"], x["id"]) for x in r["near"]] == sorted((d[i, j], ids[j]) for j in at if j != i)[:3]
