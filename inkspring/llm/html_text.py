@@ -27,7 +27,7 @@ from .common import arrow_map
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|title|svg|select|button|object|canvas|audio|video|math)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|title|svg|select|button|object|canvas|audio|video|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)|<[a-zA-Z][^<>]*+(?:>|\Z)",
     re.S | re.I,
@@ -45,6 +45,13 @@ PARTS_OUT = (
 ).split()
 PARTS_IN = "content main article post entry story body text prose page container wrapper section paragraph".split()
 
+#: Words of PARTS_IN that name the content itself, not a box of the layout.
+CONTENT = frozenset("content main article post entry story body text prose".split())
+#: Elements that hold the whole page or its article, whatever their classes say of what stands beside it.
+WHOLE = frozenset("html body main article".split())
+#: First words of a class that tell of a part elsewhere (has-sidebar), not of the element.
+STATES = frozenset("has have with without no is not show hide".split())
+
 
 def labelled_pages() -> list[tuple[str, bool]]:
     """(html, content) pieces of whole pages: the pieces of a page follow each other, the last of each ends it."""
@@ -70,6 +77,10 @@ def labelled_pages() -> list[tuple[str, bool]]:
     return [(f"{piece}", content) for page in pages for piece, content in [*page, ("\0", False)]]
 
 
+def _words(value: str) -> list[str]:
+    return [w for w in re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", value) if w]
+
+
 def _features(tag: str, attrs: str, inside: bool) -> list[str]:
     """What is known of an element: its tag and the words of its class, id and role."""
     out = [f"{tag}@article" if inside and tag == "header" else tag]
@@ -77,7 +88,7 @@ def _features(tag: str, attrs: str, inside: bool) -> list[str]:
         for name, *values in _NAMED.findall(attrs):
             name, value = name.lower(), next((v for v in values if v), "").lower()
             if name in ("class", "id", "role"):
-                out += ["." + w for w in re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", value) if w]
+                out += ["." + w for w in _words(value)]
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 out.append("hidden")
     return out
@@ -105,10 +116,30 @@ class _Walk:
             return
         weight, boiler, inside = self.state()
         features = _features(tag, attrs, inside)
-        own = [self.weights.get(f, 0.0) for f in features]
-        self.open.append((tag, max(-3.0, min(3.0, weight + sum(own))), boiler or min(own) < self.floor, inside or tag in ("article", "main"), features))
+        own, out = self._judge(tag, attrs, features)
+        self.open.append((tag, max(-3.0, min(3.0, weight + own)), boiler or out, inside or tag in ("article", "main"), features))
         self.count[tag] = self.count.get(tag, 0) + 1
 
+    def _judge(self, tag: str, attrs: str, features: list[str]) -> tuple[float, bool]:
+        """Weight of an element, and whether it is boilerplate; the names in its class, id and role are weighed together.
+
+        A name with a boilerplate word makes the element boilerplate, unless it only tells of a part elsewhere, the
+        element holds the whole page or article, or another of its names is one of content.
+        """
+        own = [self.weights.get(f, 0.0) for f in features]
+        if min(own) >= self.floor:
+            return sum(own), False
+        # tag and hidden speak for themselves
+        plain = [w for f, w in zip(features, own, strict=True) if f[0] != "." and not (f == "hidden" and tag in ("html", "body"))]
+        if min(plain, default=0.0) < self.floor:
+            return sum(own), True
+        names = [_words(x) for name, *values in _NAMED.findall(attrs) if name.lower() in ("class", "id", "role") for x in next((v for v in values if v), "").lower().split()]
+        bad = lambda words: any(self.weights.get("." + w, 0.0) < self.floor for w in words)
+        out = any(bad(n) for n in names if n and n[0] not in STATES)
+        if out and tag not in WHOLE and not any(CONTENT.intersection(n) and not bad(n) for n in names):
+            return sum(own), True
+        return sum(w for w in own if w >= self.floor), False
+
     def end(self, tag: str) -> None:
         if self.count.get(tag):
             while self.open[-1][0] != tag:

@@ -52,3 +52,19 @@ def test_odd_pages(spark, weights):
     assert got[1] == got[2] == got[4] == "" and got[3] == "plain words only" and got[5] == "a"
     assert got[7].startswith("ok") and got[8].count("\n\n") == 29_999
     assert h.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article><p>{LONG}</p><svg width='9' viewBox='0 0 1 1'/><p>{LONG}</p><math/><p>{LONG}</p></article>",
+        f"<article><p>{LONG}</p><video-js id=v></video-js><p>{LONG}</p><button-group><i></i></button-group><p>{LONG}</p></article>",
+        f"<html><body class='has-sidebar'><div class='content'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body></html>",
+        f"<html class='cookie-notice'><body class='sidebar'><article class='post with-comments'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article></body></html>",
+        f"<body><div class='content with-sidebar'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div class='main-nav'>{LONG}</div></body>",
+        f"<body><div id='content' class='sidebar-right'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div class='footer container'>{LONG}</div></body>",
+        f"<body><main class='no-header sidebar'><p>{LONG}</p><p>{LONG}</p><svg><text>{LONG}</text></svg><p>{LONG}</p></main><div class='sidebar wide'>{LONG * 9}</div></body>",
+    ],
+)
+def test_article_text_is_kept(weights, page):
+    assert weights.extract(page) == "\n\n".join([LONG] * 3)
