@@ -21,8 +21,9 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from .common import arrow_map
+from .common import arrow_map, cut
 
 WINDOW = 10
 #: Most words of one broadcast automaton (about 100 MB in a worker).
@@ -30,6 +31,9 @@ MAX_WORDS = 150_000
 #: A document is dropped by ``remove_contaminated`` when more than this share of its words is hit.
 MAX_COVERAGE = 0.5
 
+#: Column of the hits of a document while slices are united.
+_HITS = "_hits_of_slices"
+
 #: Bytes that separate words: all ASCII but digits and letters; A-Z become a-z.
 _SEP = bytes(
     (b + 32 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A else 0x20
@@ -239,47 +243,89 @@ def report(scanned: DataFrame) -> DataFrame:
     )
 
 
+def without(text: str, hits: list[tuple[int, int]], n_words: int, max_coverage: float) -> str | None:
+    """``text`` without its hit words; None if they cover too much."""
+    if sum(b - a for a, b in hits) > max_coverage * n_words:
+        return None
+    at = [m.span() for m in _WORD.finditer(text)]
+    keep, last = [], 0
+    for a, b in hits:
+        keep.append(text[last : at[a][0]])
+        last = at[b - 1][1]
+    return "".join([*keep, text[last:]])
+
+
 def cut_spans(text: str, auto: Automaton, max_coverage: float) -> str | None:
     """``text`` without its hit words (None if they cover too much), until nothing matches any more."""
-    while True:
+    while text is not None:
         words = words_of(text)
         hits, _ = auto.scan(words)
         if not hits:
             return text
-        if sum(b - a for a, b in hits) > max_coverage * len(words):
-            return None
-        at = [m.span() for m in _WORD.finditer(text)]
-        keep, last = [], 0
-        for a, b in hits:
-            keep.append(text[last : at[a][0]])
-            last = at[b - 1][1]
-        text = "".join([*keep, text[last:]])
+        text = without(text, hits, len(words), max_coverage)
+    return None
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, max_words: int = MAX_WORDS) -> DataFrame:
     """``docs`` without benchmark passages: spans are cut, documents covered beyond ``max_coverage`` go.
 
-    Returns the columns of ``docs`` (n_chars follows the text where it exists). Other rows stay as they are.
+    Returns the columns of ``docs`` (n_chars follows the text where it exists). Other rows stay as they are. With several
+    slices the spans of all of them are united before a document is judged and cut, and documents that were cut are
+    scanned again by every slice until none is hit: the result is that of one automaton.
     """
     spark, names = docs.sparkSession, docs.columns
-    out = docs
-    for items in slices(benchmark, max_words):
-        shared, tag = spark.sparkContext.broadcast([(f"{k}\0{i}", t) for i, (k, t) in enumerate(items)]), uuid.uuid4().hex
 
-        def one(b: pa.RecordBatch, shared=shared, tag=tag) -> pa.RecordBatch:
+    def cleaned(b: pa.RecordBatch, new: list[str | None]) -> tuple[list[pa.Array], pa.Array]:
+        texts = b.column("text").to_pylist()
+        keep = pa.array([t is None or n is not None for t, n in zip(texts, new, strict=True)], pa.bool_())
+        cols = [pa.array(new, pa.string()) if c == "text" else b.column(c) for c in names]
+        if "n_chars" in names:
+            k = names.index("n_chars")
+            old = b.column("n_chars").to_pylist()
+            cols[k] = pa.array([o if n == t else len(n or "") for o, t, n in zip(old, texts, new, strict=True)], b.column("n_chars").type)
+        return cols, keep
+
+    def shared_of(items: list[tuple[str, str]]) -> tuple:
+        return spark.sparkContext.broadcast([(f"{k}\0{i}", t) for i, (k, t) in enumerate(items)]), uuid.uuid4().hex
+
+    parts = [shared_of(items) for items in slices(benchmark, max_words)]
+    if len(parts) == 1:
+        shared, tag = parts[0]
+
+        def one(b: pa.RecordBatch) -> pa.RecordBatch:
             auto = _automaton(shared, tag, window)
-            texts = b.column("text").to_pylist()
-            new = [cut_spans(t, auto, max_coverage) if t else t for t in texts]
-            keep = pa.array([t is None or n is not None for t, n in zip(texts, new, strict=True)])
-            cols = [pa.array(new, pa.string()) if c == "text" else b.column(c) for c in names]
-            if "n_chars" in names:
-                k = names.index("n_chars")
-                old = b.column("n_chars").to_pylist()
-                cols[k] = pa.array([o if n == t else len(n or "") for o, t, n in zip(old, texts, new, strict=True)], b.column("n_chars").type)
+            cols, keep = cleaned(b, [cut_spans(t, auto, max_coverage) if t else t for t in b.column("text").to_pylist()])
             return pa.RecordBatch.from_arrays(cols, names).filter(keep)
 
-        out = arrow_map(out, one, docs.schema)
-    return out
+        return arrow_map(docs, one, docs.schema)
+
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    with_hits = StructType([*docs.schema.fields, StructField(_HITS, ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])))])
+    flagged = StructType([*docs.schema.fields, StructField(_HITS, BooleanType())])
+    done, work = None, docs
+    while True:
+        for shared, tag in parts:
+
+            def found(b: pa.RecordBatch, shared=shared, tag=tag) -> pa.RecordBatch:
+                auto = _automaton(shared, tag, window)
+                before = b.column(_HITS).to_pylist() if _HITS in b.schema.names else [None] * b.num_rows
+                hits = [(x or []) + [{"start": a, "end": e} for a, e in auto.scan(words_of(t))[0]] for t, x in zip(b.column("text").to_pylist(), before, strict=True)]
+                return pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(hits, kind)], [*names, _HITS])
+
+            # each slice is done before the next: a worker holds one automaton
+            work = cut(arrow_map(work, found, with_hits))
+
+        def judged(b: pa.RecordBatch) -> pa.RecordBatch:
+            texts = b.column("text").to_pylist()
+            hits = [merged([(h["start"], h["end"]) for h in x]) for x in b.column(_HITS).to_pylist()]
+            cols, keep = cleaned(b, [without(t, h, len(words_of(t)), max_coverage) if h else t for t, h in zip(texts, hits, strict=True)])
+            return pa.RecordBatch.from_arrays([*cols, pa.array([bool(h) for h in hits], pa.bool_())], [*names, _HITS]).filter(keep)
+
+        now = cut(arrow_map(work, judged, flagged))
+        clean = now.where(~F.col(_HITS)).select(*names)
+        done, work = clean if done is None else done.unionByName(clean), now.where(_HITS).select(*names)
+        if work.isEmpty():
+            return done
 
 
 ORACLE = r"""

@@ -61,3 +61,26 @@ def test_removal_cuts_spans_and_drops_covered_documents(spark):
     assert set(got) == {1, 3, 4} and got[1]["text"] == "A Before, " * 20 + " After B." * 20 and got[1]["n_chars"] == len(got[1]["text"])
     assert got[3]["text"] == "clean text" and got[3]["n_chars"] == 9
     assert d.report(d.scan_documents(spark.createDataFrame(list(got.values()), a.schema), b)).where("contaminated").count() == 0
+
+
+def test_removal_is_the_same_in_slices(spark):
+    # item texts of 30 words; hash of the ids deals them into slices
+    texts = {i: " ".join(f"i{i}w{j}" for j in range(30)) for i in range(8)}
+    fill = lambda n: " ".join(f"f{j}" for j in range(n))
+    docs = [(0, "clean words, only", "x", 3), (1, None, "x", None), (2, "", "x", 0)]
+    for a in texts:
+        for b in texts:
+            if a != b:
+                # 30 of 100 words by each of two items; and a cut span of one joins a window of the other
+                docs.append((100 + 10 * a + b, f"{texts[a]} {fill(20)} {texts[b]} {fill(20)}", "x", 1))
+                half = texts[b].split()
+                docs.append((300 + 10 * a + b, f"{fill(40)} {' '.join(half[:8])} {texts[a]} {' '.join(half[8:16])} {fill(40)}", "x", 1))
+    docs += docs[-2:]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long")
+    bench = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    assert len(d.slices(bench, 60)) > 1
+    rows = lambda **k: sorted(map(repr, d.remove_contaminated(frame, bench, **k).collect()))
+    one, many = rows(), rows(max_words=60)
+    assert one == many and len(one) == 3 + 56 + 1
+    left = spark.createDataFrame(d.remove_contaminated(frame, bench, max_words=60).collect(), frame.schema)
+    assert d.report(d.scan_documents(left, bench)).where("contaminated").count() == 0
