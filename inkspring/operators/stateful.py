@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,19 +71,21 @@ def allocate(sizes: list[int], areas: list[float]) -> list[list[int]]:
     run = [0]
     for s in sizes:
         run.append(run[-1] + s)
-    best = [(0.0, ())] + [None] * len(sizes)
+    # the whole run is an array; best paths are compared where costs are equal
+    shares = np.array(run, dtype=float)
+    cost = np.full(len(run), np.inf)
+    cost[0] = 0.0
+    paths: list[tuple] = [()] * len(run)
     for area in areas:
         want = area / room
-        now: list = [None] * (len(sizes) + 1)
-        for i, b in enumerate(best):
-            if b is None:
-                continue
-            for j in range(i, len(sizes) + 1):
-                cost = (b[0] + ((run[j] - run[i]) / total - want) ** 2, (*b[1], (i, j)))
-                if now[j] is None or cost < now[j]:
-                    now[j] = cost
-        best = now
-    return [list(r) for r in best[-1][1]] if best[-1] else []
+        now, before = np.empty(len(run)), []
+        for j in range(len(run)):
+            c = cost[: j + 1] + ((shares[j] - shares[: j + 1]) / total - want) ** 2
+            now[j] = c.min()
+            i = min(np.flatnonzero(c == now[j]).tolist(), key=lambda i: (*paths[i], (i, j)))
+            before.append((*paths[i], (i, j)))
+        cost, paths = now, before
+    return [list(r) for r in paths[-1]]
 
 
 def fit_lines(words: list[str], slots: list[float], size: float) -> list[list[str]] | None:

@@ -46,8 +46,16 @@ def name_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("P11_story_key", oracle=r"SELECT doc_id, trim(regexp_replace(replace(lower(nfc_normalize(substring(text, 1, 40))), 'ß', 'ss'), '[^\p{L}\p{N}_]+', '-', 'g'), '-') AS key FROM documents")
 def story_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.btrim(F.regexp_replace(T.folded(F.substring("text", 1, 40)), r"[^\p{L}\p{N}_]+", "-"), F.lit("-"))
-    return table(spark, sf_dir, "documents").select("doc_id", key.alias("key"))
+    return table(spark, sf_dir, "documents").select("doc_id", _story_key(F.substring("text", 1, 40)).alias("key"))
+
+
+def _story_key(c: Column) -> Column:
+    return F.btrim(F.regexp_replace(T.folded(c), r"[^\p{L}\p{N}_]+", "-"), F.lit("-"))
+
+
+@query("P11_story_key_whole")
+def story_key_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", _story_key(F.col("text")).alias("key"))
 
 
 @query("P12_squeeze", oracle=rf"SELECT conv_id, turn, role, {SQUEEZE.format('text')} AS text FROM conversations")
@@ -166,6 +174,11 @@ def oom_and_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.rlike("text", F.lit("out of memory|oom|heean")).alias("oom"), F.regexp_replace(F.substring("text", 1, 60), '[<>|{}"]', "").alias("safe"))
 
 
+@query("P31_oom_and_scrub_whole")
+def oom_and_scrub_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.rlike("text", F.lit("out of memory|oom|heean")).alias("oom"), F.regexp_replace("text", '[<>|{}"]', "").alias("safe"))
+
+
 @query(
     "P32_classify_shape",
     oracle="""SELECT l_orderkey, l_linenumber, CASE WHEN l_tax * 10 >= 0.7 THEN 'rectangular' WHEN l_quantity >= 40 AND l_discount < 0.03 THEN 'spiky' WHEN l_discount >= 0.08 THEN 'rounded' WHEN l_quantity < 10 THEN 'cloud' ELSE 'irregular' END AS shape,
@@ -188,6 +201,11 @@ def folding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.folded(F.substring("text", 1, 80)).alias("folded"), F.lower(F.substring("text", 1, 80)).alias("low"))
 
 
+@query("T7_folding_whole")
+def folding_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", T.folded("text").alias("folded"), F.lower("text").alias("low"))
+
+
 @query("T8_regex_suite", oracle=r"SELECT doc_id, len(regexp_extract_all(text, '[A-Z][a-z]+')) AS found, regexp_full_match(text, '[\s\S]*\.') AS ends, length(regexp_replace(text, '[aeiou]', '', 'g')) AS consonants FROM documents")
 def regex_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0))).cast("long").alias("found"), F.rlike("text", F.lit(r"\A[\s\S]*\.\z")).alias("ends"), F.char_length(F.regexp_replace("text", "[aeiou]", "")).cast("long").alias("consonants"))
@@ -205,10 +223,18 @@ def id_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("T12_cell_escape", oracle=r"SELECT doc_id, replace(replace(replace(replace(substring(text, 1, 200), '&', '&amp;'), '<', '&lt;'), '|', '\|'), chr(10), ' ') AS cell FROM documents")
 def cell_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.substring("text", 1, 200)
+    return table(spark, sf_dir, "documents").select("doc_id", _cell(F.substring("text", 1, 200)).alias("cell"))
+
+
+def _cell(c: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), ("|", "\\|"), ("\n", " ")):
         c = F.replace(c, F.lit(a), F.lit(b))
-    return table(spark, sf_dir, "documents").select("doc_id", c.alias("cell"))
+    return c
+
+
+@query("T12_cell_escape_whole")
+def cell_escape_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", _cell(F.col("text")).alias("cell"))
 
 
 @query("D1_timestamps", oracle="SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, strftime(ts, '%Y%m%d-%H%M%S') AS run_id FROM events")
@@ -283,3 +309,10 @@ def token_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "documents").select("doc_id", F.split(F.substring("text", 1, 50), "").alias("t"))
     c = c.withColumn("p", F.array_position("t", "."))
     return c.select("doc_id", F.when(F.col("p") > 0, F.col("p") - 1).otherwise(F.size("t")).cast("long").alias("n"), (F.col("p") == 0).alias("truncated"), (F.col("p") == 1).alias("empty"))
+
+
+@query("X16_token_length_whole")
+def token_length_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of a whole text up to its end mark, and whether the mark is missing or first."""
+    p = F.instr("text", F.lit("."))
+    return table(spark, sf_dir, "documents").select("doc_id", F.when(p > 0, p - 1).otherwise(F.char_length("text")).cast("long").alias("n"), (p == 0).alias("truncated"), (p == 1).alias("empty"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -53,11 +54,14 @@ def overlay_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("P15_units")
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    @F.pandas_udf("string")
-    def key(s):
-        return s.map(lambda t: "".join(k for k, _, _ in N.units(t[:200])))
+    """The folded key of every whole turn, and where its characters begin and end in the text."""
 
-    return _turns(spark, sf_dir).select("conv_id", "turn", key("text").alias("key"))
+    @F.pandas_udf("key string, starts array<int>, ends array<int>")
+    def units(s):
+        found = [N.units(t or "") for t in s]
+        return pd.DataFrame({"key": ["".join(k for k, _, _ in u) for u in found], "starts": [[a for _, a, _ in u] for u in found], "ends": [[b for _, _, b in u] for u in found]})
+
+    return _turns(spark, sf_dir).select("conv_id", "turn", units("text").alias("u")).select("conv_id", "turn", "u.key", "u.starts", "u.ends")
 
 
 @query("P16_name_parts", oracle=r"SELECT conv_id, turn, regexp_matches(substring(text, 1, 1), '[\p{L}\p{N}\p{M}]|_') AS word, len(string_split_regex(substring(text, 1, 60), '[ \-]+')) AS parts FROM conversations")
@@ -65,6 +69,11 @@ def name_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _turns(spark, sf_dir).select("conv_id", "turn", F.rlike(F.substring("text", 1, 1), F.lit(r"[\p{L}\p{N}\p{M}]|_")).alias("word"), F.size(F.split(F.substring("text", 1, 60), r"[ \-]+", -1)).cast("long").alias("parts"))
 
 
+@query("P16_name_parts_whole")
+def name_parts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _turns(spark, sf_dir).select("conv_id", "turn", F.rlike(F.substring("text", 1, 1), F.lit(r"[\p{L}\p{N}\p{M}]|_")).alias("word"), F.size(F.split("text", r"[ \-]+", -1)).cast("long").alias("parts"))
+
+
 @query("C7_admission")
 def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The concurrency limit of every user over metric samples made from events."""
@@ -97,11 +106,11 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("W22_allocate")
 def allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First words of a turn dealt to three regions of areas 1, 2 and 1."""
+    """Words of a turn dealt to three regions of areas 1, 2 and 1."""
 
     @F.pandas_udf("array<array<int>>")
     def ranges(s):
-        return s.map(lambda t: S.allocate([len(w) for w in t.split()[:40]], [1.0, 2.0, 1.0]))
+        return s.map(lambda t: S.allocate([len(w) for w in (t or "").split()], [1.0, 2.0, 1.0]))
 
     return _turns(spark, sf_dir).select("conv_id", "turn", F.to_json(ranges("text")).alias("ranges"))
 
@@ -110,7 +119,7 @@ def allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     @F.pandas_udf("int")
     def lines(s):
-        return s.map(lambda t: len(S.fit_lines(t.split()[:12], [120.0] * 10, 6.0) or []))
+        return s.map(lambda t: len(S.fit_lines((t or "").split(), [120.0] * 10, 6.0) or []))
 
     return _turns(spark, sf_dir).select("conv_id", "turn", lines("text").alias("lines"))
 
@@ -119,7 +128,7 @@ def fit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def font_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     @F.pandas_udf("int")
     def size(s):
-        return s.map(lambda t: S.largest_size(t.split()[:12], [160.0] * 6, list(range(4, 25))) or 0)
+        return s.map(lambda t: S.largest_size((t or "").split(), [160.0] * 6, list(range(4, 25))) or 0)
 
     return _turns(spark, sf_dir).select("conv_id", "turn", size("text").alias("size"))
 

@@ -1,5 +1,10 @@
 """Queries and operators over whole inputs, against plain Python."""
 
+import json
+import re
+import unicodedata
+from itertools import combinations_with_replacement
+
 import numpy as np
 import pytest
 
@@ -117,3 +122,47 @@ def test_pairs_are_counted_before_the_shuffle(spark, sf, vectors):
             if r["label"] == n:
                 i = ids.index(r["id"])
                 assert [(x["d"], x["id"]) for x in r["near"]] == sorted((d[i, j], ids[j]) for j in at if j != i)[:3]
+
+
+def test_texts_are_taken_whole(spark, sf):
+    from inkspring.operators import names as N
+    from inkspring.operators import stateful as S
+
+    turns = {(r["conv_id"], r["turn"]): r["text"] for r in table(spark, sf, "conversations").collect()}
+    of = lambda name: {(r["conv_id"], r["turn"]): r for r in QUERIES[name](spark, sf).collect()}
+    units, parts, ranges, lines, sizes = map(of, ("P15_units", "P16_name_parts_whole", "W22_allocate", "W23_fit_lines", "W24_font_search"))
+    assert any(len(t) > 200 for t in turns.values()) and any(len(t.split()) > 40 for t in turns.values())
+    for k, t in turns.items():
+        w = t.split()
+        assert list(zip(units[k]["starts"], units[k]["ends"], strict=True)) == [(a, b) for _, a, b in N.units(t)] and units[k]["key"] == "".join(x for x, _, _ in N.units(t))
+        assert parts[k]["parts"] == len(re.split("[ -]+", t))
+        assert json.loads(ranges[k]["ranges"])[-1][1] == len(w)
+        assert lines[k]["lines"] == len(S.fit_lines(w, [120.0] * 10, 6.0) or []) and sizes[k]["size"] == (S.largest_size(w, [160.0] * 6, list(range(4, 25))) or 0)
+
+
+def test_allocate_finds_the_least_cost():
+    from inkspring.operators import stateful as S
+
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 7, 12):
+        for areas in ([1.0, 2.0, 1.0], [3.0, 1.0], [0.0, 0.0]):
+            sizes = rng.integers(0, 5, n).tolist()
+            total, room = sum(sizes) or 1, sum(areas) or 1.0
+            ways = [[(a, b) for a, b in zip((0, *c), (*c, n), strict=True)] for c in combinations_with_replacement(range(n + 1), len(areas) - 1)]
+            cost = lambda w: sum((sum(sizes[a:b]) / total - x / room) ** 2 for (a, b), x in zip(w, areas, strict=True))  # noqa: E731, B023
+            assert np.isclose(cost(S.allocate(sizes, areas)), min(map(cost, ways)))
+
+
+def test_documents_are_taken_whole(spark, sf):
+    docs = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").collect()}
+    of = lambda name: {r["doc_id"]: r for r in QUERIES[name](spark, sf).collect()}
+    key, safe, fold, cell, mark = map(of, ("P11_story_key_whole", "P31_oom_and_scrub_whole", "T7_folding_whole", "T12_cell_escape_whole", "X16_token_length_whole"))
+    assert any(len(t) > 200 for t in docs.values())
+    for i, t in docs.items():
+        low = unicodedata.normalize("NFC", t).lower().replace("ß", "ss")
+        assert fold[i]["folded"] == low and fold[i]["low"] == t.lower()
+        assert key[i]["key"] == re.sub(r"[^\w]+", "-", low).strip("-")
+        assert safe[i]["safe"] == re.sub('[<>|{}"]', "", t)
+        assert cell[i]["cell"] == t.replace("&", "&amp;").replace("<", "&lt;").replace("|", "\\|").replace("\n", " ")
+        p = t.find(".")
+        assert (mark[i]["n"], mark[i]["truncated"], mark[i]["empty"]) == (p if p >= 0 else len(t), p < 0, p == 0)
