@@ -40,9 +40,13 @@ def cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("T4_move_span")
 def move_span(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last word's span before and after the words 'the' grew by one letter."""
-    out = N.replaced("text", [("the", "thee")])
-    return _turns(spark, sf_dir).select("conv_id", "turn", F.char_length("text").alias("before"), F.char_length(out).alias("after"))
+    """Every word's span and where it lies after the words 'the' grew by one letter; null where a replaced span cuts it."""
+
+    @F.pandas_udf("array<struct<start:int,end:int,new_start:int,new_end:int>>")
+    def moved(s):
+        return s.map(lambda t: [{"start": a, "end": b, "new_start": x, "new_end": y} for (a, b), (x, y) in N.moved_words(t or "", "the", "thee")])
+
+    return _turns(spark, sf_dir).select("conv_id", "turn", moved("text").alias("spans"))
 
 
 @query("T6_overlay_text", oracle=r"SELECT conv_id, turn, CASE WHEN contains(text, '‿') THEN replace(text, '‿', '') ELSE text END AS text, CASE WHEN contains(text, '‿') THEN text END AS ocr_raw_text FROM conversations")

@@ -166,3 +166,25 @@ def test_documents_are_taken_whole(spark, sf):
         assert cell[i]["cell"] == t.replace("&", "&amp;").replace("<", "&lt;").replace("|", "\\|").replace("\n", " ")
         p = t.find(".")
         assert (mark[i]["n"], mark[i]["truncated"], mark[i]["empty"]) == (p if p >= 0 else len(t), p < 0, p == 0)
+
+
+def test_every_span_is_moved(spark, sf):
+    from inkspring.operators import names as N
+
+    def brute(t):
+        hits = [s for _, spans in N.apply_rules(t, [("the", "thee")])[1] for s in spans]
+        return [(*m.span(), *(N.move_span(m.span(), hits, 4) or (None, None))) for m in re.finditer(r"\S+", t)]
+
+    odd = "the 'the' x\u0301 The-end, then the"
+    assert [(*a, *b) for a, b in N.moved_words(odd, "the", "thee")] == brute(odd)
+    got = {(r["conv_id"], r["turn"]): r["spans"] for r in QUERIES["T4_move_span"](spark, sf).collect()}
+    moved = 0
+    for r in table(spark, sf, "conversations").collect():
+        spans = got[r["conv_id"], r["turn"]]
+        assert [tuple(x) for x in spans] == brute(r["text"])
+        new = N.apply_rules(r["text"], [("the", "thee")])[0]
+        for a, b, x, y in spans:
+            if x is not None and y - x == b - a:
+                assert new[x:y] == r["text"][a:b]
+                moved += x > a
+    assert moved
