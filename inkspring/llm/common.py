@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII capitals and their small letters; the contracts lower exactly these.
@@ -24,11 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or the session's checkpoint folder.
+
+    Only a session that is one machine (master ``local``, as in tests) may have none; it gets a temporary one.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isEmpty():
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         path = jsc.getCheckpointDir().get()
     return path.rstrip("/")
@@ -39,13 +44,16 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; Spark's cleaner removes it when it is no longer used."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def forget(*tables: DataFrame) -> None:
+    """Remove tables made by ``stored`` whose readers have all been written themselves."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
@@ -56,6 +64,15 @@ def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFra
     return docs.select(*[quoted(c).alias(n) for c, n in names.items()]), lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
+def row_key(df: DataFrame) -> tuple[Column, Column]:
+    """128 bits of a whole row. Nulls count by their place; maps are hashed as JSON."""
+    cells: list[Column] = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name.replace('`', '``')}`")
+        cells += [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c, c.isNull()]
+    return F.xxhash64(*cells), F.xxhash64(F.lit(1), *cells, F.lit(2))
+
+
 def ascii_lower(c):
     """Lower A-Z only. Pure ASCII strings take the quick built-in; others go through translate."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
@@ -116,23 +133,60 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Connected components of an edge table by min-label exchange with pointer jumping.
+    """Connected components of an edge table: every node on an edge with ``comp``, the smallest node reachable.
 
-    Returns ``node, comp`` (the smallest node reachable) for every node on an edge. Every round is a
-    pre-aggregated min per node, so a hub with very many edges is never gathered in one place.
+    Edges are contracted: each node takes its smallest neighbour (or itself) as parent, and edges are renamed to the
+    parents until none is left; then parents are followed. A hub's edges meet its parent by salts (``spread_join``), so
+    no task holds all edges of a node.
+    """
+    live = stored(edges.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).where("x < y").distinct())
+    parent: DataFrame | None = None
+    while not live.isEmpty():
+        # min is pre-aggregated, so a hub costs one row a task
+        low = live.select(F.col("y").alias("node"), F.col("x").alias("to")).unionByName(live.select(F.col("x").alias("node"), F.col("x").alias("to")))
+        step = stored(low.groupBy("node").agg(F.min("to").alias("to")))
+        # chains of parents within a round are followed to their end: parents are smaller, so this ends
+        while True:
+            far = step.alias("s").join(step.select(F.col("node").alias("to"), F.col("to").alias("top")), "to").select("node", "to", "top")
+            new = stored(far)
+            if new.where("top <> to").isEmpty():
+                forget(new)
+                break
+            nxt = stored(new.select("node", F.col("top").alias("to")))
+            forget(new, step)
+            step = nxt
+        at = lambda name, to: step.select(F.col("node").alias(name), F.col("to").alias(to))
+        moved = spread_join(spread_join(live, at("x", "u"), "x", "y"), at("y", "v"), "y", "x")
+        after = stored(moved.select(F.least("u", "v").alias("x"), F.greatest("u", "v").alias("y")).where("x < y").distinct())
+        if parent is None:
+            joined = step.select("node", F.col("to").alias("comp"))
+        else:
+            joined = parent.join(step.select(F.col("node").alias("comp"), F.col("to").alias("up")), "comp", "left").select("node", F.coalesce("up", "comp").alias("comp"))
+        grown = stored(joined)
+        forget(live, step, *([parent] if parent is not None else []))
+        live, parent = after, grown
+    if parent is None:
+        return live.select(F.col("x").alias("node"), F.col("y").alias("comp"))
+    forget(live)
+    return parent
+
+
+#: Most rows of one key that meet in one task, about.
+HOT_ROWS = 256
+
+
+def spread_join(rows: DataFrame, one: DataFrame, key: str, by: str, most: int | None = None) -> DataFrame:
+    """``rows`` inner joined with ``one`` (at most one row a key), where a key may hold any share of ``rows``.
+
+    Rows are salted by the hash of ``by``, and ``one`` first meets the distinct (key, salt) pairs that occur, so it is
+    repeated only as often as a key needs; then no task gets more than some HOT_ROWS rows of a key. ``most`` is the
+    count of the commonest key, if known.
     """
-    both = cut(
-        edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
-        .unionByName(edges.select(F.col(b).alias("x"), F.col(a).alias("y")))
-        .where("x <> y")
-        .distinct()
-    )
-    label = cut(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("comp")))
-    while True:
-        near = both.join(label.select(F.col("node").alias("y"), F.col("comp").alias("c")), "y").groupBy("x").agg(F.min("c").alias("c"))
-        low = label.join(near.withColumnRenamed("x", "node"), "node").select("node", F.col("comp").alias("was"), F.least("comp", "c").alias("comp"))
-        up = label.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-        new = cut(low.join(up, "comp", "left").select("node", "was", F.coalesce(F.least("comp", "top"), "comp").alias("comp")))
-        if new.where("comp <> was").isEmpty():
-            return new.select("node", "comp")
-        label = new.select("node", "comp")
+    if most is None:
+        most = rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    salts = -(-most // HOT_ROWS)
+    if salts <= 1:
+        return rows.join(one, key)
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    near = salted.select(key, "__salt").distinct().join(one, key)
+    return salted.join(near, [key, "__salt"]).drop("__salt")

@@ -4,26 +4,29 @@ The benchmark items become one automaton (all their word substrings). Every docu
 keeping the longest match that ends at each word; a match of at least ``window`` words, or of a whole shorter item,
 marks its words. No shuffle: documents are read, matched and answered in place.
 
-The automaton is broadcast, so its size is checked: items are cut into slices of at most ``MAX_WORDS`` words (a
-longer single item is a slice of its own) and, if there is more than one, the documents are matched against each slice
-and the findings united per document.
-
-Defined cases: null or empty texts have no words and no hits; null item texts and null item ids match nothing;
-repeated items count once by id; repeated document rows are each answered; an empty benchmark hits nothing.
+The automaton is broadcast, so its size is checked: items are cut into slices of at most ``max_words`` words (a longer
+single item is a slice of its own). With more than one slice, every slice in turn is matched against the texts and only
+its findings are kept, keyed by a 128-bit hash of the text; the findings of all slices are united per text, and
+documents meet them by that key. Verdicts are made from the united spans, so the number of slices changes no result.
+
+Defined cases: null or empty texts have no words and no hits; texts of any length are matched whole, word by word, and
+take memory in proportion to their own length; null item texts and null item ids match nothing; repeated items count
+once by id, and all texts of a repeated id belong to it; repeated document rows are each answered; spans that overlap or
+touch are one; coverage equal to the limit stays; an empty benchmark hits nothing, an empty table gives an empty
+result; extra columns keep their values whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from .common import arrow_map, cut
+from .common import arrow_map, forget, set_aside, stored
 
 WINDOW = 10
 #: Most words of one broadcast automaton (about 100 MB in a worker).
@@ -31,9 +34,6 @@ MAX_WORDS = 150_000
 #: A document is dropped by ``remove_contaminated`` when more than this share of its words is hit.
 MAX_COVERAGE = 0.5
 
-#: Column of the hits of a document while slices are united.
-_HITS = "_hits_of_slices"
-
 #: Bytes that separate words: all ASCII but digits and letters; A-Z become a-z.
 _SEP = bytes(
     (b + 32 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A else 0x20
@@ -177,57 +177,101 @@ def _n_words(c: Column) -> Column:
     return F.size(F.split(F.regexp_replace(c, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), " "))
 
 
-def slices(benchmark: DataFrame, max_words: int = MAX_WORDS) -> list[list[tuple[str, str]]]:
-    """The items in bounded slices; only one slice at a time comes to the driver."""
+def slices(benchmark: DataFrame, max_words: int = MAX_WORDS) -> list[DataFrame]:
+    """The items (k, text) in slices of about ``max_words`` words at most."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("k"), "text")
     total = items.agg(F.sum(_n_words(F.col("text")))).first()[0] or 0
     n = max(1, -(-int(total) // max_words))
-    return [[tuple(r) for r in items.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i).collect()] for i in range(n)]
+    return [items.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i) for i in range(n)]
+
+
+_SPANS = "array<struct<start:int,end:int>>"
+_SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _spans(rows: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": a, "end": b} for a, b in r] for r in rows], _SPAN_TYPE)
+
+
+def _shared(part: DataFrame) -> tuple:
+    """One slice, broadcast: (key, text) with a key of its own for every text of a repeated id."""
+    return part.sparkSession.sparkContext.broadcast([(f"{k}\0{i}", t) for i, (k, t) in enumerate(map(tuple, part.collect()))]), uuid.uuid4().hex
+
+
+def _ids(keys: set) -> list[str]:
+    return sorted({k.rsplit("\0", 1)[0] for k in keys})
+
+
+def text_key(text: Column) -> list[Column]:
+    """128 bits of a text; equal texts have equal findings."""
+    return [F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text, F.lit(2)).alias("_k2")]
+
+
+def findings(docs: DataFrame, parts: list[DataFrame], window: int) -> DataFrame:
+    """_k1, _k2, spans, items of every text of ``docs`` that some slice hits; stored.
+
+    One slice at a time is collected, broadcast and done with; a text that many rows have is one row after each slice.
+    """
+    texts = docs.where("text <> ''").select(*text_key(F.col("text")), "text")
+    found = []
+    for part in parts:
+        shared, tag = _shared(part)
+
+        def match(b: pa.RecordBatch, shared=shared, tag=tag) -> pa.RecordBatch | None:
+            auto = _automaton(shared, tag, window)
+            at, spans, items = [], [], []
+            for i, text in enumerate(b.column("text").to_pylist()):
+                hit, keys = auto.scan(words_of(text))
+                if hit:
+                    at.append(i)
+                    spans.append(hit)
+                    items.append(_ids(keys))
+            if not at:
+                return None
+            own = b.take(pa.array(at, pa.int32()))
+            return pa.RecordBatch.from_arrays([own.column("_k1"), own.column("_k2"), _spans(spans), pa.array(items, pa.list_(pa.string()))], ["_k1", "_k2", "spans", "items"])
+
+        hits = arrow_map(texts, match, f"_k1 long, _k2 long, spans {_SPANS}, items array<string>")
+        found.append(stored(hits.groupBy("_k1", "_k2").agg(F.first("spans").alias("spans"), F.first("items").alias("items"))))
+        shared.destroy()
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    # at most one row a slice and text
+    every = every.groupBy("_k1", "_k2").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+    def unite(b: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [merged([(x["start"], x["end"]) for x in r]) for r in b.column("spans").to_pylist()]
+        return pa.RecordBatch.from_arrays([b.column("_k1"), b.column("_k2"), _spans(spans), b.column("items")], ["_k1", "_k2", "spans", "items"])
+
+    out = stored(arrow_map(every, unite, every.schema))
+    forget(*found)
+    return out
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """Every row of ``docs(doc_id, text)`` with n_words, spans (of hit words) and the sorted items found."""
-    spark = docs.sparkSession
-    schema = "doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    rows = docs.select("doc_id", "text")
-
-    def matched(items: list[tuple[str, str]], rows: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-        by_id: dict[str, str] = {}
-        for k, t in items:  # rows that repeat an id: all of its texts belong to the item
-            by_id[k] = t if k not in by_id else by_id[k]
-        more = [(k, t) for k, t in items if by_id[k] != t]
-        shared, tag = spark.sparkContext.broadcast([*by_id.items()] + [(f"{k}\0{i}", t) for i, (k, t) in enumerate(more)]), uuid.uuid4().hex
+    docs = docs.select("doc_id", "text")
+    parts = slices(benchmark, max_words)
+    if len(parts) == 1:
+        shared, tag = _shared(parts[0])
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             auto = _automaton(shared, tag, window)
-            n, spans, found = [], [], []
-            for text in b.column("text").to_pylist():
-                words = words_of(text)
-                hit, items = auto.scan(words)
-                n.append(len(words))
-                spans.append([{"start": x, "end": y} for x, y in hit])
-                found.append(sorted({k.split("\0")[0] for k in items}))
-            cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(spans, kind), pa.array(found, pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays([*cols, *(b.column(c) for c in extra)], ["doc_id", "n_words", "spans", "items", *extra])
-
-        return arrow_map(rows, one, schema + "".join(f", {c} long" for c in extra))
+            words = [words_of(t) for t in b.column("text").to_pylist()]
+            found = [auto.scan(w) for w in words]
+            cols = [b.column("doc_id"), pa.array(map(len, words), pa.int64()), _spans([x for x, _ in found]), pa.array([_ids(k) for _, k in found], pa.list_(pa.string()))]
+            return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "spans", "items"])
 
-    parts = slices(benchmark, max_words)
-    if len(parts) == 1:
-        return matched(parts[0], rows)
-    # more items than one automaton may hold: match each slice, then unite per document row
-    rows = rows.withColumn("_row", F.xxhash64("doc_id", "text"))
-    rows = rows.groupBy("doc_id", "_row").agg(F.first("text").alias("text"), F.count("*").alias("_times"))
-    found = [matched(p, rows, ("_row", "_times")) for p in parts]
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    unite = F.udf(lambda many: [{"start": a, "end": b} for a, b in merged([(s["start"], s["end"]) for x in many for s in x])], "array<struct<start:int,end:int>>")
-    one = every.groupBy("doc_id", "_row", "_times", "n_words").agg(
-        F.collect_list("spans").alias("many"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    )
-    return one.select("doc_id", "n_words", unite("many").alias("spans"), "items", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int"))).alias("_i")).drop("_i")
+        return arrow_map(docs, one, f"doc_id long, n_words long, spans {_SPANS}, items array<string>")
+
+    def count(b: pa.RecordBatch) -> pa.RecordBatch:
+        n = [len(words_of(t)) for t in b.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_k1"), b.column("_k2"), pa.array(n, pa.int64())], ["doc_id", "_k1", "_k2", "n_words"])
+
+    rows = arrow_map(docs.select("doc_id", *text_key(F.col("text")), "text"), count, "doc_id long, _k1 long, _k2 long, n_words long")
+    out = rows.join(findings(docs, parts, window), ["_k1", "_k2"], "left")
+    return out.select("doc_id", "n_words", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def report(scanned: DataFrame) -> DataFrame:
@@ -243,10 +287,8 @@ def report(scanned: DataFrame) -> DataFrame:
     )
 
 
-def without(text: str, hits: list[tuple[int, int]], n_words: int, max_coverage: float) -> str | None:
-    """``text`` without its hit words; None if they cover too much."""
-    if sum(b - a for a, b in hits) > max_coverage * n_words:
-        return None
+def without(text: str, hits: list[tuple[int, int]]) -> str:
+    """``text`` without its hit words (word positions, end exclusive)."""
     at = [m.span() for m in _WORD.finditer(text)]
     keep, last = [], 0
     for a, b in hits:
@@ -255,77 +297,77 @@ def without(text: str, hits: list[tuple[int, int]], n_words: int, max_coverage:
     return "".join([*keep, text[last:]])
 
 
+def _size(hits: list[tuple[int, int]]) -> int:
+    return sum(b - a for a, b in hits)
+
+
 def cut_spans(text: str, auto: Automaton, max_coverage: float) -> str | None:
-    """``text`` without its hit words (None if they cover too much), until nothing matches any more."""
-    while text is not None:
+    """``text`` without its hit words, until nothing matches any more.
+
+    None if the words cut in all rounds are more than ``max_coverage`` of the words the text had at first.
+    """
+    words = words_of(text)
+    n, gone = len(words), 0
+    while hits := auto.scan(words)[0]:
+        gone += _size(hits)
+        if gone > max_coverage * n:
+            return None
+        text = without(text, hits)
         words = words_of(text)
-        hits, _ = auto.scan(words)
-        if not hits:
-            return text
-        text = without(text, hits, len(words), max_coverage)
-    return None
+    return text
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, max_words: int = MAX_WORDS) -> DataFrame:
-    """``docs`` without benchmark passages: spans are cut, documents covered beyond ``max_coverage`` go.
+    """``docs`` without benchmark passages: spans are cut, documents cut by more than ``max_coverage`` of their words go.
 
-    Returns the columns of ``docs`` (n_chars follows the text where it exists). Other rows stay as they are. With several
-    slices the spans of all of them are united before a document is judged and cut, and documents that were cut are
-    scanned again by every slice until none is hit: the result is that of one automaton.
+    Returns the columns of ``docs`` (n_chars follows the text where it exists). Other rows stay as they are. What is left
+    of a text is matched again until nothing is hit. With several slices each round unites the spans of all of them
+    before a document is judged and cut, and only documents that were cut go on: the result is that of one automaton.
     """
-    spark, names = docs.sparkSession, docs.columns
+    docs, named = set_aside(docs)
+    names, schema = docs.columns, docs.schema
 
-    def cleaned(b: pa.RecordBatch, new: list[str | None]) -> tuple[list[pa.Array], pa.Array]:
+    def renewed(b: pa.RecordBatch, new: list[str | None]) -> pa.RecordBatch:
+        """The rows whose text is not lost (null texts stay null), with their new texts."""
         texts = b.column("text").to_pylist()
-        keep = pa.array([t is None or n is not None for t, n in zip(texts, new, strict=True)], pa.bool_())
-        cols = [pa.array(new, pa.string()) if c == "text" else b.column(c) for c in names]
+        cols = [pa.array(new, pa.string()) if c == "text" else b.column(c) for c in b.schema.names]
         if "n_chars" in names:
             k = names.index("n_chars")
             old = b.column("n_chars").to_pylist()
             cols[k] = pa.array([o if n == t else len(n or "") for o, t, n in zip(old, texts, new, strict=True)], b.column("n_chars").type)
-        return cols, keep
-
-    def shared_of(items: list[tuple[str, str]]) -> tuple:
-        return spark.sparkContext.broadcast([(f"{k}\0{i}", t) for i, (k, t) in enumerate(items)]), uuid.uuid4().hex
+        return pa.RecordBatch.from_arrays(cols, b.schema.names).filter(pa.array([t is None or n is not None for t, n in zip(texts, new, strict=True)], pa.bool_()))
 
-    parts = [shared_of(items) for items in slices(benchmark, max_words)]
+    parts = slices(benchmark, max_words)
     if len(parts) == 1:
-        shared, tag = parts[0]
+        shared, tag = _shared(parts[0])
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             auto = _automaton(shared, tag, window)
-            cols, keep = cleaned(b, [cut_spans(t, auto, max_coverage) if t else t for t in b.column("text").to_pylist()])
-            return pa.RecordBatch.from_arrays(cols, names).filter(keep)
-
-        return arrow_map(docs, one, docs.schema)
-
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    with_hits = StructType([*docs.schema.fields, StructField(_HITS, ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])))])
-    flagged = StructType([*docs.schema.fields, StructField(_HITS, BooleanType())])
-    done, work = None, docs
+            return renewed(b, [cut_spans(t, auto, max_coverage) if t else t for t in b.column("text").to_pylist()])
+
+        return named(arrow_map(docs, one, schema))
+
+    def judged(b: pa.RecordBatch) -> pa.RecordBatch:
+        new, first, gone = [], [], []
+        for t, spans, n, was in zip(*(b.column(c).to_pylist() for c in ("text", "_spans", "_n", "_gone")), strict=True):
+            hits = [(x["start"], x["end"]) for x in spans]
+            first.append(n if n is not None else len(words_of(t)))
+            gone.append(was + _size(hits))
+            new.append(without(t, hits) if gone[-1] <= max_coverage * first[-1] else None)
+        cols = [*(b.column(c) for c in names), pa.array(first, pa.int64()), pa.array(gone, pa.int64())]
+        return renewed(pa.RecordBatch.from_arrays(cols, [*names, "_n", "_gone"]), new)
+
+    done: DataFrame | None = None
+    work = docs.withColumn("_n", F.lit(None).cast("long")).withColumn("_gone", F.lit(0).cast("long"))
     while True:
-        for shared, tag in parts:
-
-            def found(b: pa.RecordBatch, shared=shared, tag=tag) -> pa.RecordBatch:
-                auto = _automaton(shared, tag, window)
-                before = b.column(_HITS).to_pylist() if _HITS in b.schema.names else [None] * b.num_rows
-                hits = [(x or []) + [{"start": a, "end": e} for a, e in auto.scan(words_of(t))[0]] for t, x in zip(b.column("text").to_pylist(), before, strict=True)]
-                return pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(hits, kind)], [*names, _HITS])
-
-            # each slice is done before the next: a worker holds one automaton
-            work = cut(arrow_map(work, found, with_hits))
-
-        def judged(b: pa.RecordBatch) -> pa.RecordBatch:
-            texts = b.column("text").to_pylist()
-            hits = [merged([(h["start"], h["end"]) for h in x]) for x in b.column(_HITS).to_pylist()]
-            cols, keep = cleaned(b, [without(t, h, len(words_of(t)), max_coverage) if h else t for t, h in zip(texts, hits, strict=True)])
-            return pa.RecordBatch.from_arrays([*cols, pa.array([bool(h) for h in hits], pa.bool_())], [*names, _HITS]).filter(keep)
-
-        now = cut(arrow_map(work, judged, flagged))
-        clean = now.where(~F.col(_HITS)).select(*names)
-        done, work = clean if done is None else done.unionByName(clean), now.where(_HITS).select(*names)
+        hits = findings(work, parts, window).select("_k1", "_k2", F.col("spans").alias("_spans"))
+        keyed = work.select("*", *text_key(F.col("text"))).join(hits, ["_k1", "_k2"], "left")
+        clean = keyed.where("_spans is null").select(*names)
+        done = clean if done is None else done.unionByName(clean)
+        dirty = keyed.where("_spans is not null").select(*names, "_n", "_gone", "_spans")
+        work = stored(arrow_map(dirty, judged, work.schema))
         if work.isEmpty():
-            return done
+            return named(done)
 
 
 ORACLE = r"""

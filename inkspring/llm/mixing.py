@@ -6,11 +6,16 @@ size; for each shard the number of slots per source is drawn from a multinomial.
 them were used, and slots meet blocks by an index join. After the draws each source's slots are cut or topped up to its
 exact quota, so the mix comes out at its targets and no block is used more than MAX_REPEAT times.
 
-Blocks are numbered in two levels (per source and bucket of documents, then by bucket offsets), so no task orders a
-whole source. The driver sees one row per source and bucket totals stay on the executors.
-
-Defined cases: null or empty texts have size 0 and take nothing; null is a source of its own, the last; repeated rows
-are packed side by side and each gets its own share; an empty table gives an empty result.
+Rows that are equal in every column are one entry with a count; entries are dealt to buckets, and a very frequent one is
+cut into pieces with buckets of their own. Blocks are numbered in a bucket, then by bucket offsets, and these offsets
+(like the slot offsets of the shards) are running sums in two levels, so no task orders a whole source. The driver
+sees one row per source; more than MAX_SOURCES sources are an error.
+
+Defined cases: null or empty texts have size 0 and take nothing; texts of any length are packed whole, over as many
+blocks as they need; null is a source of its own, the last; rows that share id and text but not the other columns are
+packed side by side, each with its own source and columns; of rows equal in every column each gets its own share (which
+of them gets which cannot be told); an empty table gives an empty result; extra columns keep their values whatever their
+names.
 """
 
 from __future__ import annotations
@@ -22,20 +27,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_map, set_aside, stored
+from .common import BLANKS, arrow_map, forget, row_key, set_aside, stored
 
 BLOCK = 32
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 SLOTS_PER_SHARD = 16_384
 SEED = 20
-_DOCS_PER_BUCKET = 2_000
-
-
-def size_of(text: Column) -> Column:
-    """Number of ``[^\\x20\\x09-\\x0D]+`` in a text."""
-    pieces = F.split(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "), " ")
-    return F.coalesce(F.when(text == "", 0).otherwise(F.size(pieces)) - F.when(F.expr(r"text rlike '^[\\x20\\x09-\\x0D]'"), 1).otherwise(0) - F.when(F.expr(r"text rlike '[\\x20\\x09-\\x0D]$'"), 1).otherwise(0), F.lit(0))
+#: Sources are a list on the driver and a broadcast table.
+MAX_SOURCES = 100_000
+_ROWS_PER_BUCKET = 2_000
+#: A piece of equal rows has at most so many words and rows (one row of any length is a piece).
+_WORDS_PER_PIECE, _ROWS_PER_PIECE = 100_000, 1_000
+_RUN = 4_096
+
+_IS_BLANK = np.zeros(256, bool)
+_IS_BLANK[list(BLANKS.encode())] = True
+
+
+def sizes_of(texts: pa.Array) -> np.ndarray:
+    """Number of ``[^\\x20\\x09-\\x0D]+`` in each text of a string array (null: 0)."""
+    n = len(texts)
+    at = np.frombuffer(texts.buffers()[1], np.int32, n + 1, texts.offset * 4).astype(np.int64) if n else np.zeros(1, np.int64)
+    if at[-1] == at[0]:
+        return np.zeros(n, np.int64)
+    blank = _IS_BLANK[np.frombuffer(texts.buffers()[2], np.uint8, at[-1] - at[0], at[0])]
+    at = at - at[0]
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    heads = at[:-1][at[1:] > at[:-1]]
+    begins[heads] = ~blank[heads]
+    return np.diff(np.searchsorted(np.flatnonzero(begins), at))
 
 
 def targets(sizes: dict, weights: tuple = WEIGHTS, cap: float = MAX_REPEAT) -> dict:
@@ -75,44 +97,76 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _source_number(names: list) -> Column:
-    pairs = [F.lit(x) for i, s in enumerate(names) if s is not None for x in (s, i)]
+def running(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the same key with a smaller ``order`` (0, 1, 2 ...).
+
+    Two levels: sums of runs of _RUN rows are added up first, so a task orders one run, or one row a run.
+    """
+    run = F.floor(F.col(order) / _RUN)
+    runs = df.groupBy(key, run.alias("_run")).agg(F.sum(value).alias("_sum"))
+    runs = runs.select(key, "_run", (F.sum("_sum").over(W.partitionBy(key).orderBy("_run")) - F.col("_sum")).alias("_before"))
+    inner = F.sum(value).over(W.partitionBy(key, "_run").orderBy(order).rowsBetween(W.unboundedPreceding, 0)) - F.col(value)
+    return df.withColumn("_run", run).withColumn(name, inner).join(runs, [key, "_run"]).withColumn(name, F.col(name) + F.col("_before")).drop("_run", "_before")
+
 
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("source")) if pairs else F.lit(None).cast("int"), F.lit(len(names) - 1)).cast("int")
+def _spread_tasks(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` in as many tasks as the ``rows`` it grows to need."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, rows // 500_000), *keys)
 
 
 def mix_plan(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, cap: int = MAX_REPEAT) -> tuple[DataFrame, DataFrame]:
-    """(documents, draws).
+    """(documents, draws) for ``docs(doc_id, text, source, ...)``.
 
-    documents: every row's doc_id, source, size, source_size, target, plus src, bucket and start (where its words begin
-    in its bucket's stream). draws: src, bucket, block (number in the bucket), drawn (how often it is used).
+    documents: every row's doc_id, source, k1 and k2 (hash of the row), size, source_size, target, plus src, bucket and
+    start (where its words begin in its bucket's stream). draws: src, bucket, block (number in the bucket), drawn (how
+    often it is used).
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), size_of(F.col("text")).cast("long").alias("size"))
-    rows = stored(rows)
-    per = {r["source"]: (r["w"], r["n"]) for r in rows.groupBy("source").agg(F.sum("size").alias("w"), F.count("*").alias("n")).collect()}
-    sizes = {s: w for s, (w, _) in per.items()}
+
+    def measure(b: pa.RecordBatch) -> pa.RecordBatch:
+        cols = [b.column(c) for c in ("doc_id", "source", "t", "k1", "k2")]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(sizes_of(b.column("text")), pa.int64())], ["doc_id", "source", "t", "k1", "k2", "size"])
+
+    k1, k2 = row_key(docs)
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("t"), k1.alias("k1"), k2.alias("k2"), "text")
+    sized = arrow_map(rows, measure, "doc_id long, source string, t long, k1 long, k2 long, size long")
+    entries = stored(sized.groupBy("doc_id", "source", "t", "k1", "k2", "size").agg(F.count("*").alias("times")))
+    per = entries.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("w"), F.count("*").alias("n"))
+    got = per.limit(MAX_SOURCES + 1).collect()
+    if len(got) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    count = {r["source"]: r["n"] for r in got}
+    sizes = {r["source"]: r["w"] for r in got}
     goal = targets(sizes, weights, cap)
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode("utf-32-be", "surrogatepass")) + ([None] if None in sizes else [])
-    info = spark.createDataFrame([(i, per[s][0], goal[s], max(1, -(-per[s][1] // _DOCS_PER_BUCKET))) for i, s in enumerate(names)], "src int, source_size long, target double, buckets long")
-    rows = rows.withColumn("src", _source_number(names) if names else F.lit(0)).join(F.broadcast(info), "src")
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), "buckets"))
-    order = W.partitionBy("src", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
-    rows = rows.withColumn("start", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("size"))
-
-    buckets = rows.groupBy("src", "bucket").agg(F.sum("size").alias("words")).where("words > 0").withColumn("blocks", F.ceil(F.col("words") / block))
-    buckets = stored(buckets.withColumn("first", F.sum("blocks").over(W.partitionBy("src").orderBy("bucket")) - F.col("blocks")))
+    info = spark.createDataFrame([(i, s, sizes[s], goal[s], max(1, -(-count[s] // _ROWS_PER_BUCKET))) for i, s in enumerate(names)], "src int, source string, source_size long, target double, buckets long")
+
+    each = F.least(F.lit(_ROWS_PER_PIECE), F.greatest(F.lit(1), F.floor(F.lit(_WORDS_PER_PIECE) / F.col("size")))).cast("long")
+    each = F.when(F.col("size") > 0, each).otherwise(_ROWS_PER_PIECE)
+    pieces = entries.withColumn("each", each).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / F.col("each")))))
+    pieces = pieces.withColumn("times", F.least("each", F.col("times") - F.col("piece") * F.col("each")))
+    pieces = pieces.withColumnRenamed("source", "_s").join(F.broadcast(info), F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
+    # places follow id and text: columns that the mix does not read change nothing
+    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "t", "piece"), "buckets"))
+    order = W.partitionBy("src", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "t", "k1", "k2", "piece")
+    pieces = pieces.withColumn("_words", F.col("size") * F.col("times"))
+    pieces = pieces.withColumn("start", F.sum("_words").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("_words"))
+    pieces = stored(pieces.select("doc_id", "source", "k1", "k2", "size", "source_size", "target", "src", "bucket", "start", "times"))
+    forget(entries)
+
+    buckets = pieces.groupBy("src", "bucket").agg(F.sum(F.col("size") * F.col("times")).alias("words")).withColumn("blocks", F.ceil(F.col("words") / block))
+    buckets = stored(running(buckets, "src", "bucket", "blocks", "first").where("blocks > 0"))
     blocks = {r["src"]: r["b"] for r in buckets.groupBy("src").agg(F.sum("blocks").alias("b")).collect()}
     quota = {i: min(cap * blocks[i], round(goal[s] / (sizes[s] / blocks[i]))) for i, s in enumerate(names) if blocks.get(i)}
-    total = sum(quota.values())
-    draws = _draws(spark, quota, blocks, total, seed)
-    at = draws.join(F.broadcast(spark.createDataFrame([(i, b) for i, b in blocks.items()], "src int, all long")), "src") if blocks else draws.withColumn("all", F.lit(1))
+    draws = _draws(spark, quota, blocks, sum(quota.values()), seed)
     # block numbers of a source -> bucket and number in the bucket, by the bucket's offset
-    drawn = at.groupBy("src", "block").agg(F.count("*").alias("drawn"))
-    packed = buckets.select("src", "bucket", F.posexplode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("in_bucket", "block"))
+    drawn = draws.groupBy("src", "block").agg(F.count("*").alias("drawn"))
+    packed = _spread_tasks(buckets, sum(blocks.values()), "src", "bucket").select("src", "bucket", F.posexplode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("in_bucket", "block"))
     # both sides are made from small tables, which says nothing of their size: never broadcast them
     drawn = packed.hint("merge").join(drawn.hint("merge"), ["src", "block"]).select("src", "bucket", F.col("in_bucket").cast("long").alias("block"), "drawn")
-    return rows, drawn.hint("merge")
+    rows = pieces.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    return rows.withColumn("start", F.col("start") + F.col("_copy") * F.col("size")).drop("_copy", "times"), drawn.hint("merge")
 
 
 def _draws(spark, quota: dict, blocks: dict, total: int, seed: int) -> DataFrame:
@@ -132,17 +186,16 @@ def _draws(spark, quota: dict, blocks: dict, total: int, seed: int) -> DataFrame
                 out += [(int(s), i, int(c)) for i, c in zip(live, counts, strict=True)]
             yield pd.DataFrame(out, columns=["shard", "src", "c"])
 
-    counts = spark.range(0, shards).mapInPandas(draw, "shard long, src int, c long")
-    counts = counts.withColumn("from", F.sum("c").over(W.partitionBy("src").orderBy("shard").rowsBetween(W.unboundedPreceding, 0)) - F.col("c"))
+    counts = stored(spark.range(0, shards).mapInPandas(draw, "shard long, src int, c long"))
     want = F.broadcast(spark.createDataFrame([(i, int(quota[i]), int(blocks[i])) for i in live], "src int, quota long, blocks long"))
-    counts = stored(counts.join(want, "src"))
+    counts = stored(running(counts, "src", "shard", "c", "from").join(want, "src"))
     # draws beyond a quota are cut; what a source is short of is topped up, spread over the shards
-    short = counts.groupBy("src", "quota", "blocks").agg(F.sum("c").alias("got")).where("got < quota")
-    top = short.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "src", "quota", "blocks", "got").withColumn("shard", F.col("shard").cast("long"))
+    short = counts.groupBy("src").agg(F.sum("c").alias("got"))
+    top = counts.join(short, "src").where("got < quota")
     lack = F.col("quota") - F.col("got")
     top = top.select("shard", "src", "blocks", (F.col("got") + F.floor(lack * F.col("shard") / shards)).alias("from"), (F.col("got") + F.floor(lack * (F.col("shard") + 1) / shards)).alias("to"))
     kept = counts.select("shard", "src", "blocks", "from", F.least(F.col("from") + F.col("c"), F.col("quota")).alias("to"))
-    runs = kept.unionByName(top).where("to > from")
+    runs = _spread_tasks(kept.unionByName(top).where("to > from"), total)
     out = pa.schema([("shard", pa.int64()), ("src", pa.int32()), ("k", pa.int64()), ("block", pa.int64())])
 
     def fill(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -162,8 +215,8 @@ def _draws(spark, quota: dict, blocks: dict, total: int, seed: int) -> DataFrame
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, cap: int = MAX_REPEAT) -> DataFrame:
     """Every row with doc_id, size, source_size, target, taken (words the mix takes of it, repeats counted)."""
-    rows, drawn = mix_plan(docs, weights, block, seed, cap)
-    parts = _spread(rows.select("doc_id", "text_hash", "src", "bucket", "start", "size"), block)
+    rows, drawn = mix_plan(docs.select("doc_id", "text", "source"), weights, block, seed, cap)
+    parts = _spread(rows, block)
     taken = parts.join(drawn, ["src", "bucket", "block"]).groupBy("src", "bucket", "start").agg(F.sum(F.col("drawn") * F.col("words")).alias("taken"))
     # documents without words share a start with the next one: only those with words take
     out = rows.withColumn("at", F.when(F.col("size") > 0, F.col("start"))).join(taken.withColumnRenamed("start", "at"), ["src", "bucket", "at"], "left")
@@ -171,14 +224,15 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int
 
 
 def _spread(rows: DataFrame, block: int) -> DataFrame:
-    """One row per document and block it reaches into, with the words it has there."""
-    some = rows.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
+    """One row per document row and block it reaches into, with the words it has there."""
+    some = rows.where("size > 0").select("k1", "k2", "src", "bucket", "start", "size")
+    some = some.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
     lo, hi = F.greatest("start", F.col("block") * block), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     return some.withColumn("words", hi - lo).withColumn("word", lo - F.col("start"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, cap: int = MAX_REPEAT) -> DataFrame:
-    """The mix as documents: the columns of ``docs``, one row per document and pass of the mix that uses it.
+    """The mix as documents: the columns of ``docs``, one row per document row and pass of the mix that uses it.
 
     A row's text holds the words of the blocks used in that pass, in their order; a document used whole keeps its text
     as it is. A document without words stays as it is; one the mix takes nothing of goes.
@@ -186,21 +240,20 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOC
     docs, named = set_aside(docs)
     names = docs.columns
     rows, drawn = mix_plan(docs, weights, block, seed, cap)
-    parts = _spread(rows.select("doc_id", "text_hash", "src", "bucket", "start", "size"), block).join(drawn, ["src", "bucket", "block"])
-    # one entry per pass and document: the runs of its words; repeated rows have starts of their own
+    parts = _spread(rows, block).join(drawn, ["src", "bucket", "block"])
+    # one entry per pass and row: the runs of its words; equal rows have starts of their own
     passes = parts.withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("drawn").cast("int"))))
-    runs = passes.groupBy("doc_id", "text_hash", "start", "bucket", "pass").agg(F.array_sort(F.collect_list(F.struct("word", "words"))).alias("_runs"), F.first("size").alias("_size"))
-    per = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "pass", "_runs", "_size")).alias("_uses"))
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    # repeated rows: number them so that each takes its own start
-    twins = keyed.groupBy("doc_id", "_hash").agg(*[F.first(c).alias(c) for c in names if c != "doc_id"])
-    per = per.withColumnRenamed("doc_id", "_id")
-    used = twins.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash"))).select(*names, F.explode("_uses").alias("_use"))
-    used = used.select(*names, F.col("_use._runs").alias("_runs"), F.col("_use._size").alias("_size"))
+    by = (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "k1", "k2")
+    runs = passes.repartition(*by).groupBy("k1", "k2", "bucket", "start", "pass").agg(F.array_sort(F.collect_list(F.struct("word", "words"))).alias("_runs"), F.first("size").alias("_size"))
+    # equal rows are one, found before the texts are dealt; texts travel once
+    k1, k2 = row_key(docs)
+    worded = F.coalesce(F.btrim("text", F.lit(BLANKS)) != "", F.lit(False))
+    one = docs.where(worded).select(F.struct(*names).alias("_row"), k1.alias("k1"), k2.alias("k2")).groupBy("k1", "k2").agg(F.first("_row").alias("_row"))
+    used = runs.hint("merge").join(one.hint("merge"), ["k1", "k2"]).select("_row.*", "_runs", "_size")
 
     def build(b: pa.RecordBatch) -> pa.RecordBatch:
         texts = []
-        for t, runs, size in zip(b.column("text").to_pylist(), b.column("_runs").to_pylist(), b.column("_size").to_pylist(), strict=True):
+        for t, runs, size in zip(*(b.column(c).to_pylist() for c in ("text", "_runs", "_size")), strict=True):
             if sum(r["words"] for r in runs) == size:
                 texts.append(t)
             else:
@@ -212,8 +265,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, block: int = BLOC
             cols[k] = pa.array([len(t) for t in texts], cols[k].type)
         return pa.RecordBatch.from_arrays(cols, names)
 
-    none = docs.where(size_of(F.col("text")) == 0)
-    return named(arrow_map(used, build, docs.schema).unionByName(none))
+    return named(arrow_map(used, build, docs.schema).unionByName(docs.where(~worded)))
 
 
 def _ascii_words(text: str) -> list[str]:

@@ -40,7 +40,7 @@ def test_documents_in_one_and_more_slices(spark, sf):
     docs = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
     items = [tuple(r) for r in table(spark, sf, "benchmark").select("item_id", "text").collect()]
     check(spark, docs, items)
-    check(spark, docs, items, max_words=200)
+    check(spark, docs, items, max_words=3000)
 
 
 def test_odd_rows(spark):
@@ -79,8 +79,33 @@ def test_removal_is_the_same_in_slices(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long")
     bench = spark.createDataFrame(list(texts.items()), "item_id long, text string")
     assert len(d.slices(bench, 60)) > 1
+    # coverage is of the words a text had at first: 24 of 50 and then 10 more
+    inner = texts[1].split()
+    late = f"{fill(8)} {' '.join(inner[:5])} {' '.join(texts[0].split()[:24])} {' '.join(inner[5:10])} {fill(8)}"
+    assert d.remove_contaminated(spark.createDataFrame([(1, late, "x", 1)], frame.schema), bench).count() == 0
     rows = lambda **k: sorted(map(repr, d.remove_contaminated(frame, bench, **k).collect()))
     one, many = rows(), rows(max_words=60)
     assert one == many and len(one) == 3 + 56 + 1
     left = spark.createDataFrame(d.remove_contaminated(frame, bench, max_words=60).collect(), frame.schema)
     assert d.report(d.scan_documents(left, bench)).where("contaminated").count() == 0
+
+
+def test_two_items_around_clean_words(spark):
+    # each item covers a third: together more than half
+    a, b = (" ".join(f"{x}{j}" for j in range(12)) for x in "ab")
+    docs = spark.createDataFrame([(1, f"{a} {' '.join(f'c{j}' for j in range(12))} {b}"), (2, "clean"), (3, None), (2, "clean"), (4, f"{a} {' '.join(f'c{j}' for j in range(40))} {b}")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, a), (2, b), (3, "z1 z2 z3 z4 z5 z6"), (4, None), (2, b)], "item_id long, text string")
+    rows = lambda **k: sorted(map(repr, d.remove_contaminated(docs, bench, **k).collect()))
+    one = rows()
+    assert len(one) == 4 and one == rows(max_words=12) == rows(max_words=100) == rows(max_words=10**6)
+
+
+def test_clashing_columns(spark):
+    item = " ".join(f"q{i}" for i in range(12))
+    cols = "doc_id long, text string, _k1 string, _spans int, items string, spans string, n_words string, _n int, _gone string, `a.b` int"
+    docs = spark.createDataFrame([(1, f"{'w ' * 20}{item}", "k", 1, "i", "s", "n", 2, "g", 3), (2, None, "k", 1, "i", "s", "n", 2, "g", 3)], cols)
+    bench = spark.createDataFrame([(1, item, 5), (2, "other words", 6)], "item_id long, text string, k int")
+    for m in (5, 10**6):
+        got = d.remove_contaminated(docs, bench, max_words=m)
+        assert got.columns == docs.columns and {tuple(r)[2:] for r in got.collect()} == {("k", 1, "i", "s", "n", 2, "g", 3)}
+        assert sorted(tuple(r)[:3] for r in d.scan_documents(docs, bench, max_words=m).select("doc_id", "n_words", "items").collect()) == [(1, 32, ["1"]), (2, 0, [])]

@@ -66,3 +66,52 @@ def test_permutation_is_one():
 
     for n in (1, 2, 3, 10, 1000):
         assert sorted(mixing.permuted(np.arange(n), n, 7).tolist()) == list(range(n))
+
+
+def test_twins_of_different_sources_keep_their_columns(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(1, text, "en", "web", 1), (1, text, "de", "book", 2), (1, text, "de", None, 3), (2, "x " * 300, "en", "web", 4), (2, "x " * 300, "en", "web", 4), (None, text, None, "book", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, k1 int")
+    goal = mixing.targets({"book": 800, "web": 1000, None: 400})
+    taken, held = Counter(), Counter()
+    for r in mixing.mix(df).collect():
+        assert abs(r["target"] - goal[r["source"]]) < 1e-6
+        taken[r["doc_id"], r["source"]] += r["taken"]
+    known = {(r[0], r[3], r[2], r[4]) for r in rows}
+    for r in mixing.mixed_documents(df).collect():
+        assert (r["doc_id"], r["source"], r["lang"], r["k1"]) in known
+        held[r["doc_id"], r["source"]] += len(words(r["text"]))
+    per = Counter()
+    for (_, s), n in taken.items():
+        per[s] += n
+    assert all(abs(per[s] - g) <= 0.02 * g + 64 for s, g in goal.items())
+    assert held == taken
+
+
+def test_word_counts_and_pieces(spark, monkeypatch):
+    import pyarrow as pa
+
+    texts = [None, "", " ", "a", " a", "a ", "a\tb\x0bc", "\u00a0x \u2003", "é ü", "x" * 100_000 + " y", "a\x1fb \x85"]
+    assert mixing.sizes_of(pa.array(texts)).tolist() == [len(words(t)) for t in texts]
+    assert mixing.sizes_of(pa.array(texts).slice(3, 5)).tolist() == [len(words(t)) for t in texts[3:8]]
+    assert mixing.sizes_of(pa.array([], pa.string())).tolist() == [] and mixing.sizes_of(pa.array([None], pa.string())).tolist() == [0]
+    # a third of the rows are one row: it is cut into pieces, and nothing is lost
+    monkeypatch.setattr(mixing, "_ROWS_PER_PIECE", 7)
+    monkeypatch.setattr(mixing, "_RUN", 2)
+    monkeypatch.setattr(mixing, "_ROWS_PER_BUCKET", 5)
+    monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 16)
+    df = spark.createDataFrame([(5, "one two three four five six seven", None, "a", 1)] * 50 + [(i, f"t{i} " * (i % 40), None, "ab"[i % 2], 2) for i in range(100)], SCHEMA)
+    got = mixing.mix(df).collect()
+    assert len(got) == 150 and sum(r["doc_id"] == 5 and r["size"] == 7 for r in got) == 50
+    goal = {r["source"]: r["target"] for r in got}
+    for s, g in goal.items():
+        assert abs(sum(r["taken"] for r in got if r["source"] == s) - g) <= 0.05 * g + 64
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+
+
+def test_clashing_columns(spark):
+    names = "size source_size target src bucket start times k2 block drawn pass _runs _row _size buckets each piece".split()
+    df = spark.createDataFrame([(i, f"w{i} " * i, "en", "ab"[i % 2], *range(len(names))) for i in range(1, 30)], "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} int" for n in names))
+    assert mixing.mix(df).count() == 29
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns and {tuple(r)[4:] for r in out.collect()} == {tuple(range(len(names)))}
