@@ -1,25 +1,31 @@
 """Main text of HTML pages by a maximum-scoring subsequence.
 
-A page is a sequence of words and tags. Words score positive and tags negative; how much comes from labelled pages: every
-element (its tag, the words of its class, id and role) has a log-odds weight for holding content, a word adds the
-weights of the elements around it, and a tag costs more the rarer it is in content. One linear scan finds the contiguous
-run of tokens with the largest sum, the content region. Words inside the region that stand in elements known as
-boilerplate (adverts, comments, forms, menus) are left out; the rest is cut into blocks.
-
-The weights are trained from labelled pages on the driver (a list of fixed size); pages are handled one by one where
-they lie, whole, with no shuffle.
-
-Defined cases: a null page is an empty one; a page without positive words has an empty text; unclosed tags, comments,
-scripts and quotes end with the page; repeated rows are answered alike; equal sums: the earlier, shorter region wins.
+A page is a sequence of words and tags. Words score by the log-odds of standing in content: weights for the elements
+around them (tags, and the words of class, id and role, nearer elements counting more), for links, for the length of
+their block, for standing beside the page's article and for standing in its main container add up, and no single one
+decides. Tags score negative, the more the rarer they are in content. One linear scan (Kadane's) finds the contiguous
+run of tokens with the largest sum: the content region. Words inside the region whose own log-odds speak clearly against
+them (an advert between two paragraphs) are left out; the rest is cut into blocks.
+
+The weights are fitted by logistic regression on labelled pages: whole pages of many layouts, made by a seeded
+generator (a list of fixed size on the driver), with names that tell nothing as well as names that do. Pages are handled
+one by one where they lie, whole, with no shuffle.
+
+Defined cases: a null page is an empty one, an empty table gives an empty result; pages of any length are read whole, in
+memory in proportion to their own length; a page whose best sum is not positive has an empty text; unclosed tags,
+comments, scripts and quotes end with the page; repeated rows are answered alike; equal sums: the earlier, shorter
+region wins; of equal containers the first is the main one; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import html
 import math
+import random
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -37,219 +43,397 @@ _NAMED = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?
 # Elements of HTML.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Blocks that hold a paragraph's words; the others are boxes.
+_LINES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt figcaption figure summary table tbody td tfoot th thead tr ul ol dl".split())
 
 # Words that name parts of a page in classes and ids, for the labelled pages.
 PARTS_OUT = (
-    "nav navbar navigation menu header masthead topbar footer sidebar aside widget ad ads advert advertisement banner promo sponsor sponsored cookie cookies consent gdpr notice alert popup modal overlay "
-    "newsletter subscribe signup login form search comment comments reply replies respond discussion disqus related recommended recommendations share sharing social breadcrumb breadcrumbs pagination pager tags toolbar copyright legal disclaimer skip"
+    "nav navbar navigation menu header masthead topbar footer sidebar aside rail widget ad ads advert advertisement banner promo sponsor sponsored outbrain taboola teaser cookie cookies consent gdpr notice alert popup modal overlay sticky "
+    "newsletter subscribe signup login form search comment comments reply replies respond discussion disqus kommentar kommentare commentaires comentarios werbung anzeige publicidad publicite hinweis aviso related recommended recommendations share sharing social "
+    "breadcrumb breadcrumbs pagination pager tags toolbar toc copyright legal imprint disclaimer skip"
 ).split()
-PARTS_IN = "content main article post entry story body text prose page container wrapper section paragraph".split()
-
-#: Words of PARTS_IN that name the content itself, not a box of the layout.
-CONTENT = frozenset("content main article post entry story body text prose".split())
-#: Elements that hold the whole page or its article, whatever their classes say of what stands beside it.
-WHOLE = frozenset("html body main article".split())
+PARTS_IN = "content main article post entry story body text prose page section inhalt contenu contenido artikel".split()
+LAYOUT = "container wrapper outer inner row col grid layout wide left right clearfix site box block item group area area2 panel".split()
 #: First words of a class that tell of a part elsewhere (has-sidebar), not of the element.
 STATES = frozenset("has have with without no is not show hide".split())
 
 
-def labelled_pages() -> list[tuple[str, bool]]:
-    """(html, content) pieces of whole pages: the pieces of a page follow each other, the last of each ends it."""
-    many, few = "word " * 60, "word " * 8
-    link = "<li><a href='/x'>word</a></li>"
-    menu, form = f"<ul>{link * 6}</ul>", "<form><label>word</label><input name='q'></form>"
-    article = f"<h1>{few}</h1><p><b>{many}<br><p>{many}</p><p>{many} <a href='/y'>word</a> <em>word</em></p><h2>word</h2><ul><li>{few}</li></ul><blockquote>{few}</blockquote><figure><figcaption>{few}</figcaption></figure>"
-    head = [(f"<!DOCTYPE html><html><head><title>{few}</title></head><body>", False)]
-    pages: list[list[tuple[str, bool]]] = []
-    for tag in ("nav", "header", "footer", "aside", "form", "menu", "dialog"):
-        noise = [(f"<{tag}>{menu}<p>{few}</p></{tag}>", False)]
-        for box in ("article", "main", "div class=content"):
-            inner = [] if tag == "header" else noise
-            pages.append([*head, *noise, (f"<{box}>", False), (article, True), *inner, (article, True), (f"</{box.split()[0]}>", False), *noise])
-    for word in PARTS_OUT:
-        noise = [(f"<div class='{word}'><p>{few}</p>{menu}</div><section id='{word}'>{few}{form}</section>", False)]
-        for k, inner in enumerate(PARTS_IN):
-            box = ("article", "main", f"div class='{inner}'")[k % 3]
-            pages.append([*head, *noise, (f"<{box}>", False), (article, True), *noise, (f"</{box.split()[0]}>", False), (f"<p>{few}</p>", k % 3 == 2), *noise, ("</body></html>", False)])
-    for inner in PARTS_IN:
-        pages.append([*head, (f"<div id='{inner}' class='{inner}'><section>", False), (article * 2, True), (f"</section></div><div hidden>{few}</div><div style='display:none'>{few}</div>", False)])
-    pages.append([*head, ("<article><header>", False), (f"<h1>{few}</h1>", True), ("</header>", False), (article, True), (f"<footer>{few}</footer></article>", False)])
-    return [(f"{piece}", content) for page in pages for piece, content in [*page, ("\0", False)]]
+def labelled_pages(n: int = 800, seed: int = 5) -> list[list[tuple[str, bool]]]:
+    """Whole pages, each a list of (html, content) pieces that follow each other."""
+    rng = random.Random(seed)
+    words = lambda lo, hi: " ".join(["word"] * rng.randint(lo, hi))
+    link = lambda: f"<a href='/x'>{words(1, 4)}</a>"
+    says = lambda: words(6, 25) + "."
+
+    def stuff(kind: int) -> str:
+        """The inside of a part that is not content."""
+        if kind == 0:
+            return "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(2, 9))) + "</ul>"
+        if kind == 1:
+            return rng.choice([says(), f"<p>{says()}</p>", f"<p>{says()}</p><p>{says()}</p>", f"<h3>{words(1, 4)}</h3><p>{says()} {link()}</p>", f"<p>{words(20, 60)}.</p>"])
+        if kind == 2:
+            return f"<form><label>{words(1, 3)}</label><input name=q><p>{words(2, 12)}</p></form>"
+        if kind == 3:
+            return "".join(f"<div class='{rng.choice(['comment', 'reply', 'item', ''])}'><b>{words(1, 2)}</b><p>{words(5, 60)}</p></div>" for _ in range(rng.randint(1, 5)))
+        if kind == 4:
+            return "".join(f"<article><h4>{link()}</h4><p>{words(3, 30)}</p></article>" for _ in range(rng.randint(1, 4)))
+        return f"{link()} | {link()} {words(0, 6)}"
+
+    def noise(inner: bool) -> str:
+        if rng.random() < 0.3:
+            tag = rng.choice(["nav", "aside", "form", "menu", "dialog"] if inner else ["nav", "header", "footer", "aside", "form", "menu", "dialog"])
+            return f"<{tag}>{stuff(rng.randint(0, 5))}</{tag}>"
+        name = rng.choice(PARTS_OUT)
+        if rng.random() < 0.4:
+            name = rng.choice([f"{name}-{rng.choice(LAYOUT)}", f"{rng.choice(LAYOUT)}-{name}", f"{name} {rng.choice(LAYOUT)}", f"{name}-{rng.choice(PARTS_IN)}"])
+        tag = rng.choice(["div", "div", "section", "ul" if rng.random() < 0.2 else "div"])
+        said = stuff(3 if name.startswith(("comment", "repl", "discuss", "komm", "disq")) else rng.randint(0, 5))
+        return f"<{tag} {rng.choice(['class', 'id'])}='{name}'>{said}</{tag}>"
+
+    def block() -> str:
+        k = rng.random()
+        if k < 0.6:
+            text = words(4, 70)
+            if rng.random() < 0.3:
+                text += f" {link()} <em>{words(1, 3)}</em> {words(2, 20)}"
+            return f"<p>{text}.</p>" if rng.random() < 0.9 else f"<p><b>{words(2, 9)}<br>{text}"
+        if k < 0.7:
+            return f"<h2>{words(1, 8)}</h2>"
+        if k < 0.78:
+            return f"<{(t := rng.choice(['ul', 'ol']))}>" + "".join(f"<li>{words(1, 20) if rng.random() < 0.8 else link()}</li>" for _ in range(rng.randint(2, 5))) + f"</{t}>"
+        if k < 0.84:
+            return f"<blockquote>{words(4, 40)}</blockquote>"
+        if k < 0.9:
+            return f"<figure><img src=x><figcaption>{words(2, 12)}</figcaption></figure>"
+        if k < 0.97:
+            return f"<p>{rng.choice([words(1, 4), link(), rng.choice(['All rights reserved.', f'&copy; 2020 {words(1, 6)}', f'Copyright {words(1, 6)}.'])])}</p>"
+        return f"<table><tr><td>{words(1, 6)}</td><td>{words(1, 6)}</td></tr><tr><td>{words(1, 6)}</td><td>{words(1, 6)}</td></tr></table>"
+
+    pages = []
+    for _ in range(n):
+        out: list[tuple[str, bool]] = [(f"<!DOCTYPE html><html><head><title>{words(2, 9)}</title></head>", False)]
+        tells = lambda: f" class='{rng.choice(['', 'has-', 'with-', 'no-', 'is-'])}{rng.choice(PARTS_OUT)} {rng.choice(LAYOUT)}'" if rng.random() < 0.5 else ""
+        out.append((f"<body{tells()}>", False))
+        ends = ["</body></html>"]
+        if rng.random() < 0.15:
+            out.append(("<form id='aspnetForm' action='/'><input type=hidden>", False))
+            ends.append("</form>")
+        for _ in range(rng.randint(0, 2)):
+            out.append((f"<div class='{rng.choice(LAYOUT)} {rng.choice(LAYOUT)}'>", False))
+            ends.append("</div>")
+        out += [(noise(False), False) for _ in range(rng.randint(0, 4))]
+        box = rng.choice(["article", "main", "main", "div", "div", "div", "plain", "none"])
+        if box in ("article", "main"):
+            out.append((f"<{box}{tells()}>", False))
+            close = f"</{box}>"
+        elif box == "div":
+            name = rng.choice(PARTS_IN)
+            name = rng.choice([name, name, f"{name} {rng.choice(['with-', 'has-', 'no-', ''])}{rng.choice(PARTS_OUT)}-{rng.choice(LAYOUT)}", f"{rng.choice(LAYOUT)}-{name}", f"{name}-{rng.choice(LAYOUT)}"])
+            beside = f" class='{rng.choice(PARTS_OUT)}-{rng.choice(LAYOUT)}'" if rng.random() < 0.3 else ""
+            out.append((f"<{rng.choice(['div', 'section'])} id='{name}'{beside}>" if beside or rng.random() < 0.5 else f"<{rng.choice(['div', 'section'])} class='{name}'>", False))
+            close = "</div></section>"
+        else:
+            out.append(("<div>" if box == "plain" else "", False))
+            close = "</div>" if box == "plain" else ""
+        if box == "main" and rng.random() < 0.5:
+            out.append((f"<article{tells()}>", False))
+            close = "</article>" + close
+        title = f"<h1>{words(2, 12)}</h1>"
+        out.append((rng.choice([title, title, "", f"<header>{title}</header>" if box in ("article", "main") else title]), True))
+        sections = rng.random() < 0.2
+        short = rng.random() < 0.15
+        for _ in range(rng.randint(1, 3) if short else rng.randint(2, 12)):
+            if rng.random() < 0.15:
+                out.append((noise(True), False))
+            out.append(((f"<p>{words(1, 9)}</p>" if rng.random() < 0.8 else f"{words(1, 20)} ") if short else f"<section>{block()}{block()}</section>" if sections else block(), True))
+        if box in ("article", "main") and rng.random() < 0.2:
+            out.append((rng.choice([f"<footer>{link()} {words(1, 9)}</footer>", noise(True)]), False))
+        out.append((close, False))
+        out += [(noise(False), False) for _ in range(rng.randint(0, 4))]
+        if rng.random() < 0.4:
+            tag = rng.choice(["div", "p", "div", "footer"])
+            out.append((f"<{tag}>{rng.choice(['&copy; 2020 ', '', 'Copyright '])}{words(2, 12)}{rng.choice(['. All rights reserved.', '.', ''])} {rng.choice(['', link(), link() + ' ' + link()])}</{tag}>", False))
+        if rng.random() < 0.1:
+            out.append((f"<div hidden>{says()}</div><div style='display:none'>{says()}</div>", False))
+        page = [*out, *[(e, False) for e in reversed(ends)]]
+        # some pages name nothing that helps
+        pages.append([(_NAMES.sub("", p), c) for p, c in page] if rng.random() < 0.25 else page)
+    return pages
+
+
+_NAMES = re.compile(r" (?:class|id)='[^']*'")
 
 
 def _words(value: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", value) if w]
 
 
-def _features(tag: str, attrs: str, inside: bool) -> list[str]:
-    """What is known of an element: its tag and the words of its class, id and role."""
-    out = [f"{tag}@article" if inside and tag == "header" else tag]
+def _own(tag: str, attrs: str) -> list[str]:
+    """What is known of an element by itself: its tag and the words of its class, id and role.
+
+    Words on the page or its article are features of their own: there they mostly tell of other parts.
+    """
+    out = [tag]
     if attrs and not attrs.isspace():
+        kind = "page." if tag in ("html", "body") else "main." if tag in ("article", "main") else "."
         for name, *values in _NAMED.findall(attrs):
             name, value = name.lower(), next((v for v in values if v), "").lower()
             if name in ("class", "id", "role"):
-                out += ["." + w for w in _words(value)]
-            elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+                for one in value.split():
+                    words = _words(one)
+                    out += [kind + w for w in words] if words and words[0] not in STATES else []
+            elif tag not in ("html", "body") and (name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))):
                 out.append("hidden")
     return out
 
 
-class _Walk:
-    """Open elements while a page is read, each with what holds for the words inside it."""
-
-    def __init__(self, weights: dict[str, float], floor: float):
-        self.weights, self.floor = weights, floor
-        self.open: list[tuple[str, float, bool, bool, list[str]]] = []  # tag, weight of words inside, boilerplate, in article
-        self.count: dict[str, int] = {}
-
-    def state(self) -> tuple[float, bool, bool]:
-        return self.open[-1][1:4] if self.open else (0.0, False, False)
-
-    def close(self) -> None:
-        tag = self.open.pop()[0]
-        self.count[tag] -= 1
-
-    def start(self, tag: str, attrs: str) -> None:
-        if tag in BLOCKS and self.open and self.open[-1][0] == "p":
-            self.close()
-        if tag in VOID or attrs.endswith("/"):
-            return
-        weight, boiler, inside = self.state()
-        features = _features(tag, attrs, inside)
-        own, out = self._judge(tag, attrs, features)
-        self.open.append((tag, max(-3.0, min(3.0, weight + own)), boiler or out, inside or tag in ("article", "main"), features))
-        self.count[tag] = self.count.get(tag, 0) + 1
-
-    def _judge(self, tag: str, attrs: str, features: list[str]) -> tuple[float, bool]:
-        """Weight of an element, and whether it is boilerplate; the names in its class, id and role are weighed together.
-
-        A name with a boilerplate word makes the element boilerplate, unless it only tells of a part elsewhere, the
-        element holds the whole page or article, or another of its names is one of content.
-        """
-        own = [self.weights.get(f, 0.0) for f in features]
-        if min(own) >= self.floor:
-            return sum(own), False
-        # tag and hidden speak for themselves
-        plain = [w for f, w in zip(features, own, strict=True) if f[0] != "." and not (f == "hidden" and tag in ("html", "body"))]
-        if min(plain, default=0.0) < self.floor:
-            return sum(own), True
-        names = [_words(x) for name, *values in _NAMED.findall(attrs) if name.lower() in ("class", "id", "role") for x in next((v for v in values if v), "").lower().split()]
-        bad = lambda words: any(self.weights.get("." + w, 0.0) < self.floor for w in words)
-        out = any(bad(n) for n in names if n and n[0] not in STATES)
-        if out and tag not in WHOLE and not any(CONTENT.intersection(n) and not bad(n) for n in names):
-            return sum(own), True
-        return sum(w for w in own if w >= self.floor), False
-
-    def end(self, tag: str) -> None:
-        if self.count.get(tag):
-            while self.open[-1][0] != tag:
-                self.close()
-            self.close()
-
-
-def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """(kind, value, attrs): text, start and end tokens in order; what is skipped whole gives its name."""
+def _tokens(page: str) -> Iterator[tuple[str, str, str, int]]:
+    """(kind, value, attrs, position): text, start and end tokens in order; what is skipped whole gives its name."""
     last = 0
     for m in _TOKEN.finditer(page):
         if m.start() > last:
-            yield "text", page[last : m.start()], ""
+            yield "text", page[last : m.start()], "", last
         last = m.end()
         if m["tag"]:
-            yield ("end" if m["end"] else "start"), m["tag"].lower(), m["attrs"] or ""
+            yield ("end" if m["end"] else "start"), m["tag"].lower(), m["attrs"] or "", m.start()
         else:
-            yield "skip", (m["raw"] or "").lower(), ""
+            yield "skip", (m["raw"] or "").lower(), "", m.start()
     if last < len(page):
-        yield "text", page[last:], ""
-
-
-#: Log-odds under which an element is boilerplate whatever stands in it.
-BOILERPLATE = -1.5
+        yield "text", page[last:], "", last
+
+
+_LEGAL = re.compile("©|&copy;|copyright|all rights reserved", re.I)
+#: An element counts this much for the words one level further in.
+DECAY = 0.85
+#: Words with log-odds below this are left out wherever they stand.
+AGAINST = -1.2
+#: Share of a box's words that its parent box counts as its own.
+UPWARD = 0.7
+#: Most levels a box hands its words up.
+LEVELS = 3
+
+
+class _Page:
+    """A page as tokens: texts with their element and block, and the elements' parents.
+
+    ``tokens``: (kind, value, element, block), kind 0 text, 1 start, 2 end, 3 break, 4 skipped element.
+    """
+
+    def __init__(self, page: str):
+        self.tag, self.parent, self.attrs = ["#"], [0], [""]
+        self.link, self.main, self.box = [False], [False], [0]
+        self.tokens: list[tuple[int, str, int, int]] = []
+        self.at: list[int] = []
+        self.count: list[int] = []
+        stack, held, block = [0], {}, 0
+        self.block_words, self.block_links = [0], [0]
+        for kind, value, attrs, at in _tokens(page):
+            if kind == "text":
+                n = len(value.split())
+                e = stack[-1]
+                self.tokens.append((0, value, e, block))
+                self.at.append(at)
+                self.count.append(n)
+                self.block_words[block] += n
+                if self.link[e]:
+                    self.block_links[block] += n
+                continue
+            if kind == "skip":
+                if value:
+                    self.tokens.append((4, value, stack[-1], block))
+                    self.at.append(at)
+                    self.count.append(0)
+                continue
+            if kind == "start":
+                if value in BLOCKS and self.tag[stack[-1]] == "p":
+                    held[self.tag[stack.pop()]] -= 1
+                elif value == "li" and self.tag[stack[-1]] == "li":
+                    held[self.tag[stack.pop()]] -= 1
+                e = up = stack[-1]
+                if value not in VOID and not attrs.endswith("/"):
+                    e = len(self.tag)
+                    self.tag.append(value)
+                    self.attrs.append(attrs)
+                    self.parent.append(up)
+                    self.link.append(self.link[up] or value == "a")
+                    self.main.append(self.main[up] or value in ("article", "main"))
+                    self.box.append(e if value in BLOCKS and value not in _LINES else self.box[up])
+                    stack.append(e)
+                    held[value] = held.get(value, 0) + 1
+            else:
+                e = stack[-1]
+                if held.get(value):
+                    while self.tag[stack[-1]] != value:
+                        held[self.tag[stack.pop()]] -= 1
+                    e = stack[-1]
+                    held[self.tag[stack.pop()]] -= 1
+            if value in BLOCKS:
+                block += 1
+                self.block_words.append(0)
+                self.block_links.append(0)
+            self.tokens.append((3 if value == "br" else 1 if kind == "start" else 2, value, e, block))
+            self.at.append(at)
+            self.count.append(0)
+        self.boxed = any(k == 0 and n and self.main[e] for (k, _, e, _), n in zip(self.tokens, self.count, strict=True))
+
+    def rest(self, i: int) -> list[float]:
+        """Numbers about a text token besides its elements (the main container comes last, filled in later)."""
+        _, value, e, block = self.tokens[i]
+        n = self.block_words[block]
+        share = self.block_links[block] / n if n else 0.0
+        return [1.0, float(self.link[e]), share, min(4.0, math.log1p(n)), float(self.boxed and not self.main[e]), 1.0 if n < 40 and _LEGAL.search(value) else 0.0]
+
+    def container(self, odds: list[float]) -> list[bool]:
+        """For every element, whether it stands in the box that holds most content by ``odds`` of the text tokens."""
+        held = [0.0] * len(self.tag)
+        k = 0
+        for i, (kind, _, e, _) in enumerate(self.tokens):
+            if kind == 0:
+                n = self.count[i]
+                if n:
+                    b, give = self.box[e], n / (1 + math.exp(-max(-30.0, min(30.0, odds[k]))))
+                    for _ in range(LEVELS):
+                        held[b] += give
+                        give *= UPWARD
+                        if not b:
+                            break
+                        b = self.box[self.parent[b]]
+                k += 1
+        top = held.index(max(held))
+        inside = [False] * len(self.tag)
+        for e in range(len(self.tag)):
+            inside[e] = e == top or (e > 0 and inside[self.parent[e]])
+        return inside
 
 
 class Weights:
-    """Element weights and tag costs, trained from labelled pages."""
-
-    def __init__(self, pieces: list[tuple[str, bool]]):
-        words, tags = self._count(pieces, frozenset())
+    """Weights of elements and of the other numbers, and tag costs, fitted on labelled pages."""
+
+    def __init__(self, pages: list[list[tuple[str, bool]]], penalty: float = 0.6):
+        parsed, labels, tags = [], [], {}
+        for pieces in pages:
+            page = _Page("".join(p for p, _ in pieces))
+            ends = np.cumsum([len(p) for p, _ in pieces])
+            content = [c for _, c in pieces]
+            own = [content[int(np.searchsorted(ends, at, side="right"))] for at in page.at]
+            parsed.append(page)
+            labels.append(own)
+            for (kind, value, _, _), y in zip(page.tokens, own, strict=True):
+                if kind == 1:
+                    tags.setdefault(value, [0, 0])[y] += 1
         self.cost = {t: max(0.02, min(2.0, math.log((c[0] + 1) / (c[1] + 1)))) for t, c in tags.items()}
-        # elements that never hold content; what stands in them says nothing of the elements inside
-        never = frozenset(f for f, c in words.items() if not c[1])
-        words, _ = self._count(pieces, never)
-        odds = {f: math.log((c[1] + 1) / (c[0] + 1)) for f, c in words.items()}
-        #: containers of whole pages say nothing; what is only ever in content says little more than a word does
-        self.elements = {f: -3.0 if f in never else max(-1.0, min(1.0, o)) for f, o in odds.items() if f not in ("html", "body")}
+        self.names: dict[str, int] = {}
+        for page in parsed:
+            for tag, attrs in zip(page.tag, page.attrs, strict=True):
+                for f in _own(tag, attrs):
+                    self.names.setdefault(f, len(self.names))
+        m = len(self.names)
+        rows, y, weight, tops = [], [], [], []
+        for page, own in zip(parsed, labels, strict=True):
+            path = np.zeros((len(page.tag), m))
+            for e in range(1, len(page.tag)):
+                path[e] = DECAY * path[page.parent[e]]
+                for f in _own(page.tag[e], page.attrs[e]):
+                    path[e, self.names[f]] += 1
+            for i, (kind, _, e, _) in enumerate(page.tokens):
+                if kind == 0:
+                    rows.append(np.concatenate([path[e], page.rest(i)]))
+                    y.append(own[i])
+                    weight.append(min(12, page.count[i]))
+        x, target, weight = np.array(rows), np.array(y, float), np.array(weight, float)
+        # first without the main container, which needs odds itself
+        first = self._fit(x, target, weight, penalty)
+        odds, k = x @ first, 0
+        for page in parsed:
+            n = sum(t[0] == 0 for t in page.tokens)
+            inside = page.container(odds[k : k + n].tolist())
+            tops += [float(inside[e]) for kind, _, e, _ in page.tokens if kind == 0]
+            k += n
+        both = self._fit(np.hstack([x, np.array(tops)[:, None]]), target, weight, penalty)
+        self.first = (dict(zip(self.names, first[:m].tolist(), strict=True)), first[m:].tolist())
+        self.both = (dict(zip(self.names, both[:m].tolist(), strict=True)), both[m:].tolist())
+        self._cache: dict[tuple[str, str], tuple[float, float]] = {}
 
     @staticmethod
-    def _count(pieces: list[tuple[str, bool]], never: frozenset) -> tuple[dict, dict]:
-        """[outside, inside] content: words by element around them, and tags."""
-        words: dict[str, list[int]] = {}
-        tags: dict[str, list[int]] = {}
-        walk, boxed = _Walk({}, -math.inf), False
-        for piece, content in pieces:
-            if piece == "\0":
-                walk, boxed = _Walk({}, -math.inf), False
-                continue
-            for kind, value, attrs in _tokens(piece):
-                if kind == "text":
-                    around = {f for e in walk.open for f in e[4]}
-                    if boxed and not walk.state()[2]:
-                        around.add("outside")
-                    n, known = len(value.split()), around & never
-                    for f in known or around:
-                        words.setdefault(f, [0, 0])[content] += n
-                elif kind == "start":
-                    tags.setdefault(value, [0, 0])[content] += 1
-                    walk.start(value, attrs)
-                    boxed = boxed or value in ("article", "main")
-                elif kind == "end":
-                    walk.end(value)
-        return words, tags
-
-    def extract(self, page: str | None) -> str:
+    def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np.ndarray:
+        """Ridge logistic regression by Newton steps."""
+        w = np.zeros(x.shape[1])
+        for _ in range(12):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            h = (x * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x + penalty * np.eye(len(w))
+            step = np.linalg.solve(h, x.T @ (weight * (y - p)) - penalty * w)
+            w += step
+            if np.abs(step).max() < 1e-6:
+                break
+        return w
+
+    def element(self, tag: str, attrs: str) -> tuple[float, float]:
+        """Weights of an element by itself, in the first and the second fit."""
+        key = (tag, attrs)
+        if key not in self._cache:
+            if len(self._cache) > 20_000:
+                self._cache.clear()
+            own = _own(tag, attrs)
+            self._cache[key] = (sum(self.first[0].get(f, 0.0) for f in own), sum(self.both[0].get(f, 0.0) for f in own))
+        return self._cache[key]
+
+    def scored(self, source: str) -> tuple[_Page, list[float], list[bool]]:
+        """A page, the log-odds of each of its text tokens, and which elements are in the main container."""
+        page = _Page(source)
+        n = len(page.tag)
+        one, two = [0.0] * n, [0.0] * n
+        for e in range(1, n):
+            a, b = self.element(page.tag[e], page.attrs[e])
+            up = page.parent[e]
+            one[e], two[e] = DECAY * one[up] + a, DECAY * two[up] + b
+        texts = [(i, t[2]) for i, t in enumerate(page.tokens) if t[0] == 0]
+        rest = [page.rest(i) for i, _ in texts]
+        early = [one[e] + sum(map(float.__mul__, self.first[1], r)) for (_, e), r in zip(texts, rest, strict=True)]
+        inside = page.container(early)
+        w = self.both[1]
+        return page, [two[e] + sum(map(float.__mul__, w, r)) + w[-1] * inside[e] for (_, e), r in zip(texts, rest, strict=True)], inside
+
+    @staticmethod
+    def region(gains: list[float]) -> tuple[int, int]:
+        """The first shortest run of tokens (end exclusive) with the largest sum: one linear scan."""
+        best = now = 0.0
+        first = last = start = 0
+        for i, g in enumerate(gains):
+            if now <= 0:
+                start, now = i, 0.0
+            now += g
+            if now > best + 1e-12:
+                best, first, last = now, start, i + 1
+        return first, last
+
+    def extract(self, source: str | None) -> str:
         """The main text of a page, blocks apart by an empty line."""
-        if not page:
+        if not source:
             return ""
-        walk = _Walk(self.elements, BOILERPLATE)
-        outside = self.elements.get("outside", 0.0) if re.search(r"<(?:article|main)\b", page, re.I) else 0.0
-        # runs of text with their block, and the best run of tokens so far (Kadane's scan)
-        runs: list[tuple[int, str, bool]] = []
-        block = start = 0
-        now = best = 0.0
-        first = last = 0
-        pending = True
-        for kind, value, attrs in _tokens(page):
-            gain = 0.0
-            if kind == "text":
-                weight, boiler, inside = walk.state()
-                n = len(value.split())
-                each = (-0.001 if inside else -0.1) if boiler else max(-1.0, 1.0 + min(1.0, weight) + (0.0 if inside else outside))
-                gain = n * each
-                runs.append((block, value, not boiler))
-            elif kind == "skip":
-                if value:
-                    runs.append((block, " ", False))
-                continue
+        page, odds, inside = self.scored(source)
+        # on a page with an article, words that nothing speaks clearly against may be all it says
+        level = AGAINST if page.boxed and max(odds, default=0.0) <= 0 else 0.0
+        gains, against, k = [], [], 0
+        for (kind, value, e, _), n in zip(page.tokens, page.count, strict=True):
+            out = False
+            if kind == 0:
+                o, k = odds[k], k + 1
+                out = o < AGAINST
+                # what is left out inside the container does not part the content before and after it
+                gain = n * math.tanh((o - level) / 2) * (0.01 if out and inside[e] else 1.0)
+            elif kind == 4:
+                gain, out = 0.0, True
             else:
-                if kind == "start":
-                    walk.start(value, attrs)
-                _, boiler, inside = walk.state()
-                cost = self.cost.get(value, 0.1)
-                gain = (-0.001 if inside else -0.02) if boiler else -(min(cost, 0.1) if inside else cost)
-                if kind == "end":
-                    walk.end(value)
-                if value in BLOCKS:
-                    block += 1
-                elif value == "br":
-                    runs.append((block, " ", True))
-            if pending or now <= 0:
-                start, now, pending = len(runs) - (kind == "text"), 0.0, False
-            now += gain
-            if now > best + 1e-12:
-                best, first, last = now, start, len(runs)
+                gain = -self.cost.get(value, 0.1) * (0.02 if inside[e] else 1.0)
+            gains.append(gain)
+            against.append(out)
+        first, last = self.region(gains)
         blocks: dict[int, list[str]] = {}
-        for k, text, content in runs[first:last]:
-            if content:
-                blocks.setdefault(k, []).append(text)
+        for (kind, value, _, block), out in zip(page.tokens[first:last], against[first:last], strict=True):
+            if kind == 0 and not out:
+                blocks.setdefault(block, []).append(value)
+            elif kind in (3, 4):
+                blocks.setdefault(block, []).append(" ")
         done = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks.values())
         return "\n\n".join(x for x in done if x)
 
