@@ -175,18 +175,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 HOT_ROWS = 256
 
 
-def spread_join(rows: DataFrame, one: DataFrame, key: str, by: str, most: int | None = None) -> DataFrame:
+def spread_join(rows: DataFrame, one: DataFrame, key: str | list[str], by: str, most: int | None = None) -> DataFrame:
     """``rows`` inner joined with ``one`` (at most one row a key), where a key may hold any share of ``rows``.
 
     Rows are salted by the hash of ``by``, and ``one`` first meets the distinct (key, salt) pairs that occur, so it is
     repeated only as often as a key needs; then no task gets more than some HOT_ROWS rows of a key. ``most`` is the
     count of the commonest key, if known.
     """
+    key = [key] if isinstance(key, str) else key
     if most is None:
-        most = rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        most = rows.groupBy(*key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     salts = -(-most // HOT_ROWS)
     if salts <= 1:
         return rows.join(one, key)
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)))
-    near = salted.select(key, "__salt").distinct().join(one, key)
-    return salted.join(near, [key, "__salt"]).drop("__salt")
+    near = salted.select(*key, "__salt").distinct().join(one, key)
+    return salted.join(near, [*key, "__salt"]).drop("__salt")

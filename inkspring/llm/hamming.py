@@ -6,12 +6,14 @@ m * (r + 1) - 1 has been met, so the search of a query ends as soon as its k-th
 that are not covered go on to the next radius.
 
 Equal codes are one entry (with its smallest ids), so copies cost nothing. Index lists are dealt by (segment, range of
-values) and cut into chunks of about CHUNK codes; a task holds one chunk, looks its queries' probes up in it, verifies
-by popcount and returns at most k entries a query, so no table of pairs is ever made.
+values) and cut into chunks of about CHUNK codes, the queries that reach a range into chunks of about QUERIES; a task
+holds one chunk of each, looks the probes up, verifies by popcount and returns at most k entries a query, so no table of
+pairs is ever made.
 
 Defined cases: rows of null id or vector, or of a vector that is not DIM long, are neither queries nor answers; ties
 are ordered by id; fewer than k rows give fewer answers; repeated rows are answers (and queries) of their own; a null,
-zero or NaN entry counts as a clear bit.
+zero or NaN entry counts as a clear bit; vectors longer or shorter than DIM are not compared; an empty table gives an
+empty result; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,14 +23,16 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, stored
 
 DIM = 64
 K = 10
 SEGMENTS = 4
 CHUNK = 20_000
+QUERIES = 4_000
 QUERY_EVERY = 50
 
 
@@ -88,7 +92,7 @@ def _probe(index: pa.Table, queries: pa.Table, radius: int, width: int, k: int)
     return pa.table({c: pa.array(np.concatenate(v) if v else np.empty(0, np.int64), pa.int64()) for c, v in out.items()})
 
 
-def top_k(base: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGMENTS, chunk: int = CHUNK) -> DataFrame:
+def top_k(base: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGMENTS, chunk: int = CHUNK, queries_a_task: int = QUERIES) -> DataFrame:
     """query_id, rank, vec_id, distance for codes ``base(id, code)`` and ``queries(id, code)``: the exact k nearest."""
     width = DIM // segments
     rows = stored(base)
@@ -113,19 +117,28 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGME
         own = F.shiftright(F.expr(f"shiftrightunsigned(code, seg * {width})").bitwiseAND(F.lit((1 << width) - 1)), shift).cast("int")
         spots = active.select("code", F.explode(F.array(*map(F.lit, range(segments)))).alias("seg"))
         spots = spots.select("seg", "code", F.explode(F.transform(F.array(*map(F.lit, flips)), lambda m: own.bitwiseXOR(m))).alias("part"))
-        probes = spots.join(pieces, ["seg", "part"])
-        probes = probes.select("seg", "part", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "code")
+        spots = stored(spots.join(pieces, ["seg", "part"]))
+        asking = spots.groupBy("seg", "part").agg(F.ceil(F.count("*") / queries_a_task).cast("int").alias("asking"))
+        probes = spots.join(asking, ["seg", "part"]).withColumn("ask", F.pmod(F.xxhash64("code"), "asking").cast("int"))
+        probes = probes.select("seg", "part", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "ask", "code")
+        # chunks that no query reaches stay behind
+        asked_of = index.join(asking, ["seg", "part"]).withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asking") - 1))).drop("asking")
 
         def probe(index: pa.Table, queries: pa.Table) -> pa.Table:
             return _probe(index, queries, radius, width, k)
 
-        near = index.groupBy("seg", "part", "piece").cogroup(probes.groupBy("seg", "part", "piece")).applyInArrow(probe, "query long, code long, d long, n long, first long")
+        task = ("seg", "part", "piece", "ask")
+        near = asked_of.groupBy(*task).cogroup(probes.groupBy(*task)).applyInArrow(probe, "query long, code long, d long, n long, first long")
         every = near if found is None else near.unionByName(found)
         best = every.groupBy("query", "code").agg(F.first("d").alias("d"), F.first("n").alias("n"), F.first("first").alias("first"))
-        lists = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("d", "first", "code", "n"))).alias("best")).select("query", F.slice("best", 1, k).alias("best"))
+        # at most k a query leave each task, then at most k are gathered
+        rank = F.row_number().over(W.partitionBy("query").orderBy("d", "first", "code"))
+        nearest = best.withColumn("rank", rank).where(F.col("rank") <= k)
+        lists = nearest.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("d", "first", "code", "n"))).alias("best"))
         reach = segments * (radius + 1) - 1
         met = F.aggregate("best", F.lit(0).cast("long"), lambda s, x: s + F.when(x["d"] <= reach, x["n"]).otherwise(0))
         lists = stored(lists.withColumn("done", met >= k))
+        forget(spots)
         found = lists.select("query", F.inline("best")).select("query", "code", "d", "n", "first")
         active = stored(active.join(lists.where("done").select(F.col("query").alias("code")), "code", "left_anti"))
         if active.isEmpty() or reach >= DIM:

@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard self join: five-word shingle sets, similarity of 0.75 or more, documents grouped by links.
+"""Exact n-gram Jaccard self join: five-word shingle sets, similarity of 0.75 or more, with link counts and components.
 
 How it works, all of it over every document:
 
@@ -6,19 +6,25 @@ How it works, all of it over every document:
    class, so copies cost nothing further.
 2. ``postings``: shingles that only one class holds can link nothing. Each set is ordered by document frequency (rarest
    first), and only the prefix that a set of similarity 0.75 must share is listed. Frequencies are counted exactly by
-   hash bucket over compact blocks; shingles so frequent that they would burden one bucket (found over all data by
-   local heavy hitters, a list of bounded size) are never gathered, they are ordered last by their count.
+   hash bucket over compact blocks, as many buckets as the summed set sizes need; shingles so frequent that they would
+   burden one bucket (found over all data by local heavy hitters, a list of bounded size) are never gathered, they are
+   ordered last by their count.
 3. Index lists are blocked by set size and carry positions. Blocks outside the size range are skipped by the join key,
-   and pairs whose positions leave too few shingles are skipped before they are made.
-4. Answers come from similar sets: in a long list one central set (the pivot) is verified against all others. What it
-   links is one component and needs no further pairs inside; what remains is compared only across components, and a
-   pair is skipped if the two known overlaps with the pivot bound its overlap below the need.
-5. Candidates are verified on whole sets; components follow by min-label exchange.
-
-Everything that is skipped is provably no new link, so the components are those of all pairs.
-
-Defined cases: null or empty texts have an empty set, no links, and are their own component; repeated rows fall into
-one class; a null doc_id is never the smallest id (a class of null ids only has a null component); ties are links.
+   and pairs whose positions leave too few shingles are skipped before they are verified.
+4. Answers come from similar sets: in a long list one central set (the pivot) is verified against all others, and every
+   set takes as its home the pivot with most members that it links with. Two sets of a home share at least what neither
+   lacks of the pivot: o >= n_p - r_x - r_y, with r the shingles of the pivot that a set lacks. So they are linked for
+   certain if c_x + c_y >= 0, where c = (N + D) * (n_p - 2 r) - 2 N n for the limit N / D (doubled to stay whole). The
+   condition adds up, so the links of a whole home are counted from a histogram of c, without a pair.
+5. Only pairs of different homes, and pairs of one home that are not certain, become candidates; two known overlaps with
+   a list's pivot skip those whose bound is too low. They are verified on whole sets. Components follow by contraction.
+
+No link is lost and none is counted twice: the link counts and components are those of all pairs.
+
+Defined cases: null or empty texts have an empty set, no links, and are their own component; texts of any length give
+whole sets, in memory in proportion to their own length; repeated rows fall into one class and are linked; a null doc_id
+is never the smallest id (a class of null ids only has a null component); similarity equal to the limit is a link; an
+empty table gives an empty result; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WordHashes, arrow_map, components, mix, set_aside, shingle_set, stored
+from .common import BLANKS, WordHashes, arrow_map, components, forget, mix, set_aside, shingle_set, spread_join, stored
 
 WIDTH = 5
 #: similarity >= NUM / DEN
@@ -39,8 +46,12 @@ FREQUENT_ONE_IN = 200
 #: Lists longer than this get a pivot before pairs are made.
 LONG_LIST = 24
 
-_BITS = np.uint64(16)  # frequencies are counted for the upper 48 bits of a hash
+#: About so many shingles are counted in one bucket.
+BUCKET = 3_000_000
+#: A task sorts its shingles in chunks of about so many.
+CHUNK = 4_000_000
 
+_BITS = np.uint64(16)  # frequencies are counted for the upper 48 bits of a hash
 
 
 def _need(n: Column) -> Column:
@@ -96,67 +107,94 @@ def frequent(prints: DataFrame) -> np.ndarray:
     return got.sort_values(["c", "h"])["h"].to_numpy(np.uint64)
 
 
-def postings(docs: DataFrame, hot: np.ndarray, width: int = WIDTH) -> DataFrame:
-    """h, node, n, pos, u: the listed prefix of every set that shares a shingle there; node is its fingerprint s1.
+def twins_of(prints: DataFrame) -> dict[tuple[int, int], int]:
+    """(s1, s2) -> node for sets that share s1 with another set; all others have s1 itself as node.
+
+    Of N sets about N * N / 2**65 do: none up to billions, some hundreds of a hundred billion.
+    """
+    odd = prints.where("n > 0").groupBy("s1").agg(F.min("s2").alias("lo"), F.max("s2").alias("hi")).where("lo <> hi").select("s1")
+    rows = prints.where("n > 0").join(odd, "s1").select("s1", "s2", F.xxhash64("s1", "s2").alias("node")).distinct().collect()
+    return {(r["s1"], r["s2"]): r["node"] for r in rows}
+
+
+def _nodes(prints: DataFrame, twins: dict[tuple[int, int], int]) -> DataFrame:
+    """``prints`` with node."""
+    odd = F.lit(False)
+    for (a, _), _n in twins.items():
+        odd = odd | (F.col("s1") == a)
+    return prints.withColumn("node", F.when(odd, F.xxhash64("s1", "s2")).otherwise(F.col("s1")))
+
+
+def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width: int = WIDTH) -> DataFrame:
+    """h, node, n, pos, u: the listed prefix of every set that shares a shingle there.
 
     ``u`` is the number of shingles that no other set holds.
     """
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast((np.sort(hot), np.argsort(hot, kind="stable")))
     out = pa.schema([("bucket", pa.int32()), ("h0", pa.int64()), ("gaps", pa.binary()), ("who", pa.binary()), ("nodes", pa.binary()), ("n", pa.int64())])
     edge = (np.arange(1, buckets, dtype=np.float64) * (2.0**48 / buckets)).astype(np.uint64)
 
-    def deal(batches):
+    def chunks(batches):
+        """Distinct sets of a task in chunks of about CHUNK shingles: nodes, sizes, other shingles, frequent ones."""
         words = WordHashes()
         known, rank = shared.value
+        seen, nodes, sizes, sets, hots, total = set(), [], [], [], [], 0
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for lo in range(0, len(texts), 50_000):
-                seen, nodes, sizes, sets, hots = set(), [], [], [], []
-                for t in texts[lo : lo + 50_000]:
-                    h = shingle_set(t, words, width)
-                    if not len(h) or (s := _signature(h)[0]) in seen:
-                        continue
-                    seen.add(s)
-                    h = h >> _BITS
-                    at = np.searchsorted(known, h)
-                    at[at == len(known)] = 0
-                    is_hot = known[at] == h if len(known) else np.zeros(len(h), bool)
-                    nodes.append(s)
-                    sizes.append(len(h))
-                    hots.append(rank[at[is_hot]].astype(np.int64) if is_hot.any() else None)
-                    sets.append(h[~is_hot])
-                if not nodes:
+            for t in b.column("text"):
+                h = shingle_set(t.as_py(), words, width)
+                if not len(h):
+                    continue
+                sign = _signature(h)
+                s = twins.get(sign, sign[0])
+                if s in seen:
+                    continue
+                seen.add(s)
+                h = h >> _BITS
+                at = np.searchsorted(known, h)
+                at[at == len(known)] = 0
+                is_hot = known[at] == h if len(known) else np.zeros(len(h), bool)
+                nodes.append(s)
+                sizes.append(len(h))
+                hots.append(rank[at[is_hot]].astype(np.int64) if is_hot.any() else None)
+                sets.append(h[~is_hot])
+                total += len(h)
+                if total >= CHUNK or len(nodes) == 65_000:
+                    yield nodes, sizes, sets, hots
+                    nodes, sizes, sets, hots, total = [], [], [], [], 0
+        if nodes:
+            yield nodes, sizes, sets, hots
+
+    def deal(batches):
+        for nodes, sizes, sets, hots in chunks(batches):
+            ids = np.array(nodes, np.int64)
+            every = np.concatenate(sets)
+            who = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
+            order = np.argsort(every, kind="stable")
+            every, who = every[order], who[order]
+            cuts = [0, *np.searchsorted(every, edge).tolist(), len(every)]
+            rows: dict = {c: [] for c in out.names}
+            for k in range(buckets):
+                x, y = cuts[k], cuts[k + 1]
+                if x == y:
                     continue
-                ids = np.array(nodes, np.int64)
-                every = np.concatenate(sets)
-                who = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
-                order = np.argsort(every, kind="stable")
-                every, who = every[order], who[order]
-                cuts = [0, *np.searchsorted(every, edge).tolist(), len(every)]
-                rows: dict = {c: [] for c in out.names}
-                for k in range(buckets):
-                    x, y = cuts[k], cuts[k + 1]
-                    if x == y:
-                        continue
-                    mine, local = np.unique(who[x:y], return_inverse=True)
-                    gaps = np.diff(every[x:y])
-                    rows["bucket"].append(k)
-                    rows["h0"].append(int(every[x]))
-                    rows["gaps"].append(gaps.astype(np.uint32).tobytes() if not len(gaps) or int(gaps.max()) < 2**32 else gaps.tobytes())
-                    rows["who"].append(local.astype(np.uint16).tobytes())
-                    rows["nodes"].append(ids[mine].tobytes())
-                    rows["n"].append(None)
-                # one row a set: its size and its frequent shingles, dealt by fingerprint
-                for s, n, hs in zip(nodes, sizes, hots, strict=True):
-                    rows["bucket"].append((s >> 7) % buckets)
-                    rows["h0"].append(s)
-                    rows["gaps"].append(None)
-                    rows["who"].append(None)
-                    rows["nodes"].append(hs.tobytes() if hs is not None else None)
-                    rows["n"].append(n)
-                yield pa.RecordBatch.from_pydict(rows, schema=out)
+                mine, local = np.unique(who[x:y], return_inverse=True)
+                gaps = np.diff(every[x:y])
+                rows["bucket"].append(k)
+                rows["h0"].append(int(every[x]))
+                rows["gaps"].append(gaps.astype(np.uint32).tobytes() if not len(gaps) or int(gaps.max()) < 2**32 else gaps.tobytes())
+                rows["who"].append(local.astype(np.uint16).tobytes())
+                rows["nodes"].append(ids[mine].tobytes())
+                rows["n"].append(None)
+            # one row a set: its size and its frequent shingles, dealt by fingerprint
+            for s, n, hs in zip(nodes, sizes, hots, strict=True):
+                rows["bucket"].append((s >> 7) % buckets)
+                rows["h0"].append(s)
+                rows["gaps"].append(None)
+                rows["who"].append(None)
+                rows["nodes"].append(hs.tobytes() if hs is not None else None)
+                rows["n"].append(n)
+            yield pa.RecordBatch.from_pydict(rows, schema=out)
 
     def count(t: pa.Table) -> pa.Table:
         sized = t.filter(pa.compute.is_valid(t["n"]))
@@ -222,56 +260,96 @@ def sets_of(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, o (overlap), linked for candidate pairs of nodes."""
+    """a, b, na, nb, o (overlap), linked for candidate pairs of nodes; a node's pairs are dealt over tasks by salt."""
     x = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
     y = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    o = pairs.select("a", "b").join(x, "a").join(y, "b").select(
-        "a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"), F.size(F.array_intersect("sa", "sb")).cast("long").alias("o")
-    )
+    met = spread_join(spread_join(pairs.select("a", "b"), x, "a", "b"), y, "b", "a", _most(pairs, "b"))
+    o = met.select("a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"), F.size(F.array_intersect("sa", "sb")).cast("long").alias("o"))
     return o.withColumn("linked", F.expr(f"{DEN} * o >= {NUM} * (na + nb - o)"))
 
 
+def _most(rows: DataFrame, key: str) -> int:
+    """Rows of the commonest key."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def _enough(na: str, nb: str) -> str:
     """Least overlap of two linked sets: o >= t / (1 + t) * (na + nb)."""
     return f"(({NUM}L * ({na} + {nb}) + {NUM + DEN - 1}L) div {NUM + DEN}L)"
 
 
-def links(docs: DataFrame, prints: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Edges a, b between class representatives (smallest doc_id) that give the components of all links."""
+def _homes(known: DataFrame) -> DataFrame:
+    """node, home, c for every set that links with a pivot, and for the pivots: c as in the module's text."""
+    linked = known.where("linked")
+    members = linked.groupBy(F.col("b").alias("home")).agg(F.count("*").alias("members"))
+    own = members.join(linked.select(F.col("b").alias("home"), F.col("nb").alias("n")).distinct(), "home").select(F.col("home").alias("node"), "home", "n", F.col("n").alias("np"), F.col("n").alias("o"), "members")
+    others = spread_join(linked.select(F.col("a").alias("node"), F.col("b").alias("home"), F.col("na").alias("n"), F.col("nb").alias("np"), "o"), members, "home", "node")
+    best = others.select(*own.columns).unionByName(own).groupBy("node").agg(F.max_by(F.struct("home", "n", "np", "o"), F.struct("members", F.col("home"))).alias("x"))
+    c = f"{NUM + DEN}L * (2 * x.o - x.np) - {2 * NUM}L * x.n"
+    return best.select("node", "x.home", F.expr(c).alias("c"))
+
+
+def _certain(homes: DataFrame, size: DataFrame) -> DataFrame:
+    """node, links: documents in the sets of the same home that are linked for certain (their own set left out)."""
+    weighed = homes.join(size, "node")
+    per = stored(weighed.groupBy("home", "c").agg(F.sum("w").alias("w")))
+    asked = per.select("home", (-F.col("c")).alias("v"), F.lit(0).cast("long").alias("w"), "c")
+    held = per.select("home", F.col("c").alias("v"), "w", F.lit(None).cast("long").alias("c"))
+    # one row a home and distinct c: sums of all c that are no less
+    order = W.partitionBy("home").orderBy(F.col("v").desc()).rangeBetween(W.unboundedPreceding, 0)
+    sums = held.unionByName(asked).withColumn("sum", F.sum("w").over(order)).where("c is not null").groupBy("home", "c").agg(F.max("sum").alias("sum"))
+    some = weighed.withColumn("hc", F.xxhash64("home", "c"))
+    met = spread_join(some, sums.select(F.xxhash64("home", "c").alias("hc"), F.col("home").alias("h2"), F.col("c").alias("c2"), "sum"), "hc", "node").where("home = h2 and c = c2")
+    return met.select("node", (F.col("sum") - F.when(F.col("c") >= 0, F.col("w")).otherwise(0)).alias("links"))
+
+
+def links(docs: DataFrame, prints: DataFrame, twins: dict, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+    """(edges, counts): edges a, b between nodes that give the components of all links; counts node, links (documents
+    in other classes that are linked with the class)."""
     spark = docs.sparkSession
-    lists = stored(postings(docs, frequent(prints), width))
-    reps = prints.where("n > 0 and doc_id is not null").groupBy("s1").agg(F.min("doc_id").alias("doc_id"))
-    wanted = lists.select(F.col("node").alias("s1")).distinct().join(reps, "s1")
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
-    # a repeated id may carry other texts: the fingerprint picks the right one
-    sets = stored(_with_node(texts, width))
+    total = prints.agg(F.sum("n")).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    lists = stored(postings(docs, frequent(prints), buckets, twins, width))
+    classes = stored(_nodes(prints.where("n > 0"), twins).groupBy("node").agg(F.count("*").alias("w"), F.min(F.struct("doc_id", "th")).alias("one"), F.min("th").alias("th")))
+    wanted = classes.join(lists.select("node").distinct(), "node").select("node", F.coalesce("one.doc_id", F.lit(0)).alias("doc_id"), F.coalesce("one.th", "th").alias("th"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("th"), "text").join(wanted, ["doc_id", "th"])
+    # rows of one id and text hash are one set, unless hashes collide: the node tells
+    sets = stored(_with_node(texts, twins, width))
+    size = classes.select("node", "w")
 
     # long lists: one central set against the others
-    size = lists.groupBy("h").agg(F.count("*").alias("m"), F.min_by("node", F.struct((F.col("u") / F.col("n")).alias("r"), "node")).alias("pivot"))
-    long_lists = size.where(F.col("m") > LONG_LIST).select("h", "pivot")
-    starred = lists.join(long_lists, "h").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    long_lists = lists.groupBy("h").agg(F.count("*").alias("m"), F.min_by("node", F.struct((F.col("u") / F.col("n")).alias("r"), "node")).alias("pivot"))
+    long_lists = stored(long_lists.where(F.col("m") > LONG_LIST))
+    most = long_lists.agg(F.max("m")).first()[0] or 0
+    starred = stored(spread_join(lists.select("h", "node"), long_lists.select("h", "pivot"), "h", "node", most).where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     known = stored(_verify(starred, sets))
-    first = known.where("linked").select("a", "b")
-    label = stored(components(first)) if not first.isEmpty() else spark.createDataFrame([], "node long, comp long")
+    homes = stored(_homes(known))
+    least = homes.groupBy("home").agg(F.min("c").alias("cmin"))
 
-    # across components only
-    held = lists.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    alone = F.expr(f"{DEN - NUM}L * n")
+    held = lists.join(homes, "node", "left")
+    held = held.select("h", "node", "n", "u", "pos", F.coalesce("home", "node").alias("home"), F.coalesce(F.col("c"), alone).alias("c"))
+    held = held.join(long_lists.select("h", "pivot"), "h", "left").join(known.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "o"), ["node", "pivot"], "left")
     held = stored(
-        held.join(long_lists, "h", "left")
-        .join(known.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "o"), ["node", "pivot"], "left")
-        .withColumn("o", F.when(F.col("node") == F.col("pivot"), F.col("n") - F.col("u")).otherwise(F.col("o")))
+        held.withColumn("o", F.when(F.col("node") == F.col("pivot"), F.col("n") - F.col("u")).otherwise(F.col("o")))
         .withColumn("block", F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM))).cast("int"))
-        .select("h", "node", "comp", "n", "u", "pos", "o", "block")
+        .join(least.withColumn("safe_at", -F.col("cmin")).select("home", "safe_at"), "home", "left")
+        # certain with every set of its home
+        .select("h", "node", "home", "c", "n", "u", "pos", "o", "block", (F.col("c") >= F.coalesce("safe_at", F.lit(0))).alias("safe"))
     )
-    per = held.groupBy("h", "comp").agg(F.count("*").alias("m"))
-    per = per.groupBy("h").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = held.join(per.select("h", "main"), "h")
-    left = mixed.where("comp <> main").select("h", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "u", "pos", "o")], F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"))
-    right = mixed.select("h", "block", "main", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "n", "u", "pos", "o")])
+    forget(lists, long_lists, starred)
+    per = held.groupBy("h", "home").agg(F.count("*").alias("m"), F.min("safe").alias("safe"))
+    per = stored(per.groupBy("h").agg(F.max_by("home", F.struct("m", "home")).alias("main"), F.count("*").alias("kinds"), F.min("safe").alias("safe"), F.sum("m").alias("m")).where("kinds > 1 or not safe"))
+    most = per.agg(F.max("m")).first()[0] or 0
+    mixed = spread_join(held, per.select("h", "main"), "h", "node", most)
+    cells = ("node", "home", "c", "n", "u", "pos", "o")
+    first = (F.col("home") == F.col("main")) & F.col("safe")
+    left = mixed.where(~first).select("h", "main", *[F.col(c).alias(f"x_{c}") for c in cells], F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"))
+    right = mixed.select("h", "block", *[F.col(c).alias(f"y_{c}") for c in cells], first.alias("y_first"))
     # shingles that only one set holds come first and are never shared, nor held by the pivot
     need = _enough("x_n", "y_n")
     pairs = left.join(right, ["h", "block"]).where(
-        F.expr("x_comp <> y_comp and (y_comp = main or x_node < y_node)")
+        F.expr("(y_first or x_node < y_node) and (x_home <> y_home or x_c + y_c < 0)")
         & F.expr(f"{DEN} * least(x_n, y_n) >= {NUM} * greatest(x_n, y_n)")
         & F.expr(f"least(x_pos - x_u, y_pos - y_u) + least(x_n - x_pos, y_n - y_pos) >= {need}")
         & F.expr(f"x_o is null or y_o is null or least(x_o, y_o) + least(x_n - x_o - x_u, y_n - y_o - y_u) >= {need}")
@@ -281,45 +359,59 @@ def links(docs: DataFrame, prints: DataFrame, width: int = WIDTH) -> DataFrame:
         F.expr("least(x_n - x_pos, y_n - y_pos) - 1").alias("rest"), F.expr(need).alias("need"),
     )
     # all shared shingles up to the last listed one are counted, so count + what is left bounds the overlap
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.min("rest").alias("rest"), F.first("need").alias("need")).where("c + rest >= need")
-    second = _verify(pairs, sets).where("linked").select("a", "b")
-    every = first.unionByName(second)
-    r = reps.select(F.col("s1").alias("a"), F.col("doc_id").alias("ra"))
-    return every.join(r, "a").join(r.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    pairs = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.min("rest").alias("rest"), F.first("need").alias("need")).where("c + rest >= need").select("a", "b"))
+    second = stored(_verify(pairs, sets).where("linked").select("a", "b"))
+    forget(held, per, pairs)
+    each = second.select("a", "b").unionByName(second.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    found = spread_join(each, size.select(F.col("node").alias("b"), "w"), "b", "a").groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("links"))
+    counts = stored(found.unionByName(_certain(homes, size)).groupBy("node").agg(F.sum("links").alias("links")))
+    return known.where("linked").select("a", "b").unionByName(second), counts
 
 
-def _with_node(texts: DataFrame, width: int) -> DataFrame:
+def _with_node(texts: DataFrame, twins: dict, width: int) -> DataFrame:
+    """node, s (sorted shingle hashes), once a node."""
+
     def run(batches):
         words = WordHashes()
         for b in batches:
-            keep, nodes, s = [], [], []
-            for t, want in zip(b.column("text").to_pylist(), b.column("s1").to_pylist(), strict=True):
-                h = shingle_set(t, words, width)
-                if _signature(h)[0] == want:
-                    nodes.append(want)
+            keep, s = [], []
+            for t, want in zip(b.column("text"), b.column("node").to_pylist(), strict=True):
+                h = shingle_set(t.as_py(), words, width)
+                sign = _signature(h)
+                if twins.get(sign, sign[0]) == want:
+                    keep.append(want)
                     s.append(h.view(np.int64))
             at = np.zeros(len(s) + 1, np.int32)
             np.cumsum([len(x) for x in s], out=at[1:])
             values = pa.array(np.concatenate(s) if s else np.empty(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), values)], ["node", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.ListArray.from_arrays(pa.array(at), values)], ["node", "s"])
 
-    return texts.select("s1", "text").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
+    return texts.select("node", "text").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
 
 
 def _grouped(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, th, n, s1, class_id, comp of every row; class and component are null for empty sets and null ids only."""
+    """doc_id, th, n, node, class_id, comp, n_links of every row; null class and component: empty sets and null ids only."""
     docs = docs.select("doc_id", "text")
     prints = stored(fingerprints(docs, width))
-    label = components(links(docs, prints, width))
-    reps = prints.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("class_id"))
-    groups = reps.join(label.withColumnRenamed("node", "class_id"), "class_id", "left").select("s1", "s2", "class_id", F.coalesce("comp", "class_id").alias("comp"))
-    return prints.drop("often").join(groups, ["s1", "s2"], "left")
+    twins = twins_of(prints)
+    edges, counts = links(docs, prints, twins, width)
+    prints = _nodes(prints, twins)
+    reps = prints.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("w"))
+    # contraction needs no order of its own: nodes first, then the smallest id of each component
+    label = components(edges)
+    groups = reps.join(label, "node", "left").withColumn("root", F.coalesce("comp", "node")).drop("comp")
+    smallest = groups.groupBy("root").agg(F.min("class_id").alias("comp"))
+    groups = groups.join(smallest, "root").join(counts, "node", "left").select("node", "class_id", "comp", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
+    some = prints.drop("often").where("n > 0")
+    none = prints.drop("often").where("n = 0").select("*", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("comp"), F.lit(0).cast("long").alias("n_links"))
+    return spread_join(some, groups, "node", "th").select(*none.columns).unionByName(none)
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, class_id, component_id."""
+    """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, n_links (other rows it is linked with), class_id,
+    component_id."""
     own = lambda c: F.when(F.col("n") > 0, F.col(c)).otherwise(F.col("doc_id"))
-    return _grouped(docs, width).select("doc_id", F.col("n").alias("n_shingles"), own("class_id").alias("class_id"), own("comp").alias("component_id"))
+    return _grouped(docs, width).select("doc_id", F.col("n").alias("n_shingles"), "n_links", own("class_id").alias("class_id"), own("comp").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -330,7 +422,7 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     last = F.lit(2**63 - 1)
     some = _grouped(docs, width).where("n > 0 and (comp is null or doc_id = comp)")
-    first = some.groupBy(F.coalesce("doc_id", last).alias("_id"), F.when(F.col("comp").isNull(), F.col("s1")).otherwise(F.col("th")).alias("_k")).agg(F.min("th").alias("_th")).select("_id", "_th")
+    first = some.groupBy(F.coalesce("doc_id", last).alias("_id"), F.when(F.col("comp").isNull(), F.col("node")).otherwise(F.col("th")).alias("_k")).agg(F.min("th").alias("_th")).select("_id", "_th")
     blank = F.coalesce(F.btrim("text", F.lit(BLANKS)) == "", F.lit(True))
     docs, named = set_aside(docs)
     some = docs.where(~blank).withColumn("_id", F.coalesce("doc_id", last)).withColumn("_th", F.xxhash64("text"))
@@ -348,8 +440,9 @@ WITH RECURSIVE w AS (
 ), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ), e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)
 ), r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen
+), k AS (SELECT a, count(*) AS n FROM e GROUP BY 1
 ), c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY 1)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(k.n, 0)::BIGINT AS n_links,
        CASE WHEN n.n IS NULL THEN d.doc_id ELSE min(d.doc_id) OVER (PARTITION BY n.digest) END AS class_id, c.component_id
-FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id LEFT JOIN k ON k.a = d.doc_id
 """

@@ -1,12 +1,15 @@
 """Line dedup with DataFrame functions only.
 
-Lines are exploded with their position, normalised, hashed to 128 bits, and each hash gets its smallest and largest
-document (a pre-aggregated min and max, so a line found everywhere costs one row per task). A hash of two documents or
-more loses its lines outside the smallest one. The lines to drop come back per document as positions, and the text is
-put together again from the slices between them, in time linear in the lines.
+Lines are exploded once with their position, normalised and hashed to 128 bits, and kept as a table of hashes. Each hash
+gets its smallest and largest document (a pre-aggregated min and max, so a line found everywhere costs one row a task). A
+hash of two documents or more loses its lines outside the smallest one. The lines meet the few repeated hashes by salt,
+so a line found everywhere is dealt over many tasks. What is to drop comes back per document as positions, and the text
+is put together again from the slices between them, in time linear in the lines.
 
-Defined cases: a null or empty text is one empty line; a null doc_id counts as one document after all others; repeated
-document rows are one document and are answered alike; keys under ``min_chars`` code points always stay.
+Defined cases: a null or empty text is one empty line, an empty table gives an empty result; texts and lines of any
+length are handled whole, in memory in proportion to their own length; a null doc_id counts as one document after all
+others; repeated document rows are one document and are answered alike; keys under ``min_chars`` code points always
+stay; the smallest doc_id keeps a line, all its repeats included; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, ascii_lower
+from .common import BLANKS, ascii_lower, forget, spread_join, stored
 
 MIN_CHARS = 10
 MIN_DOCS = 2
@@ -33,17 +36,18 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         .where(F.char_length("key") >= min_chars)
         .select("_doc", "_text", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key", F.lit(2)).alias("h2"))
     )
+    lines = stored(lines)
     if min_docs <= 2:
-        often = lines.groupBy("h1", "h2").agg(F.min("_doc").alias("keeper"), F.max("_doc").alias("last")).where("keeper < last")
+        often = lines.groupBy("h1", "h2").agg(F.min("_doc").alias("keeper"), F.max("_doc").alias("last"), F.count("*").alias("lines")).where("keeper < last")
     else:
-        pairs = lines.groupBy("h1", "h2", "_doc").agg(F.lit(1).alias("one"))
-        often = pairs.groupBy("h1", "h2").agg(F.min("_doc").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    return (
-        lines.join(often.select("h1", "h2", "keeper"), ["h1", "h2"])
-        .where("_doc > keeper")
-        .groupBy("_doc", "_text")
-        .agg(F.sort_array(F.collect_set("pos")).alias("_drop"))
-    )
+        pairs = lines.groupBy("h1", "h2", "_doc").agg(F.count("*").alias("n"))
+        often = pairs.groupBy("h1", "h2").agg(F.min("_doc").alias("keeper"), F.sum("n").alias("lines"), F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    often = stored(often.select("h1", "h2", "keeper", "lines"))
+    most = often.agg(F.max("lines")).first()[0] or 0
+    met = spread_join(lines, often.select("h1", "h2", "keeper"), ["h1", "h2"], "_doc", most)
+    drops = stored(met.where("_doc > keeper").groupBy("_doc", "_text").agg(F.sort_array(F.collect_set("pos")).alias("_drop")))
+    forget(lines, often)
+    return drops
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

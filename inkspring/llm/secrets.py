@@ -3,11 +3,14 @@
 Rule spans are regular expressions (assignments, access keys, long hex runs). The method adds to them: two character
 Markov models, one trained on labelled random strings and one on labelled ordinary identifiers, score every long
 unbroken run of key characters; a run is a secret if its mean log-likelihood ratio per character pair is at least
-``MIN_RATIO``. The models are pair counts (an aggregate, at most a few thousand rows), so the driver holds a table of
+``MIN_RATIO``. Links, embedded base64 data and UUIDs look random but are no secrets: they are passed over (rule spans
+in them stay). The models are pair counts (an aggregate, at most a few thousand rows), so the driver holds a table of
 fixed size; scanning has no shuffle and each text is handled whole, where it lies.
 
-Defined cases: a null text is an empty one and has no spans; repeated rows are answered alike; runs that touch a rule
-span are not repeated; an empty sample table gives equal models, so nothing is added.
+Defined cases: a null text is an empty one and has no spans, an empty table gives an empty result; texts and runs of any
+length are read whole, in memory in proportion to their own length; repeated rows are answered alike; runs that touch a
+rule span are not repeated; spans that start together are ordered by kind; a ratio equal to the limit is a secret; an
+empty sample table gives equal models, so nothing is added; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +29,11 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 #: Characters of the models; others share class 0. A run is scored if it has at least MIN_RUN of them.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
 MIN_RUN = 20
-RUN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
+#: What is passed over whole, without a verdict: links, embedded data, UUIDs. Group 1 is a run to be scored.
+RUN = (
+    r"(?<![A-Za-z])[A-Za-z]{2,12}://[^\s<>\"']+|base64,[A-Za-z0-9+/=]+|(?<![0-9A-Za-z-])[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}(?![0-9A-Za-z-])"
+    rf"|(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{{{MIN_RUN},}})"
+)
 #: Least mean log-likelihood ratio (nats per pair) of a secret.
 MIN_RATIO = 0.5
 
@@ -60,7 +67,7 @@ def labelled_samples(spark: SparkSession, n: int = 3_000) -> DataFrame:
         0: [
             F.concat(pick(1), F.initcap(pick(2)), F.initcap(pick(3)), F.initcap(pick(4))), F.concat_ws("_", pick(1), pick(2), pick(3), pick(4)), F.upper(F.concat_ws("_", pick(1), pick(2), pick(3))),
             F.concat_ws("-", pick(1), pick(2), pick(3), pick(4)), F.concat_ws("/", pick(1), pick(2), pick(3), F.substr(number, F.lit(1), F.lit(4))), F.concat(pick(1), pick(2), pick(3), pick(4)), F.upper(F.concat(pick(1), pick(2), pick(3), pick(4))),
-            F.substr(number, F.lit(1), F.lit(24)), F.concat(F.repeat(F.lit("-"), 12), pick(1), F.repeat(F.lit("="), 12), pick(2), F.repeat(F.lit("_"), 12)), F.repeat(F.substr(F.lit(ALPHABET), F.pmod(F.xxhash64("id", F.lit(9)), F.lit(len(ALPHABET))).cast("int") + 1, F.lit(1)), length),
+            F.substr(number, F.lit(1), F.lit(24)), F.concat_ws("/", *[F.concat_ws("-", *[F.substr(number, F.lit(k + a), F.lit(m)) for a, m in ((0, 4), (4, 2), (6, 2))]) for k in (1, 9, 17)]), F.concat(F.repeat(F.lit("-"), 12), pick(1), F.repeat(F.lit("="), 12), pick(2), F.repeat(F.lit("_"), 12)), F.repeat(F.substr(F.lit(ALPHABET), F.pmod(F.xxhash64("id", F.lit(9)), F.lit(len(ALPHABET))).cast("int") + 1, F.lit(1)), length),
         ],
     }
     each = F.array(*[F.struct(x.alias("text"), F.lit(label).alias("random")) for label, xs in made.items() for x in xs])
@@ -152,7 +159,7 @@ def find_secrets(docs: DataFrame, table: list[float], min_ratio: float = MIN_RAT
         spans(t, ASSIGN, lambda v: F.char_length(v) >= MIN_VALUE, 2).alias("assign"),
         spans(t, ACCESS).alias("access"),
         spans(t, HEX).alias("hex"),
-        spans(t, RUN, lambda v: ratio(v, table) >= min_ratio).alias("random"),
+        spans(t, RUN, lambda v: ratio(v, table) >= min_ratio, 1).alias("random"),
     )
     rule = F.concat("assign", "access", "hex")
     free = F.filter("random", lambda r: ~F.exists(rule, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))

@@ -2,13 +2,18 @@
 
 Explicit rules name a host (with its subdomains) and a path prefix; the longest that fits decides. All other URLs are
 judged by combinations of URL tokens that Spark's FP-growth finds in labelled URLs: rules ``tokens -> block`` with
-enough support and confidence, without those that a shorter rule already covers. The mined rules form an inverted index
-(every rule under its rarest token), so a URL looks up its own tokens and compares only the rules found there. The index
-is broadcast, so its size is checked: more rules than MAX_RULES are matched in slices.
-
-Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule, and is allowed; repeated
-rows are answered alike; no labels mine no rules, so nothing is blocked but by explicit rules; labels that are null and
-URLs that are null are left out of mining; equally long explicit rules: the smaller text decides.
+enough support and confidence, without those that contain a shorter rule. Tokens in more than MAX_SHARE of the labelled
+URLs tell nothing and are not mined. In the labelled URLs hardly any token decides alone: a gambling word beside
+``history`` is no casino, and an affiliate number or a prize page by itself no bait; pairs and triples of host, path and
+query words are. The mined rules form an inverted index (every rule under its rarest token), so a URL looks up its own
+tokens and compares only the rules found there. The index is broadcast, so its size is checked: more rules than
+MAX_RULES are matched in slices, with the same result.
+
+Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule, and is allowed unless mined
+rules say otherwise; URLs of any length are read whole; repeated rows are answered alike; an empty table gives an empty
+result; no labels mine no rules, so nothing is blocked but by explicit rules; labels that are null and URLs that are
+null are left out of mining; equally long explicit rules: the larger text decides; extra columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -20,31 +25,75 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, arrow_map
+from .common import LOWER, UPPER, arrow_map, stored
 
 #: (verdict, host and path prefix) of the contract.
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 MIN_CONFIDENCE = 0.9
 #: A mined rule holds in at least this share of the labelled URLs and at least so many of them.
-MIN_SUPPORT, MIN_COUNT = 0.002, 5
+MIN_SUPPORT, MIN_COUNT = 0.001, 5
+#: Tokens of more than this share of the labelled URLs are not mined.
+MAX_SHARE = 0.12
 #: Most mined rules of one broadcast index (some 10 MB in a worker).
 MAX_RULES = 50_000
 
-# Words of hosts and paths for the labelled URLs.
-BLOCKED = "casino poker bets betting jackpot lottery pills viagra pharma spam farm adult xxx porn sex escort ads adserver track tracker click popup malware phish warez torrent crack keygen loan payday".split()
+# Words for the labelled URLs. Each topic with the words that make bait of it.
+BAIT = {
+    "casino": "win bonus free", "poker": "win live free", "bets": "free best win", "jackpot": "win bonus now", "lottery": "win buy now", "pills": "cheap buy best",
+    "viagra": "cheap buy now", "pharma": "cheap best deals", "loan": "cheap now deals", "spam": "farm click best", "ads": "track click farm", "adult": "x hot live",
+    "porn": "x hot free", "warez": "free best now", "phish": "farm click track", "crack": "free x now",
+}
+PRIZES, PARTNERS = "bonus offer deal prize promo".split(), "aff affid clickid subid".split()
+GATES, JUMPS, AIMS = ["go", "out"], ["redirect", "jump"], ["url", "target"]
 ORDINARY = "news blog shop docs wiki forum mail help support library school museum weather travel recipes garden music sports science health history city books photo art film open data code learn work home team club daily review guide".split()
 NAMES = "river stone cloud maple north silver field lake harbor bridge summit valley meadow forest canyon cedar willow falcon otter raven".split()
 
 
-def labelled_urls(spark: SparkSession, n: int = 4_000) -> DataFrame:
-    """url, block (1 or 0): labelled URLs put together from the word lists; the last word of a host decides."""
+def labelled_urls(spark: SparkSession, n: int = 12_000) -> DataFrame:
+    """url, block (1 or 0): labelled URLs put together from the word lists.
+
+    Bait is a topic with one of its words in the host; or a prize page with a partner number, on a host never seen
+    before; or a gate, a jump and an aim. The other two thirds use the same words apart: a topic or a bait word beside
+    an ordinary one, prize pages without partners, partner numbers on ordinary pages, two parts of three of a jump.
+    """
     words = lambda ws: F.split(F.lit(" ".join(ws)), " ")
-    pick = lambda ws, j: F.get(words(ws), F.pmod(F.xxhash64("id", F.lit(j)), F.lit(len(ws))).cast("int"))
-    block = F.pmod(F.xxhash64("id"), F.lit(3)) == 0
-    name = F.when(block, F.concat_ws("-", pick(["cheap", "free", "best", "win", *NAMES], 1), pick(BLOCKED, 2))).otherwise(F.concat_ws("-", pick(NAMES, 1), pick(ORDINARY, 2)))
-    front = F.concat(pick(["https://", "http://"], 3), pick(["", "www.", "m.", "blog."], 4))
-    end = F.concat(pick([".example.com/", ".example.net/", ".example.org/"], 5), pick(["en", "de", "fr", "es"], 6), F.lit("/"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10_000)).cast("string"), pick(["", "/", ".html", "#top", "?page=2&ref=x"], 8))
-    return spark.range(0, n, 1, 4).select(F.concat(front, name, end).alias("url"), block.cast("int").alias("block"))
+    draw = lambda j, m: F.pmod(F.xxhash64("id", F.lit(j)), F.lit(m)).cast("int")
+    pick = lambda ws, j: F.get(words(ws), draw(j, len(ws)))
+    pairs = [f"{t} {w}" for t, ws in BAIT.items() for w in ws.split()]
+    pair = F.split(F.get(F.split(F.lit(",".join(pairs)), ","), draw(1, len(pairs))), " ")
+    pair = F.when(draw(2, 2) == 0, pair).otherwise(F.reverse(pair))
+    new = F.translate(F.substr(F.sha2(F.col("id").cast("string"), 256), F.lit(1), F.lit(10)), "0123456789", "ghijklmnop")
+    bait = sorted({w for ws in BAIT.values() for w in ws.split()})
+    number = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(100_000)).cast("string")
+    page = F.concat(pick(["en", "de", "fr", "es"], 6), F.lit("/"), number, pick(["", "/", ".html", "#top", "?page=2&ref=x", "?utm_source=feed"], 8))
+    query = lambda name: F.concat(F.lit("?"), name, F.lit("="), number)
+    plain = F.concat_ws("-", pick(NAMES, 3), pick(ORDINARY, 4))
+    kind = draw(5, 10)
+    jump = lambda gate, how, aim: (F.concat_ws(".", gate, new), F.concat(how, query(aim)))
+    bad = [
+        (kind < 5, F.concat_ws("-", pair), page),
+        (kind < 8, new, F.concat(pick(PRIZES, 9), query(pick(PARTNERS, 10)))),
+        (kind < 10, *jump(pick(GATES, 11), pick(JUMPS, 12), pick(AIMS, 13))),
+    ]
+    good = [
+        (kind < 3, F.concat_ws("-", pick([*BAIT], 14), pick(ORDINARY, 4)), page),
+        (kind < 6, F.concat_ws("-", pick(bait, 15), pick(ORDINARY, 4)), page),
+        (kind < 7, plain, page),
+        (kind < 8, F.when(draw(16, 2) == 0, plain).otherwise(new), F.when(draw(17, 2) == 0, F.concat(pick(PRIZES, 9), F.lit("/"), number)).otherwise(F.concat(pick(ORDINARY, 18), query(pick(PARTNERS, 10))))),
+        (kind < 9, *jump(pick(GATES, 11), pick(JUMPS, 12), pick(["page", "id"], 19))),
+        (kind < 10, *jump(F.when(draw(20, 2) == 0, pick(GATES, 11)).otherwise(pick(["www", "m"], 21)), F.when(draw(20, 2) == 0, pick(ORDINARY, 18)).otherwise(pick(JUMPS, 12)), pick(AIMS, 13))),
+    ]
+    block = draw(0, 3) == 0
+
+    def chosen(rows: list, part: int) -> Column:
+        out = rows[-1][part]
+        for row in rows[-2::-1]:
+            out = F.when(row[0], row[part]).otherwise(out)
+        return out
+
+    host, path = (F.when(block, chosen(bad, i)).otherwise(chosen(good, i)) for i in (1, 2))
+    front = F.concat(pick(["https://", "http://"], 22), pick(["", "www.", "m.", "blog."], 23))
+    return spark.range(0, n, 1, 4).select(F.concat(front, host, pick([".example.com/", ".example.net/", ".example.org/"], 24), path).alias("url"), block.cast("int").alias("block"))
 
 
 def host_of(url: Column) -> Column:
@@ -63,22 +112,28 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.concat(words(host_of(url), "h:"), words(F.translate(path_of(url), UPPER, LOWER), "p:"), words(query, "q:")))
 
 
-def mine(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT) -> DataFrame:
+def mine(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, max_share: float = MAX_SHARE) -> DataFrame:
     """tokens, confidence, support: minimal token combinations that mean ``block`` in ``labelled(url, block)``."""
     mark = "=block"
-    rows = labelled.where("url is not null and block is not null").select(tokens_of(F.col("url")).alias("t"), "block")
-    baskets = rows.select(F.when(F.col("block") > 0, F.array_append("t", F.lit(mark))).otherwise(F.col("t")).alias("items"))
-    n = baskets.count()
+    rows = labelled.where("url is not null and block is not null").select(F.monotonically_increasing_id().alias("row"), tokens_of(F.col("url")).alias("t"), "block")
+    rows = stored(rows)
     empty = labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
+    n = rows.count()
     if not n:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_count / n)), minConfidence=min_confidence).fit(baskets)
+    least = min(1.0, max(min_support, min_count / n))
+    each = rows.select("row", F.explode("t").alias("token"))
+    told = each.groupBy("token").agg(F.count("*").alias("c")).where((F.col("c") >= least * n) & (F.col("c") <= max(max_share * n, min_count)))
+    kept = each.join(told.select("token"), "token").groupBy("row").agg(F.collect_list("token").alias("t"))
+    items = rows.select("row", "block").join(kept, "row", "left").withColumn("t", F.coalesce("t", F.array().cast("array<string>")))
+    baskets = items.select(F.when(F.col("block") > 0, F.array_append("t", F.lit(mark))).otherwise(F.col("t")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.array_contains("consequent", mark)).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    # a rule that contains another one adds nothing: look its sub-combinations up, not all pairs of rules
-    rules = rules.withColumn("id", F.concat_ws("\0", "tokens"))
-    subsets = rules.where("size(tokens) > 1").select("id", F.explode("tokens").alias("drop"), "tokens").select("id", F.concat_ws("\0", F.array_remove("tokens", F.col("drop"))).alias("sub"))
-    smaller = rules.where(F.lit(True)).select(F.col("id").alias("sub"))
-    covered = subsets.join(smaller, "sub").select("id").distinct()
+    # a rule that contains another one adds nothing: its parts are looked up, not all pairs of rules
+    rules = stored(rules.withColumn("id", F.concat_ws("\0", "tokens")))
+    parts = rules.where("size(tokens) > 1").withColumn("mask", F.explode(F.expr("sequence(1L, shiftleft(1L, size(tokens)) - 2)")))
+    parts = parts.select("id", F.expr("concat_ws('\\0', filter(tokens, (t, i) -> (shiftright(mask, i) & 1) = 1))").alias("sub"))
+    covered = parts.join(rules.select(F.col("id").alias("sub")), "sub").select("id").distinct()
     return rules.join(covered, "id", "left_anti").drop("id")
 
 

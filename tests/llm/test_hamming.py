@@ -46,3 +46,9 @@ def test_small_chunks_give_the_same(spark, sf):
     asked = base.where("id % 50 = 0")
     a = sorted(tuple(r) for r in hamming.top_k(base, asked).collect())
     assert a == sorted(tuple(r) for r in hamming.top_k(base, asked, chunk=9).collect())
+    assert a == sorted(tuple(r) for r in hamming.top_k(base, asked, chunk=30, queries_a_task=2).collect())
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(i, [1.0] * 64, 1, 2, 3, 4) for i in (0, 1)], SCHEMA + ", id int, code int, seg int, query int")
+    assert sorted(tuple(r) for r in hamming.search(df).collect()) == [(0, 1, 0, 0), (0, 2, 1, 0)]

@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from inkspring.llm import jaccard
 from inkspring.llm.common import table
 
@@ -25,18 +27,21 @@ def brute(rows):
         return i
 
     ids = sorted(sets)
+    linked = dict.fromkeys(ids, 0)
     for n, a in enumerate(ids):
         for b in ids[n + 1 :]:
             if sets[a] and sets[b]:
                 o = len(sets[a] & sets[b])
                 if 100 * o >= 75 * (len(sets[a]) + len(sets[b]) - o):
+                    linked[a] += 1
+                    linked[b] += 1
                     x, y = find(a), find(b)
                     root[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), find(i)) for i in ids}
+    return {i: (len(sets[i]), find(i), linked[i]) for i in ids}
 
 
 def check(spark, rows):
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == brute(rows)
 
 
@@ -65,3 +70,42 @@ def test_keep_one(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in jaccard.keep_one(df).collect()))
     assert got == [(False, 1, "a b c d e f"), (False, 3, ""), (False, 3, ""), (False, 4, ""), (False, 5, "other words"), (False, 6, "same id another text"), (False, 6, "same id one text"), (True, 0, "null id one"), (True, 0, "null id two")]
+
+
+def test_large_near_copy_groups_and_far_members(spark, monkeypatch):
+    import random
+
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for i in range(260):  # one long list and several homes; some members too far from each other to be linked
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 4])):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(400)}"
+        rows.append((i, " ".join(w[rng.randint(0, 6) : len(w) - rng.randint(0, 6)])))
+    other = [f"c{i}" for i in range(50)]
+    rows += [(1000 + i, " ".join([*other[: 50 - i % 9], f"t{i}"])) for i in range(70)]
+    rows += [(2000 + i, " ".join([*base[:40], *other[:40], f"m{i}"])) for i in range(40)]
+    monkeypatch.setattr(jaccard, "LONG_LIST", 5)
+    monkeypatch.setattr(jaccard, "BUCKET", 500)
+    monkeypatch.setattr(jaccard, "CHUNK", 900)
+    check(spark, rows)
+
+
+def test_nodes_of_their_own_for_sets_that_share_half_a_fingerprint(spark, monkeypatch):
+    prints = spark.createDataFrame([(1, 5, 7), (1, 5, 7), (1, 5, 8), (1, 6, 7), (0, 9, 1), (0, 9, 2)], "n long, s1 long, s2 long")
+    twins = jaccard.twins_of(prints)
+    assert set(twins) == {(5, 7), (5, 8)}
+    nodes = {(r["s1"], r["s2"]): r["node"] for r in jaccard._nodes(prints, twins).collect()}
+    assert nodes[6, 7] == 6 and {nodes[k] for k in twins} == set(twins.values()) and nodes[5, 7] != nodes[5, 8]
+    # the same answers when every set is taken for such a twin
+    rows = [(i, f"t{i // 2} " * 3 + " ".join(f"w{i // 4}x{k}" for k in range(20))) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    every = {(r["s1"], r["s2"]): r["node"] for r in jaccard.fingerprints(docs).select("s1", "s2", F.xxhash64("s1", "s2").alias("node")).distinct().collect()}
+    monkeypatch.setattr(jaccard, "twins_of", lambda prints: every)
+    check(spark, rows)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(i, "one two three four five six", "a", 1, 2, 3) for i in (4, 5)], "doc_id long, text string, node string, th int, n int, comp int")
+    assert sorted(tuple(r) for r in jaccard.jaccard_components(df).collect()) == [(4, 2, 1, 4, 4), (5, 2, 1, 4, 4)]

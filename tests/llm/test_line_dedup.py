@@ -43,3 +43,10 @@ def test_threshold_and_empty(spark):
     assert [r["n_dropped"] for r in line_dedup.dedup_lines(df, min_docs=3).orderBy("doc_id").collect()] == [0, 1, 1]
     assert [r["n_dropped"] for r in line_dedup.dedup_lines(df, min_docs=4).collect()] == [0, 0, 0]
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_a_line_found_everywhere_and_clashing_columns(spark):
+    line = "the very same line in all of them"
+    check(spark, [(i, f"{line}\nown line number {i}\n{line if i % 3 else 'x'}") for i in range(900)])
+    df = spark.createDataFrame([(i, f"{line}\nx", "t", 1, 2, 3) for i in (1, 2)], "doc_id long, text string, _text string, _doc int, pos int, keeper int")
+    assert sorted((r["doc_id"], r["n_dropped"], r["text"]) for r in line_dedup.dedup_lines(df).collect()) == [(1, 0, f"{line}\nx"), (2, 1, "x")]

@@ -77,3 +77,53 @@ def test_mined_rules_are_minimal_and_slices_agree(spark, mined, sf):
 def test_no_labels(spark):
     assert u.mine(spark.createDataFrame([], "url string, block int")).count() == 0
     assert u.mine(spark.createDataFrame([(None, 1), ("x://y", None)], "url string, block int")).count() == 0
+
+
+def test_pairs_and_triples_decide(spark, mined):
+    """No single token is a rule; without the pairs or the triples held-out bait gets through, hosts never seen included."""
+    rules = [tuple(r["tokens"]) for r in mined.collect()]
+    assert {len(r) for r in rules} == {2, 3}
+    old = u.labelled_urls(spark).select("url")
+    held = u.labelled_urls(spark, 20_000).join(old, "url", "left_anti").select(F.monotonically_increasing_id().alias("page_id"), "url", "block").toPandas()
+
+    def rates(some):
+        frame = spark.createDataFrame([(list(r),) for r in some], "tokens array<string>")
+        got = u.judge(spark.createDataFrame(held[["page_id", "url"]]), frame, rules=[]).toPandas().merge(held, on="page_id")
+        hit, bad = got["verdict"] == "block", got["block"] == 1
+        return (hit & bad).sum() / max(1, hit.sum()), (hit & bad).sum() / bad.sum()
+
+    precision, recall = rates(rules)
+    assert precision > 0.99 and recall > 0.97
+    assert rates([r for r in rules if len(r) == 2])[1] < 0.9 and rates([r for r in rules if len(r) == 3])[1] < 0.5
+    # one token of each pair alone blocks much that is ordinary
+    assert rates([(t,) for r in rules for t in r])[0] < 0.8
+
+
+def test_words_by_themselves_are_allowed(spark, mined):
+    rows = [(i, f"https://{h}.example.org/en/1{t}", None) for i, (h, t) in enumerate([("farm", ""), ("school-click", ""), ("casino-history", ""), ("win-win", ""), ("shop", "?aff=3"), ("river-news", "/bonus/7")])]
+    got = check(spark, rows, mined)
+    assert {r["verdict"] for r in got.values()} == {"allow"}
+    rows = [(1, "http://xk2.example.org/prize?affid=9", None), (2, "http://go.anything.example.com/redirect?target=7", None), (3, "http://go.anything.example.com/redirect?id=7", None)]
+    assert [r["verdict"] for _, r in sorted(check(spark, rows, mined).items())] == ["block", "block", "allow"]
+
+
+def test_minimal_rules_against_all_combinations(spark):
+    from itertools import combinations
+
+    urls = [("x://a.b/c", 1), ("x://a.b/d", 1), ("x://a/c", 0), ("x://b/c", 0), ("x://c.d.e/", 1), ("x://c.d/", 0), ("x://d.e/", 0), ("x://c.e/", 0), ("x://f/", 1), ("x://f.a/", 1)] * 3
+    frame = spark.createDataFrame(urls, "url string, block int")
+    got = {tuple(r["tokens"]) for r in u.mine(frame, 0.9, 0.0, 3, 1.0).collect()}
+    baskets = [(frozenset(r["t"]), b) for r, (_, b) in zip(frame.select(u.tokens_of(F.col("url")).alias("t")).collect(), urls, strict=True)]
+    every = sorted({t for s, _ in baskets for t in s})
+    want: set = set()
+    for n in range(1, 5):
+        for c in combinations(every, n):
+            bad = [b for s, b in baskets if set(c) <= s]
+            if sum(bad) >= 3 and sum(bad) >= 0.9 * len(bad) and not any(set(w) < set(c) for w in want):
+                want.add(c)
+    assert got == want
+
+
+def test_clashing_columns(spark, mined):
+    df = spark.createDataFrame([(1, "https://free-casino.example.org/x", "h", "p", 5, "t")] * 2, "page_id long, url string, host string, path string, mined int, tokens string")
+    assert [(r["host"], r["path"], r["verdict"]) for r in u.judge(df, mined).collect()] == [("free-casino.example.org", "/x", "block")] * 2
