@@ -81,7 +81,7 @@ def ascii_lower(c):
 class WordHashes(dict):
     """Word (bytes) -> 64-bit hash; remembers up to ``limit`` words so that common words cost one lookup."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -173,15 +173,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 #: Most rows of one key that meet in one task, about.
 HOT_ROWS = 256
+#: Tables of ids with at most so many rows (some MB) are broadcast.
+SMALL_ROWS = 200_000
 
 
-def spread_join(rows: DataFrame, one: DataFrame, key: str | list[str], by: str, most: int | None = None) -> DataFrame:
+def spread_join(rows: DataFrame, one: DataFrame, key: str | list[str], by: str, most: int | None = None, size: int | None = None) -> DataFrame:
     """``rows`` inner joined with ``one`` (at most one row a key), where a key may hold any share of ``rows``.
 
     Rows are salted by the hash of ``by``, and ``one`` first meets the distinct (key, salt) pairs that occur, so it is
     repeated only as often as a key needs; then no task gets more than some HOT_ROWS rows of a key. ``most`` is the
-    count of the commonest key, if known.
+    count of the commonest key, if known; ``size`` the count of ``one`` if it is a table of ids: a small one is broadcast.
     """
+    if size is not None and size <= SMALL_ROWS:
+        return rows.join(F.broadcast(one), key)
     key = [key] if isinstance(key, str) else key
     if most is None:
         most = rows.groupBy(*key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0

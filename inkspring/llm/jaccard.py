@@ -47,9 +47,9 @@ FREQUENT_ONE_IN = 200
 LONG_LIST = 24
 
 #: About so many shingles are counted in one bucket.
-BUCKET = 3_000_000
+BUCKET = 1_500_000
 #: A task sorts its shingles in chunks of about so many.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 _BITS = np.uint64(16)  # frequencies are counted for the upper 48 bits of a hash
 
@@ -67,27 +67,37 @@ def _signature(h: np.ndarray) -> tuple[int, int]:
 
 
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, th (hash of the text), n, s1, s2 per document row; the locally frequent shingles of a batch ride on its first row."""
+    """doc_id, th (hash of the text), n, s1, s2 per document row; the locally frequent shingles of a block ride on its last row."""
 
     def run(batches):
         words = WordHashes()
+        kind = pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())]))
+
+        def often(sets: list) -> list:
+            """The shingles that one in FREQUENT_ONE_IN of these sets has."""
+            u, c = np.unique(np.concatenate(sets), return_counts=True)
+            many = c >= max(8, len(sets) / FREQUENT_ONE_IN)
+            return [{"h": int(a), "c": int(k)} for a, k in zip(u[many], c[many], strict=True)]
+
         for b in batches:
-            ns, s1, s2, sets = [], [], [], []
-            for t in b.column("text").to_pylist():
-                h = shingle_set(t, words, width)
+            ns, s1, s2, sets, held, total = [], [], [], [], [], 0
+            for t in b.column("text"):
+                h = shingle_set(t.as_py(), words, width)
                 ns.append(len(h))
                 x, y = _signature(h)
                 s1.append(x)
                 s2.append(y)
                 sets.append(h >> _BITS)
+                total += len(h)
+                held.append(None)
+                if total >= CHUNK:
+                    held[-1], sets, total = often(sets), [], 0
             if not ns:
                 continue
-            u, c = np.unique(np.concatenate(sets), return_counts=True)
-            u, c = u[c >= max(8, len(ns) / FREQUENT_ONE_IN)], c[c >= max(8, len(ns) / FREQUENT_ONE_IN)]
-            often = [[{"h": int(a), "c": int(k)} for a, k in zip(u, c, strict=True)]] + [None] * (len(ns) - 1)
-            kind = pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())]))
+            if sets:
+                held[-1] = often(sets)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("th"), pa.array(ns, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(often, kind)],
+                [b.column("doc_id"), b.column("th"), pa.array(ns, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(held, kind)],
                 ["doc_id", "th", "n", "s1", "s2", "often"],
             )
 
@@ -320,8 +330,8 @@ def links(docs: DataFrame, prints: DataFrame, twins: dict, width: int = WIDTH) -
     # long lists: one central set against the others
     long_lists = lists.groupBy("h").agg(F.count("*").alias("m"), F.min_by("node", F.struct((F.col("u") / F.col("n")).alias("r"), "node")).alias("pivot"))
     long_lists = stored(long_lists.where(F.col("m") > LONG_LIST))
-    most = long_lists.agg(F.max("m")).first()[0] or 0
-    starred = stored(spread_join(lists.select("h", "node"), long_lists.select("h", "pivot"), "h", "node", most).where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+    most, n_long = long_lists.agg(F.max("m"), F.count("*")).first()
+    starred = stored(spread_join(lists.select("h", "node"), long_lists.select("h", "pivot"), "h", "node", most or 0, n_long).where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     known = stored(_verify(starred, sets))
     homes = stored(_homes(known))
     least = homes.groupBy("home").agg(F.min("c").alias("cmin"))
@@ -340,8 +350,8 @@ def links(docs: DataFrame, prints: DataFrame, twins: dict, width: int = WIDTH) -
     forget(lists, long_lists, starred)
     per = held.groupBy("h", "home").agg(F.count("*").alias("m"), F.min("safe").alias("safe"))
     per = stored(per.groupBy("h").agg(F.max_by("home", F.struct("m", "home")).alias("main"), F.count("*").alias("kinds"), F.min("safe").alias("safe"), F.sum("m").alias("m")).where("kinds > 1 or not safe"))
-    most = per.agg(F.max("m")).first()[0] or 0
-    mixed = spread_join(held, per.select("h", "main"), "h", "node", most)
+    most, n_per = per.agg(F.max("m"), F.count("*")).first()
+    mixed = spread_join(held, per.select("h", "main"), "h", "node", most or 0, n_per)
     cells = ("node", "home", "c", "n", "u", "pos", "o")
     first = (F.col("home") == F.col("main")) & F.col("safe")
     left = mixed.where(~first).select("h", "main", *[F.col(c).alias(f"x_{c}") for c in cells], F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"))
@@ -404,7 +414,7 @@ def _grouped(docs: DataFrame, width: int) -> DataFrame:
     groups = groups.join(smallest, "root").join(counts, "node", "left").select("node", "class_id", "comp", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
     some = prints.drop("often").where("n > 0")
     none = prints.drop("often").where("n = 0").select("*", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("comp"), F.lit(0).cast("long").alias("n_links"))
-    return spread_join(some, groups, "node", "th").select(*none.columns).unionByName(none)
+    return spread_join(some, groups, "node", "doc_id").select(*none.columns).unionByName(none)
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -43,8 +43,8 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         pairs = lines.groupBy("h1", "h2", "_doc").agg(F.count("*").alias("n"))
         often = pairs.groupBy("h1", "h2").agg(F.min("_doc").alias("keeper"), F.sum("n").alias("lines"), F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     often = stored(often.select("h1", "h2", "keeper", "lines"))
-    most = often.agg(F.max("lines")).first()[0] or 0
-    met = spread_join(lines, often.select("h1", "h2", "keeper"), ["h1", "h2"], "_doc", most)
+    most, n = often.agg(F.max("lines"), F.count("*")).first()
+    met = spread_join(lines, often.select("h1", "h2", "keeper"), ["h1", "h2"], "_doc", most or 0, n)
     drops = stored(met.where("_doc > keeper").groupBy("_doc", "_text").agg(F.sort_array(F.collect_set("pos")).alias("_drop")))
     forget(lines, often)
     return drops
