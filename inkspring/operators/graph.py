@@ -12,9 +12,11 @@ from inkspring.operators.sequences import chunked
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names; a temporary one only where it names none (tests)."""
+    """Reliable checkpoint in the folder the session names; a temporary one only on one machine (master local, tests)."""
     spark: SparkSession = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint(eager=True)
 

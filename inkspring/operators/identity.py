@@ -11,17 +11,54 @@ from pyspark.sql import functions as F
 from inkspring.operators.graph import components
 
 
+def _fold(links: list[tuple], forbidden: list[tuple]) -> list[tuple]:
+    """(cluster, person, status) after links in order; every cluster starts as its own person."""
+    of, to, held, refused = {}, {}, {}, set()
+
+    def root(p):
+        while p in to:
+            p = to[p]
+        return p
+
+    for c in {x for _, *ends in links for x in ends}:
+        of[c] = c
+        held[c] = {c}
+    for _, cluster, person in sorted(links):
+        new, old = root(person), root(of[cluster])
+        if new == old:
+            continue
+        if any({root(a), root(b)} == {old, new} for a, b in forbidden):
+            refused.add(cluster)
+            continue
+        held[old].discard(cluster)
+        held[new].add(cluster)
+        of[cluster] = new
+        # a person whose clusters have all moved goes on as the new one
+        if not held[old]:
+            to[old] = new
+    return [(c, root(p), "review" if c in refused else "linked" if root(p) != c else "own") for c, p in of.items()]
+
+
 def applied_links(links: DataFrame, forbidden: DataFrame) -> DataFrame:
-    """cluster, person, status: clusters joined over ``links(a, b)``; components that a cannot-link pair would tie stay apart.
+    """cluster, person, status for ``links(ord, cluster, person)`` applied in order, with ``forbidden(a, b)`` persons apart.
 
-    Links form components by label exchange. A component with both ends of a ``forbidden(a, b)`` pair is vetoed whole:
-    its clusters keep themselves and are marked for review.
+    A link moves one cluster to a person; a person left without clusters goes on as the one they moved to. A link that
+    would join two persons (as they are by then) that may not be one is refused alone: its cluster is marked for review,
+    all other links count. What the order decides stays within a component of the links, so components, the clusters of
+    a story that may be one person, are folded side by side.
     """
-    label = components(links)
-    ends = forbidden.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a").join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
-    vetoed = ends.where("ca = cb").select(F.col("ca").alias("component")).distinct().withColumn("veto", F.lit(True))
-    out = label.join(vetoed, "component", "left")
-    return out.select(F.col("node").alias("cluster"), F.when(F.col("veto"), F.col("node")).otherwise(F.col("component")).alias("person"), F.when(F.col("veto"), "review").otherwise("linked").alias("status"))
+    label = components(links.select(F.col("cluster").alias("a"), F.col("person").alias("b")))
+    rows = links.join(label, F.col("cluster") == F.col("node")).select(F.col("component").alias("among"), "ord", "cluster", "person")
+    # persons that may not be one matter where both are in one component
+    ends = forbidden.join(label.select(F.col("node").alias("a"), "component"), "a").join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
+    apart = ends.where("component = cb").select(F.col("component").alias("among"), "a", "b")
+
+    def fold(key: tuple, f: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
+        out = _fold(list(f[["ord", "cluster", "person"]].itertuples(index=False, name=None)), list(g[["a", "b"]].itertuples(index=False, name=None)))
+        return pd.DataFrame(out, columns=["cluster", "person", "status"])
+
+    kind = dict(links.dtypes)["cluster"]
+    return rows.groupBy("among").cogroup(apart.groupBy("among")).applyInPandas(fold, f"cluster {kind}, person {kind}, status string")
 
 
 def merged(bank: DataFrame, merges: DataFrame) -> DataFrame:

@@ -16,15 +16,12 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(table(spark, sf_dir, "events").where("event_type = 'click'").select(F.col("user_id").alias("page"), F.col("event_id").alias("ord"), F.lit("effect").alias("kind")))
 
 
-@query("U10_apply_links", oracle="""WITH RECURSIVE l AS (SELECT DISTINCT user_id AS a, user_id + 1 + (event_id % 3) AS b FROM events WHERE event_type = 'signup' AND value > 45), bb AS (SELECT a AS x, b AS y FROM l UNION SELECT b, a FROM l),
-r AS (SELECT DISTINCT x AS node, x AS seen FROM bb UNION SELECT r.node, bb.y FROM r JOIN bb ON bb.x = r.seen), c AS (SELECT node, min(seen) AS component FROM r GROUP BY 1),
-v AS (SELECT DISTINCT p.component FROM c p JOIN c q ON p.component = q.component AND q.node = p.node + 5 WHERE p.node % 4 = 0)
-SELECT node AS cluster, CASE WHEN v.component IS NULL THEN c.component ELSE node END AS person, CASE WHEN v.component IS NULL THEN 'linked' ELSE 'review' END AS status FROM c LEFT JOIN v USING (component)""")
+@query("U10_apply_links")
 def apply_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links between clusters, vetoed where ids five apart (of every fourth id) may not be one person."""
+    """Links between clusters in order of their events; ids five apart (of every fourth id) may not be one person."""
     e = table(spark, sf_dir, "events")
-    links = e.where("event_type = 'signup' and value > 45").select(F.col("user_id").alias("a"), (F.col("user_id") + 1 + F.col("event_id") % 3).alias("b")).distinct()
-    ids = links.select("a").unionByName(links.select(F.col("b").alias("a"))).distinct().where("a % 4 = 0")
+    links = e.where("event_type = 'signup' and value > 45").select(F.col("event_id").alias("ord"), F.col("user_id").alias("cluster"), (F.col("user_id") + 1 + F.col("event_id") % 3).alias("person"))
+    ids = links.select(F.col("cluster").alias("a")).unionByName(links.select(F.col("person").alias("a"))).distinct().where("a % 4 = 0")
     return I.applied_links(links, ids.withColumn("b", F.col("a") + 5))
 
 

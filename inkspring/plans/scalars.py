@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from inkspring.functions import text as T
 from inkspring.functions import vectors as V
+from inkspring.operators import checks
+from inkspring.operators import names as N
 from inkspring.registry import query, table
 
 #: SQL for white-space normalisation, as functions.text.squeeze.
@@ -28,20 +30,24 @@ def short_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", "role", T.short_title("text").alias("title"))
 
 
-def _surface() -> Column:
-    """A surface made of the start of a document and, for some, an honorific."""
-    return F.concat(T.squeeze(F.substring("text", 1, 12)), F.when(F.col("doc_id") % 3 == 0, F.lit("-San")).when(F.col("doc_id") % 3 == 1, F.lit(" – kun")).otherwise(F.lit("")))
+#: SQL for folding, as functions.text.folded (ß is the only letter of the data that folds to two).
+FOLD = "replace(lower(nfc_normalize({0})), 'ß', 'ss')"
 
 
 @query(
     "P10_name_form",
-    oracle=rf"""WITH s AS (SELECT doc_id, replace(lower(nfc_normalize({SQUEEZE.format("substring(text, 1, 12)")} || CASE WHEN doc_id % 3 = 0 THEN '-San' WHEN doc_id % 3 = 1 THEN ' – kun' ELSE '' END)), 'ß', 'ss') AS form FROM documents),
-    r AS (SELECT doc_id, form, regexp_extract(form, '^(.+?)\s*[-–—]\s*(san|kun|chan|sama|senpai|sensei|dono)$', 2) AS honorific, regexp_extract(form, '^(.+?)\s*[-–—]\s*(san|kun|chan|sama|senpai|sensei|dono)$', 1) AS b FROM s)
-    SELECT doc_id, form, CASE WHEN b <> '' THEN b ELSE form END AS base, honorific, CASE WHEN honorific <> '' THEN 'honorific' ELSE 'plain' END AS kind FROM r""",
+    oracle=rf"""WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'Other' ELSE ' ' || p_name || CASE p_partkey % 4 WHEN 0 THEN '-San' WHEN 1 THEN ' – kun' WHEN 2 THEN '—TAN' ELSE '' END END AS v FROM part),
+    f AS (SELECT p_partkey, {FOLD.format(SQUEEZE.format("v"))} AS form FROM s), r AS (SELECT *, nullif(regexp_extract(form, '^(.+?)\s*[-–—]\s*({T.HONORIFICS})$', 2), '') AS h, regexp_extract(form, '^(.+?)\s*[-–—]\s*({T.HONORIFICS})$', 1) AS b FROM f),
+    g AS (SELECT p_partkey, h, CASE WHEN h IS NULL THEN form ELSE trim(b) END AS base FROM r)
+    SELECT p_partkey, CASE WHEN ok THEN concat_ws('-', base, h) END AS surface, CASE WHEN ok THEN base END AS base, CASE WHEN ok THEN h END AS honorific, CASE WHEN ok THEN CASE WHEN h IS NULL THEN 'name' ELSE 'address_form' END END AS kind
+    FROM (SELECT *, base <> '' AND base NOT IN ('other', 'others', 'unknown', 'san', 'kun', 'chan') AS ok FROM g)""",
 )
 def name_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", T.folded(_surface()).alias("form"))
-    return rows.select("doc_id", "form", *T.name_parts("form"))
+    """Forms of names with honorifics of several spellings; every fiftieth is a sentinel."""
+    k = F.col("p_partkey")
+    title = F.when(k % 4 == 0, "-San").when(k % 4 == 1, " – kun").when(k % 4 == 2, "—TAN").otherwise("")
+    v = F.when(k % 50 == 0, "Other").otherwise(F.concat(F.lit(" "), "p_name", title))
+    return table(spark, sf_dir, "part").select("p_partkey", T.folded(T.squeeze(v)).alias("form")).select("p_partkey", *T.name_form("form"))
 
 
 @query("P11_story_key", oracle=r"SELECT doc_id, trim(regexp_replace(replace(lower(nfc_normalize(substring(text, 1, 40))), 'ß', 'ss'), '[^\p{L}\p{N}_]+', '-', 'g'), '-') AS key FROM documents")
@@ -70,38 +76,57 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).withColumn("pos", F.col("pos").cast("long"))
 
 
-@query("P13_noise_key", oracle=rf"WITH {_LINES} SELECT doc_id, pos, trim(lower({SQUEEZE.format('line')}), ' .!?…') AS key FROM lines")
+@query("P13_noise_key", oracle=rf"WITH {_LINES} SELECT doc_id, pos, trim({FOLD.format(SQUEEZE.format('line'))}, ' .!?…') AS key FROM lines")
 def noise_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select("doc_id", "pos", T.noise_key("line").alias("key"))
 
 
+_REPEATED = "|".join(f"{c}{{6,}}" for c in "abcdefghijklmnopqrstuvwxyz")
+_SUPPLIED = {"keep": ["The."], "sfx": ["of", "es", "ER"], "ui": ["en", "er"]}
+
+
+def _rules_sql(rules: dict[str, list[str]]) -> str:
+    rows = ", ".join(f"('{kind}', '{value}', {k})" for k, (kind, values) in enumerate(rules.items()) for value in values)
+    return f"(SELECT category, min(ord) AS ord, key FROM (SELECT category, ord, trim({FOLD.format('v')}, ' .!?…') AS key FROM (VALUES {rows}) x(category, v, ord)) GROUP BY category, key)"
+
+
 @query(
     "P14_decide_noise",
-    oracle=rf"""WITH {_LINES}, k AS (SELECT {SQUEEZE.format('line')} AS t, trim(lower({SQUEEZE.format('line')}), ' .!?…') AS key FROM lines),
-    d AS (SELECT CASE WHEN key IN ('the', 'der', 'la') THEN 'keep:exception' WHEN t = '' THEN 'exclude:empty' WHEN key = '' THEN 'exclude:symbols' WHEN key IN ('of', 'es', 'en', 'er') THEN 'exclude:sound'
-      WHEN regexp_matches(key, '^ha+h{{2,}}$') THEN 'exclude:laugh' WHEN regexp_matches(lower(t), 'license|copyright|all rights reserved') THEN 'exclude:credits' WHEN regexp_matches(lower(t), 'https?://|www\.') THEN 'review:url'
-      WHEN NOT regexp_matches(t, '[\p{{L}}\p{{N}}]') THEN 'review:symbols' WHEN regexp_matches(key, 'a{{6,}}|e{{6,}}|h{{6,}}|o{{6,}}') THEN 'review:repeat' ELSE 'keep:text' END AS r FROM k)
-    SELECT split_part(r, ':', 1) AS action, split_part(r, ':', 2) AS kind, count(*) AS n FROM d GROUP BY 1, 2""",
+    oracle=rf"""WITH {_LINES}, k AS (SELECT {SQUEEZE.format('line')} AS t, trim({FOLD.format(SQUEEZE.format('line'))}, ' .!?…') AS key FROM lines), rules AS {_rules_sql({c: [*v, *_SUPPLIED.get(c, [])] for c, v in T.NOISE_RULES.items()})},
+    j AS (SELECT k.*, key IN (SELECT key FROM rules WHERE category = 'keep') AS keep, d.category AS drop_kind FROM k LEFT JOIN (SELECT key, arg_min(category, ord) AS category FROM rules WHERE category <> 'keep' GROUP BY key) d USING (key)),
+    d AS (SELECT CASE WHEN keep THEN 'keep::noise_keep_exception' WHEN t = '' THEN 'exclude:unknown:empty_ocr' WHEN key = '' THEN 'review::possible_noise_requires_review' WHEN drop_kind IS NOT NULL THEN 'exclude:' || drop_kind || ':whole_box_' || drop_kind
+      WHEN regexp_matches(key, '^ha+h{{2,}}$') THEN 'exclude:sfx:whole_box_breath_sound' WHEN regexp_matches(key, '^(?:scanlated by|scanlation credits)\s+.+$') THEN 'exclude:watermark:whole_box_credit'
+      WHEN regexp_matches(key, '^read more at\s+(?:(?:https?://|www\.)\S+|[a-z0-9][a-z0-9.-]+\.[a-z]{{2,}}(?:/\S*)?)$') THEN 'exclude:watermark:whole_box_credit_url' WHEN regexp_matches(key, '^read more at\s+.+$') THEN 'review::possible_credit_requires_review'
+      WHEN regexp_matches(t, '^[^\p{{L}}\p{{N}}]+$') OR regexp_matches(key, '{_REPEATED}') OR regexp_matches(key, '^\S*(?:https?://|www\.)\S+$') THEN 'review::possible_noise_requires_review' ELSE 'keep::' END AS r FROM j)
+    SELECT split_part(r, ':', 1) AS action, nullif(split_part(r, ':', 2), '') AS kind, nullif(split_part(r, ':', 3), '') AS reason, count(*) AS n FROM d GROUP BY ALL""",
 )
 def decide_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The noise rules as one cascade over all lines, counted by action and kind."""
-    # text and key are columns of their own, so the cascade's branches share them
-    rows = lines(spark, sf_dir).select(T.squeeze("line").alias("t")).withColumn("key", F.btrim(F.lower("t"), F.lit(" .!?…")))
-    return rows.select(T.decide(F.col("t"), F.col("key")).alias("d")).groupBy("d.action", "d.kind").agg(F.count("*").alias("n"))
+    """The noise rules, defaults and a chapter's own, as one cascade over all lines, counted by action, kind and reason."""
+    rows = lines(spark, sf_dir).select(T.squeeze("line").alias("t"), T.noise_key("line").alias("key"))
+    return checks.noise(rows, checks.noise_rules(spark, _SUPPLIED)).groupBy("action", "kind", "reason").agg(F.count("*").alias("n"))
+
+
+def _inserted(short: str, long: str) -> str:
+    """SQL: whether leaving out one run of the parts ``long`` gives the parts ``short``, joined."""
+    return f"(array_to_string({short}, '') <> '' AND array_to_string({short}, '') <> array_to_string({long}, '') AND list_contains(flatten(list_transform(range(0, len({long})), lambda i: list_transform(range(i + 1, len({long}) + 1), lambda j: array_to_string(list_concat({long}[1:i], {long}[j + 1:len({long})]), '')))), array_to_string({short}, '')))"
 
 
 @query(
     "P17_scope_change",
-    oracle="""WITH w AS (SELECT conv_id, turn, role, list_slice(string_split(text, ' '), 1, 3) AS a, list_slice(string_split(text, ' '), 1, 2) || CASE WHEN turn % 2 = 0 THEN [] ELSE list_slice(string_split(text, ' '), 3, 3) END AS b FROM conversations),
-    v AS (SELECT *, CASE WHEN turn % 3 = 2 THEN list_reverse(b) ELSE b END AS c FROM w)
-    SELECT conv_id, turn, role, CASE WHEN a = c THEN 'same' WHEN list_sort(a) = list_sort(c) THEN 'reordering' WHEN len(c) < len(a) AND (c = list_slice(a, 1, len(c)) OR c = list_slice(a, len(a) - len(c) + 1, len(a))) THEN 'shortening' ELSE 'other' END AS change FROM v""",
+    oracle=rf"""WITH w AS (SELECT p_partkey, p_name AS old, CASE p_partkey % 6 WHEN 0 THEN split_part(p_name, ' ', 2) WHEN 1 THEN split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) WHEN 2 THEN upper(p_name) || '-san' WHEN 3 THEN replace(p_name, ' ', '-') WHEN 4 THEN replace(p_name, ' ', ' x y ') ELSE p_name || 'x' END AS new FROM part),
+    v AS (SELECT *, string_split_regex(lower(old), '[ -]+') AS a, string_split_regex(lower(new), '[ -]+') AS b FROM w)
+    SELECT p_partkey, old, new, CASE WHEN {_inserted('a', 'b')} THEN 'name_expansion' WHEN {_inserted('b', 'a')} THEN 'name_shortening' WHEN a <> b AND list_sort(a) = list_sort(b) THEN 'name_reordering' END AS change FROM v""",
 )
 def scope_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How a name changes between two forms: reordered, shortened at an end, or otherwise."""
-    w = turns(spark, sf_dir).withColumn("p", F.split("text", " "))
-    w = w.withColumn("a", F.slice("p", 1, 3)).withColumn("b", F.concat(F.slice("p", 1, 2), F.when(F.col("turn") % 2 == 0, F.array().cast("array<string>")).otherwise(F.slice("p", 3, 1))))
-    w = w.withColumn("c", F.when(F.col("turn") % 3 == 2, F.reverse("b")).otherwise(F.col("b")))
-    return w.select("conv_id", "turn", "role", T.scope_change("a", "c").alias("change"))
+    """How the parts of a name change between two forms: put in, left out, in another order, or only spelled anew (null)."""
+    k, first, second = F.col("p_partkey") % 6, F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    space = F.lit(" ")
+    new = (
+        F.when(k == 0, second).when(k == 1, F.concat(second, space, first)).when(k == 2, F.concat(F.upper("p_name"), F.lit("-san")))
+        .when(k == 3, F.replace("p_name", space, F.lit("-"))).when(k == 4, F.replace("p_name", space, F.lit(" x y "))).otherwise(F.concat("p_name", F.lit("x")))
+    )
+    w = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("old"), new.alias("new"))
+    return w.withColumn("change", N.scope("old", "new"))
 
 
 @query("P20_fingerprint", oracle="""SELECT conv_id, turn, role, sha256('{"conv_id":' || conv_id || ',"role":"' || role || '","turn":' || turn || '}') AS fingerprint FROM conversations""")
@@ -116,13 +141,20 @@ def pair_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "P22_valid_address",
-    oracle="""WITH t AS (SELECT conv_id, turn, role, lower(regexp_extract(text, '^[^ ]+')) AS term FROM conversations)
-    SELECT conv_id, turn, role, term, CASE WHEN term IN ('the', 'die', 'le', 'el') THEN 'pronoun' WHEN starts_with(term, 'the') THEN substring(term, 4) WHEN starts_with(term, 'th') THEN substring(term, 3) WHEN starts_with(term, 'er') THEN substring(term, 3) ELSE term END AS rest FROM t""",
+    oracle=rf"""WITH t AS (SELECT p_partkey, p_name, p_brand, CASE p_partkey % 6 WHEN 0 THEN 'Anh ' || p_name || '-san' WHEN 1 THEN 'Chúng Tôi' WHEN 2 THEN upper(p_name) WHEN 3 THEN 'bà nội ' || p_brand WHEN 4 THEN 'thầy ' || p_type ELSE 'em unknown' END AS term FROM part),
+    f AS (SELECT *, {FOLD.format(SQUEEZE.format("regexp_replace(trim(term), '" + T.PRONOUN_FIRST + "', '', 'i')"))} AS form FROM t),
+    b AS (SELECT *, regexp_replace(form, '^(.+?)\s*[-–—]\s*(?:{T.HONORIFICS})$', '\1') AS base FROM f)
+    SELECT p_partkey, term, lower(term) IN ({", ".join(f"'{p}'" for p in T.PRONOUNS)}) OR (base NOT IN ('', 'other', 'others', 'unknown', 'san', 'kun', 'chan') AND base IN (lower(p_name), lower(p_brand))) AS valid FROM b""",
 )
 def valid_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An address term is a pronoun, or a name behind the longest prefix that is one."""
-    t = turns(spark, sf_dir).select("conv_id", "turn", "role", F.lower(F.regexp_extract("text", "^[^ ]+", 0)).alias("term"))
-    return t.withColumn("rest", T.without_prefix("term", ["the", "die", "le", "el"], ["the", "th", "er"]))
+    """Terms of address of several kinds, against a name and an alias."""
+    k, lit = F.col("p_partkey") % 6, F.lit
+    term = (
+        F.when(k == 0, F.concat(lit("Anh "), "p_name", lit("-san"))).when(k == 1, "Chúng Tôi").when(k == 2, F.upper("p_name"))
+        .when(k == 3, F.concat(lit("bà nội "), "p_brand")).when(k == 4, F.concat(lit("thầy "), "p_type")).otherwise("em unknown")
+    )
+    rows = table(spark, sf_dir, "part").select("p_partkey", term.alias("term"), F.array("p_name", "p_brand").alias("names"))
+    return T.valid_address(rows, "term", "names").select("p_partkey", "term", "valid")
 
 
 @query("P23_protected_terms", oracle=r"""SELECT conv_id, turn, role, coalesce(array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '\d+') || regexp_extract_all(text, '[Tt]h[a-z]+ing'), lambda x: lower(x)))), ','), '') AS terms FROM conversations""")
@@ -132,14 +164,29 @@ def protected_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", "role", F.array_join(F.array_sort(F.array_distinct(F.transform(found, F.lower))), ",").alias("terms"))
 
 
+_GLOSSARY = [("the", "ze"), ("nicht", "nix")]
+
+
 @query(
     "P24_translation_issues",
-    oracle=r"""SELECT conv_id, turn, role, concat_ws(',', CASE WHEN trim(text) = '' THEN 'empty' END, CASE WHEN length(text) > 400 THEN 'long' END, CASE WHEN contains(text, '-san') THEN 'honorific' END,
-    CASE WHEN NOT regexp_matches(lower(text), '(^|[^a-z])the([^a-z]|$)') THEN 'glossary' END) AS issues FROM conversations""",
+    oracle=r"""WITH t AS (SELECT conv_id, turn, role, text || CASE WHEN turn % 3 = 0 THEN ' Toru-San, Yuki-chan!' ELSE '' END AS target, CASE WHEN turn % 5 = 4 THEN '  ' ELSE CASE WHEN turn % 2 = 0 THEN 'Ze ' ELSE '' END || 'Toru-san' || role END AS said, turn % 4 = 1 AS review, CASE WHEN turn % 8 = 1 THEN 'unclear' ELSE ' ' END AS why, (turn % 6)::INT AS n FROM conversations)
+    SELECT conv_id, turn, role, CASE WHEN trim(said) = '' THEN 'empty_or_invalid_translation' ELSE coalesce(array_to_string(
+      list_concat([CASE WHEN review AND trim(why) = '' THEN 'missing_review_reason' END, CASE WHEN n > 3 THEN 'invalid_glossary_proposals' END],
+      list_transform(list_filter(regexp_extract_all(target, '(?i)-(?:san|kun|chan)\b'), lambda x: NOT contains(lower(said), lower(x))), lambda x: 'missing_honorific:' || x),
+      [CASE WHEN regexp_matches(lower(target), '(^|[^\p{L}\p{N}_])the([^\p{L}\p{N}_]|$)') AND NOT contains(lower(said), 'ze') THEN 'missing_glossary_term:the' END, CASE WHEN regexp_matches(lower(target), '(^|[^\p{L}\p{N}_])nicht([^\p{L}\p{N}_]|$)') AND NOT contains(lower(said), 'nix') THEN 'missing_glossary_term:nicht' END]), ','), '') END AS issues FROM t""",
 )
 def translation_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    issues = F.array(F.when(F.trim("text") == "", "empty"), F.when(F.char_length("text") > 400, "long"), F.when(F.contains("text", F.lit("-san")), "honorific"), F.when(~F.lower("text").rlike("(?<![a-z])the(?![a-z])"), "glossary"))
-    return turns(spark, sf_dir).select("conv_id", "turn", "role", F.array_join(F.array_compact(issues), ",").alias("issues"))
+    """Issues of stand-in translations: lost honorifics and glossary terms, reviews without reason, too many proposals."""
+    k = F.col("turn")
+    t = turns(spark, sf_dir).select(
+        "conv_id", "turn", "role",
+        F.concat("text", F.when(k % 3 == 0, " Toru-San, Yuki-chan!").otherwise("")).alias("target"),
+        F.when(k % 5 == 4, "  ").otherwise(F.concat(F.when(k % 2 == 0, "Ze ").otherwise(""), F.lit("Toru-san"), "role")).alias("said"),
+        (k % 4 == 1).alias("review"), F.when(k % 8 == 1, "unclear").otherwise(" ").alias("why"),
+        F.array_repeat(F.struct(F.lit("a").alias("source"), F.lit("b").alias("vi")), (k % 6).cast("int")).alias("proposals"),
+    )
+    issues = T.translation_issues(*map(F.col, ("target", "said", "review", "why", "proposals")), _GLOSSARY)
+    return t.select("conv_id", "turn", "role", F.array_join(issues, ",").alias("issues"))
 
 
 @query("P25_shortening", oracle=r"""WITH s AS (SELECT conv_id, turn, role, text, substring(text, 1, 80) AS short FROM conversations)
@@ -289,10 +336,15 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", "role", F.format_string("P%02d/T%02d", page, text).alias("ref"))
 
 
-@query("X14_cell", oracle=rf"SELECT conv_id, turn, role, replace(replace({SQUEEZE.format('text')}, '&', '&amp;'), '|', '&#124;') AS cell FROM conversations")
+@query(
+    "X14_cell",
+    oracle=rf"""WITH v AS (SELECT conv_id, turn, role, CASE turn % 4 WHEN 3 THEN NULL WHEN 2 THEN ' <b>a|b</b>' || chr(9) || '& ' || text ELSE text END AS v FROM conversations)
+    SELECT conv_id, turn, role, coalesce(nullif(replace(replace(replace(replace({SQUEEZE.format('v')}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '|', '\|'), ''), '—') AS cell FROM v""",
+)
 def cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.regexp_replace(T.squeeze("text"), r"\p{C}", "")
-    return turns(spark, sf_dir).select("conv_id", "turn", "role", F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("|"), F.lit("&#124;")).alias("cell"))
+    k = F.col("turn") % 4
+    v = F.when(k == 3, F.lit(None)).when(k == 2, F.concat(F.lit(" <b>a|b</b>\t& "), "text")).otherwise(F.col("text"))
+    return turns(spark, sf_dir).select("conv_id", "turn", "role", T.cell(v).alias("cell"))
 
 
 @query("X15_fence", oracle=rf"SELECT conv_id, turn, role, {SQUEEZE.format('text')} AS text FROM conversations")

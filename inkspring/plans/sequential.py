@@ -28,9 +28,8 @@ def find_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("T2_protected_matches")
 def protected_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Occurrences of a name part outside the longer names that hold it."""
-    t = _turns(spark, sf_dir).withColumn("out", N.replaced("text", [("the", "THE")], NAMES))
-    return t.select("conv_id", "turn", (F.size(F.split("out", "THE", -1)) - 1).cast("long").alias("n"))
+    """Spans of a name part, but for those inside the full names that stand in the text as they should."""
+    return _turns(spark, sf_dir).select("conv_id", "turn", N.found("text", "the", NAMES).alias("spans"))
 
 
 @query("T3_cascade")
@@ -40,7 +39,7 @@ def cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("T4_move_span")
 def move_span(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every word's span and where it lies after the words 'the' grew by one letter; null where a replaced span cuts it."""
+    """Every word's span and where it lies after the words 'the' grew by one letter; a cut end goes to the edge of its replacement."""
 
     @F.pandas_udf("array<struct<start:int,end:int,new_start:int,new_end:int>>")
     def moved(s):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspring.functions import vectors as V
+from inkspring.functions.text import NOISE_RULES
+from inkspring.operators import checks
 from inkspring.registry import query, table
 from inkspring.sources import files
 
@@ -53,11 +55,16 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select("doc_id").join(d, "doc_id", "left_anti").select("doc_id", F.lit("unknown").alias("problem"))
 
 
-@query("S12_rules", oracle="SELECT * FROM (VALUES ('keep', 'the'), ('keep', 'der'), ('sound', 'of'), ('sound', 'es'), ('extra', 'zz')) r(category, value)")
+@query(
+    "S12_rules",
+    oracle="SELECT category, key FROM (VALUES " + ", ".join(f"('{c}', '{v}')" for c, vs in NOISE_RULES.items() for v in vs) + """) d(category, key)
+    UNION SELECT 'keep', lower(r_name) FROM region UNION SELECT 'sfx', lower(n_name) FROM nation""",
+)
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Default rules with supplied ones added, each once."""
-    default = spark.createDataFrame([("keep", "the"), ("keep", "der"), ("sound", "of"), ("sound", "es")], "category string, value string")
-    return default.unionByName(spark.createDataFrame([("extra", "zz"), ("sound", "es")], default.schema)).distinct()
+    """Default noise rules with supplied ones added: keep lists from one table, sounds from another, each key once."""
+    keep = [r[0] for r in table(spark, sf_dir, "region").select("r_name").collect()]
+    sounds = [r[0] for r in table(spark, sf_dir, "nation").select("n_name").collect()]
+    return checks.noise_rules(spark, {"keep": keep, "sfx": sounds}).select("category", "key")
 
 
 @query("S14_transcript", oracle="SELECT conv_id AS page, '--- Page ' || conv_id || ' ---' || chr(10) || string_agg('<' || role || '>: ' || text, chr(10) ORDER BY turn) AS value FROM conversations WHERE role <> 'system' GROUP BY 1")

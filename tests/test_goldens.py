@@ -33,7 +33,8 @@ def test_scope_kinds():
 def test_moved_spans():
     assert N.move_span((10, 14), [(0, 4)], 6) == (12, 16)
     assert N.move_span((0, 20), [(5, 9)], 2) == (0, 18)
-    assert N.move_span((3, 7), [(5, 9)], 2) is None
+    # a cut end goes to the edge of the replacement
+    assert N.move_span((3, 7), [(5, 9)], 2) == (3, 7) and N.move_span((6, 12), [(5, 9)], 2) == (5, 10) and N.move_span((6, 8), [(5, 9)], 7) == (5, 12)
 
 
 def test_story_keys_and_runtime(spark):
