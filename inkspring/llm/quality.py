@@ -6,9 +6,15 @@ part of the normal equations per fold; the sums are added up row by row of the m
 matrices of fixed size and solves for the ridge weights. Scores of folds left out are counted in bins and fitted by
 isotonic regression, which turns ridge scores into probabilities.
 
-Defined cases: null and empty texts have statistics of zero and are scored like any other; labels that are null or whose
+The model is fitted on at most about FIT_DOCUMENTS labelled documents (``most`` is the parameter), drawn by a hash of
+the id; their ids are a broadcast table of that size, so fitting reads the labelled texts where they lie. All documents
+are scored in one pass.
+
+Defined cases: null and empty texts have statistics of zero and are scored like any other, an empty table gives an empty
+result; texts of any length are read whole, in memory in proportion to their own length; labels that are null or whose
 document is missing are left out; repeated rows of a document are scored alike and each counts once per label row; with
-no labels every score is 0.5, with one kind of label it is that kind; a null doc_id is never held out.
+no labels every score is 0.5, with one kind of label it is that kind; a null doc_id is never held out; a score equal to
+the threshold is accepted, equal ridge scores get equal scores; extra columns keep their values whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stored
+from .common import arrow_map, set_aside, stored
 
 DIM = 256
 RIDGE = 1e-3
@@ -31,6 +37,8 @@ SEED = 11
 FOLDS = 4
 THRESHOLD = 0.3
 HELD_OUT_MOD = 5
+#: Labelled documents that the model is fitted on, at most about.
+FIT_DOCUMENTS = 200_000
 _BINS = 1024
 
 _CLASS = np.full(256, 6, np.uint8)  # others: symbols
@@ -172,18 +180,32 @@ def score_statistics(stats: DataFrame, model: Model, threshold: float = THRESHOL
     return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> DataFrame:
+    """doc_id, text of the documents to fit on: those with a label outside the held-out fold, or a hashed share of them."""
+    known = labels.where("quality is not null and doc_id is not null").where(remainder(F.col("doc_id")) != 0)
+    ids = known.select("doc_id").distinct()
+    n = ids.count()
+    if n > most:
+        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n))
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+
+
+def model_of(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Model:
+    return fit(document_statistics(labelled(docs, labels, most)), labels)
+
+
+def classify(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> DataFrame:
     """Every row of ``docs(doc_id, text)`` with held_out, score (probability of good quality) and predicted."""
-    stats = stored(document_statistics(docs))
-    return score_statistics(stats, fit(stats, labels))
+    return score_statistics(document_statistics(docs), model_of(docs, labels, most))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = FIT_DOCUMENTS) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, all columns as they are."""
-    model = fit(document_statistics(docs), labels)
+    docs, named = set_aside(docs)
+    model = model_of(docs, labels, most)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         x = np.array([statistics(t) for t in b.column("text").to_pylist()]).reshape(-1, N_STATS)
         return b.filter(pa.array(model.score(x) >= threshold))
 
-    return arrow_map(docs, run, docs.schema)
+    return named(arrow_map(docs, run, docs.schema))

@@ -1,21 +1,30 @@
 """Sharding by fixed virtual slots.
 
 Records hash into a fixed number of slots, bytes are summed per slot, and a small versioned map says which shard owns
-a slot. Placing a record is a hash and a lookup; rebalancing edits the map and moves whole slots. Only slot totals (as
-many as SLOTS, however large the data) reach the driver.
+a slot. The map is a stored table of versions: it is written first, and records are placed by the version read back.
+Rebalancing edits the newest version and appends the next; whole slots move. Only slot totals (as many as SLOTS, however
+large the data) reach the driver.
 
-Defined cases: a null text has no bytes and the CRC of the empty text; a null doc_id hashes with its text; repeated
-rows share a slot and get places of their own; an empty table gives an empty result.
+Equal texts are no unit here: under law ``bytes`` they are dealt over the shards like all other rows (a text that a third
+of all rows has would otherwise fill a third of the bytes into one shard of 24).
+
+Defined cases: a null text has no bytes and the CRC of the empty text; texts of any length are one record, never cut; a
+null doc_id hashes with its text; repeated rows share a slot and get places of their own, equal rows in any order; equal
+slots go to the lower shard, the lower slot first; an empty table gives an empty result; extra columns keep their values:
+those called shard or slot are found as shard_before and slot_before.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import shared_dir
+
 SLOTS = 8192
 SHARDS = 24
 OVERHEAD = 8
@@ -89,33 +98,53 @@ def load_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def place(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """Records with their shard and their place in it (0, 1, 2 ... in every shard).
+    """Records with their shard and their place in it (0, 1, 2 ... in every shard), by one version of the map.
 
     The place is the offset of the record's slot in its shard plus its rank in the slot, so no task orders more than
     one slot.
     """
-    starts = table.withColumn("start", F.sum("n").over(W.partitionBy("shard").orderBy("vslot")) - F.col("n")).select("vslot", "shard", "start")
+    starts = table.withColumn("start", F.sum("n").over(W.partitionBy("shard").orderBy("vslot")) - F.col("n")).select("vslot", "shard", "start", "version")
     rank = F.row_number().over(W.partitionBy("vslot").orderBy(F.col("doc_id").asc_nulls_last(), "text_crc32", "size")) - 1
     return rows.withColumn("rank", rank).join(F.broadcast(starts), "vslot").withColumn("slot", (F.col("start") + F.col("rank")).cast("long"))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+def stored_map(spark: SparkSession, rows: DataFrame, shards: int = SHARDS, slots: int = SLOTS, path: str | None = None) -> DataFrame:
+    """The newest version of the map at ``path`` after ``rows(vslot, size)`` were counted into it.
+
+    A path without a map gets version 1; a map that is there is rebalanced for ``shards`` and the new totals, and the
+    edited map becomes its next version. Without a path, the map goes to a place of its own in the shared folder.
+    """
+    path = path or f"{shared_dir(spark)}/shard-map-{uuid.uuid4().hex}"
+    sizes = slot_sizes(rows)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        old = load_map(spark, path).collect()
+        version, shard_of = old[0]["version"] + 1, rebalance({r["vslot"]: r["shard"] for r in old}, sizes, shards)
+    else:
+        version, shard_of = 1, build_map(sizes, shards, slots)
+    save_map(map_table(spark, shard_of, sizes, version), path)
+    return load_map(spark, path)
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot (place in the shard), grown_shard, virtual_slot, map_version."""
     rows = records(docs, slots)
-    sizes = slot_sizes(rows)
-    table = map_table(docs.sparkSession, build_map(sizes, shards, slots), sizes)
-    return place(rows, table).select(
+    return place(rows, stored_map(docs.sparkSession, rows, shards, slots, path)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), F.col("vslot").alias("virtual_slot"), F.lit(1).alias("map_version"),
+        F.lit(None).cast("int").alias("grown_shard"), F.col("vslot").alias("virtual_slot"), F.col("version").alias("map_version"),
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """``docs`` with shard and slot (its place in the shard); columns of these names are replaced."""
-    docs = docs.drop("shard", "slot")
+def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, path: str | None = None) -> DataFrame:
+    """``docs`` with shard and slot (its place in the shard)."""
+    taken, names = set(docs.columns), {}
+    for c in ("shard", "slot"):
+        if c in taken:
+            names[c] = f"{c}_before"
+            while names[c] in taken:
+                names[c] += "_"
+    docs = docs.withColumnsRenamed(names)
     text = F.coalesce("text", F.lit(""))
     whole = docs.select(F.struct("*").alias("_row"), "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    rows = whole.withColumn("vslot", virtual_slot(slots))
-    sizes = slot_sizes(records(docs, slots))
-    table = map_table(docs.sparkSession, build_map(sizes, shards, slots), sizes)
-    return place(rows, table).select("_row.*", "shard", "slot")
+    table = stored_map(docs.sparkSession, records(docs, slots), shards, slots, path)
+    return place(whole.withColumn("vslot", virtual_slot(slots)), table).select("_row.*", "shard", "slot")

@@ -46,3 +46,42 @@ def test_rebalance_moves_little_and_versions_stay(spark, tmp_path):
     sharding.save_map(sharding.map_table(spark, two, sizes, 2), str(tmp_path / "m"))
     now = sharding.load_map(spark, str(tmp_path / "m"))
     assert {r["vslot"]: r["shard"] for r in now.collect()} == two
+
+
+def test_placement_is_that_of_the_map(spark, sf):
+    """Every row's shard and place computed again from the slots alone."""
+    docs = sharding.records(table(spark, sf, "documents"), 64)
+    rows = [r.asDict() for r in docs.collect()]
+    held = defaultdict(int)
+    for r in rows:
+        held[r["vslot"]] += r["size"]
+    load, owner = [0] * 5, {}
+    for s in sorted(range(64), key=lambda s: (-held[s], s)):
+        k = min(range(5), key=lambda k: (load[k], k))
+        owner[s] = k
+        load[k] += held[s]
+    want, next_place = {}, defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r["vslot"], r["doc_id"], r["text_crc32"])):
+        k = owner[r["vslot"]]
+        want[r["doc_id"]] = (k, next_place[k], r["vslot"], 1)
+        next_place[k] += 1
+    got = sharding.shard(table(spark, sf, "documents"), shards=5, slots=64).collect()
+    assert {r["doc_id"]: (r["shard"], r["slot"], r["virtual_slot"], r["map_version"]) for r in got} == want
+
+
+def test_a_stored_map_is_edited(spark, sf, tmp_path):
+    docs, path = table(spark, sf, "documents"), str(tmp_path / "map")
+    one = {r["doc_id"]: r for r in sharding.shard(docs, shards=4, slots=512, path=path).collect()}
+    two = {r["doc_id"]: r for r in sharding.shard(docs, shards=5, slots=512, path=path).collect()}
+    assert {r["map_version"] for r in one.values()} == {1} and {r["map_version"] for r in two.values()} == {2}
+    moved = [i for i in one if one[i]["shard"] != two[i]["shard"]]
+    assert 0 < len(moved) < 0.4 * len(one) and {r["shard"] for r in two.values()} == set(range(5))
+    assert {r["version"] for r in spark.read.parquet(path).select("version").distinct().collect()} == {1, 2}
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(i, f"t{i}", "a", 7, 8, 9) for i in range(6)], "doc_id long, text string, shard string, slot int, slot_before int, vslot int")
+    assert sharding.shard(df, shards=2, slots=16).count() == 6
+    out = sharding.shard_documents(df, shards=2, slots=16)
+    assert out.columns == ["doc_id", "text", "shard_before", "slot_before_", "slot_before", "vslot", "shard", "slot"]
+    assert {tuple(r)[2:6] for r in out.collect()} == {("a", 7, 8, 9)}
