@@ -90,20 +90,10 @@ def ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.ancestors(spark.createDataFrame([s for s in STAGES if s[1]], "step string, needs string"))
 
 
-@query("X4_threshold_clusters", oracle="""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id < 100000), e AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id % 20 = y.vec_id % 20 AND x.vec_id <> y.vec_id WHERE round(list_distance(x.v, y.v), 5) < 1.15),
+@query("X4_threshold_clusters", oracle="""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), e AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id WHERE round(list_distance(x.v, y.v), 5) < 1.15),
 r AS (SELECT vec_id AS node, vec_id AS seen FROM v UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen), c AS (SELECT node, min(seen) AS first FROM r GROUP BY 1) SELECT node AS vec_id, first FROM c""")
 def threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clusters of vectors (in blocks of ids) nearer than a threshold, named by their first member."""
-    from inkspring.operators.registry import pair_distances
-
-    e = table(spark, sf_dir, "embeddings").withColumn("block", F.col("vec_id") % 20)
-    near = pair_distances(e, "block", "vec_id", "embedding").where("d < 1.15").select("a", "b")
-    return e.select("vec_id").join(G.components(near).withColumnRenamed("node", "vec_id"), "vec_id", "left").select("vec_id", F.coalesce("component", "vec_id").alias("first"))
-
-
-@query("X4_threshold_clusters_whole")
-def threshold_clusters_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clusters over all vectors: any two nearer than the threshold are linked, whatever their ids (X4's SQL compares blocks of ids)."""
+    """Clusters over all vectors: any two nearer than the threshold are linked; named by their first member."""
     return vector_clusters(table(spark, sf_dir, "embeddings"), 1.15)
 
 

@@ -69,40 +69,31 @@ def scope_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 _E = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
 
 
+_MEANS = f"{_E}, x AS (SELECT label, i, avg(v[i]) AS m FROM e, range(1, 65) t(i) GROUP BY 1, 2), c AS (SELECT label, list(m ORDER BY i) AS m FROM x GROUP BY 1)"
+
+
 @query(
     "J13_nearest_anchor",
-    oracle=f"""WITH {_E}, d AS (SELECT x.vec_id, y.label AS person, min(round(list_distance(x.v, y.v), 5)) AS d FROM e x, e y WHERE x.vec_id % 10 = 1 AND y.vec_id % 10 = 0 GROUP BY 1, 2),
+    oracle=f"""WITH {_MEANS}, a AS (SELECT label, v FROM (SELECT label, v, row_number() OVER (PARTITION BY label ORDER BY round(list_distance(v, m), 5), vec_id) AS k FROM e JOIN c USING (label)) WHERE k <= 4),
+    d AS (SELECT x.vec_id, a.label AS person, min(round(list_distance(x.v, a.v), 5)) AS d FROM e x, a GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, person) AS k FROM d WHERE d < 1.3) SELECT vec_id, person, d AS distance FROM r WHERE k = 1""",
 )
 def nearest_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unnamed crops to the identity of the nearest anchor under a threshold; ties to the lowest identity."""
+    """Every crop to the identity of the nearest anchor under a threshold, ties to the lowest identity; anchors are the
+    four crops nearest to each identity's mean."""
     e = table(spark, sf_dir, "embeddings")
-    return R.nearest(e.where("vec_id % 10 = 1").select("vec_id", "embedding"), e.where("vec_id % 10 = 0").select(F.col("label").alias("person"), "embedding"), 1.3)
+    best = Q.nearest_to_mean(e, "label", "vec_id", "embedding", 4).select("label", "vec_id")
+    anchors = e.join(F.broadcast(best), ["label", "vec_id"]).select(F.col("label").alias("person"), "embedding")
+    return R.nearest(e.select("vec_id", "embedding"), anchors, 1.3)
 
 
 @query(
     "J14_candidate_scores",
-    oracle=f"""WITH {_E}, x AS (SELECT label, i, avg(v[i]) AS m FROM e, range(1, 65) t(i) GROUP BY 1, 2), c AS (SELECT label AS candidate, list(m ORDER BY i) AS m FROM x GROUP BY 1)
-    SELECT vec_id, candidate, round(list_distance(v, m), 5) AS score, row_number() OVER (PARTITION BY vec_id ORDER BY round(list_distance(v, m), 5), candidate) AS place FROM e, c WHERE vec_id % 5 = 0""",
+    oracle=f"""WITH {_MEANS}
+    SELECT vec_id, c.label AS candidate, round(list_distance(v, m), 5) AS score, row_number() OVER (PARTITION BY vec_id ORDER BY round(list_distance(v, m), 5), c.label) AS place FROM e, c""",
 )
 def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations against the mean vector of every identity (a table of identities, broadcast by size)."""
-    e = table(spark, sf_dir, "embeddings")
-    return R.scores(e.where("vec_id % 5 = 0").select("vec_id", "embedding"), R.means(e, "label", "embedding").withColumnRenamed("label", "candidate"))
-
-
-@query("J13_nearest_anchor_whole")
-def nearest_anchor_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every crop against the anchors of all identities, the four crops nearest to each identity's mean (J13's SQL takes crops by their ids)."""
-    e = table(spark, sf_dir, "embeddings")
-    best = Q.nearest_to_mean(e, "label", "vec_id", "embedding", 4).select("label", "vec_id")
-    anchors = e.join(F.broadcast(best), ["label", "vec_id"]).select(F.col("label").alias("person"), "embedding")
-    return R.nearest(e.select("vec_id", "embedding"), anchors, 1.3)
-
-
-@query("J14_candidate_scores_whole")
-def candidate_scores_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every observation against the mean vector of every identity (J14's SQL scores each fifth)."""
+    """Every observation against the mean vector of every identity (a table of identities, broadcast by size)."""
     e = table(spark, sf_dir, "embeddings")
     return R.scores(e.select("vec_id", "embedding"), R.means(e, "label", "embedding").withColumnRenamed("label", "candidate"))
 

@@ -50,20 +50,15 @@ def name_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", T.folded(T.squeeze(v)).alias("form")).select("p_partkey", *T.name_form("form"))
 
 
-@query("P11_story_key", oracle=r"SELECT doc_id, trim(regexp_replace(replace(lower(nfc_normalize(substring(text, 1, 40))), 'ß', 'ss'), '[^\p{L}\p{N}_]+', '-', 'g'), '-') AS key FROM documents")
+@query("P11_story_key", oracle=r"SELECT doc_id, trim(regexp_replace(replace(lower(nfc_normalize(text)), 'ß', 'ss'), '[^\p{L}\p{N}_]+', '-', 'g'), '-') AS key FROM documents")
 def story_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", _story_key(F.substring("text", 1, 40)).alias("key"))
+    return table(spark, sf_dir, "documents").select("doc_id", _story_key(F.col("text")).alias("key"))
 
 
 def _story_key(c: Column) -> Column:
     return F.btrim(F.regexp_replace(T.folded(c), r"[^\p{L}\p{N}_]+", "-"), F.lit("-"))
 
 
-@query("P11_story_key_whole")
-def story_key_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", _story_key(F.col("text")).alias("key"))
-
-
 @query("P12_squeeze", oracle=rf"SELECT conv_id, turn, role, {SQUEEZE.format('text')} AS text FROM conversations")
 def squeeze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", "role", T.squeeze("text").alias("text"))
@@ -216,13 +211,8 @@ def projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-@query("P31_oom_and_scrub", oracle="SELECT doc_id, regexp_matches(text, 'out of memory|oom|heean') AS oom, regexp_replace(substring(text, 1, 60), '[<>|{}\"]', '', 'g') AS safe FROM documents")
+@query("P31_oom_and_scrub", oracle="SELECT doc_id, regexp_matches(text, 'out of memory|oom|heean') AS oom, regexp_replace(text, '[<>|{}\"]', '', 'g') AS safe FROM documents")
 def oom_and_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.rlike("text", F.lit("out of memory|oom|heean")).alias("oom"), F.regexp_replace(F.substring("text", 1, 60), '[<>|{}"]', "").alias("safe"))
-
-
-@query("P31_oom_and_scrub_whole")
-def oom_and_scrub_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.rlike("text", F.lit("out of memory|oom|heean")).alias("oom"), F.regexp_replace("text", '[<>|{}"]', "").alias("safe"))
 
 
@@ -243,13 +233,8 @@ def conclude(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", "role", F.when(F.col("role").isin("user", "assistant") & (F.char_length("text") <= 120), F.col("role")).otherwise("unknown").alias("label"))
 
 
-@query("T7_folding", oracle="SELECT doc_id, replace(lower(nfc_normalize(substring(text, 1, 80))), 'ß', 'ss') AS folded, lower(substring(text, 1, 80)) AS low FROM documents")
+@query("T7_folding", oracle="SELECT doc_id, replace(lower(nfc_normalize(text)), 'ß', 'ss') AS folded, lower(text) AS low FROM documents")
 def folding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.folded(F.substring("text", 1, 80)).alias("folded"), F.lower(F.substring("text", 1, 80)).alias("low"))
-
-
-@query("T7_folding_whole")
-def folding_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.folded("text").alias("folded"), F.lower("text").alias("low"))
 
 
@@ -268,9 +253,9 @@ def id_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", F.substring_index(F.concat("c_name", F.lit(":c"), "c_nationkey"), ":c", 1).alias("prefix"))
 
 
-@query("T12_cell_escape", oracle=r"SELECT doc_id, replace(replace(replace(replace(substring(text, 1, 200), '&', '&amp;'), '<', '&lt;'), '|', '\|'), chr(10), ' ') AS cell FROM documents")
+@query("T12_cell_escape", oracle=r"SELECT doc_id, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '|', '\|'), chr(10), ' ') AS cell FROM documents")
 def cell_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", _cell(F.substring("text", 1, 200)).alias("cell"))
+    return table(spark, sf_dir, "documents").select("doc_id", _cell(F.col("text")).alias("cell"))
 
 
 def _cell(c: Column) -> Column:
@@ -279,11 +264,6 @@ def _cell(c: Column) -> Column:
     return c
 
 
-@query("T12_cell_escape_whole")
-def cell_escape_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", _cell(F.col("text")).alias("cell"))
-
-
 @query("D1_timestamps", oracle="SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, strftime(ts, '%Y%m%d-%H%M%S') AS run_id FROM events")
 def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"), F.date_format("ts", "yyyyMMdd-HHmmss").alias("run_id"))
@@ -354,17 +334,8 @@ def fence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", "role", T.squeeze(T.unfenced(fenced)).alias("text"))
 
 
-@query("X16_token_length", oracle="""WITH c AS (SELECT doc_id, string_split(substring(text, 1, 50), '') AS t FROM documents)
-SELECT doc_id, CASE WHEN list_position(t, '.') > 0 THEN list_position(t, '.') - 1 ELSE len(t) END AS n, coalesce(list_position(t, '.'), 0) = 0 AS truncated, coalesce(list_position(t, '.'), 0) = 1 AS empty FROM c""")
+@query("X16_token_length", oracle="SELECT doc_id, CASE WHEN contains(text, '.') THEN strpos(text, '.') - 1 ELSE length(text) END AS n, NOT contains(text, '.') AS truncated, starts_with(text, '.') AS empty FROM documents")
 def token_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Length of a sequence up to its end mark, and whether the mark is missing or first."""
-    c = table(spark, sf_dir, "documents").select("doc_id", F.split(F.substring("text", 1, 50), "").alias("t"))
-    c = c.withColumn("p", F.array_position("t", "."))
-    return c.select("doc_id", F.when(F.col("p") > 0, F.col("p") - 1).otherwise(F.size("t")).cast("long").alias("n"), (F.col("p") == 0).alias("truncated"), (F.col("p") == 1).alias("empty"))
-
-
-@query("X16_token_length_whole")
-def token_length_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of a whole text up to its end mark, and whether the mark is missing or first."""
     p = F.instr("text", F.lit("."))
     return table(spark, sf_dir, "documents").select("doc_id", F.when(p > 0, p - 1).otherwise(F.char_length("text")).cast("long").alias("n"), (p == 0).alias("truncated"), (p == 1).alias("empty"))

@@ -67,13 +67,8 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _turns(spark, sf_dir).select("conv_id", "turn", units("text").alias("u")).select("conv_id", "turn", "u.key", "u.starts", "u.ends")
 
 
-@query("P16_name_parts", oracle=r"SELECT conv_id, turn, regexp_matches(substring(text, 1, 1), '[\p{L}\p{N}\p{M}]|_') AS word, len(string_split_regex(substring(text, 1, 60), '[ \-]+')) AS parts FROM conversations")
+@query("P16_name_parts", oracle=r"SELECT conv_id, turn, regexp_matches(substring(text, 1, 1), '[\p{L}\p{N}\p{M}]|_') AS word, len(string_split_regex(text, '[ \-]+')) AS parts FROM conversations")
 def name_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _turns(spark, sf_dir).select("conv_id", "turn", F.rlike(F.substring("text", 1, 1), F.lit(r"[\p{L}\p{N}\p{M}]|_")).alias("word"), F.size(F.split(F.substring("text", 1, 60), r"[ \-]+", -1)).cast("long").alias("parts"))
-
-
-@query("P16_name_parts_whole")
-def name_parts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _turns(spark, sf_dir).select("conv_id", "turn", F.rlike(F.substring("text", 1, 1), F.lit(r"[\p{L}\p{N}\p{M}]|_")).alias("word"), F.size(F.split("text", r"[ \-]+", -1)).cast("long").alias("parts"))
 
 
@@ -88,7 +83,7 @@ def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("W15_page_plan")
 def page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = boxes(spark, sf_dir)
-    c = b.select("page", F.col("ord").alias("detection"), F.lit(0).alias("panel"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("person"), "price").withColumn("score", F.abs(F.col("price") - 25000 * F.col("person")))
+    c = b.select("page", F.col("ord").alias("detection"), F.floor(F.col("x1") / 20).cast("int").alias("panel"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("person"), "price").withColumn("score", F.abs(F.col("price") - 25000 * F.col("person")))
     out = pa.schema([("page", pa.int64()), ("detection", pa.int32()), ("person", pa.int32())])
     return S.folded(c.select("page", "detection", "person", "panel", "score"), "page", ["detection", "person"], S.page_plan, "page long, detection int, person int", out)
 

@@ -122,19 +122,11 @@ def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.spread(events(spark, sf_dir), "user_id", ["ts", "event_id"], 5).select("user_id", "event_id", "pos")
 
 
-@query("W18_reading_pages", oracle="""WITH u AS (SELECT conv_id, turn, 0 AS kind, length(text) AS n FROM conversations UNION ALL SELECT event_id % 100, user_id % 8, 1, length(props) FROM events WHERE event_id % 97 = 0)
+@query("W18_reading_pages", oracle="""WITH u AS (SELECT conv_id, turn, 0 AS kind, length(text) AS n FROM conversations UNION ALL SELECT event_id % 100, user_id % 8, 1, length(props) FROM events)
 SELECT conv_id, turn, kind, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn, kind, n) AS place FROM u""")
 def reading_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Utterances and effects of a page merged in reading order."""
     a = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit(0).alias("kind"), F.char_length("text").cast("long").alias("n"))
-    b = table(spark, sf_dir, "events").where("event_id % 97 = 0").select((F.col("event_id") % 100).alias("conv_id"), (F.col("user_id") % 8).alias("turn"), F.lit(1).alias("kind"), F.char_length("props").cast("long").alias("n"))
-    return a.unionByName(b).withColumn("place", F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "kind", "n")).cast("long"))
-
-
-@query("W18_reading_pages_whole")
-def reading_pages_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Utterances merged with all events (W18's SQL takes one of 97)."""
-    a = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit(0).alias("kind"), F.char_length("text").cast("long").alias("n"))
     b = table(spark, sf_dir, "events").select((F.col("event_id") % 100).alias("conv_id"), (F.col("user_id") % 8).alias("turn"), F.lit(1).alias("kind"), F.char_length("props").cast("long").alias("n"))
     return a.unionByName(b).withColumn("place", F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "kind", "n")).cast("long"))
 

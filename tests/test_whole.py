@@ -39,7 +39,7 @@ def clusters(ids, near):
 def test_clusters_link_any_two_near_vectors(spark, sf, vectors):
     ids, _, _, d = vectors
     want = clusters(ids, d < 1.15)
-    assert {r["vec_id"]: r["first"] for r in QUERIES["X4_threshold_clusters_whole"](spark, sf).collect()} == want
+    assert {r["vec_id"]: r["first"] for r in QUERIES["X4_threshold_clusters"](spark, sf).collect()} == want
     # cut by many blocks, and at a limit that leaves many clusters
     e = table(spark, sf, "embeddings")
     for limit in (1.15, 1.0):
@@ -65,7 +65,7 @@ def test_every_crop_takes_part(spark, sf, vectors):
     names = sorted(set(labels))
     means = np.array([x[[k == n for k in labels]].mean(axis=0) for n in names])
     to_mean = np.sqrt(((x[:, None] - means[None]) ** 2).sum(axis=2)).round(5)
-    scores = {(r["vec_id"], r["candidate"]): (r["score"], r["place"]) for r in QUERIES["J14_candidate_scores_whole"](spark, sf).collect()}
+    scores = {(r["vec_id"], r["candidate"]): (r["score"], r["place"]) for r in QUERIES["J14_candidate_scores"](spark, sf).collect()}
     assert len(scores) == len(ids) * len(names)
     for i, v in enumerate(ids):
         order = sorted((to_mean[i, k], n) for k, n in enumerate(names))
@@ -76,7 +76,7 @@ def test_every_crop_takes_part(spark, sf, vectors):
         best = min((round(float(np.sqrt(((x[i] - x[j]) ** 2).sum())), 5), n) for n, j in anchors)
         if best[0] < 1.3:
             want[v] = best
-    assert {r["vec_id"]: (r["distance"], r["person"]) for r in QUERIES["J13_nearest_anchor_whole"](spark, sf).collect()} == want
+    assert {r["vec_id"]: (r["distance"], r["person"]) for r in QUERIES["J13_nearest_anchor"](spark, sf).collect()} == want
 
 
 def test_every_event_has_a_place(spark, sf):
@@ -86,7 +86,7 @@ def test_every_event_has_a_place(spark, sf):
     for r in sorted(rows):
         place[r[0]] = place.get(r[0], 0) + 1
         want.append((*r, place[r[0]]))
-    assert sorted((r["conv_id"], r["turn"], r["kind"], r["n"], r["place"]) for r in QUERIES["W18_reading_pages_whole"](spark, sf).collect()) == sorted(want)
+    assert sorted((r["conv_id"], r["turn"], r["kind"], r["n"], r["place"]) for r in QUERIES["W18_reading_pages"](spark, sf).collect()) == sorted(want)
 
 
 def test_consensus_looks_at_all_vectors(spark, sf, vectors):
@@ -130,7 +130,7 @@ def test_texts_are_taken_whole(spark, sf):
 
     turns = {(r["conv_id"], r["turn"]): r["text"] for r in table(spark, sf, "conversations").collect()}
     of = lambda name: {(r["conv_id"], r["turn"]): r for r in QUERIES[name](spark, sf).collect()}
-    units, parts, ranges, lines, sizes = map(of, ("P15_units", "P16_name_parts_whole", "W22_allocate", "W23_fit_lines", "W24_font_search"))
+    units, parts, ranges, lines, sizes = map(of, ("P15_units", "P16_name_parts", "W22_allocate", "W23_fit_lines", "W24_font_search"))
     assert any(len(t) > 200 for t in turns.values()) and any(len(t.split()) > 40 for t in turns.values())
     for k, t in turns.items():
         w = t.split()
@@ -156,7 +156,7 @@ def test_allocate_finds_the_least_cost():
 def test_documents_are_taken_whole(spark, sf):
     docs = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").collect()}
     of = lambda name: {r["doc_id"]: r for r in QUERIES[name](spark, sf).collect()}
-    key, safe, fold, cell, mark = map(of, ("P11_story_key_whole", "P31_oom_and_scrub_whole", "T7_folding_whole", "T12_cell_escape_whole", "X16_token_length_whole"))
+    key, safe, fold, cell, mark = map(of, ("P11_story_key", "P31_oom_and_scrub", "T7_folding", "T12_cell_escape", "X16_token_length"))
     assert any(len(t) > 200 for t in docs.values())
     for i, t in docs.items():
         low = unicodedata.normalize("NFC", t).lower().replace("ß", "ss")
