@@ -78,3 +78,22 @@ def connections(turns: DataFrame) -> DataFrame:
     after = turns.select("conv_id", "turn", F.lead("turn").over(W.partitionBy("conv_id").orderBy("turn")).alias("next"))
     contains = turns.select(F.lit("contains").alias("type"), F.concat(F.lit("conv:"), "conv_id").alias("src"), node("turn").alias("dst"))
     return contains.unionByName(after.where("next is not null").select(F.lit("next").alias("type"), node("turn").alias("src"), node("next").alias("dst"))).where("src <> dst").distinct()
+
+
+def halved(rows: DataFrame, key: str, order: str, cost: str, limit: int) -> DataFrame:
+    """``rows`` with node: the part of their request in which they are answered.
+
+    A request above the limit is cut in two halves by count, the halves again, until each fits or is one row; node names
+    the way there. The rounds are as many as halvings; each is one window over the parts that are still too large.
+    """
+    live, done = rows.withColumn("node", F.lit("")), None
+    while True:
+        part = W.partitionBy(key, "node")
+        sized = live.withColumn("_n", F.count("*").over(part)).withColumn("_sum", F.sum(cost).over(part)).withColumn("_k", F.row_number().over(part.orderBy(order)) - 1)
+        over = (F.col("_sum") > limit) & (F.col("_n") > 1)
+        fine = sized.where(~over).select(*live.columns)
+        done = fine if done is None else done.unionByName(fine)
+        cut = sized.where(over).withColumn("node", F.concat("node", F.when(F.col("_k") < F.floor(F.col("_n") / 2), ":split:0").otherwise(":split:1"))).select(*live.columns)
+        live = _cut(cut)
+        if live.isEmpty():
+            return done

@@ -73,3 +73,17 @@ def pending(rows: DataFrame, keys: list[str], page: str, gap: int) -> DataFrame:
     out = rows.withColumn("_next", after).join(F.broadcast(last))
     state = F.when(F.col("_next") - F.col(page) <= gap, "promoted").when(F.col(page) < F.col("_last") - gap, "closed").otherwise("pending")
     return out.withColumn("state", state).drop("_next", "_last")
+
+
+def fitted(rows: DataFrame, key: str, order: str, kind: str, cost: str, limit: int) -> DataFrame:
+    """``rows`` with kept and fits: what a request may hold, its targets untouched.
+
+    ``kind`` is target, support or context. If all is too much, the oldest support goes first; if that is not enough
+    without any support, context goes as well; fits is false where the targets alone are too much.
+    """
+    w = W.partitionBy(key)
+    part = lambda k: F.coalesce(F.sum(F.when(F.col(kind) == k, F.col(cost))).over(w), F.lit(0))
+    newer = F.coalesce(F.sum(F.when(F.col(kind) == "support", F.col(cost))).over(w.orderBy(F.col(order).desc()).rangeBetween(W.unboundedPreceding, 0)), F.lit(0))
+    all_but = part("target") + part("context")
+    keep = F.when(F.col(kind) == "support", newer + all_but <= limit).when(F.col(kind) == "context", all_but <= limit).otherwise(True)
+    return rows.withColumn("kept", keep).withColumn("fits", part("target") <= limit)

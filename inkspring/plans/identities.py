@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from inkspring.operators import graph as G
 from inkspring.operators import identity as I
 from inkspring.operators import providers as P
+from inkspring.operators import sequences as Q
 from inkspring.registry import query, table
 
 
@@ -56,11 +59,61 @@ def provider_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.answered(table(spark, sf_dir, "events").select(F.col("event_id").alias("key"), F.col("props").alias("request")), P.Fixed())
 
 
-@query("C11_fit_request", oracle="SELECT conv_id, turn, floor(coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 1500)::BIGINT AS batch FROM conversations")
+@query(
+    "C11_fit_request",
+    oracle="""WITH t AS (SELECT conv_id, turn, length(text) AS cost, CASE WHEN turn = max(turn) OVER (PARTITION BY conv_id) THEN 'target' WHEN turn % 3 = 0 THEN 'context' ELSE 'support' END AS kind FROM conversations),
+    s AS (SELECT *, coalesce(sum(cost) FILTER (kind = 'target') OVER (PARTITION BY conv_id), 0) AS ts, coalesce(sum(cost) FILTER (kind = 'context') OVER (PARTITION BY conv_id), 0) AS cs, coalesce(sum(cost) FILTER (kind = 'support') OVER (PARTITION BY conv_id ORDER BY turn DESC), 0) AS newer FROM t)
+    SELECT conv_id, turn, kind, CASE kind WHEN 'support' THEN newer + ts + cs <= 1500 WHEN 'context' THEN ts + cs <= 1500 ELSE TRUE END AS kept, ts <= 1500 AS fits FROM s""",
+)
 def fit_request(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns dealt to requests of bounded size."""
+    """The last turn as target: the oldest support goes first, then the context."""
+    last = F.col("turn") == F.max("turn").over(W.partitionBy("conv_id"))
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.char_length("text").alias("cost"), F.when(last, "target").when(F.col("turn") % 3 == 0, "context").otherwise("support").alias("kind"))
+    return Q.fitted(t, "conv_id", "turn", "kind", "cost", 1500).select("conv_id", "turn", "kind", "kept", "fits")
+
+
+@query(
+    "C12_recovery_tree",
+    oracle="""WITH RECURSIVE t AS (SELECT conv_id, turn, length(text) AS cost, '' AS node FROM conversations), r AS (SELECT *, 0 AS depth FROM t UNION ALL
+      SELECT conv_id, turn, cost, node || CASE WHEN k < n // 2 THEN ':split:0' ELSE ':split:1' END, depth + 1 FROM (SELECT *, count(*) OVER (PARTITION BY conv_id, node, depth) AS n, sum(cost) OVER (PARTITION BY conv_id, node, depth) AS s, row_number() OVER (PARTITION BY conv_id, node, depth ORDER BY turn) - 1 AS k FROM r) WHERE s > 900 AND n > 1)
+    SELECT conv_id, turn, arg_max(node, depth) AS node FROM r GROUP BY 1, 2""",
+)
+def recovery_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests above a budget halved until they fit or are one turn."""
     t = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.char_length("text").alias("cost"))
-    return P.batches(t, "conv_id", "turn", "cost", 1500).select("conv_id", "turn", "batch")
+    return G.halved(t, "conv_id", "turn", "cost", 900).select("conv_id", "turn", "node")
+
+
+@query("C14_cache_key", oracle="SELECT event_id, sha256('v1' || chr(31) || props || chr(31) || sha256(event_type) || chr(31) || '512') AS key FROM events")
+def cache_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key under which a rendered packet is kept: policy, packet, source digest and size limit."""
+    return table(spark, sf_dir, "events").select("event_id", F.sha2(F.concat_ws(chr(31), F.lit("v1"), "props", F.sha2(F.col("event_type"), 256), F.lit("512")), 256).alias("key"))
+
+
+def _register_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """Users as bank characters, two a person; their events as mentions of name groups."""
+    e = table(spark, sf_dir, "events")
+    user, k = F.col("user_id"), F.col("event_id")
+    kind = F.when(k % 5 == 0, "introduction").when(k % 5 < 3, "direct_address").otherwise("reference")
+    mentions = e.select(k.alias("ord"), F.expr("event_id div 2").alias("occurrence"), kind.alias("mtype"), (F.col("value") > 12).alias("confirmed"), F.concat(F.lit("g"), (F.expr("user_id div 2") * 3 + k % 2) % 9).alias("group_id"), (user - user % 2).alias("person"))
+    members = e.select(user.alias("mid"), (user - user % 2).alias("person")).distinct()
+    crops = e.where("value > 5").groupBy(user.alias("mid")).agg(F.count("*").alias("n"))
+    groups = spark.createDataFrame([(f"g{i}", f"Name {i}") for i in range(8)], "group_id string, canonical_name string")
+    named = members.where("person % 20 = 0").select("person").distinct()
+    anchors = spark.createDataFrame([("g0", 0), ("g1", 20), ("g1", 40), ("g2", 2)], "group_id string, person long")
+    return mentions, members, crops, groups, named, anchors
+
+
+@query("U11_register")
+def register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which name group every bank character's mentions choose, and whether it may be used."""
+    return I.registered(*_register_inputs(spark, sf_dir))[0]
+
+
+@query("U11_register_names")
+def register_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of persons after the proposed links."""
+    return I.registered(*_register_inputs(spark, sf_dir))[2]
 
 
 @query("R2_nest_and_unnest", oracle="SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'R'")

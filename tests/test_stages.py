@@ -173,3 +173,66 @@ def test_links_query(spark, sf):
     ids = {x for _, *ends in rows for x in ends}
     want = sorted(I._fold(rows, [(i, i + 5) for i in ids if i % 4 == 0]))
     assert sorted(tuple(r) for r in QUERIES["U10_apply_links"](spark, sf).collect()) == want
+
+
+def test_register(spark, sf):
+    from collections import defaultdict
+
+    from inkspring.plans.identities import _register_inputs
+
+    frames = _register_inputs(spark, sf)
+    mentions, members, crops, groups, named, anchors = ([tuple(r) for r in f.collect()] for f in frames)
+    selections, proposals, names = ([tuple(r) for r in f.collect()] for f in I.registered(*frames))
+    canon, of, n, known = dict(groups), dict(members), dict(crops), {p for (p,) in named}
+
+    def order(votes):
+        per = defaultdict(dict)
+        for o, occ, kind, g in sorted(votes):
+            per[g].setdefault(occ, (o, kind))
+        score = lambda g: (-len(per[g]), *(-sum(k == m for _, k in per[g].values()) for m in I.MENTIONS), min(o for o, _ in per[g].values()), g)
+        return [(g, len(per[g])) for g in sorted(per, key=score)]
+
+    votes = defaultdict(list)
+    for o, occ, kind, ok, g, p in mentions:
+        if ok and g in canon:
+            for mid in (m for m in of if of[m] == p):
+                votes[mid].append((o, occ, kind, g))
+    want, winners = [], {}
+    for mid, v in votes.items():
+        ranked = order(v)
+        g, support = ranked[0]
+        fine = of[mid] in known or (n.get(mid, 0) >= 8 and support >= 3)
+        why = ("below_crop_threshold" if n.get(mid, 0) < 8 else "below_confirmed_mention_threshold") if not fine else "competing_name_groups" if len(ranked) > 1 else None
+        want.append((mid, of[mid], g, canon[g], n.get(mid, 0), support, of[mid] in known, fine, why))
+        if fine:
+            winners[mid] = (g, support)
+    assert sorted(selections, key=repr) == sorted(want, key=repr)
+    target = {}
+    for g in sorted({g for g, _ in winners.values()}):
+        fixed = {p for x, p in anchors if x == g and p in known}
+        fresh = [m for m, (x, _) in winners.items() if x == g and of[m] not in known]
+        if len(fixed) <= 1 and fresh:
+            to = next(iter(fixed)) if fixed else of[max(fresh, key=lambda m: (n.get(m, 0), -m))]
+            for m in sorted(fresh):
+                if of[m] != to and of[m] not in target:
+                    target[of[m]] = (g, to, winners[m][1])
+    assert sorted(proposals) == sorted((p, *t) for p, t in target.items()) and proposals
+    held = defaultdict(list)
+    for mid, (g, _) in winners.items():
+        identity = target[of[mid]][1] if of[mid] in target else of[mid]
+        held[identity] += [v for v in votes[mid] if v[3] == g]
+    said = []
+    for identity, v in held.items():
+        if identity not in known:
+            ranked = order(v)
+            said.append((identity, ranked[0][0], canon[ranked[0][0]], ranked[0][1], len(ranked) > 1))
+    assert sorted(names) == sorted(said) and names
+
+
+def test_halving(spark):
+    from inkspring.operators import graph as G
+
+    rows = [("a", i, c) for i, c in enumerate([5, 1, 1, 1, 9, 1])] + [("b", 0, 100)] + [("c", 0, 1), ("c", 1, 1)]
+    got = {(r["k"], r["i"]): r["node"] for r in G.halved(spark.createDataFrame(rows, "k string, i int, c int"), "k", "i", "c", 7).collect()}
+    assert [got["a", i] for i in range(6)] == [":split:0"] * 3 + [":split:1:split:0", ":split:1:split:1:split:0", ":split:1:split:1:split:1"]
+    assert got["b", 0] == "" and got["c", 0] == got["c", 1] == ""
