@@ -174,7 +174,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 #: Most rows of one key that meet in one task, about.
 HOT_ROWS = 256
 #: Tables of ids with at most so many rows (some MB) are broadcast.
-SMALL_ROWS = 200_000
+SMALL_ROWS = 10_000
 
 
 def spread_join(rows: DataFrame, one: DataFrame, key: str | list[str], by: str, most: int | None = None, size: int | None = None) -> DataFrame:

@@ -11,13 +11,16 @@ How it works, all of it over every document:
    ordered last by their count.
 3. Index lists are blocked by set size and carry positions. Blocks outside the size range are skipped by the join key,
    and pairs whose positions leave too few shingles are skipped before they are verified.
-4. Answers come from similar sets: in a long list one central set (the pivot) is verified against all others, and every
-   set takes as its home the pivot with most members that it links with. Two sets of a home share at least what neither
-   lacks of the pivot: o >= n_p - r_x - r_y, with r the shingles of the pivot that a set lacks. So they are linked for
-   certain if c_x + c_y >= 0, where c = (N + D) * (n_p - 2 r) - 2 N n for the limit N / D (doubled to stay whole). The
-   condition adds up, so the links of a whole home are counted from a histogram of c, without a pair.
-5. Only pairs of different homes, and pairs of one home that are not certain, become candidates; two known overlaps with
-   a list's pivot skip those whose bound is too low. They are verified on whole sets. Components follow by contraction.
+4. Answers come from similar sets: in a long list one central set (the pivot) is verified against all others. What these
+   links connect is one component, and every set takes as its home the pivot with most members that it links with. Two
+   sets of a home share at least what neither lacks of the pivot: o >= n_p - r_x - r_y, with r the shingles of the pivot
+   that a set lacks. So they are linked for certain if c_x + c_y >= 0, where c = (N + D) * (n_p - 2 r) - 2 N n for the
+   limit N / D (doubled to stay whole). The condition adds up, so the links of a whole home are counted from a histogram
+   of c, without a pair.
+5. The other pairs inside a component are counted block by block: members whose links are not certain meet blocks of all
+   members, a task counts the overlaps of two blocks at once and returns one number a member; no pair leaves it.
+6. Only pairs of different components become candidates; two known overlaps with a list's pivot skip those whose bound
+   is too low. They are verified on whole sets. Components follow by contraction.
 
 No link is lost and none is counted twice: the link counts and components are those of all pairs.
 
@@ -48,6 +51,8 @@ LONG_LIST = 24
 
 #: About so many shingles are counted in one bucket.
 BUCKET = 1_500_000
+#: Members and shingles of a block in which a component's pairs are counted, about.
+MEMBERS, SHINGLES = 512, 1_000_000
 #: A task sorts its shingles in chunks of about so many.
 CHUNK = 2_000_000
 
@@ -122,17 +127,18 @@ def twins_of(prints: DataFrame) -> dict[tuple[int, int], int]:
 
     Of N sets about N * N / 2**65 do: none up to billions, some hundreds of a hundred billion.
     """
-    odd = prints.where("n > 0").groupBy("s1").agg(F.min("s2").alias("lo"), F.max("s2").alias("hi")).where("lo <> hi").select("s1")
-    rows = prints.where("n > 0").join(odd, "s1").select("s1", "s2", F.xxhash64("s1", "s2").alias("node")).distinct().collect()
+    some = prints.where("n > 0")
+    odd = [r["s1"] for r in some.groupBy("s1").agg(F.min("s2").alias("lo"), F.max("s2").alias("hi")).where("lo <> hi").select("s1").collect()]
+    if not odd:
+        return {}
+    rows = some.where(F.col("s1").isin(odd)).select("s1", "s2", F.xxhash64("s1", "s2").alias("node")).distinct().collect()
     return {(r["s1"], r["s2"]): r["node"] for r in rows}
 
 
 def _nodes(prints: DataFrame, twins: dict[tuple[int, int], int]) -> DataFrame:
     """``prints`` with node."""
-    odd = F.lit(False)
-    for (a, _), _n in twins.items():
-        odd = odd | (F.col("s1") == a)
-    return prints.withColumn("node", F.when(odd, F.xxhash64("s1", "s2")).otherwise(F.col("s1")))
+    odd = sorted({a for a, _ in twins})
+    return prints.withColumn("node", F.when(F.col("s1").isin(odd), F.xxhash64("s1", "s2")).otherwise(F.col("s1")) if odd else F.col("s1"))
 
 
 def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width: int = WIDTH) -> DataFrame:
@@ -313,6 +319,62 @@ def _certain(homes: DataFrame, size: DataFrame) -> DataFrame:
     return met.select("node", (F.col("sum") - F.when(F.col("c") >= 0, F.col("w")).otherwise(0)).alias("links"))
 
 
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``x`` with every set of ``y``."""
+    out = np.zeros((len(x), len(y)), np.int64)
+    flat, back = np.concatenate(x), np.concatenate(y)
+    left, right = np.repeat(np.arange(len(x)), list(map(len, x))), np.repeat(np.arange(len(y)), list(map(len, y)))
+    both = np.intersect1d(flat, back)
+    if not len(both):
+        return out
+    # columns of common shingles, some thousand at a time
+    at, has = np.searchsorted(both, flat), np.isin(flat, both)
+    to, had = np.searchsorted(both, back), np.isin(back, both)
+    at, left, to, right = at[has], left[has], to[had], right[had]
+    for lo in range(0, len(both), 4096):
+        a, b = np.zeros((len(x), 4096), np.float32), np.zeros((len(y), 4096), np.float32)
+        p, q = (at >= lo) & (at < lo + 4096), (to >= lo) & (to < lo + 4096)
+        a[left[p], at[p] - lo] = 1
+        b[right[q], to[q] - lo] = 1
+        out += np.rint(a @ b.T).astype(np.int64)
+    return out
+
+
+def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, links: documents in sets of the same component that are linked, but for those of ``_certain``.
+
+    ``members(node, comp, home, c, w, first)``: first marks members of their component's main home that are certain with
+    all of it; two such need no look. All others meet every member.
+    """
+    per = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("s"), F.count_if(~F.col("first")).alias("lm"), F.sum(F.when(~F.col("first"), F.col("n"))).alias("ls")).where("lm > 0")
+    cut = lambda m, s: F.ceil(F.greatest(F.col(m) / MEMBERS, F.col(s) / SHINGLES)).cast("int")
+    per = stored(per.select("comp", cut("m", "s").alias("_r"), cut("lm", "ls").alias("_l"), "m"))
+    most = per.agg(F.max("m")).first()[0] or 0
+    met = spread_join(members, per.select("comp", "_r", "_l"), "comp", "node", most)
+    rows = stored(met.join(sets, "node").withColumn("_b", F.xxhash64("node", F.lit(7))))
+    parts = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = rows.where(~F.col("first")).withColumn("i", F.pmod("_b", "_l").cast("int")).withColumn("j", parts("_r"))
+    right = rows.withColumn("j", F.pmod("_b", "_r").cast("int")).withColumn("i", parts("_l"))
+    cols = ("comp", "i", "j", "node", "home", "c", "w", "first", "s")
+
+    def count(x: pa.Table, y: pa.Table) -> pa.Table:
+        if not x.num_rows or not y.num_rows:
+            return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        a, b = ({c: t[c].to_numpy() for c in ("node", "home", "c", "w")} for t in (x, y))
+        xs, ys = ([np.asarray(v.values) for v in t["s"]] for t in (x, y))
+        o = _overlaps(xs, ys)
+        na, nb = np.array(list(map(len, xs)))[:, None], np.array(list(map(len, ys)))[None]
+        counted = (a["home"][:, None] == b["home"][None]) & (a["c"][:, None] + b["c"][None] >= 0)
+        linked = (DEN * o >= NUM * (na + nb - o)) & ~counted & (a["node"][:, None] != b["node"][None])
+        # members that certain ones meet count back; others meet them from their own side
+        back = linked & y["first"].to_numpy(zero_copy_only=False)[None]
+        return pa.table({"node": np.concatenate([a["node"], b["node"]]), "links": np.concatenate([linked @ b["w"], a["w"] @ back]).astype(np.int64)})
+
+    task = ("comp", "i", "j")
+    found = left.select(*cols).groupBy(*task).cogroup(right.select(*cols).groupBy(*task)).applyInArrow(count, "node long, links long")
+    return found.groupBy("node").agg(F.sum("links").alias("links"))
+
+
 def links(docs: DataFrame, prints: DataFrame, twins: dict, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """(edges, counts): edges a, b between nodes that give the components of all links; counts node, links (documents
     in other classes that are linked with the class)."""
@@ -334,32 +396,35 @@ def links(docs: DataFrame, prints: DataFrame, twins: dict, width: int = WIDTH) -
     starred = stored(spread_join(lists.select("h", "node"), long_lists.select("h", "pivot"), "h", "node", most or 0, n_long).where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     known = stored(_verify(starred, sets))
     homes = stored(_homes(known))
-    least = homes.groupBy("home").agg(F.min("c").alias("cmin"))
-
-    alone = F.expr(f"{DEN - NUM}L * n")
-    held = lists.join(homes, "node", "left")
-    held = held.select("h", "node", "n", "u", "pos", F.coalesce("home", "node").alias("home"), F.coalesce(F.col("c"), alone).alias("c"))
+    star = stored(components(known.where("linked").select("a", "b")))
+    members = stored(homes.join(star, "node").join(size, "node").join(sets.select("node", F.size("s").cast("long").alias("n")), "node"))
+    per_home = members.groupBy("home").agg(F.min("c").alias("cmin"), F.count("*").alias("m"), F.first("comp").alias("comp"))
+    main = per_home.groupBy("comp").agg(F.max_by("home", F.struct("m", "home")).alias("main"), F.sum("m").alias("m"))
+    per_home = stored(per_home.join(main.select("comp", "main"), "comp").select("home", "cmin", "main", "m"))
+    most, n_homes = per_home.agg(F.max("m"), F.count("*")).first()
+    met = spread_join(members, per_home.drop("m"), "home", "node", most or 0, n_homes)
+    members = stored(met.withColumn("first", (F.col("home") == F.col("main")) & (F.col("c") + F.col("cmin") >= 0)).drop("main", "cmin"))
+
+    # across components only
+    held = lists.join(star, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     held = held.join(long_lists.select("h", "pivot"), "h", "left").join(known.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "o"), ["node", "pivot"], "left")
     held = stored(
         held.withColumn("o", F.when(F.col("node") == F.col("pivot"), F.col("n") - F.col("u")).otherwise(F.col("o")))
         .withColumn("block", F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM))).cast("int"))
-        .join(least.withColumn("safe_at", -F.col("cmin")).select("home", "safe_at"), "home", "left")
-        # certain with every set of its home
-        .select("h", "node", "home", "c", "n", "u", "pos", "o", "block", (F.col("c") >= F.coalesce("safe_at", F.lit(0))).alias("safe"))
+        .select("h", "node", "comp", "n", "u", "pos", "o", "block")
     )
     forget(lists, long_lists, starred)
-    per = held.groupBy("h", "home").agg(F.count("*").alias("m"), F.min("safe").alias("safe"))
-    per = stored(per.groupBy("h").agg(F.max_by("home", F.struct("m", "home")).alias("main"), F.count("*").alias("kinds"), F.min("safe").alias("safe"), F.sum("m").alias("m")).where("kinds > 1 or not safe"))
+    per = held.groupBy("h", "comp").agg(F.count("*").alias("m"))
+    per = stored(per.groupBy("h").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count("*").alias("kinds"), F.sum("m").alias("m")).where("kinds > 1"))
     most, n_per = per.agg(F.max("m"), F.count("*")).first()
     mixed = spread_join(held, per.select("h", "main"), "h", "node", most or 0, n_per)
-    cells = ("node", "home", "c", "n", "u", "pos", "o")
-    first = (F.col("home") == F.col("main")) & F.col("safe")
-    left = mixed.where(~first).select("h", "main", *[F.col(c).alias(f"x_{c}") for c in cells], F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"))
-    right = mixed.select("h", "block", *[F.col(c).alias(f"y_{c}") for c in cells], first.alias("y_first"))
+    cells = ("node", "comp", "n", "u", "pos", "o")
+    left = mixed.where("comp <> main").select("h", *[F.col(c).alias(f"x_{c}") for c in cells], F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"))
+    right = mixed.select("h", "block", "main", *[F.col(c).alias(f"y_{c}") for c in cells])
     # shingles that only one set holds come first and are never shared, nor held by the pivot
     need = _enough("x_n", "y_n")
     pairs = left.join(right, ["h", "block"]).where(
-        F.expr("(y_first or x_node < y_node) and (x_home <> y_home or x_c + y_c < 0)")
+        F.expr("x_comp <> y_comp and (y_comp = main or x_node < y_node)")
         & F.expr(f"{DEN} * least(x_n, y_n) >= {NUM} * greatest(x_n, y_n)")
         & F.expr(f"least(x_pos - x_u, y_pos - y_u) + least(x_n - x_pos, y_n - y_pos) >= {need}")
         & F.expr(f"x_o is null or y_o is null or least(x_o, y_o) + least(x_n - x_o - x_u, y_n - y_o - y_u) >= {need}")
@@ -374,7 +439,7 @@ def links(docs: DataFrame, prints: DataFrame, twins: dict, width: int = WIDTH) -
     forget(held, per, pairs)
     each = second.select("a", "b").unionByName(second.select(F.col("b").alias("a"), F.col("a").alias("b")))
     found = spread_join(each, size.select(F.col("node").alias("b"), "w"), "b", "a").groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("links"))
-    counts = stored(found.unionByName(_certain(homes, size)).groupBy("node").agg(F.sum("links").alias("links")))
+    counts = stored(found.unionByName(_certain(homes, size)).unionByName(_within(members, sets)).groupBy("node").agg(F.sum("links").alias("links")))
     return known.where("linked").select("a", "b").unionByName(second), counts
 
 
