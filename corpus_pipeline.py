@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from inkspring.llm import decontaminate, jaccard, mixing, quality, sharding
-from inkspring.llm.common import stored, table
+from inkspring.llm.common import forget, stored, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        # what the last stage read is written anew by now
+        forget(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
