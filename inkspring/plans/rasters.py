@@ -109,3 +109,56 @@ def pair_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
         return {"largest": max((int(np.logical_and(p, q).sum()) for i, p in enumerate(masks) for q in masks[i + 1 :]), default=-1)}
 
     return _per_page(spark, sf_dir, one, "largest long", [("largest", pa.int64())]).where("largest >= 0")
+
+
+#: Cells of a page where bodies and necks still show.
+FINE, WIDE, HIGH = 4, 32, 48
+
+
+def _fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cell = lambda c: F.floor(F.col(c) / FINE).cast("int")
+    return boxes(spark, sf_dir).select("page", "ord", cell("x1").alias("x1"), cell("y1").alias("y1"), (cell("x2") + 1).alias("x2"), (cell("y2") + 1).alias("y2"))
+
+
+def page_groups(rows: list[dict]) -> list[dict]:
+    """Even boxes of a page as bubbles, odd ones as panels; the corner of every third bubble is a tail."""
+    box = lambda r: (r["x1"], r["y1"], r["x2"], r["y2"])
+    bubbles = [box(r) for r in rows if r["ord"] % 2 == 0]
+    tails = [(x1, y2 - 1, x1 + 2, y2) for x1, _, _, y2 in bubbles[::3]]
+    found = M.groups([M.draw([b], WIDE, HIGH) for b in bubbles], [box(r) for r in rows if r["ord"] % 2], tails)
+    return [{"number": k, **{c: g[c] for c in ("members", "bounds", "area", "bodies", "bridge", "tail", "links", "panels")}} for k, g in enumerate(found)]
+
+
+@query("M10_build_groups")
+def build_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of every page's bubbles: fused, cut into lobes and bodies (M7), with the panels they lie in."""
+    out = pa.schema([("page", pa.int64()), ("number", pa.int32()), ("members", pa.list_(pa.int32())), ("bounds", pa.list_(pa.int32())), *[(c, pa.int32()) for c in ("area", "bodies", "bridge", "tail", "links")], ("panels", pa.list_(pa.int32()))])
+    return S.folded(_fine(spark, sf_dir), "page", ["ord"], page_groups, "page long, number int, members array<int>, bounds array<int>, area int, bodies int, bridge int, tail int, links int, panels array<int>", out)
+
+
+@query("M9_visual_hint")
+def visual_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of the boundary of a page's boxes is observed, when every third box was only inferred."""
+
+    def hint(rows: list[dict]) -> list[dict]:
+        box = lambda r: (r["x1"], r["y1"], r["x2"], r["y2"])
+        seen, guessed = M.draw([box(r) for r in rows if r["ord"] % 3], WIDE, HIGH), M.draw([box(r) for r in rows if r["ord"] % 3 == 0], WIDE, HIGH)
+        share = M.supported(seen | guessed, seen, guessed & ~seen)
+        return [{"fraction": round(share, 6), "rejected": ["too_much_inferred_boundary"] if 1 - share > 0.35 else []}]
+
+    out = pa.schema([("page", pa.int64()), ("fraction", pa.float64()), ("rejected", pa.list_(pa.string()))])
+    return S.folded(_fine(spark, sf_dir), "page", ["ord"], hint, "page long, fraction double, rejected array<string>", out)
+
+
+@query("M7_partition")
+def partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's boxes as one mask cut at its necks: cells of every body, of bridges (0) and of tails (-1)."""
+
+    def cut(rows: list[dict]) -> list[dict]:
+        boxes_ = [(r["x1"], r["y1"], r["x2"], r["y2"]) for r in rows]
+        bodies, bridge, tail, _ = M.partition(M.draw(boxes_, WIDE, HIGH), boxes_[:1])
+        sizes = {k: int((bodies == k).sum()) for k in range(1, int(bodies.max(initial=0)) + 1)} | {0: int(bridge.sum()), -1: int(tail.sum())}
+        return [{"part": k, "cells": n} for k, n in sizes.items() if n]
+
+    out = pa.schema([("page", pa.int64()), ("part", pa.int32()), ("cells", pa.int32())])
+    return S.folded(_fine(spark, sf_dir), "page", ["ord"], cut, "page long, part int, cells int", out)

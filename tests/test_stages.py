@@ -236,3 +236,49 @@ def test_halving(spark):
     got = {(r["k"], r["i"]): r["node"] for r in G.halved(spark.createDataFrame(rows, "k string, i int, c int"), "k", "i", "c", 7).collect()}
     assert [got["a", i] for i in range(6)] == [":split:0"] * 3 + [":split:1:split:0", ":split:1:split:1:split:0", ":split:1:split:1:split:1"]
     assert got["b", 0] == "" and got["c", 0] == got["c", 1] == ""
+
+
+def test_partition_of_masks():
+    import numpy as np
+
+    from inkspring.operators import masks as M
+
+    # two bodies joined by a thin bridge, a thin tail, a lobe of its own and a speck
+    m = M.draw([(1, 1, 11, 11), (20, 1, 30, 11), (11, 5, 20, 6), (5, 11, 6, 18), (34, 14, 39, 19), (36, 30, 37, 31)], 40, 32)
+    bodies, bridge, tail, links = M.partition(m, [(4, 12, 7, 16)])
+    assert links == [[1, 2]] and bridge[5, 11:20].sum() >= 5 and not bridge[:, :8].any()
+    assert tail[12:18, 5].all() and tail[30, 36] and bodies[16, 36] > 0 and bodies.max() == 3
+    assert ((bodies > 0).astype(int) + bridge + tail == m).all()
+    # without a tail box the tail grows its body; a mask without large pieces is one body
+    assert M.partition(m, [])[0][14, 5] == 1
+    line = M.draw([(0, 3, 30, 4)], 32, 8)
+    assert (M.partition(line, [])[0] == line).all()
+    assert M.groups([], [], []) == [] and M.partition(np.zeros((4, 4), bool), [])[0].max() == 0
+
+
+def test_lobes_fusion_and_support():
+    import numpy as np
+
+    from inkspring.operators import masks as M
+
+    a, b, c = M.draw([(0, 0, 6, 6)], 60, 40), M.draw([(1, 1, 5, 5)], 60, 40), M.draw([(30, 0, 36, 6)], 60, 40)
+    assert M.fused([a, b, c]) == [[0, 1], [2]] and M.fused([]) == []
+    speck, far = M.draw([(8, 2, 9, 3)], 60, 40), M.draw([(57, 37, 58, 38)], 60, 40)
+    parts = M.lobes(a | c | speck | far)
+    assert [int(p.sum()) for p in parts] == [37, 36, 1]
+    got = M.groups([a | speck, c], [(0, 0, 20, 20), (20, 0, 50, 20)], [])
+    assert [(g["members"], g["bounds"], g["panels"], g["bodies"]) for g in got] == [([0], [0, 0, 9, 6], [0], 1), ([1], [30, 0, 36, 6], [1], 1)]
+    none = np.zeros_like(a)
+    assert M.supported(a, a, none) == 1.0 and M.supported(a, none, none) == 0.0 and M.supported(a, a, a) == 0.0
+
+
+def test_group_queries(spark, sf):
+    from inkspring.plans import rasters as R
+
+    boxes = _split([tuple(r) for r in R._fine(spark, sf).orderBy("page", "ord").collect()])
+    got = _split([tuple(r) for r in QUERIES["M10_build_groups"](spark, sf).collect()])
+    for page, rows in boxes.items():
+        want = [tuple(g.values()) for g in R.page_groups([dict(zip(("ord", "x1", "y1", "x2", "y2"), r[1:], strict=True)) for r in rows])]
+        assert sorted(map(repr, (r[1:] for r in got.get(page, [])))) == sorted(map(repr, want))
+    shares = QUERIES["M9_visual_hint"](spark, sf).collect()
+    assert len(shares) == len(boxes) and all(0 <= r["fraction"] <= 1 and (r["fraction"] < 0.65) == bool(r["rejected"]) for r in shares)
