@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -97,3 +97,16 @@ def halved(rows: DataFrame, key: str, order: str, cost: str, limit: int) -> Data
         live = _cut(cut)
         if live.isEmpty():
             return done
+
+
+def numbered(rows: DataFrame, key: str, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with ``name``: their place (from 1) among the rows of their key, by a total ``order``.
+
+    A key may hold any share of the rows: they are dealt by ranges of key and order, numbered in each range, and moved
+    by the count of the ranges before it.
+    """
+    dealt = _cut(rows.repartitionByRange(F.col(key), *order).withColumn("_range", F.spark_partition_id()))
+    own = F.row_number().over(W.partitionBy(key, "_range").orderBy(*order))
+    counts = dealt.groupBy(key, "_range").agg(F.count("*").alias("_n"))
+    before = counts.select(key, "_range", (F.sum("_n").over(W.partitionBy(key).orderBy("_range")) - F.col("_n")).alias("_before"))
+    return dealt.withColumn("_own", own).join(before, [key, "_range"]).withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).select(*rows.columns, name)

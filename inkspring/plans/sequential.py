@@ -172,8 +172,8 @@ def codebook(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("R1_array_suite", oracle="SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles, bool_or(role = 'system') AS has_system, max(turn) - min(turn) + 1 AS span FROM conversations GROUP BY 1")
 def array_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list("role").alias("r"), F.collect_list("turn").alias("t"))
-    return g.select("conv_id", F.array_join(F.array_sort(F.array_distinct("r")), ",").alias("roles"), F.array_contains("r", "system").alias("has_system"), (F.array_max("t") - F.array_min("t") + 1).alias("span"))
+    g = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_set("role").alias("r"), F.max("turn").alias("hi"), F.min("turn").alias("lo"))
+    return g.select("conv_id", F.array_join(F.array_sort("r"), ",").alias("roles"), F.array_contains("r", "system").alias("has_system"), (F.col("hi") - F.col("lo") + 1).alias("span"))
 
 
 @query("R3_ragged_table", oracle="SELECT event_id AS id, event_type AS kind, NULL::BIGINT AS size FROM events WHERE event_type = 'error' UNION ALL SELECT doc_id, NULL, n_chars FROM documents")

@@ -34,7 +34,11 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by type of the event log read as a stream to its present end."""
     schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # a stream reads a folder: the table's own, or the one that holds its only file
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    own = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+    reader = spark.readStream.schema(schema)
+    stream = reader.parquet(f"{sf_dir}/events.parquet") if own else reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     name = f"events_{uuid.uuid4().hex}"
     q = stream.groupBy("event_type").agg(F.count("*").alias("n")).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
     q.awaitTermination()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from inkspring.operators import graph as G
 from inkspring.operators import sequences as Q
 from inkspring.registry import query, table
 
@@ -32,7 +33,10 @@ def main_member(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("W3_margin", oracle="""WITH r AS (SELECT user_id, event_id, value, lead(value) OVER w AS second, row_number() OVER w AS k FROM events WINDOW w AS (PARTITION BY user_id ORDER BY value, event_id)) SELECT user_id, event_id, value AS best, second, (second IS NULL OR second - value >= 0.5) AS clear FROM r WHERE k = 1""")
 def margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best distance of each user, the runner-up, and whether the margin between them is wide enough."""
-    two = events(spark, sf_dir).groupBy("user_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("value", "event_id"))), 1, 2).alias("b"))
+    # at most two rows a user leave each task
+    place = F.row_number().over(W.partitionBy("user_id").orderBy("value", "event_id"))
+    nearest = events(spark, sf_dir).select("user_id", "value", "event_id").withColumn("place", place).where("place <= 2")
+    two = nearest.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("value", "event_id"))).alias("b"))
     first, second = F.get("b", F.lit(0)), F.get("b", F.lit(1))
     return two.select("user_id", first["event_id"].alias("event_id"), first["value"].alias("best"), second["value"].alias("second"), F.coalesce(second["value"] - first["value"] >= 0.5, F.lit(True)).alias("clear"))
 
@@ -165,7 +169,8 @@ def numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File names with numbers compared as numbers."""
     p = table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(" "), F.col("p_partkey") % 37, F.lit(".png")).alias("name"))
-    return p.withColumn("place", F.row_number().over(W.partitionBy(F.col("p_partkey") % 5).orderBy(Q.natural_key("name"), "p_partkey")).cast("long"))
+    keyed = p.withColumn("folder", F.col("p_partkey") % 5).withColumn("key", Q.natural_key("name"))
+    return G.numbered(keyed, "folder", [F.asc("key"), F.asc("p_partkey")], "place").select("p_partkey", "name", "place")
 
 
 @query("W27_pending_window", oracle="""WITH s AS (SELECT user_id, event_type, ts::DATE - DATE '2024-01-01' AS page FROM events GROUP BY ALL), n AS (SELECT *, lead(page) OVER (PARTITION BY user_id, event_type ORDER BY page) AS next FROM s)
@@ -178,8 +183,8 @@ def pending_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("O1_total_order", oracle="SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority DESC, o_totalprice, o_orderkey) AS place FROM orders")
 def total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = W.partitionBy("o_orderstatus").orderBy(F.desc("o_orderpriority"), "o_totalprice", "o_orderkey")
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.row_number().over(w).cast("long").alias("place"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return G.numbered(orders, "o_orderstatus", [F.desc("o_orderpriority"), F.asc("o_totalprice"), F.asc("o_orderkey")], "place").select("o_orderkey", "place")
 
 
 @query("O2_top_five", oracle="SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders) WHERE k <= 5")
