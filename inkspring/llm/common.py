@@ -81,7 +81,7 @@ def ascii_lower(c):
 class WordHashes(dict):
     """Word (bytes) -> 64-bit hash; remembers up to ``limit`` words so that common words cost one lookup."""
 
-    def __init__(self, limit: int = 150_000):
+    def __init__(self, limit: int = 80_000):
         super().__init__()
         self.limit = limit
 
@@ -128,10 +128,16 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
         for b in batches:
             if b.num_rows and (out := fn(b)) is not None:
                 yield out
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Gives a worker's unused Arrow memory back; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge table: every node on an edge with ``comp``, the smallest node reachable.
 

@@ -39,22 +39,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WordHashes, arrow_map, components, forget, mix, set_aside, shingle_set, spread_join, stored
+from .common import BLANKS, WordHashes, arrow_map, components, forget, mix, release, set_aside, shingle_set, spread_join, stored
 
 WIDTH = 5
 #: similarity >= NUM / DEN
 NUM, DEN = 75, 100
 #: A shingle is frequent if at least one in so many documents of some batch holds it.
 FREQUENT_ONE_IN = 200
+#: Frequent shingles on the driver and in the broadcast list, at most.
+MOST_FREQUENT = 500_000
 #: Lists longer than this get a pivot before pairs are made.
 LONG_LIST = 24
 
 #: About so many shingles are counted in one bucket.
-BUCKET = 1_500_000
+BUCKET = 1_000_000
 #: Members and shingles of a block in which a component's pairs are counted, about.
 MEMBERS, SHINGLES = 512, 1_000_000
 #: A task sorts its shingles in chunks of about so many.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 
 _BITS = np.uint64(16)  # frequencies are counted for the upper 48 bits of a hash
 
@@ -105,6 +107,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 [b.column("doc_id"), b.column("th"), pa.array(ns, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(held, kind)],
                 ["doc_id", "th", "n", "s1", "s2", "often"],
             )
+        release()
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     return rows.mapInArrow(run, "doc_id long, th long, n long, s1 long, s2 long, often array<struct<h:long,c:long>>")
@@ -113,12 +116,16 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def frequent(prints: DataFrame) -> np.ndarray:
     """Shingles with a large share of all documents, rarest first.
 
-    A shingle in one of FREQUENT_ONE_IN documents is that frequent in some batch, so none is missed. Counts reach a
-    fixed share of the document count, so the list is bounded by the mean set size times 4 * FREQUENT_ONE_IN.
+    A shingle in one of FREQUENT_ONE_IN documents is that frequent in some block, so none is missed. Counts reach a
+    fixed share of the document count; where more than MOST_FREQUENT do, the share is raised until the list fits (the
+    others are counted like all shingles, so this changes no result).
     """
     floor = max(64, prints.count() // (4 * FREQUENT_ONE_IN))
-    rows = prints.where("often is not null").select(F.inline("often")).groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= floor)
-    got = rows.toPandas()
+    rows = stored(prints.where("often is not null").select(F.inline("often")).groupBy("h").agg(F.sum("c").alias("c")))
+    while rows.where(F.col("c") >= floor).count() > MOST_FREQUENT:
+        floor *= 2
+    got = rows.where(F.col("c") >= floor).toPandas()
+    forget(rows)
     return got.sort_values(["c", "h"])["h"].to_numpy(np.uint64)
 
 
@@ -211,6 +218,7 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width:
                 rows["nodes"].append(hs.tobytes() if hs is not None else None)
                 rows["n"].append(n)
             yield pa.RecordBatch.from_pydict(rows, schema=out)
+        release()
 
     def count(t: pa.Table) -> pa.Table:
         sized = t.filter(pa.compute.is_valid(t["n"]))
@@ -248,7 +256,8 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width:
         return pa.table({"node": np.concatenate(node), "h": np.concatenate(h), "df": np.concatenate(df), "n": np.concatenate(n)})
 
     dealt = docs.select("text").mapInArrow(deal, "bucket int, h0 long, gaps binary, who binary, nodes binary, n long")
-    shared_by = dealt.groupBy("bucket").applyInArrow(count, "node long, h long, df long, n long")
+    # as many tasks as buckets: a task's share stays the same as the input grows
+    shared_by = dealt.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(count, "node long, h long, df long, n long")
     sets = shared_by.groupBy("node").agg(
         F.max("n").alias("n"), F.array_sort(F.collect_set(F.when(F.col("df") > 0, F.struct("df", "h")))).alias("f")
     )
@@ -460,6 +469,7 @@ def _with_node(texts: DataFrame, twins: dict, width: int) -> DataFrame:
             np.cumsum([len(x) for x in s], out=at[1:])
             values = pa.array(np.concatenate(s) if s else np.empty(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.ListArray.from_arrays(pa.array(at), values)], ["node", "s"])
+        release()
 
     return texts.select("node", "text").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
 
