@@ -28,7 +28,7 @@ def test_stages(spark, sf):
     right = [(i in kept) == bool(q) for i, q in good.items() if i in before]
     assert sum(right) >= 0.9 * len(right)
     want = groups(list(kept.items()))
-    assert {r["doc_id"] for r in rows[2]} == {g for _, g in want.values()} and len(rows[2]) == len({g for _, g in want.values()})
+    assert {r["doc_id"] for r in rows[2]} == {g for _, g, _ in want.values()} and len(rows[2]) == len({g for _, g, _ in want.values()})
     items = [tuple(r) for r in table(spark, sf, "benchmark").select("item_id", "text").collect()]
     unique = {r["doc_id"]: r["text"] for r in rows[2]}
     was = {r[0]: r for r in contaminated(list(unique.items()), items)}
