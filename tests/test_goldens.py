@@ -61,7 +61,8 @@ def test_allocation_and_lines():
     assert S.fit_lines("aa bb cc".split(), [5.0, 2.0], 1) == [["aa", "bb"], ["cc"]]
     assert S.fit_lines(["toolong"], [3.0], 1) is None
     assert S.largest_size(["abc"], [12.0], [1, 2, 4, 8]) == 4
-    assert S.pack([(0, 10), (1, 10)], 12) == [10, 2] or sum(S.pack([(0, 10), (1, 10)], 12)) <= 12
+    # the least important shrinks by quarters: 10, 7, 5, 3, 2
+    assert S.pack([(0, 10), (1, 10)], 12) == [10, 2] and S.pack([(0, 3), (1, 9), (1, 1)], 8) == [3, 4, 1] and S.pack([], 5) == []
 
 
 def test_page_plan_is_free_of_arrival_order():
