@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkspring.llm import decontaminate, hamming, html_text, jaccard, line_dedup, mixing, quality, secrets, sharding, url_filter
+from inkspring.llm import decontaminate, filter_audit, fingerprints, hamming, html_text, jaccard, line_dedup, mixing, quality, ranked_search, secrets, sharding, url_filter
 from inkspring.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_line_dedup", line_dedup.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
+@_query("op11_filter_audit", filter_audit.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op12_fingerprints")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(fingerprints.compare(table(spark, sf_dir, "documents")))
+
+
+@_query("op13_ranked_search", ranked_search.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
