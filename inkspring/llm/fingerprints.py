@@ -83,8 +83,10 @@ _KEY = ["_doc", "_h1", "_h2"]
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    none = F.col("doc_id").isNull()
-    return docs.select("doc_id", F.coalesce("doc_id", F.lit(_MAX)).alias("_doc"), F.xxhash64(none, text).alias("_h1"), F.xxhash64(text, none, F.lit(1)).alias("_h2"), text.alias("text"))
+    none, h = F.col("doc_id").isNull(), F.xxhash64(text)
+    # the sign of the first hash puts null ids after the largest id
+    first = F.when(none, h.bitwiseAND(F.lit(_MAX))).otherwise(h.bitwiseOR(F.lit(_MIN)))
+    return docs.select("doc_id", F.coalesce("doc_id", F.lit(_MAX)).alias("_doc"), first.alias("_h1"), F.xxhash64(text, F.lit(1)).alias("_h2"), text.alias("text"))
 
 
 def successors(keys: DataFrame) -> DataFrame:

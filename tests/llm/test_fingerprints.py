@@ -46,8 +46,8 @@ def near(a, b):
 
 
 def brute(rows):
-    key = lambda r: (r[0] is None, r[0] or 0, hash_r(r), r[1] or "")
-    hash_r = lambda r: spark_bool(r[0] is None, (r[1] or "").encode())
+    sign = lambda r: hash_of(r[1].encode()) & (SIGN - 1) if r[0] is None else hash_of(r[1].encode()) | -SIGN
+    key = lambda r: (r[0] is None, r[0] or 0, sign(r))
     rows = [(i, t or "") for i, t in rows]
     order = sorted(set(rows), key=key)
     out = []
@@ -61,12 +61,6 @@ def brute(rows):
     return sorted(out, key=repr)
 
 
-def spark_bool(flag, data):
-    seed = xxhash.xxh64_intdigest(int(flag).to_bytes(4, "little"), 42)
-    h = xxhash.xxh64_intdigest(data, seed)
-    return h - 2**64 if h >= SIGN else h
-
-
 def check(spark, rows):
     got = P.digest(P.compare(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
     assert sorted(((*r[:5], round(r[5], 9), round(r[6], 9)) for r in got), key=repr) == brute(rows)
