@@ -4,8 +4,10 @@ A page is a sequence of words and tags. Words score by the log-odds of standing
 around them (tags, and the words of class, id and role, nearer elements counting more), for links, for the length of
 their block, for standing beside the page's article and for standing in its main container add up, and no single one
 decides. Tags score negative, the more the rarer they are in content. One linear scan (Kadane's) finds the contiguous
-run of tokens with the largest sum: the content region. Words inside the region whose own log-odds speak clearly against
-them (an advert between two paragraphs) are left out; the rest is cut into blocks.
+run of tokens with the largest sum: the content region. Names of elements that stand around the whole main container tell
+nothing of one part against another, so they do not count in the final scores. Text in the container that something
+speaks against (an advert between two paragraphs) does not end the region, but is left out if its own log-odds are low
+enough, the lower the longer its block; the rest is cut into blocks.
 
 The weights are fitted by logistic regression on labelled pages: whole pages of many layouts, made by a seeded
 generator (a list of fixed size on the driver), with names that tell nothing as well as names that do. Pages are handled
@@ -44,7 +46,8 @@ _NAMED = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Blocks that hold a paragraph's words; the others are boxes.
-_LINES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt figcaption figure summary table tbody td tfoot th thead tr ul ol dl".split())
+_LINES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt figcaption figure summary table tbody tfoot thead tr ul ol dl".split())
+_LISTS = frozenset("ul ol dl menu".split())
 
 # Words that name parts of a page in classes and ids, for the labelled pages.
 PARTS_OUT = (
@@ -53,12 +56,14 @@ PARTS_OUT = (
     "breadcrumb breadcrumbs pagination pager tags toolbar toc copyright legal imprint disclaimer skip"
 ).split()
 PARTS_IN = "content main article post entry story body text prose page section inhalt contenu contenido artikel".split()
-LAYOUT = "container wrapper outer inner row col grid layout wide left right clearfix site box block item group area area2 panel".split()
+LAYOUT = "container wrapper outer inner row col grid layout wide left right clearfix site box block item group area panel slot unit zone holder bar list links buttons space top bottom".split()
+#: Last words of the class of a box around everything.
+OUTER = "layout page site wrapper container grid view app body root template theme".split()
 #: First words of a class that tell of a part elsewhere (has-sidebar), not of the element.
 STATES = frozenset("has have with without no is not show hide".split())
 
 
-def labelled_pages(n: int = 800, seed: int = 5) -> list[list[tuple[str, bool]]]:
+def labelled_pages(n: int = 1_000, seed: int = 5) -> list[list[tuple[str, bool]]]:
     """Whole pages, each a list of (html, content) pieces that follow each other."""
     rng = random.Random(seed)
     words = lambda lo, hi: " ".join(["word"] * rng.randint(lo, hi))
@@ -85,7 +90,7 @@ def labelled_pages(n: int = 800, seed: int = 5) -> list[list[tuple[str, bool]]]:
             return f"<{tag}>{stuff(rng.randint(0, 5))}</{tag}>"
         name = rng.choice(PARTS_OUT)
         if rng.random() < 0.4:
-            name = rng.choice([f"{name}-{rng.choice(LAYOUT)}", f"{rng.choice(LAYOUT)}-{name}", f"{name} {rng.choice(LAYOUT)}", f"{name}-{rng.choice(PARTS_IN)}"])
+            name = rng.choice([f"{name}-{rng.choice(LAYOUT)}", f"{rng.choice(LAYOUT)}-{name}", f"{name} {rng.choice(LAYOUT)}", f"{name}-{rng.choice(PARTS_IN)}", f"{name}-{rng.choice(PARTS_OUT)}"])
         tag = rng.choice(["div", "div", "section", "ul" if rng.random() < 0.2 else "div"])
         said = stuff(3 if name.startswith(("comment", "repl", "discuss", "komm", "disq")) else rng.randint(0, 5))
         return f"<{tag} {rng.choice(['class', 'id'])}='{name}'>{said}</{tag}>"
@@ -105,10 +110,24 @@ def labelled_pages(n: int = 800, seed: int = 5) -> list[list[tuple[str, bool]]]:
             return f"<blockquote>{words(4, 40)}</blockquote>"
         if k < 0.9:
             return f"<figure><img src=x><figcaption>{words(2, 12)}</figcaption></figure>"
+        if k < 0.93:
+            return f"<p>{rng.choice(['', f'{words(1, 3)}: '])}<a href='/x'>{words(2, 9)}</a>{rng.choice(['', '.', f' {words(1, 3)}.'])}</p>"
         if k < 0.97:
             return f"<p>{rng.choice([words(1, 4), link(), rng.choice(['All rights reserved.', f'&copy; 2020 {words(1, 6)}', f'Copyright {words(1, 6)}.'])])}</p>"
         return f"<table><tr><td>{words(1, 6)}</td><td>{words(1, 6)}</td></tr><tr><td>{words(1, 6)}</td><td>{words(1, 6)}</td></tr></table>"
 
+    def around() -> str:
+        """The class of a box around everything; what it is named after may be only one of its parts."""
+        k = rng.random()
+        return f"{rng.choice(LAYOUT)} {rng.choice(LAYOUT)}" if k < 0.5 else f"{rng.choice(PARTS_OUT + PARTS_IN)}-{rng.choice(OUTER)}" if k < 0.85 else f"{rng.choice(PARTS_IN)}-{rng.choice(LAYOUT)}"
+
+    def made_up() -> str:
+        return "".join(rng.choice(["ka", "lo", "mi", "ru", "te", "zo"]) for _ in range(3))
+
+    def inner(piece: str) -> str:
+        """A block of content; sometimes in a box that is named after its topic."""
+        return f"<div class='{made_up()}-{rng.choice(PARTS_OUT)}'>{piece}</div>" if rng.random() < 0.18 else f"<div class='{made_up()}'>{piece}</div>" if rng.random() < 0.05 else piece
+
     pages = []
     for _ in range(n):
         out: list[tuple[str, bool]] = [(f"<!DOCTYPE html><html><head><title>{words(2, 9)}</title></head>", False)]
@@ -119,10 +138,10 @@ def labelled_pages(n: int = 800, seed: int = 5) -> list[list[tuple[str, bool]]]:
             out.append(("<form id='aspnetForm' action='/'><input type=hidden>", False))
             ends.append("</form>")
         for _ in range(rng.randint(0, 2)):
-            out.append((f"<div class='{rng.choice(LAYOUT)} {rng.choice(LAYOUT)}'>", False))
+            out.append((f"<div class='{around()}'>", False))
             ends.append("</div>")
         out += [(noise(False), False) for _ in range(rng.randint(0, 4))]
-        box = rng.choice(["article", "main", "main", "div", "div", "div", "plain", "none"])
+        box = rng.choice(["article", "article", "main", "main", "div", "div", "div", "col", "table", "plain", "none"])
         if box in ("article", "main"):
             out.append((f"<{box}{tells()}>", False))
             close = f"</{box}>"
@@ -132,20 +151,33 @@ def labelled_pages(n: int = 800, seed: int = 5) -> list[list[tuple[str, bool]]]:
             beside = f" class='{rng.choice(PARTS_OUT)}-{rng.choice(LAYOUT)}'" if rng.random() < 0.3 else ""
             out.append((f"<{rng.choice(['div', 'section'])} id='{name}'{beside}>" if beside or rng.random() < 0.5 else f"<{rng.choice(['div', 'section'])} class='{name}'>", False))
             close = "</div></section>"
+        elif box == "col":
+            name = rng.choice(["main-col", "col-8", "left-col", "col", "main", f"{made_up()}-{rng.choice(LAYOUT)}", f"{rng.choice(PARTS_OUT)}-{rng.choice(OUTER)}"])
+            out.append((f"<div class='{around()}'><div class='{name}'>", False))
+            close = "</div></div>"
+        elif box == "table":
+            cell = lambda: f"<td{rng.choice(['', '', ' width=120', ' valign=top'])}>{rng.choice([' '.join(link() for _ in range(rng.randint(2, 6))), '<br>'.join(link() for _ in range(rng.randint(2, 8))), stuff(0), stuff(5)])}</td>"
+            top = rng.choice(["", f"<tr>{cell()}{cell()}</tr>"])
+            out.append((f"<table>{top}<tr>{cell() if rng.random() < 0.7 else ''}<td>", False))
+            close = f"</td>{cell() if rng.random() < 0.3 else ''}</tr></table>"
         else:
             out.append(("<div>" if box == "plain" else "", False))
             close = "</div>" if box == "plain" else ""
         if box == "main" and rng.random() < 0.5:
             out.append((f"<article{tells()}>", False))
             close = "</article>" + close
-        title = f"<h1>{words(2, 12)}</h1>"
-        out.append((rng.choice([title, title, "", f"<header>{title}</header>" if box in ("article", "main") else title]), True))
+        head = rng.choice(PARTS_IN)
+        title = f"<h1{rng.choice(['', '', f' class={head}-title', ' class=headline'])}>{words(2, 12)}</h1>"
+        headed = f"<header{rng.choice(['', f' class={head}-header'])}>{title}</header>" if box in ("article", "main") else f"<div class={head}-header>{title}</div>"
+        out.append((rng.choice([title, title, "", headed, headed]), True))
         sections = rng.random() < 0.2
         short = rng.random() < 0.15
         for _ in range(rng.randint(1, 3) if short else rng.randint(2, 12)):
-            if rng.random() < 0.15:
+            if rng.random() < 0.17:
                 out.append((noise(True), False))
-            out.append(((f"<p>{words(1, 9)}</p>" if rng.random() < 0.8 else f"{words(1, 20)} ") if short else f"<section>{block()}{block()}</section>" if sections else block(), True))
+            out.append(((f"<p>{words(1, 9)}</p>" if rng.random() < 0.6 else block() if rng.random() < 0.6 else f"{words(1, 20)} ") if short else f"<section>{block()}{block()}</section>" if sections else inner(block()), True))
+        if rng.random() < 0.2:
+            out.append((f"<p>{rng.choice(['', f'{words(1, 2)}: ', f'{words(2, 6)} '])}<a href='/x'>{words(2, 9)}</a>{rng.choice(['', '.', f' {words(1, 4)}.'])}</p>", True))
         if box in ("article", "main") and rng.random() < 0.2:
             out.append((rng.choice([f"<footer>{link()} {words(1, 9)}</footer>", noise(True)]), False))
         out.append((close, False))
@@ -168,12 +200,14 @@ def _words(value: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", value) if w]
 
 
-def _own(tag: str, attrs: str) -> list[str]:
-    """What is known of an element by itself: its tag and the words of its class, id and role.
+def _own(tag: str, attrs: str) -> list[tuple[str, float]]:
+    """What is known of an element by itself: its tag and the words of its class, id and role, with their shares.
 
-    Words on the page or its article are features of their own: there they mostly tell of other parts.
+    In a name put together the first word counts less than by itself, and the others have weights of their own: the last
+    one says what it is (sidebar-layout), the first one what for. Words on the page or its article are features of their
+    own: there they mostly tell of other parts.
     """
-    out = [tag]
+    out = [(tag, 1.0)]
     if attrs and not attrs.isspace():
         kind = "page." if tag in ("html", "body") else "main." if tag in ("article", "main") else "."
         for name, *values in _NAMED.findall(attrs):
@@ -181,9 +215,11 @@ def _own(tag: str, attrs: str) -> list[str]:
             if name in ("class", "id", "role"):
                 for one in value.split():
                     words = _words(one)
-                    out += [kind + w for w in words] if words and words[0] not in STATES else []
+                    if words and words[0] not in STATES:
+                        out.append((kind + words[0], 1.0 if len(words) == 1 else FIRST))
+                        out += [(f"{kind}-{w}", 1 / (len(words) - 1)) for w in words[1:]]
             elif tag not in ("html", "body") and (name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))):
-                out.append("hidden")
+                out.append(("hidden", 1.0))
     return out
 
 
@@ -203,10 +239,14 @@ def _tokens(page: str) -> Iterator[tuple[str, str, str, int]]:
 
 
 _LEGAL = re.compile("©|&copy;|copyright|all rights reserved", re.I)
+#: The first word of a name put together counts this much of what it counts alone.
+FIRST = 1.0
 #: An element counts this much for the words one level further in.
 DECAY = 0.85
-#: Words with log-odds below this are left out wherever they stand.
-AGAINST = -1.2
+#: Words of the main container with log-odds below this are left out; for every LOSS words of their block, by 1 less (2 at most).
+AGAINST, LOSS = 0.0, 100
+#: Log-odds count this much in the choice of the main container, where many words weigh against a name.
+CALM = 0.5
 #: Share of a box's words that its parent box counts as its own.
 UPWARD = 0.7
 #: Most levels a box hands its words up.
@@ -221,7 +261,7 @@ class _Page:
 
     def __init__(self, page: str):
         self.tag, self.parent, self.attrs = ["#"], [0], [""]
-        self.link, self.main, self.box = [False], [False], [0]
+        self.link, self.main, self.box, self.list = [False], [False], [0], [0]
         self.tokens: list[tuple[int, str, int, int]] = []
         self.at: list[int] = []
         self.count: list[int] = []
@@ -258,6 +298,7 @@ class _Page:
                     self.link.append(self.link[up] or value == "a")
                     self.main.append(self.main[up] or value in ("article", "main"))
                     self.box.append(e if value in BLOCKS and value not in _LINES else self.box[up])
+                    self.list.append(e if value in _LISTS else 0 if value in ("td", "th") else self.list[up])
                     stack.append(e)
                     held[value] = held.get(value, 0) + 1
             else:
@@ -274,24 +315,41 @@ class _Page:
             self.tokens.append((3 if value == "br" else 1 if kind == "start" else 2, value, e, block))
             self.at.append(at)
             self.count.append(0)
+        self.box_words, self.box_links = [0] * len(self.tag), [0] * len(self.tag)
+        self.list_words, self.list_links = [0] * len(self.tag), [0] * len(self.tag)
+        for (k, _, e, _), n in zip(self.tokens, self.count, strict=True):
+            if k == 0:
+                for words, links, at in ((self.box_words, self.box_links, self.box[e]), (self.list_words, self.list_links, self.list[e])):
+                    words[at] += n
+                    links[at] += n if self.link[e] else 0
         self.boxed = any(k == 0 and n and self.main[e] for (k, _, e, _), n in zip(self.tokens, self.count, strict=True))
 
-    def rest(self, i: int) -> list[float]:
-        """Numbers about a text token besides its elements (the main container comes last, filled in later)."""
-        _, value, e, block = self.tokens[i]
-        n = self.block_words[block]
-        share = self.block_links[block] / n if n else 0.0
-        return [1.0, float(self.link[e]), share, min(4.0, math.log1p(n)), float(self.boxed and not self.main[e]), 1.0 if n < 40 and _LEGAL.search(value) else 0.0]
+    def rest(self, i: int, inside: list[bool] | None = None) -> list[float]:
+        """Numbers about a text token besides its elements; ``inside`` (the main container), when known, comes last.
 
-    def container(self, odds: list[float]) -> list[bool]:
-        """For every element, whether it stands in the box that holds most content by ``odds`` of the text tokens."""
+        Links in a block count only outside of articles and of the main container; a list or a box that is nothing but
+        links counts anywhere.
+        """
+        _, value, e, block = self.tokens[i]
+        n, box, items = self.block_words[block], self.box[e], self.list[e]
+        own = self.main[e] or (inside is not None and inside[e])
+        share = self.block_links[block] / n if n and not own else 0.0
+        listed = self.list_links[items] / self.list_words[items] if items and self.list_words[items] else 0.0
+        boxed = self.box_links[box] / self.box_words[box] if self.box_words[box] else 0.0
+        legal = 1.0 if n < 40 and _LEGAL.search(value) else 0.0
+        out = [1.0, float(self.link[e] and not own), share, min(4.0, math.log1p(n)), float(self.boxed and not self.main[e]), legal, listed, max(0.0, 2 * boxed - 1)]
+        return out if inside is None else [*out, float(inside[e])]
+
+    def container(self, odds: list[float]) -> tuple[list[bool], list[bool]]:
+        """For every element, whether it stands in the box that holds most content by ``odds`` of the text tokens, and
+        whether it is that box or stands around it (then its names tell nothing of one part against another)."""
         held = [0.0] * len(self.tag)
         k = 0
         for i, (kind, _, e, _) in enumerate(self.tokens):
             if kind == 0:
                 n = self.count[i]
                 if n:
-                    b, give = self.box[e], n / (1 + math.exp(-max(-30.0, min(30.0, odds[k]))))
+                    b, give = self.box[e], n / (1 + math.exp(-max(-30.0, min(30.0, CALM * odds[k]))))
                     for _ in range(LEVELS):
                         held[b] += give
                         give *= UPWARD
@@ -303,13 +361,16 @@ class _Page:
         inside = [False] * len(self.tag)
         for e in range(len(self.tag)):
             inside[e] = e == top or (e > 0 and inside[self.parent[e]])
-        return inside
+        around = [False] * len(self.tag)
+        while top:
+            around[top], top = True, self.parent[top]
+        return inside, around
 
 
 class Weights:
     """Weights of elements and of the other numbers, and tag costs, fitted on labelled pages."""
 
-    def __init__(self, pages: list[list[tuple[str, bool]]], penalty: float = 0.6):
+    def __init__(self, pages: list[list[tuple[str, bool]]], penalty: float = 1.0):
         parsed, labels, tags = [], [], {}
         for pieces in pages:
             page = _Page("".join(p for p, _ in pieces))
@@ -325,31 +386,39 @@ class Weights:
         self.names: dict[str, int] = {}
         for page in parsed:
             for tag, attrs in zip(page.tag, page.attrs, strict=True):
-                for f in _own(tag, attrs):
+                for f, _ in _own(tag, attrs):
                     self.names.setdefault(f, len(self.names))
         m = len(self.names)
-        rows, y, weight, tops = [], [], [], []
-        for page, own in zip(parsed, labels, strict=True):
-            path = np.zeros((len(page.tag), m))
+        paths, rows, y, weight, late, near = [], [], [], [], [], []
+
+        def names_on(page: _Page, around: list[bool] | None = None) -> np.ndarray:
+            path = np.zeros((len(page.tag), m), np.float32)
             for e in range(1, len(page.tag)):
                 path[e] = DECAY * path[page.parent[e]]
-                for f in _own(page.tag[e], page.attrs[e]):
-                    path[e, self.names[f]] += 1
+                for f, share in () if around and around[e] else _own(page.tag[e], page.attrs[e]):
+                    path[e, self.names[f]] += share
+            return path
+
+        for page, own in zip(parsed, labels, strict=True):
+            path = names_on(page)
             for i, (kind, _, e, _) in enumerate(page.tokens):
                 if kind == 0:
-                    rows.append(np.concatenate([path[e], page.rest(i)]))
+                    paths.append(path[e])
+                    rows.append(page.rest(i))
                     y.append(own[i])
                     weight.append(min(12, page.count[i]))
-        x, target, weight = np.array(rows), np.array(y, float), np.array(weight, float)
+        x, target, weight = np.hstack([np.array(paths), np.array(rows)]), np.array(y, float), np.array(weight, float)
         # first without the main container, which needs odds itself
         first = self._fit(x, target, weight, penalty)
         odds, k = x @ first, 0
         for page in parsed:
             n = sum(t[0] == 0 for t in page.tokens)
-            inside = page.container(odds[k : k + n].tolist())
-            tops += [float(inside[e]) for kind, _, e, _ in page.tokens if kind == 0]
+            inside, around = page.container(odds[k : k + n].tolist())
+            path = names_on(page, around)
+            near += [path[t[2]] for t in page.tokens if t[0] == 0]
+            late += [page.rest(i, inside) for i, t in enumerate(page.tokens) if t[0] == 0]
             k += n
-        both = self._fit(np.hstack([x, np.array(tops)[:, None]]), target, weight, penalty)
+        both = self._fit(np.hstack([np.array(near), np.array(late)]), target, weight, penalty)
         self.first = (dict(zip(self.names, first[:m].tolist(), strict=True)), first[m:].tolist())
         self.both = (dict(zip(self.names, both[:m].tolist(), strict=True)), both[m:].tolist())
         self._cache: dict[tuple[str, str], tuple[float, float]] = {}
@@ -358,12 +427,14 @@ class Weights:
     def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np.ndarray:
         """Ridge logistic regression by Newton steps."""
         w = np.zeros(x.shape[1])
+        short = x.astype(np.float32)
         for _ in range(12):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            h = (x * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x + penalty * np.eye(len(w))
+            # single precision bends a step a little, not where the steps end
+            h = ((short * (weight * np.maximum(p * (1 - p), 1e-4)).astype(np.float32)[:, None]).T @ short).astype(float) + penalty * np.eye(len(w))
             step = np.linalg.solve(h, x.T @ (weight * (y - p)) - penalty * w)
             w += step
-            if np.abs(step).max() < 1e-6:
+            if np.abs(step).max() < 1e-3:
                 break
         return w
 
@@ -374,7 +445,7 @@ class Weights:
             if len(self._cache) > 20_000:
                 self._cache.clear()
             own = _own(tag, attrs)
-            self._cache[key] = (sum(self.first[0].get(f, 0.0) for f in own), sum(self.both[0].get(f, 0.0) for f in own))
+            self._cache[key] = (sum(share * self.first[0].get(f, 0.0) for f, share in own), sum(share * self.both[0].get(f, 0.0) for f, share in own))
         return self._cache[key]
 
     def scored(self, source: str) -> tuple[_Page, list[float], list[bool]]:
@@ -382,16 +453,15 @@ class Weights:
         page = _Page(source)
         n = len(page.tag)
         one, two = [0.0] * n, [0.0] * n
+        own = [(0.0, 0.0), *[self.element(page.tag[e], page.attrs[e]) for e in range(1, n)]]
         for e in range(1, n):
-            a, b = self.element(page.tag[e], page.attrs[e])
-            up = page.parent[e]
-            one[e], two[e] = DECAY * one[up] + a, DECAY * two[up] + b
+            one[e] = DECAY * one[page.parent[e]] + own[e][0]
         texts = [(i, t[2]) for i, t in enumerate(page.tokens) if t[0] == 0]
-        rest = [page.rest(i) for i, _ in texts]
-        early = [one[e] + sum(map(float.__mul__, self.first[1], r)) for (_, e), r in zip(texts, rest, strict=True)]
-        inside = page.container(early)
-        w = self.both[1]
-        return page, [two[e] + sum(map(float.__mul__, w, r)) + w[-1] * inside[e] for (_, e), r in zip(texts, rest, strict=True)], inside
+        told = lambda path, w, i, e, *inside: path[e] + sum(map(float.__mul__, w, page.rest(i, *inside)))
+        inside, around = page.container([told(one, self.first[1], i, e) for i, e in texts])
+        for e in range(1, n):
+            two[e] = DECAY * two[page.parent[e]] + (0.0 if around[e] else own[e][1])
+        return page, [told(two, self.both[1], i, e, inside) for i, e in texts], inside
 
     @staticmethod
     def region(gains: list[float]) -> tuple[int, int]:
@@ -414,13 +484,14 @@ class Weights:
         # on a page with an article, words that nothing speaks clearly against may be all it says
         level = AGAINST if page.boxed and max(odds, default=0.0) <= 0 else 0.0
         gains, against, k = [], [], 0
-        for (kind, value, e, _), n in zip(page.tokens, page.count, strict=True):
+        for (kind, value, e, block), n in zip(page.tokens, page.count, strict=True):
             out = False
             if kind == 0:
                 o, k = odds[k], k + 1
-                out = o < AGAINST
-                # what is left out inside the container does not part the content before and after it
-                gain = n * math.tanh((o - level) / 2) * (0.01 if out and inside[e] else 1.0)
+                out = inside[e] and o < AGAINST - min(2.0, page.block_words[block] / LOSS)
+                # what speaks against a text inside the container does not part the content before and after it
+                gain = n * math.tanh((o - level) / 2)
+                gain *= 0.01 if gain < 0 and inside[e] else 1.0
             elif kind == 4:
                 gain, out = 0.0, True
             else:

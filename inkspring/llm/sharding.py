@@ -6,10 +6,13 @@ Rebalancing edits the newest version and appends the next; whole slots move. Onl
 large the data) reach the driver.
 
 Equal texts are no unit here: under law ``bytes`` they are dealt over the shards like all other rows (a text that a third
-of all rows has would otherwise fill a third of the bytes into one shard of 24).
+of all rows has would otherwise fill a third of the bytes into one shard of 24). That holds for whole rows too: rows with
+the same doc_id and text are numbered, and the number is part of what is hashed, so no slot is filled by copies of one
+row. Only repeated rows are numbered (parts of their copies first, then the parts' offsets), and any of them may have any
+number, so reruns agree on what a slot holds.
 
 Defined cases: a null text has no bytes and the CRC of the empty text; texts of any length are one record, never cut; a
-null doc_id hashes with its text; repeated rows share a slot and get places of their own, equal rows in any order; equal
+null doc_id hashes with its text; repeated rows are dealt over slots and get places of their own, equal rows in any order; equal
 slots go to the lower shard, the lower slot first; an empty table gives an empty result; extra columns keep their values:
 those called shard or slot are found as shard_before and slot_before.
 """
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import HOT_ROWS, SMALL_ROWS, shared_dir, spread_join, stored
 
 SLOTS = 8192
 SHARDS = 24
@@ -33,14 +36,36 @@ MAP_SCHEMA = "version int, vslot int, shard int, bytes long, n long"
 
 
 def virtual_slot(slots: int = SLOTS) -> Column:
-    return F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int")
+    first = F.xxhash64("doc_id", "text_crc32")
+    return F.pmod(F.when(F.col("copy") == 0, first).otherwise(F.xxhash64("doc_id", "text_crc32", "copy")), F.lit(slots)).cast("int")
+
+
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, size, text_crc32, ...)`` with copy: 0, 1, 2 ... among the rows of one doc_id, size and text_crc32."""
+    cells = ["size", "text_crc32", F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()]
+    rows = rows.withColumn("_k1", F.xxhash64(*cells)).withColumn("_k2", F.xxhash64(F.lit(1), *cells, F.lit(2)))
+    key = ["_k1", "_k2"]
+    repeated = stored(rows.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1"))
+    keys, most = repeated.agg(F.count("*"), F.max("_n")).first()
+    if not keys:
+        return rows.withColumn("copy", F.lit(0).cast("long")).drop(*key)
+    few = F.broadcast(repeated) if keys <= SMALL_ROWS else repeated
+    single = rows.join(few.select(*key), key, "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    # a part holds some HOT_ROWS copies; rows are stored with their part, so that it stays theirs
+    part = F.pmod(F.xxhash64("_row"), F.ceil(F.col("_n") / HOT_ROWS)).cast("int")
+    several = stored(spread_join(rows.withColumn("_row", F.monotonically_increasing_id()), repeated, key, "_row", most, keys).withColumn("_part", part))
+    sizes = several.groupBy(*key, "_part").agg(F.count("*").alias("_held"))
+    before = sizes.withColumn("_before", F.sum("_held").over(W.partitionBy(*key).orderBy("_part")) - F.col("_held")).drop("_held")
+    own = F.row_number().over(W.partitionBy(*key, "_part").orderBy("_row")) - 1
+    several = several.withColumn("_own", own).join(before, [*key, "_part"]).withColumn("copy", (F.col("_own") + F.col("_before")).cast("long"))
+    return single.unionByName(several.select(*single.columns)).drop(*key)
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, vslot."""
+    """doc_id, size, text_crc32, copy, vslot."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    return rows.withColumn("vslot", virtual_slot(slots))
+    return numbered_copies(rows).withColumn("vslot", virtual_slot(slots))
 
 
 def slot_sizes(rows: DataFrame) -> list[tuple[int, int, int]]:
@@ -145,6 +170,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, p
                 names[c] += "_"
     docs = docs.withColumnsRenamed(names)
     text = F.coalesce("text", F.lit(""))
-    whole = docs.select(F.struct("*").alias("_row"), "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    table = stored_map(docs.sparkSession, records(docs, slots), shards, slots, path)
-    return place(whole.withColumn("vslot", virtual_slot(slots)), table).select("_row.*", "shard", "slot")
+    whole = docs.select(F.struct("*").alias("_whole"), "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    whole = numbered_copies(whole).withColumn("vslot", virtual_slot(slots))
+    table = stored_map(docs.sparkSession, whole.select("vslot", "size"), shards, slots, path)
+    return place(whole, table).select("_whole.*", "shard", "slot")

@@ -85,3 +85,27 @@ def test_clashing_columns(spark):
     out = sharding.shard_documents(df, shards=2, slots=16)
     assert out.columns == ["doc_id", "text", "shard_before", "slot_before_", "slot_before", "vslot", "shard", "slot"]
     assert {tuple(r)[2:6] for r in out.collect()} == {("a", 7, 8, 9)}
+
+
+def test_a_row_that_a_third_of_all_rows_repeat(spark):
+    """No slot and no shard is filled by one row, whatever the partitions are."""
+    rows = [(7, "one row of some length that is repeated " * 10)] * 1_000 + [(None, "a row without an id")] * 200 + [(1_000 + i, f"own text {i} " * (i % 50)) for i in range(1_800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard(df.repartition(7)).collect()
+    assert sorted((r["doc_id"] or 0, r["size"]) for r in got) == sorted((i or 0, len(t) + 8) for i, t in rows)
+    held, places, slots = defaultdict(int), defaultdict(list), defaultdict(int)
+    for r in got:
+        held[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+        slots[r["virtual_slot"]] += r["doc_id"] == 7
+    assert max(held.values()) <= sum(held.values()) / 24 + max(r["size"] for r in got) and max(slots.values()) <= 5
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    plain = lambda rows: sorted(tuple(r[c] if r[c] is not None else -1 for c in ("doc_id", "size", "shard", "slot")) for r in rows)
+    assert plain(sharding.shard(df.repartition(3)).collect()) == plain(got)
+    whole = sharding.shard_documents(df.withColumn("_k1", sharding.F.lit(1)), shards=4).collect()
+    assert len(whole) == len(rows) and {r["_k1"] for r in whole} == {1} and {r["shard"] for r in whole} == {0, 1, 2, 3}
+
+
+def test_very_long_texts(spark):
+    got = sharding.shard(spark.createDataFrame([(1, "é" * 500_000), (2, "x")], "doc_id long, text string"), shards=2).collect()
+    assert sorted((r["doc_id"], r["size"]) for r in got) == [(1, 1_000_008), (2, 9)] and {r["shard"] for r in got} == {0, 1}
