@@ -371,7 +371,7 @@ class Weights:
     """Weights of elements and of the other numbers, and tag costs, fitted on labelled pages."""
 
     def __init__(self, pages: list[list[tuple[str, bool]]], penalty: float = 1.0):
-        parsed, labels, tags = [], [], {}
+        parsed, labels, tags = [], [], {}  # labels: of every token of a page
         for pieces in pages:
             page = _Page("".join(p for p, _ in pieces))
             ends = np.cumsum([len(p) for p, _ in pieces])
@@ -388,37 +388,33 @@ class Weights:
             for tag, attrs in zip(page.tag, page.attrs, strict=True):
                 for f, _ in _own(tag, attrs):
                     self.names.setdefault(f, len(self.names))
-        m = len(self.names)
-        paths, rows, y, weight, late, near = [], [], [], [], [], []
-
-        def names_on(page: _Page, around: list[bool] | None = None) -> np.ndarray:
+        m, k = len(self.names), len(parsed[0].rest(0))
+        texts = [[i for i, t in enumerate(page.tokens) if t[0] == 0] for page in parsed]
+        target = np.array([float(own[i]) for own, some in zip(labels, texts, strict=True) for i in some])
+        weight = np.array([min(12.0, page.count[i]) for page, some in zip(parsed, texts, strict=True) for i in some])
+        # one table in single precision serves both fits; the last column is for the second
+        x = np.zeros((len(target), m + k + 1), np.float32)
+
+        def fill(at: int, page: _Page, some: list[int], *told: list[bool]) -> None:
+            inside, around = told or (None, None)
             path = np.zeros((len(page.tag), m), np.float32)
             for e in range(1, len(page.tag)):
                 path[e] = DECAY * path[page.parent[e]]
                 for f, share in () if around and around[e] else _own(page.tag[e], page.attrs[e]):
                     path[e, self.names[f]] += share
-            return path
-
-        for page, own in zip(parsed, labels, strict=True):
-            path = names_on(page)
-            for i, (kind, _, e, _) in enumerate(page.tokens):
-                if kind == 0:
-                    paths.append(path[e])
-                    rows.append(page.rest(i))
-                    y.append(own[i])
-                    weight.append(min(12, page.count[i]))
-        x, target, weight = np.hstack([np.array(paths), np.array(rows)]), np.array(y, float), np.array(weight, float)
+            for row, i in enumerate(some, at):
+                rest = page.rest(i, inside)
+                x[row, :m], x[row, m : m + len(rest)] = path[page.tokens[i][2]], rest
+
+        starts = np.cumsum([0, *map(len, texts)]).tolist()
+        for at, page, some in zip(starts, parsed, texts, strict=False):
+            fill(at, page, some)
         # first without the main container, which needs odds itself
-        first = self._fit(x, target, weight, penalty)
-        odds, k = x @ first, 0
-        for page in parsed:
-            n = sum(t[0] == 0 for t in page.tokens)
-            inside, around = page.container(odds[k : k + n].tolist())
-            path = names_on(page, around)
-            near += [path[t[2]] for t in page.tokens if t[0] == 0]
-            late += [page.rest(i, inside) for i, t in enumerate(page.tokens) if t[0] == 0]
-            k += n
-        both = self._fit(np.hstack([np.array(near), np.array(late)]), target, weight, penalty)
+        first = self._fit(x[:, :-1], target, weight, penalty)
+        odds = x[:, :-1] @ first
+        for at, page, some in zip(starts, parsed, texts, strict=False):
+            fill(at, page, some, *page.container(odds[at : at + len(some)].tolist()))
+        both = self._fit(x, target, weight, penalty)
         self.first = (dict(zip(self.names, first[:m].tolist(), strict=True)), first[m:].tolist())
         self.both = (dict(zip(self.names, both[:m].tolist(), strict=True)), both[m:].tolist())
         self._cache: dict[tuple[str, str], tuple[float, float]] = {}
@@ -427,12 +423,15 @@ class Weights:
     def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np.ndarray:
         """Ridge logistic regression by Newton steps."""
         w = np.zeros(x.shape[1])
-        short = x.astype(np.float32)
         for _ in range(12):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            # single precision bends a step a little, not where the steps end
-            h = ((short * (weight * np.maximum(p * (1 - p), 1e-4)).astype(np.float32)[:, None]).T @ short).astype(float) + penalty * np.eye(len(w))
-            step = np.linalg.solve(h, x.T @ (weight * (y - p)) - penalty * w)
+            h, g = penalty * np.eye(len(w)), -penalty * w
+            for i in range(0, len(x), 4096):
+                part, c = x[i : i + 4096], weight[i : i + 4096]
+                p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+                # single precision bends a step a little, not where the steps end
+                h += (part * (c * np.maximum(p * (1 - p), 1e-4)).astype(np.float32)[:, None]).T @ part
+                g += (c * (y[i : i + 4096] - p)) @ part
+            step = np.linalg.solve(h, g)
             w += step
             if np.abs(step).max() < 1e-3:
                 break
