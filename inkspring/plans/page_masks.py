@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkspring.operators import outlines as O
+from inkspring.operators import page_geometry as PG
 from inkspring.operators import regions as G
 from inkspring.operators import runs as R
 from inkspring.operators import stateful as S
@@ -212,3 +213,37 @@ def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area and bounds of the union of a page's bubbles."""
     return R.measured(R.from_boxes(bubbles(spark, sf_dir), ["page"]), ["page"])
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a page: bubbles in narrow bars as candidates, panels of half a page, tails, and dark corners."""
+    b = bubbles(spark, sf_dir)
+    box = lambda *c: F.array(*[x.cast("int") for x in c])
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    # a candidate is a bubble, or two bars of it with a gap that can be repaired
+    bars = F.when(F.col("ord") % 2 == 0, F.array(box(x1, y1, x2, y2))).otherwise(F.array(box(x1, y1, x1 + 12, y2), box(x1 + 9, y1, x2, y2 - 6)))
+    some = lambda c, when=None: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", (c if when is None else F.when(when, c).otherwise(F.array().cast("array<array<int>>"))).alias("b")))), lambda s: s["b"]))
+    return b.groupBy("page").agg(
+        some(bars).alias("candidates"), some(F.array(box(x1, y2 - 3, x1 + 12, y2)), F.col("ord") % 3 == 0).alias("tails"), some(F.array(box(x1 - 2, y1 - 2, x1 + 4, y1 + 4)), F.col("ord") % 4 == 0).alias("dark"),
+    ).withColumn("panels", F.array(F.array(F.lit(0), F.lit(0), F.lit(WIDTH), F.lit(HEIGHT // 2)), F.array(F.lit(0), F.lit(HEIGHT // 2), F.lit(WIDTH), F.lit(HEIGHT))))
+
+
+@query("stage3_groups")
+def stage3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bubble groups of every page with their parts, panels, repaired and bridged pixels, and accepted style hints."""
+    found = PG.groups(_pages(spark, sf_dir), (WIDTH, HEIGHT))
+    pixels = lambda c: F.aggregate(c, F.lit(0), lambda s, r: s + r[2] - r[1])
+    styles = PG.hints(found, (WIDTH, HEIGHT)).groupBy("page", "group").agg(F.count("hint").alias("hints"))
+    rows = found.select("page", "group", F.to_json("members").alias("members"), F.to_json("bounds").alias("bounds"), F.to_json("panels").alias("panels"), "links", F.size("parts").alias("parts"), *[pixels(c).alias(c) for c in ("refined", "observed", "inferred", "bridge", "tail")])
+    return rows.join(styles, ["page", "group"], "left").withColumn("hints", F.coalesce("hints", F.lit(0)))
+
+
+@query("stage3_bubble_geometry")
+def stage3_bubble_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text box of a page with its group and parts, and the effects over it: stage 3 from candidates to links."""
+    b = bubbles(spark, sf_dir)
+    found = PG.groups(_pages(spark, sf_dir), (WIDTH, HEIGHT))
+    texts = text_boxes(b).select("page", F.col("source").alias("text"), "x1", "y1", "x2", "y2")
+    effects = b.where("ord % 4 = 1").select("page", "x1", "y1", (F.col("x1") + 20).alias("x2"), (F.col("y1") + 24).alias("y2"))
+    out = PG.mapped(texts, found, (WIDTH, HEIGHT)).join(PG.effects_of(texts, effects), ["page", "text"], "left")
+    return out.select("page", "text", "group", F.to_json("parts").alias("parts"), "status", "coverage", F.coalesce("effects", F.lit(0)).alias("effects"))

@@ -357,3 +357,99 @@ def test_anchors_and_margins_of_parts(spark):
     want = np.stack([np.roll(np.roll(m, dy, 0), dx, 1) for dx, dy in disk(5)]).all(axis=0)
     want[20, :35] = False
     assert got[1, 0]["area"] == want.sum() == sum(r["b"] - r["a"] for r in runs.where("page = 1 and part = 0").collect())
+
+
+def test_groups_of_drawn_pages(spark):
+    """One page by hand: two bars with a gap that is repaired, two lobes with a neck, a tail, a far bubble."""
+    from inkspring.operators import page_geometry as PG
+
+    page = (1, [[10, 10, 40, 40], [42, 10, 70, 40], [12, 12, 38, 38], [100, 10, 130, 40], [130, 22, 140, 26], [140, 10, 170, 40]], [[0, 0, 90, 100], [90, 0, 200, 100]], [], [])
+    kind = "page long, candidates array<array<int>>, panels array<array<int>>, tails array<array<int>>, dark array<array<int>>"
+    df = spark.createDataFrame([page, (2, [], [], [], []), (3, [[5, 5, 5, 9], [-4, -4, 20, 20]], None, [[0, 0, 3, 3]], [])], kind)
+    rows = {(r["page"], r["group"]): r for r in PG.groups(df, (200, 100), least=40, repair=2).collect()}
+    assert {k for k in rows} == {(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (3, 1)}
+    assert rows[1, 1]["members"] == [0, 2] and rows[1, 1]["bounds"] == [10, 10, 40, 40] and rows[1, 1]["panels"] == [0] and rows[3, 1]["bounds"] == [0, 0, 20, 20]
+    joined = (4, [[10, 10, 40, 40], [11, 10, 41, 40], [10, 41, 41, 70]], [], [], [])
+    one = PG.groups(spark.createDataFrame([joined], kind), (200, 100), least=40, repair=2).collect()
+    assert sorted(len(r["members"]) for r in one) == [1, 2]
+
+
+def test_mapping_against_drawn_masks(spark, sf):
+    """Coverage, status and parts of every text box again from drawn masks."""
+    from inkspring.operators import page_geometry as PG
+
+    found = PG.groups(P._pages(spark, sf), (P.WIDTH, P.HEIGHT))
+
+    def mask(runs):
+        m = np.zeros((P.HEIGHT, P.WIDTH), bool)
+        for y, a, b in runs:
+            m[y, a:b] = True
+        return m
+
+    by = defaultdict(list)
+    for r in found.collect():
+        whole, bodies = mask(r["refined"]), {p["part"]: mask(p["runs"]) for p in r["parts"]}
+        seen, added, bridge, tail = (mask(r[c]) for c in ("observed", "inferred", "bridge", "tail"))
+        parts = sum((b.astype(int) for b in bodies.values()), np.zeros_like(whole, int)) + bridge + tail
+        assert (parts == whole).all() and ((seen | added) == whole).all() and not (seen & added).any()
+        assert r["bounds"] == [int(v) for v in (*np.argwhere(whole).min(axis=0)[::-1], *(np.argwhere(whole).max(axis=0)[::-1] + 1))]
+        by[r["page"]].append((r["group"], whole, bodies))
+    boxes = P.text_boxes(P.bubbles(spark, sf)).collect()
+    got = {(r["page"], r["text"]): (r["group"], list(r["parts"]), r["status"], r["coverage"]) for r in PG.mapped(P.text_boxes(P.bubbles(spark, sf)).withColumnRenamed("source", "text"), found, (P.WIDTH, P.HEIGHT)).collect()}
+    states = set()
+    for t in boxes:
+        x1, y1, x2, y2 = max(0, math.floor(t["x1"])), max(0, math.floor(t["y1"])), min(P.WIDTH, math.ceil(t["x2"])), min(P.HEIGHT, math.ceil(t["y2"]))
+        share = sorted(((m[y1:y2, x1:x2].mean(), -g) for g, m, _ in by[t["page"]]), reverse=True)
+        if not share:
+            want = (None, [], "unmatched", None)
+        elif share[0][0] < 0.8 or (len(share) > 1 and share[1][0] >= 0.8 and share[0][0] - share[1][0] < 0.15):
+            want = (None, [], "ambiguous_or_low_coverage", None)
+        else:
+            g = -share[0][1]
+            want = (g, [k for n, _, b in by[t["page"]] if n == g for k, m in sorted(b.items()) if m[y1:y2, x1:x2].any()], "matched", round(float(share[0][0]), 6))
+        states.add(want[2])
+        assert got[t["page"], t["source"]] == want
+    assert states == {"matched", "ambiguous_or_low_coverage"} and len(got) == len(boxes)
+
+
+def test_masks_of_small_pages_against_pixels():
+    """Components, holes, repair and fill plans of the drawn version, pixel by pixel."""
+    from collections import deque
+
+    from inkspring.operators import masks as M
+
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        m = rng.random((12, 15)) < rng.uniform(0.2, 0.8)
+        seen, n = np.zeros(m.shape, int), 0
+        for y, x in np.argwhere(m):
+            if not seen[y, x]:
+                n += 1
+                queue = deque([(y, x)])
+                seen[y, x] = n
+                while queue:
+                    p, q = queue.popleft()
+                    for u, v in ((p + 1, q), (p - 1, q), (p, q + 1), (p, q - 1)):
+                        if 0 <= u < 12 and 0 <= v < 15 and m[u, v] and not seen[u, v]:
+                            seen[u, v] = n
+                            queue.append((u, v))
+        ids, count = M.labelled(m)
+        assert count == n and (ids == seen).all()
+        free = {(y, x) for y in range(-1, 13) for x in range(-1, 16) if not (0 <= y < 12 and 0 <= x < 15 and m[y, x])}
+        out, todo = {(-1, -1)}, [(-1, -1)]
+        while todo:
+            p, q = todo.pop()
+            for c in ((p + 1, q), (p - 1, q), (p, q + 1), (p, q - 1)):
+                if c in free and c not in out:
+                    out.add(c)
+                    todo.append(c)
+        assert (M.filled(m) == np.array([[(y, x) not in out for x in range(15)] for y in range(12)])).all()
+        white = rng.random(m.shape) < 0.7
+        pad = np.pad(m, 2)
+        wide = np.array([[any(pad[y + 2 + dy, x + 2 + dx] for dx, dy in disk(2)) for x in range(15)] for y in range(12)])
+        pad = np.pad(wide, 2)
+        closed = np.array([[all(pad[y + 2 + dy, x + 2 + dx] for dx, dy in disk(2)) for x in range(15)] for y in range(12)])
+        assert (M.repaired(m, white, 2) == (closed & white & ~m)).all() and not M.repaired(m, white, 0).any()
+        ring = [(y, x) for y in range(12) for x in range(15) if not m[y, x] and any(0 <= y + dy < 12 and 0 <= x + dx < 15 and m[y + dy, x + dx] for dx, dy in disk(1))]
+        bright = [white[p] for p in ring]
+        assert M.fill_plan(white, m, 0.6) == ("review" if not m.any() else "white_fill" if bright and np.mean(bright) >= 0.6 else "repaint")
