@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkspring.functions import vectors as V
 
 
 def last_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -95,22 +94,6 @@ def scores(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     return d.withColumn("place", F.row_number().over(W.partitionBy("vec_id").orderBy("score", "candidate")).cast("long"))
 
 
-def pair_distances(rows: DataFrame, key: str, ident: str, vector: str) -> DataFrame:
-    """key, a, b, d: distances of all pairs within a key (identities hold few crops; the join is on the key)."""
-    side = lambda n: rows.select(key, F.col(ident).alias(n), F.col(vector).alias(f"v_{n}"))
-    return side("a").join(side("b"), key).where("a < b").select(key, "a", "b", F.round(V.distance("v_a", "v_b"), 5).alias("d"))
-
-
-def consensus(groups: DataFrame, key: str, size: int) -> DataFrame:
-    """key, mean: of each group (key, v: array of structs with an embedding) the unit mean of its most compact part."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({key: f[key], "mean": [unit_mean(np.array([r["embedding"] for r in v], float), size) for v in f["v"]]})
-
-    return groups.select(key, "v").mapInPandas(run, f"{key} {dict(groups.dtypes)[key]}, mean array<double>")
-
-
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows of unit length; empty, zero and NaN rows are rejected."""
     n = np.linalg.norm(x, axis=1) if x.size else np.zeros(0)

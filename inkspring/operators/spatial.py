@@ -95,15 +95,19 @@ def fused_boxes(boxes: DataFrame, least: float) -> DataFrame:
 def reading_order(boxes: DataFrame) -> DataFrame:
     """page, ord, place: rows of boxes are gathered greedily from the top, each read from right to left.
 
-    A box joins a row if its top lies within a tolerance (a fifth of the height of the row's first box, 8 to 40) of it.
+    A box joins the first row whose first box has its top within a tolerance of the box's own: a fifth of its height, 8 to 40.
     """
 
     def order(boxes: list[dict]) -> list[tuple]:
         rows: list[list[dict]] = []
         for r in sorted(boxes, key=lambda r: (r["y1"], -r["x2"], r["ord"])):
-            head = rows[-1][0] if rows else None
-            if head and abs(r["y1"] - head["y1"]) <= min(40.0, max(8.0, 0.2 * (head["y2"] - head["y1"]))):
-                rows[-1].append(r)
+            reach = min(40.0, max(8.0, 0.2 * (r["y2"] - r["y1"])))
+            # tops of first boxes rise, so the rows within reach are the last ones
+            k = len(rows)
+            while k and r["y1"] - rows[k - 1][0]["y1"] <= reach:
+                k -= 1
+            if k < len(rows):
+                rows[k].append(r)
             else:
                 rows.append([r])
         flat = [r for row in rows for r in sorted(row, key=lambda r: (-r["x2"], r["y1"], r["ord"]))]
@@ -113,13 +117,13 @@ def reading_order(boxes: DataFrame) -> DataFrame:
 
 
 def suppressed(boxes: DataFrame, threshold: float) -> DataFrame:
-    """page, ord, kept: greedy suppression by falling confidence (ties: lowest ord)."""
+    """page, ord, kept: greedy suppression by falling confidence (ties: lowest ord); a box without area is not kept."""
 
     def nms(rows: list[dict]) -> list[tuple]:
         kept: list[dict] = []
         out = []
         for r in sorted(rows, key=lambda r: (-r["confidence"], r["ord"])):
-            good = all(_iou(r, k) < threshold for k in kept)
+            good = r["x2"] > r["x1"] and r["y2"] > r["y1"] and all(_iou(r, k) < threshold for k in kept)
             out.append((r["ord"], good))
             if good:
                 kept.append(r)

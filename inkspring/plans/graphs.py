@@ -79,15 +79,13 @@ def identity_clique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumnRenamed("s_suppkey", "a").join(s.withColumnRenamed("s_suppkey", "b"), "person").where("a < b")
 
 
-#: Stages of a chapter run and what each needs.
-STAGES = [("layout", ""), ("extract", "layout"), ("geometry", "layout"), ("normalize", "extract"), ("normalize", "geometry"), ("graph", "normalize"), ("analyze", "graph"), ("reanalyze", "analyze"), ("identity", "reanalyze"), ("relationship", "identity"), ("export", "relationship"), ("inpaint", "export"), ("translate", "export"), ("typeset", "translate"), ("typeset", "inpaint")]
-_STAGES_SQL = ", ".join(f"('{a}', '{b}')" for a, b in STAGES if b)
-
-
-@query("G7_ancestors", oracle=f"WITH RECURSIVE d(step, needs) AS (VALUES {_STAGES_SQL}), r AS (SELECT step, needs FROM d UNION SELECT r.step, d.needs FROM r JOIN d ON d.step = r.needs) SELECT step, needs AS ancestor FROM r")
+@query("G7_ancestors", oracle="""WITH RECURSIVE d AS (SELECT p.p_partkey AS step, q.p_partkey AS needs FROM part p JOIN part q ON q.p_partkey = p.p_partkey // 2 OR (p.p_partkey % 5 = 0 AND q.p_partkey = p.p_partkey // 5)),
+r AS (SELECT step, needs FROM d UNION SELECT r.step, d.needs FROM r JOIN d ON d.step = r.needs) SELECT step, needs AS ancestor FROM r""")
 def ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transitive closure of the stage dependencies."""
-    return G.ancestors(spark.createDataFrame([s for s in STAGES if s[1]], "step string, needs string"))
+    """Everything that each step needs, near or far: a part needs the one of half its number, or of a fifth of it."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("step"))
+    needs = p.withColumn("needs", F.explode(F.array(F.expr("step div 2"), F.when(F.col("step") % 5 == 0, F.expr("step div 5"))))).where("needs is not null")
+    return G.ancestors(needs.join(p.withColumnRenamed("step", "needs"), "needs", "left_semi"))
 
 
 @query("X4_threshold_clusters", oracle="""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), e AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id WHERE round(list_distance(x.v, y.v), 5) < 1.15),

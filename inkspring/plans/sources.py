@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkspring.functions import vectors as V
 from inkspring.functions.text import NOISE_RULES
 from inkspring.operators import checks
+from inkspring.operators import pairs as P
 from inkspring.registry import query, table
 from inkspring.sources import files
 
@@ -82,6 +83,14 @@ def distance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumnRenamed("vec_id", "a").join(b, "label").where("b > a and b < a + 40").select("label", "a", "b", F.round(1 - d * d / 2, 4).alias("cosine"))
 
 
+@query("S15_distance_histogram", oracle="WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.label, (round(list_distance(a.v, b.v) * 100000)::BIGINT // 1000) / 100 AS distance FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id) SELECT label, distance, count(*) AS pairs, round(1 - distance * distance / 2, 4) AS cosine FROM d GROUP BY 1, 2")
+def distance_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pair distances of an identity's crops, counted in hundredths (rounded down): pairs of blocks, no row a pair."""
+    step = F.expr("cast(round(d * 100000) as long) div 1000") / 100
+    d = P.spread(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 1.2).groupBy("label", step.alias("distance")).agg(F.sum("n").alias("pairs"))
+    return d.select("label", "distance", "pairs", F.round(1 - F.col("distance") * F.col("distance") / 2, 4).alias("cosine"))
+
+
 @query("S20_transcript_pages", oracle="SELECT conv_id AS doc, ((turn + 2) // 2)::INT AS page, turn AS pos, role AS line FROM conversations WHERE turn % 2 = 0")
 def transcript_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd pages of a transcript, renumbered; every turn is a page of one line here."""
