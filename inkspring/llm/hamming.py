@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import forget, stored
+from .common import forget, spread_join, stored
 
 DIM = 64
 K = 10
@@ -149,12 +149,13 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGME
 def _answers(rows: DataFrame, asked: DataFrame, found: DataFrame, k: int) -> DataFrame:
     """Entries back to rows: the k smallest ids of each found code, then the k first of each query."""
     wanted = found.select("code").distinct()
-    ids = rows.join(wanted, "code").groupBy("code", "id").agg(F.count("*").alias("times"))
+    # many rows may share a code: they meet it by salt
+    ids = spread_join(rows, wanted, "code", "id").groupBy("code", "id").agg(F.count("*").alias("times"))
     ids = ids.groupBy("code", F.pmod(F.xxhash64("id"), F.lit(64)).alias("salt")).agg(F.slice(F.array_sort(F.collect_list(F.struct("id", "times"))), 1, k).alias("ids"))
     ids = ids.groupBy("code").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k).alias("ids"))
     each = found.join(ids, "code").select("query", "d", F.explode("ids").alias("x")).select("query", "d", "x.id", F.explode(F.sequence(F.lit(1), F.least(F.col("x.times"), F.lit(k)).cast("int"))).alias("_t"))
     lists = each.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "id", "_t"))), 1, k).alias("best"))
-    out = asked.join(lists.withColumnRenamed("query", "code"), "code").select(F.col("id").alias("query_id"), F.posexplode("best").alias("rank", "x"))
+    out = spread_join(asked, lists.withColumnRenamed("query", "code"), "code", "id").select(F.col("id").alias("query_id"), F.posexplode("best").alias("rank", "x"))
     return out.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.d").cast("int").alias("distance"))
 
 

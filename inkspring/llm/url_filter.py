@@ -3,7 +3,7 @@
 Explicit rules name a host (with its subdomains) and a path prefix; the longest that fits decides. All other URLs are
 judged by combinations of URL tokens that Spark's FP-growth finds in labelled URLs: rules ``tokens -> block`` with
 enough support and confidence, without those that contain a shorter rule. Tokens in more than MAX_SHARE of the labelled
-URLs tell nothing and are not mined. In the labelled URLs hardly any token decides alone: a gambling word beside
+URLs are mined in a second pass, over what the first one leaves without a rule. In the labelled URLs hardly any token decides alone: a gambling word beside
 ``history`` is no casino, and an affiliate number or a prize page by itself no bait; pairs and triples of host, path and
 query words are. The mined rules form an inverted index (every rule under its rarest token), so a URL looks up its own
 tokens and compares only the rules found there. The index is broadcast, so its size is checked: more rules than
@@ -19,6 +19,7 @@ their names.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -32,7 +33,7 @@ RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/
 MIN_CONFIDENCE = 0.9
 #: A mined rule holds in at least this share of the labelled URLs and at least so many of them.
 MIN_SUPPORT, MIN_COUNT = 0.001, 5
-#: Tokens of more than this share of the labelled URLs are not mined.
+#: Tokens of more than this share of the labelled URLs are mined only for what the others leave without a rule.
 MAX_SHARE = 0.12
 #: Most mined rules of one broadcast index (some 10 MB in a worker).
 MAX_RULES = 50_000
@@ -112,24 +113,43 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.concat(words(host_of(url), "h:"), words(F.translate(path_of(url), UPPER, LOWER), "p:"), words(query, "q:")))
 
 
+_MARK = "=block"
+
+
+def _rules(rows: DataFrame, tokens: DataFrame, n: int, least: float, min_confidence: float) -> DataFrame:
+    """Rules tokens -> block of ``rows(row, t, block)``, of all ``tokens``; support is a share of ``n``."""
+    kept = rows.select("row", F.explode("t").alias("token")).join(tokens, "token").groupBy("row").agg(F.collect_list("token").alias("t"))
+    items = rows.select("row", "block").join(kept, "row", "left").withColumn("t", F.coalesce("t", F.array().cast("array<string>")))
+    baskets = items.select(F.when(F.col("block") > 0, F.array_append("t", F.lit(_MARK))).otherwise(F.col("t")).alias("items"))
+    held = rows.count()
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least * n / held), minConfidence=min_confidence).fit(baskets)
+    return model.associationRules.where(F.array_contains("consequent", _MARK)).select(F.array_sort("antecedent").alias("tokens"), "confidence", (F.col("support") * held / n).alias("support"))
+
+
 def mine(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, max_share: float = MAX_SHARE) -> DataFrame:
-    """tokens, confidence, support: minimal token combinations that mean ``block`` in ``labelled(url, block)``."""
-    mark = "=block"
+    """tokens, confidence, support: minimal token combinations that mean ``block`` in ``labelled(url, block)``.
+
+    Tokens that nearly all URLs have would be in most combinations, so they are mined second: for the blocked URLs that
+    no rule of the other tokens fits, with every token that is frequent in these, against all URLs that are not blocked.
+    """
     rows = labelled.where("url is not null and block is not null").select(F.monotonically_increasing_id().alias("row"), tokens_of(F.col("url")).alias("t"), "block")
     rows = stored(rows)
-    empty = labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
     n = rows.count()
     if not n:
-        return empty
+        return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
     least = min(1.0, max(min_support, min_count / n))
-    each = rows.select("row", F.explode("t").alias("token"))
-    told = each.groupBy("token").agg(F.count("*").alias("c")).where((F.col("c") >= least * n) & (F.col("c") <= max(max_share * n, min_count)))
-    kept = each.join(told.select("token"), "token").groupBy("row").agg(F.collect_list("token").alias("t"))
-    items = rows.select("row", "block").join(kept, "row", "left").withColumn("t", F.coalesce("t", F.array().cast("array<string>")))
-    baskets = items.select(F.when(F.col("block") > 0, F.array_append("t", F.lit(mark))).otherwise(F.col("t")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", mark)).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    # a rule that contains another one adds nothing: its parts are looked up, not all pairs of rules
+    often = lambda some: some.select(F.explode("t").alias("token")).groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= least * n)
+    told = often(rows)
+    rules = stored(_rules(rows, told.where(F.col("c") <= max(max_share * n, min_count)).select("token"), n, least, min_confidence))
+    # a URL is met by the rules that share their first token with it
+    first = rules.select(F.get("tokens", F.lit(0)).alias("token"), "tokens")
+    fits = rows.where("block > 0").select("row", "t", F.explode("t").alias("token")).join(first, "token").where(F.size(F.array_except("tokens", "t")) == 0).select("row").distinct()
+    rest = stored(rows.where("block > 0").join(fits, "row", "left_anti"))
+    common = stored(often(rest).select("token"))
+    if not common.isEmpty():
+        rules = stored(rules.unionByName(_rules(rest.unionByName(rows.where("block = 0")), common, n, least, min_confidence)).dropDuplicates(["tokens"]))
+    # a rule that contains another one adds nothing: its parts are looked up, not all pairs of rules. They are no more than
+    # the frequent combinations that FP-growth has listed already, as all parts of a frequent one are frequent
     rules = stored(rules.withColumn("id", F.concat_ws("\0", "tokens")))
     parts = rules.where("size(tokens) > 1").withColumn("mask", F.explode(F.expr("sequence(1L, shiftleft(1L, size(tokens)) - 2)")))
     parts = parts.select("id", F.expr("concat_ws('\\0', filter(tokens, (t, i) -> (shiftright(mask, i) & 1) = 1))").alias("sub"))
@@ -147,10 +167,11 @@ def rule_columns(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
     return text, verdict
 
 
-def _slices(mined: DataFrame, max_rules: int) -> list[list[tuple[str, ...]]]:
+def _slices(mined: DataFrame, max_rules: int) -> Iterator[list[tuple[str, ...]]]:
     """Mined rules in bounded slices; only one slice at a time comes to the driver."""
     n = max(1, -(-mined.count() // max_rules))
-    return [[tuple(r[0]) for r in mined.where(F.pmod(F.xxhash64("tokens"), F.lit(n)) == i).select("tokens").collect()] for i in range(n)]
+    for i in range(n):
+        yield [tuple(r[0]) for r in mined.where(F.pmod(F.xxhash64("tokens"), F.lit(n)) == i).select("tokens").collect()]
 
 
 _INDEX: dict = {}

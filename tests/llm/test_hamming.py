@@ -52,3 +52,21 @@ def test_small_chunks_give_the_same(spark, sf):
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(i, [1.0] * 64, 1, 2, 3, 4) for i in (0, 1)], SCHEMA + ", id int, code int, seg int, query int")
     assert sorted(tuple(r) for r in hamming.search(df).collect()) == [(0, 1, 0, 0), (0, 2, 1, 0)]
+
+
+def test_a_code_that_a_third_of_all_rows_have(spark):
+    """Queries and answers of one code are dealt over tasks and come back whole."""
+    import random
+
+    from inkspring.llm import hamming
+
+    rng = random.Random(8)
+    same = [1.0 if i % 3 else -1.0 for i in range(64)]
+    rows = [(i, same if i % 3 == 0 else [rng.choice([-1.0, 1.0]) for _ in range(64)]) for i in range(1_500)]
+    got = {}
+    for r in hamming.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["distance"], r["vec_id"]))
+    for q, v in rows[::50]:
+        want = sorted((sum((a > 0) != (b > 0) for a, b in zip(v, w, strict=True)), i) for i, w in rows)[:10]
+        assert sorted(got.pop(q)) == [(k, d, i) for k, (d, i) in enumerate(want, 1)]
+    assert not got

@@ -127,3 +127,17 @@ def test_minimal_rules_against_all_combinations(spark):
 def test_clashing_columns(spark, mined):
     df = spark.createDataFrame([(1, "https://free-casino.example.org/x", "h", "p", 5, "t")] * 2, "page_id long, url string, host string, path string, mined int, tokens string")
     assert [(r["host"], r["path"], r["verdict"]) for r in u.judge(df, mined).collect()] == [("free-casino.example.org", "/x", "block")] * 2
+
+
+def test_a_bait_word_in_a_third_of_all_labels_is_mined(spark):
+    """Common tokens that decide give a rule, common ones that do not give none, and rare pairs stay as they are."""
+    rows = [(f"http://evil{'' if i % 2 else '.shop'}.example.com/page/{i}", 1) for i in range(200)]
+    rows += [(f"http://good.example.com/page/{i}", 0) for i in range(300)] + [(f"http://rare-pair.example.com/page/{i}", 1) for i in range(20)]
+    rows += [(f"http://rare.example.com/page/{i}", 0) for i in range(30)] + [(f"http://pair.example.com/page/{i}", 0) for i in range(30)]
+    from inkspring.llm import url_filter
+
+    mined = {tuple(r["tokens"]): (round(r["confidence"], 6), round(r["support"], 4)) for r in url_filter.mine(spark.createDataFrame(rows, "url string, block int")).collect()}
+    n = len(rows)
+    assert mined[("h:evil",)] == (1.0, round(200 / n, 4)) and mined[("h:pair", "h:rare")] == (1.0, round(20 / n, 4))
+    assert not any(set(t) <= {"h:example", "h:com", "p:page"} for t in mined)
+    assert all(len(t) == 1 or not any(set(s) < set(t) for s in mined) for t in mined)
