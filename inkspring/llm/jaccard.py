@@ -156,7 +156,6 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((np.sort(hot), np.argsort(hot, kind="stable")))
     out = pa.schema([("bucket", pa.int32()), ("h0", pa.int64()), ("gaps", pa.binary()), ("who", pa.binary()), ("nodes", pa.binary()), ("n", pa.int64())])
-    edge = (np.arange(1, buckets, dtype=np.float64) * (2.0**48 / buckets)).astype(np.uint64)
 
     def chunks(batches):
         """Distinct sets of a task in chunks of about CHUNK shingles: nodes, sizes, other shingles, frequent ones."""
@@ -195,12 +194,12 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width:
             who = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
             order = np.argsort(every, kind="stable")
             every, who = every[order], who[order]
-            cuts = [0, *np.searchsorted(every, edge).tolist(), len(every)]
+            # the buckets of this chunk only: its work does not grow with their number
+            bucket = np.minimum((every.astype(np.float64) * (buckets / 2.0**48)).astype(np.int64), buckets - 1)
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(every)] if len(every) else [0]
             rows: dict = {c: [] for c in out.names}
-            for k in range(buckets):
-                x, y = cuts[k], cuts[k + 1]
-                if x == y:
-                    continue
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                k = int(bucket[x])
                 mine, local = np.unique(who[x:y], return_inverse=True)
                 gaps = np.diff(every[x:y])
                 rows["bucket"].append(k)

@@ -8,7 +8,7 @@ large the data) reach the driver.
 Equal texts are no unit here: under law ``bytes`` they are dealt over the shards like all other rows (a text that a third
 of all rows has would otherwise fill a third of the bytes into one shard of 24). That holds for whole rows too: rows with
 the same doc_id and text are numbered, and the number is part of what is hashed, so no slot is filled by copies of one
-row. Only repeated rows are numbered (parts of their copies first, then the parts' offsets), and any of them may have any
+row. Only rows with more than TOGETHER copies are numbered (parts of their copies first, then the parts' offsets), and any of them may have any
 number, so reruns agree on what a slot holds.
 
 Defined cases: a null text has no bytes and the CRC of the empty text; texts of any length are one record, never cut; a
@@ -31,6 +31,8 @@ from .common import HOT_ROWS, SMALL_ROWS, shared_dir, spread_join, stored
 SLOTS = 8192
 SHARDS = 24
 OVERHEAD = 8
+#: Up to so many equal rows share a slot; more are numbered and dealt.
+TOGETHER = 8
 
 MAP_SCHEMA = "version int, vslot int, shard int, bytes long, n long"
 
@@ -41,11 +43,14 @@ def virtual_slot(slots: int = SLOTS) -> Column:
 
 
 def numbered_copies(rows: DataFrame) -> DataFrame:
-    """``rows(doc_id, size, text_crc32, ...)`` with copy: 0, 1, 2 ... among the rows of one doc_id, size and text_crc32."""
+    """``rows(doc_id, size, text_crc32, ...)`` with copy: 0, 1, 2 ... among the rows of one doc_id, size and text_crc32.
+
+    Up to TOGETHER equal rows are all 0: they stay in one slot.
+    """
     cells = ["size", "text_crc32", F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()]
     rows = rows.withColumn("_k1", F.xxhash64(*cells)).withColumn("_k2", F.xxhash64(F.lit(1), *cells, F.lit(2)))
     key = ["_k1", "_k2"]
-    repeated = stored(rows.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1"))
+    repeated = stored(rows.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > TOGETHER))
     keys, most = repeated.agg(F.count("*"), F.max("_n")).first()
     if not keys:
         return rows.withColumn("copy", F.lit(0).cast("long")).drop(*key)
