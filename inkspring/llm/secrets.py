@@ -4,7 +4,7 @@ Rule spans are regular expressions (assignments, access keys, long hex runs). Th
 Markov models, one trained on labelled random strings and one on labelled ordinary identifiers, score every long
 unbroken run of key characters; a run is a secret if its mean log-likelihood ratio per character pair is at least
 ``MIN_RATIO``. Links, embedded base64 data and UUIDs look random but are no secrets: they are passed over (rule spans
-in them stay). The models are pair counts (an aggregate, at most a few thousand rows), so the driver holds a table of
+in them stay), but for the password before a link's host and the values of parameters named after credentials. The models are pair counts (an aggregate, at most a few thousand rows), so the driver holds a table of
 fixed size; scanning has no shuffle and each text is handled whole, where it lies.
 
 Defined cases: a null text is an empty one and has no spans, an empty table gives an empty result; texts and runs of any
@@ -29,10 +29,14 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 #: Characters of the models; others share class 0. A run is scored if it has at least MIN_RUN of them.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
 MIN_RUN = 20
-#: What is passed over whole, without a verdict: links, embedded data, UUIDs. Group 1 is a run to be scored.
+# Names of link parameters that hold credentials.
+CREDENTIALS = "key|token|secret|sig|signature|auth|password|passwd|pass|pwd|credential|access_token|access_key|api_key|apikey|client_secret|refresh_token"
+#: What is passed over, without a verdict: links, embedded data, UUIDs. Of a link, what comes after ``user:`` before the host
+#: and after a credential's name is read on. Group 1 is a run to be scored.
 RUN = (
-    r"(?<![A-Za-z])[A-Za-z]{2,12}://[^\s<>\"']+|base64,[A-Za-z0-9+/=]+|(?<![0-9A-Za-z-])[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}(?![0-9A-Za-z-])"
-    rf"|(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{{{MIN_RUN},}})"
+    rf"(?<![A-Za-z])[A-Za-z]{{2,12}}://(?:[^\s<>\"'/?#@:]*:(?=[^\s<>\"'/?#@]*@)|[^\s<>\"']*?[?&#;](?i:{CREDENTIALS})=|[^\s<>\"']+)"
+    r"|base64,[A-Za-z0-9+/=]+|(?<![0-9A-Za-z-])[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}(?![0-9A-Za-z-])"
+    + "|(?:(?<![A-Za-z0-9+/_=-])|" + "|".join(f"(?<=(?i:{name})=)" for name in CREDENTIALS.split("|")) + rf")([A-Za-z0-9+/_=-]{{{MIN_RUN},}})"
 )
 #: Least mean log-likelihood ratio (nats per pair) of a secret.
 MIN_RATIO = 0.5

@@ -118,3 +118,47 @@ def test_random_spans_against_a_plain_version(spark, sf, model):
 def test_clashing_columns(spark, model):
     df = spark.createDataFrame([(1, "token=abcdef1", "a", 1, 2, 3)] * 2, "doc_id long, text string, assign string, hex int, random int, access int")
     assert [r["n_assign"] for r in secrets.digest(secrets.find_secrets(df, model)).collect()] == [1, 1]
+
+
+def outside(n=40):
+    """Keys of formats that the generator does not make, drawn by a seed: (format, key)."""
+    import random
+    import string
+
+    rng = random.Random(77)
+    letters, upper, digits = string.ascii_letters, string.ascii_uppercase, string.digits
+    draw = lambda chars, k: "".join(rng.choice(chars) for _ in range(k))
+    for _ in range(n):
+        yield "ghp", "ghp_" + draw(letters + digits, 36)
+        yield "slack", f"xoxb-{draw(digits, 11)}-{draw(letters + digits, 24)}"
+        yield "stripe", "sk_live_" + draw(letters + digits, 24)
+        yield "google", "AIza" + draw(letters + digits + "-_", 35)
+        yield "jwt", "eyJ" + draw(letters + digits, 60)
+        yield "base32", draw(upper + "234567", 32)
+        yield "aws secret", draw(letters + digits + "/+", 40)
+        yield "npm", "npm_" + draw(letters + digits, 36)
+        yield "azure", draw(letters + digits + "+/", 86) + "=="
+        yield "short", draw(letters + digits, 22)
+        yield "in a link", f"https://api.example.com/v1/items?page=2&key={draw(letters + digits, 32)}"
+        yield "user", f"postgres://user:{draw(letters + digits, 24)}@db.example.com:5432/main"
+
+
+def test_recall_on_drawn_formats_and_false_hits_a_megabyte(spark, sf, model):
+    """Hundreds of keys of twelve formats; prose, code words and links by the megabyte."""
+    keys = list(outside())
+    rows = [(i, f"some text {k} and more") for i, (_, k) in enumerate(keys)]
+    hit = {r["doc_id"] for r in secrets.digest(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), model)).where("n_random + n_hex + n_assign + n_access > 0").select("doc_id").collect()}
+    recall = {}
+    for i, (kind, _) in enumerate(keys):
+        recall.setdefault(kind, []).append(i in hit)
+    rates = {k: sum(v) / len(v) for k, v in recall.items()}
+    print(rates)
+    assert sum(map(sum, recall.values())) >= 0.97 * len(keys) and min(rates.values()) >= 0.85
+    docs = table(spark, sf, "documents")
+    pages = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.concat_ws(" ", "url", "html").alias("text"))
+    plain = [(10**7 + i, " ".join([*PLAIN, *PASSED]) + f" https://example.com/en/{i}/a-long-title-of-an-article-about-things.html?page={i}&lang=en&ref=newsletter_of_the_week") for i in range(2_000)]
+    every = docs.select("doc_id", "text").unionByName(pages).unionByName(spark.createDataFrame(plain, "doc_id long, text string"))
+    size = every.agg(F.sum(F.octet_length("text"))).first()[0] / 1e6
+    false = secrets.digest(secrets.find_secrets(every, model)).agg(F.sum("n_random")).first()[0]
+    print("false hits a MB", false / size)
+    assert size > 1 and false / size < 0.5
