@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 
 from inkspring.functions.text import squeeze
 from inkspring.operators.graph import resolved
+from inkspring.operators.sequences import chunked
 
 # Content types that leave the dialogue, and where to.
 EFFECTS, EXCLUDED = ["sfx", "action_state"], ["ui", "watermark"]
@@ -109,3 +110,25 @@ def unpacked(rows: DataFrame, books: DataFrame, scope: str, kinds: dict[str, str
         own = books.where(F.col("field") == name).select(scope, F.col("token").alias(name), F.from_json("value", f"v {kind}").getField("v").alias("_v"))
         rows = rows.join(own, [scope, name], "left").drop(name).withColumnRenamed("_v", name)
     return rows
+
+
+def translation_jobs(rows: DataFrame, batches: DataFrame, most: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(jobs, issues): who is translated with whom; ``rows(document, id, ord)``, ``batches(document, batch, pos, id, scene, summary)``.
+
+    The live rows of an analysed batch are one job, in the batch's order, with its scene; rows of no batch follow in their
+    own order, ``most`` to a job. Issues: ids that a document has twice (``duplicate``), and ids in two batches or twice
+    in one (``overlap``); a document with an issue has no jobs, as its rows would be translated twice.
+    """
+    twice = rows.groupBy("document", "id").agg(F.count("*").alias("_n"))
+    live = batches.join(twice.select("document", "id"), ["document", "id"], "left_semi")
+    doubled = live.groupBy("document", "id").agg(F.count("*").alias("_n"))
+    wrong = lambda df, issue: df.where("_n > 1").select("document", "id", F.lit(issue).alias("issue"))
+    issues = wrong(twice, "duplicate").unionByName(wrong(doubled, "overlap"))
+    good = lambda df: df.join(issues.select("document").distinct(), "document", "left_anti")
+    listed = lambda *by: F.transform(F.array_sort(F.collect_list(F.struct(*by, "id"))), lambda x: x["id"]).alias("targets")
+    named = good(live).groupBy("document", "batch").agg(listed("pos"), F.min("scene").alias("scene"), F.min("summary").alias("summary"))
+    named = named.select("document", F.concat(F.lit("natural:"), F.col("batch").cast("string")).alias("job"), "targets", F.col("batch").cast("string").alias("batch"), "scene", "summary")
+    extra = chunked(good(rows).join(live.select("document", "id"), ["document", "id"], "left_anti"), ["document"], ["ord", "id"], most)
+    rest = extra.groupBy("document", "chunk").agg(listed("ord"))
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    return named.unionByName(rest.select("document", F.concat(F.lit("natural:additional:"), (F.col("chunk") + 1).cast("string")).alias("job"), "targets", none("batch", "string"), none("scene", named.schema["scene"].dataType), F.lit("").alias("summary"))), issues

@@ -130,3 +130,17 @@ def read_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.encode("text", "UTF-8").alias("content"), F.char_length("text").alias("cells"))
     digest = F.sha2(F.when(F.col("turn") % 7 == 3, F.concat("content", F.lit(b"x"))).otherwise(F.col("content")), 256)
     return t.select("conv_id", "turn", (F.col("cells") > 200).alias("wrong_size"), (F.sha2("content", 256) != digest).alias("changed"))
+
+
+@query("stage12_partition", oracle="""WITH t AS (SELECT DISTINCT conv_id, turn FROM conversations), r AS (SELECT * FROM t WHERE turn % 7 <> 3), b AS (SELECT conv_id, turn, turn // 4 AS batch, -turn AS pos FROM t WHERE turn % 5 <> 4),
+j AS (SELECT conv_id, batch, string_agg(turn::VARCHAR, ',' ORDER BY pos) AS targets FROM b JOIN r USING (conv_id, turn) GROUP BY 1, 2),
+x AS (SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 AS k FROM r WHERE turn % 5 = 4)
+SELECT conv_id AS document, 'natural:' || batch AS job, targets, 'scene ' || batch % 2 AS scene, 'about ' || batch AS summary FROM j
+UNION ALL SELECT conv_id, 'natural:additional:' || (k + 1), string_agg(turn::VARCHAR, ',' ORDER BY turn), NULL, '' FROM x GROUP BY conv_id, k""")
+def stage12_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Translation jobs of every conversation: analysed batches of four turns with their scene, then the turns of no batch."""
+    t = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("document"), F.col("turn").alias("id")).distinct()
+    batch = F.expr("id div 4")
+    batches = t.where("id % 5 <> 4").select("document", batch.alias("batch"), (-F.col("id")).alias("pos"), "id", F.concat(F.lit("scene "), (batch % 2).cast("string")).alias("scene"), F.concat(F.lit("about "), batch.cast("string")).alias("summary"))
+    jobs, _ = C.translation_jobs(t.where("id % 7 <> 3").withColumn("ord", F.col("id")), batches, 3)
+    return jobs.select("document", "job", F.array_join(F.transform("targets", lambda i: i.cast("string")), ",").alias("targets"), "scene", "summary")

@@ -88,3 +88,15 @@ def test_promotion(spark):
     assert {r["character"]: (list(r["appearance_keys"]), r["appearances"]) for r in after.collect()} == {4: (["k"], 1), 5: ([], 0), 6: (["a", "b"], 2)}
     assert [r["pending"] for r in left.collect()] == ["z"]
     assert A.promoted(bank.limit(0), pending, table(spark, [("z",)], "pending string"))[0].first()["character"] == 1
+
+
+def test_translation_jobs(spark):
+    from inkspring.operators import chapter as C
+
+    rows = [("d", f"u{i}", i) for i in range(12)] + [("e", "u0", 0), ("e", "u0", 1), ("f", "u0", 0), ("f", "u1", 1)]
+    batches = [("d", "b1", 0, "u3", "s", "x"), ("d", "b1", 1, "u1", "s", "x"), ("d", "b1", 2, "gone", "s", "x"), ("d", "b2", 0, "gone", "s", "y"), ("f", "b1", 0, "u0", "s", "x"), ("f", "b2", 0, "u0", "s", "x")]
+    jobs, issues = C.translation_jobs(table(spark, rows, "document string, id string, ord int"), table(spark, batches, "document string, batch string, pos int, id string, scene string, summary string"))
+    got = {(r["document"], r["job"]): (list(r["targets"]), r["batch"], r["scene"], r["summary"]) for r in jobs.collect()}
+    rest = [f"u{i}" for i in range(12) if i not in (1, 3)]
+    assert got == {("d", "natural:b1"): (["u3", "u1"], "b1", "s", "x"), ("d", "natural:additional:1"): (rest[:8], None, None, ""), ("d", "natural:additional:2"): (rest[8:], None, None, "")}
+    assert {tuple(r) for r in issues.collect()} == {("e", "u0", "duplicate"), ("f", "u0", "overlap")}
