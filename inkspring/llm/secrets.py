@@ -36,7 +36,8 @@ CREDENTIALS = "key|token|secret|sig|signature|auth|password|passwd|pass|pwd|cred
 RUN = (
     rf"(?<![A-Za-z])[A-Za-z]{{2,12}}://(?:[^\s<>\"'/?#@:]*:(?=[^\s<>\"'/?#@]*@)|[^\s<>\"']*?[?&#;](?i:{CREDENTIALS})=|[^\s<>\"']+)"
     r"|base64,[A-Za-z0-9+/=]+|(?<![0-9A-Za-z-])[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}(?![0-9A-Za-z-])"
-    + "|(?:(?<![A-Za-z0-9+/_=-])|" + "|".join(f"(?<=(?i:{name})=)" for name in CREDENTIALS.split("|")) + rf")([A-Za-z0-9+/_=-]{{{MIN_RUN},}})"
+    # names are looked back for only where an equals sign stands before
+    + "|(?:(?<![A-Za-z0-9+/_=-])|(?<==)(?:" + "|".join(f"(?<=(?i:{name})=)" for name in CREDENTIALS.split("|")) + rf"))([A-Za-z0-9+/_=-]{{{MIN_RUN},}})"
 )
 #: Least mean log-likelihood ratio (nats per pair) of a secret.
 MIN_RATIO = 0.5
