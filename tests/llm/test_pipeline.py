@@ -3,6 +3,9 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pytest
+
 import corpus_pipeline as c
 from inkspring.llm import mixing
 from inkspring.llm.common import stored, table
@@ -52,3 +55,26 @@ def test_stages(spark, sf):
         places[r["shard"]].append(r["slot"])
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
     assert c.run(spark, sf).count() == len(rows[5])
+
+
+@pytest.mark.parametrize(
+    ("stage", "module", "function"),
+    [(c.quality_stage, c.quality, "keep_good"), (c.near_duplicate_stage, c.jaccard, "keep_one"), (c.decontamination_stage, c.decontaminate, "remove_contaminated"), (c.mixing_stage, c.mixing, "mixed_documents")],
+)
+def test_python_gets_few_texts_at_a_time(spark, sf, monkeypatch, stage, module, function):
+    """A stage's result is run by its reader, so the size of its Arrow batches must hold then."""
+
+    def lengths(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    monkeypatch.setattr(module, function, lambda docs, *_: docs.mapInArrow(lengths, "n long"))
+    rows, key = spark.range(0, 6_000, 1, 1), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, most in (("10000", 2_000), ("0", 2_000), ("500", 500)):  # 0: no limit; a smaller one stays
+            spark.conf.set(key, given)
+            got = [r["n"] for r in stage(spark, rows, sf).collect()]
+            assert sum(got) == 6_000 and max(got) == most
+    finally:
+        spark.conf.set(key, before)
