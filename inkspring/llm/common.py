@@ -39,11 +39,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Shuffle files go when their action ends, not when the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write are removed with its end, as nothing can read them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLES_GO)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -1,11 +1,13 @@
 """The n-gram Jaccard join against all pairs."""
 
 import re
+import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from inkspring.llm import jaccard
-from inkspring.llm.common import table
+from inkspring.llm.common import SHUFFLES_GO, stored, table
 
 SCHEMA = "doc_id long, text string"
 
@@ -109,3 +111,16 @@ def test_nodes_of_their_own_for_sets_that_share_half_a_fingerprint(spark, monkey
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(i, "one two three four five six", "a", 1, 2, 3) for i in (4, 5)], "doc_id long, text string, node string, th int, n int, comp int")
     assert sorted(tuple(r) for r in jaccard.jaccard_components(df).collect()) == [(4, 2, 1, 4, 4), (5, 2, 1, 4, 4)]
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What a stored table was made from takes no disk while the next ones are made."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    before, setting = files(), spark.conf.get(SHUFFLES_GO)
+    out = stored(spark.range(0, 10_000, 1, 4).groupBy((F.col("id") % 100).alias("k")).count())
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(SHUFFLES_GO) == setting and sorted(tuple(r) for r in out.collect()) == [(k, 100) for k in range(100)]
