@@ -205,8 +205,10 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width:
                 rows["bucket"].append(k)
                 rows["h0"].append(int(every[x]))
                 rows["gaps"].append(gaps.astype(np.uint32).tobytes() if not len(gaps) or int(gaps.max()) < 2**32 else gaps.tobytes())
-                rows["who"].append(local.astype(np.uint16).tobytes())
-                rows["nodes"].append(ids[mine].tobytes())
+                # the more buckets, the fewer shingles of a set are in one: then each shingle brings its node
+                listed = 8 * len(mine) + 2 * len(local) < 8 * len(local)
+                rows["who"].append(local.astype(np.uint16).tobytes() if listed else None)
+                rows["nodes"].append(ids[mine if listed else who[x:y]].tobytes())
                 rows["n"].append(None)
             # one row a set: its size and its frequent shingles, dealt by fingerprint
             for s, n, hs in zip(nodes, sizes, hots, strict=True):
@@ -232,10 +234,12 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int, twins: dict, width:
         if blocks.num_rows:
             hs, ns = [], []
             for h0, gaps, who, nodes in zip(*(blocks[c].to_pylist() for c in ("h0", "gaps", "who", "nodes")), strict=True):
-                w = np.frombuffer(who, np.uint16)
-                g = np.frombuffer(gaps, np.uint32 if len(gaps) == 4 * (len(w) - 1) else np.uint64).astype(np.uint64)
+                each = np.frombuffer(nodes, np.int64)
+                if who is not None:
+                    each = each[np.frombuffer(who, np.uint16)]
+                g = np.frombuffer(gaps, np.uint32 if len(gaps) == 4 * (len(each) - 1) else np.uint64).astype(np.uint64)
                 hs.append(np.concatenate([np.array([h0], np.uint64), np.uint64(h0) + np.cumsum(g, dtype=np.uint64)]))
-                ns.append(np.frombuffer(nodes, np.int64)[w])
+                ns.append(each)
             hs, ns = np.concatenate(hs), np.concatenate(ns)
             order = np.lexsort((ns, hs))
             hs, ns = hs[order], ns[order]

@@ -4,6 +4,7 @@ import re
 import time
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from inkspring.llm import jaccard
@@ -124,3 +125,16 @@ def test_shuffle_files_go_with_the_write(spark):
         time.sleep(0.2)
     assert not files() - before
     assert spark.conf.get(SHUFFLES_GO) == setting and sorted(tuple(r) for r in out.collect()) == [(k, 100) for k in range(100)]
+
+
+def test_small_pieces_take_no_more_than_a_node_a_shingle(spark, sf, monkeypatch):
+    """With many buckets (a large input) a piece has hardly a set twice; with few it lists each set once."""
+    docs, dealt = table(spark, sf, "documents").limit(200), []
+    frame = type(docs)
+    plain = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *by: dealt.append(self) or plain(self, *by))
+    for buckets in (2, 20_000):
+        jaccard.postings(docs, np.empty(0, np.uint64), buckets, {})
+    pieces = [[(len(r["who"] or ""), len(r["nodes"])) for r in d.where("n is null").select("who", "nodes").collect()] for d in dealt]
+    assert all(who + nodes <= 8 * max(who // 2, nodes // 8) for p in pieces for who, nodes in p)
+    assert all(who for who, _ in pieces[0]) and len(pieces[1]) > 100
