@@ -23,6 +23,25 @@ def folded(rows: DataFrame, key: str, order: list[str], fn: Callable[[list[dict]
     return seq.mapInArrow(run, schema)
 
 
+def folded_together(rows: DataFrame, key: str, order: list[str], fn: Callable[[int, np.ndarray, dict[str, np.ndarray]], tuple[np.ndarray, dict]], schema: str, out: pa.Schema, most: int = 2_000) -> DataFrame:
+    """As ``folded``, for whole-number columns and many keys at a time: ``fn(n, of, columns)`` gets the rows of n keys in order
+    (``of``: which key, ascending) and gives, for rows of its own, which key and their columns. A row with a null is left out."""
+    rest = [c for c in rows.columns if c not in (key, *order)]
+    seq = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, *rest))).alias("rows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in (whole.slice(i, most) for i in range(0, whole.num_rows, most)):
+                lists = b.column("rows")
+                flat, of = lists.flatten(), np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+                cols = {f.name: c for f, c in zip(flat.type, flat.flatten(), strict=True)}
+                good = np.logical_and.reduce([c.is_valid().to_numpy(zero_copy_only=False) for c in cols.values()])
+                at, made = fn(b.num_rows, of[good], {k: c.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[good] for k, c in cols.items()})
+                yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(at)), *[pa.array(made[f.name], f.type) for f in list(out)[1:]]], schema=out)
+
+    return seq.mapInArrow(run, schema)
+
+
 def admission(samples: list[dict], start: int = 2, most: int = 32) -> list[dict]:
     """Additive increase, multiplicative decrease of a concurrency limit over metric samples {t, load, done, queued}.
 
