@@ -13,30 +13,46 @@ from inkspring.operators.graph import components
 
 
 def _fold(links: list[tuple], forbidden: list[tuple]) -> list[tuple]:
-    """(cluster, person, status) after links in order; every cluster starts as its own person."""
-    of, to, held, refused = {}, {}, {}, set()
+    """(cluster, person, status) after links in order; every cluster starts as its own person.
+
+    ``held`` counts a person's clusters. ``apart`` has, for the mark of a person as they are by now, the marks of those that
+    they may not be one with; where a person goes on as another, the smaller set is moved.
+    """
+    ends = {x for _, *pair in links for x in pair}
+    of, to, held, refused = {c: c for c in ends}, {}, dict.fromkeys(ends, 1), set()
+    mark, apart = {c: c for c in ends}, {}
+    for a, b in forbidden:
+        if a != b and a in ends and b in ends:
+            apart.setdefault(a, set()).add(b)
+            apart.setdefault(b, set()).add(a)
 
     def root(p):
-        while p in to:
-            p = to[p]
-        return p
+        top = p
+        while top in to:
+            top = to[top]
+        while p != top:
+            to[p], p = top, to[p]
+        return top
 
-    for c in {x for _, *ends in links for x in ends}:
-        of[c] = c
-        held[c] = {c}
     for _, cluster, person in sorted(links):
         new, old = root(person), root(of[cluster])
         if new == old:
             continue
-        if any({root(a), root(b)} == {old, new} for a, b in forbidden):
+        if mark[new] in apart.get(mark[old], ()):
             refused.add(cluster)
             continue
-        held[old].discard(cluster)
-        held[new].add(cluster)
+        held[old] -= 1
+        held[new] += 1
         of[cluster] = new
         # a person whose clusters have all moved goes on as the new one
         if not held[old]:
             to[old] = new
+            few, many = sorted((mark[old], mark[new]), key=lambda m: len(apart.get(m, ())))
+            mark[new] = many
+            for m in apart.pop(few, ()):
+                apart[m].discard(few)
+                apart[m].add(many)
+                apart[many].add(m)
     return [(c, root(p), "review" if c in refused else "linked" if root(p) != c else "own") for c, p in of.items()]
 
 

@@ -83,6 +83,43 @@ def test_links_in_order(spark):
     assert I.applied_links(spark.createDataFrame([], "ord int, cluster string, person string"), spark.createDataFrame([("a", "b")], "a string, b string")).count() == 0
 
 
+def test_links_look_once_at_what_is_forbidden():
+    """A link looks at its own two persons, not at all pairs; the result is that of a look at all pairs."""
+    import random
+
+    class Once(list):
+        looks = 0
+
+        def __iter__(self):
+            self.looks += 1
+            return super().__iter__()
+
+    def plainly(rows, pairs):
+        ends = {x for _, *two in rows for x in two}
+        of, to, refused = {c: c for c in ends}, {}, set()
+
+        def root(p):
+            return root(to[p]) if p in to else p
+
+        for _, c, p in sorted(rows):
+            new, old = root(p), root(of[c])
+            if new != old and any({root(a), root(b)} == {old, new} for a, b in pairs):
+                refused.add(c)
+            elif new != old:
+                of[c] = new
+                if old not in of.values():
+                    to[old] = new
+        return {(c, root(p), "review" if c in refused else "linked" if root(p) != c else "own") for c, p in of.items()}
+
+    for seed in range(300):
+        r = random.Random(seed)
+        n = r.randint(2, 12)
+        rows = [(i, r.randrange(n), r.randrange(n)) for i in range(r.randint(1, 30))]
+        pairs = Once((r.randrange(n + 1), r.randrange(n + 1)) for _ in range(r.randint(0, 10)))
+        assert set(I._fold(rows, pairs)) == plainly(rows, list(pairs))
+        assert pairs.looks <= 2
+
+
 def plain_parse(texts, proposals, groups):
     """One chapter, step by step over all its texts."""
     canon = {}
