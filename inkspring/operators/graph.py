@@ -55,14 +55,23 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def ancestors(edges: DataFrame) -> DataFrame:
-    """step, ancestor: the transitive closure of ``edges(step, needs)`` by doubling its reach."""
-    reach = _cut(edges.select("step", F.col("needs").alias("ancestor")).distinct())
+    """step, ancestor: the transitive closure of ``edges(step, needs)``; steps may need themselves by a cycle.
+
+    ``reach`` has the pairs that 1 to k edges join, ``exact`` those that exactly k do: a way of up to 2k edges is one of k
+    and a shorter one, so each pair is met by few ways only. Joins sort both sides: no table is sent to the driver, however
+    small a column is estimated.
+    """
+    exact = reach = _cut(edges.select("step", F.col("needs").alias("ancestor")).distinct())
     while True:
-        on = reach.select(F.col("step").alias("ancestor"), F.col("ancestor").alias("next"))
-        new = _cut(reach.unionByName(reach.join(on, "ancestor").select("step", F.col("next").alias("ancestor"))).distinct())
+        first = exact.select("step", F.col("ancestor").alias("_by")).hint("merge")
+        on = lambda then: first.join(then.withColumnRenamed("step", "_by").hint("merge"), "_by").select("step", "ancestor")  # noqa: E731, B023
+        new, twice = reach.unionByName(on(reach)).distinct(), _cut(on(exact).distinct())
+        if twice.isEmpty():
+            return new
+        new = _cut(new)
         if new.count() == reach.count():
             return new
-        reach = new
+        exact, reach = twice, new
 
 
 def hierarchy(rows: DataFrame, key: str, scene: str, order: list[str], target: str, most: int) -> DataFrame:

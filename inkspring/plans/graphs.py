@@ -85,7 +85,8 @@ def ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that each step needs, near or far: a part needs the one of half its number, or of a fifth of it."""
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("step"))
     needs = p.withColumn("needs", F.explode(F.array(F.expr("step div 2"), F.when(F.col("step") % 5 == 0, F.expr("step div 5"))))).where("needs is not null")
-    return G.ancestors(needs.join(p.withColumnRenamed("step", "needs"), "needs", "left_semi"))
+    # the ids of all parts are estimated small from their file, and would be sent to the driver
+    return G.ancestors(needs.join(p.withColumnRenamed("step", "needs").hint("merge"), "needs", "left_semi"))
 
 
 @query("X4_threshold_clusters", oracle="""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), e AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id WHERE round(list_distance(x.v, y.v), 5) < 1.15),
