@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from inkspring.operators import runs as R
+from inkspring.operators.stateful import in_parts
 
 Points = list[tuple[float, float]]
 
@@ -120,7 +121,7 @@ def rings(runs: DataFrame, key: list[str], kind: str) -> DataFrame:
     names = ["ring", "hole", "area", "points", "simple"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches, 500):
             rows, at = [], []
             for i, e in enumerate(b.column("edges").to_pylist()):
                 for n, ring in enumerate(linked([tuple(x) for x in e]), 1):

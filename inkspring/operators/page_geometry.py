@@ -18,6 +18,10 @@ from inkspring.operators import masks as M
 from inkspring.operators import outlines as O
 from inkspring.operators import runs as R
 from inkspring.operators.graph import _cut
+from inkspring.operators.stateful import in_parts
+
+#: Pages whose masks a worker holds at a time: a page's runs take some 100 KB as Python's lists.
+PAGES = 100
 
 _RUNS = pa.list_(pa.list_(pa.int32()))
 _SCHEMA = pa.schema([
@@ -62,13 +66,14 @@ def groups(pages: DataFrame, size: tuple[int, int], least: int = 40, repair: int
     """Groups of ``pages(page, candidates, panels, tails, dark)``: arrays of boxes [x1, y1, x2, y2], one row a page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches, PAGES):
             lists = [[[tuple(x) for x in v or ()] for v in b.column(c).to_pylist()] for c in ("candidates", "panels", "tails", "dark")]
             made = [{"page": p} | g for p, *boxes in zip(b.column("page").to_pylist(), *lists, strict=True) for g in page_groups(*boxes, size, least, repair)]
             yield pa.RecordBatch.from_pylist(made, schema=_SCHEMA)
 
     # kept in the shared folder, as mapping and hints read the masks many times
-    return _cut(pages.select("page", "candidates", "panels", "tails", "dark").mapInArrow(run, _DDL))
+    # a page is a small row and much work, so pages are dealt by their number, not by their bytes
+    return _cut(R.dealt(pages.select("page", "candidates", "panels", "tails", "dark"), ["page"]).mapInArrow(run, _DDL))
 
 
 def unrolled(rows: DataFrame, key: list[str], runs: Column) -> DataFrame:

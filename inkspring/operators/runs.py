@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 _NEVER = -1_000_000
 
 
+def dealt(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of a key in one task, as many tasks as the session's shuffles have: what they are blown up to stays there."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+
+
 def swept(spans: DataFrame, key: list[str], least: Column | int = 1) -> DataFrame:
     """Runs of the pixels whose spans ``(key, y, a, b, v)`` add up to ``least``, a column of the key or a number."""
     spans = spans.where("a < b").withColumn("_least", least if isinstance(least, Column) else F.lit(least))

@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, at most so many at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, most):
+            yield b.slice(i, most)
+
+
 def folded(rows: DataFrame, key: str, order: list[str], fn: Callable[[list[dict]], list[dict]], schema: str, out: pa.Schema) -> DataFrame:
     """``fn`` gets the rows of a key in order and gives rows; the key is added to them."""
     rest = [c for c in rows.columns if c not in (key, *order)]
@@ -30,14 +37,13 @@ def folded_together(rows: DataFrame, key: str, order: list[str], fn: Callable[[i
     seq = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, *rest))).alias("rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in (whole.slice(i, most) for i in range(0, whole.num_rows, most)):
-                lists = b.column("rows")
-                flat, of = lists.flatten(), np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-                cols = {f.name: c for f, c in zip(flat.type, flat.flatten(), strict=True)}
-                good = np.logical_and.reduce([c.is_valid().to_numpy(zero_copy_only=False) for c in cols.values()])
-                at, made = fn(b.num_rows, of[good], {k: c.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[good] for k, c in cols.items()})
-                yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(at)), *[pa.array(made[f.name], f.type) for f in list(out)[1:]]], schema=out)
+        for b in in_parts(batches, most):
+            lists = b.column("rows")
+            flat, of = lists.flatten(), np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            cols = {f.name: c for f, c in zip(flat.type, flat.flatten(), strict=True)}
+            good = np.logical_and.reduce([c.is_valid().to_numpy(zero_copy_only=False) for c in cols.values()])
+            at, made = fn(b.num_rows, of[good], {k: c.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[good] for k, c in cols.items()})
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(at)), *[pa.array(made[f.name], f.type) for f in list(out)[1:]]], schema=out)
 
     return seq.mapInArrow(run, schema)
 

@@ -374,6 +374,26 @@ def test_groups_of_drawn_pages(spark):
     assert sorted(len(r["members"]) for r in one) == [1, 2]
 
 
+def test_a_worker_holds_the_masks_of_few_pages(monkeypatch):
+    """A batch of 10,000 pages came back as one, some 126 KB a page as Python's lists."""
+    import pyarrow as pa
+
+    from inkspring.operators import page_geometry as PG
+
+    class Pages:
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run  # noqa: E731, N815
+
+    n = 2 * PG.PAGES + 1
+    box = pa.list_(pa.list_(pa.int32()))
+    batch = pa.record_batch([pa.array(range(n), pa.int64()), pa.array([[[2, 2, 20, 20]]] * n, box), *[pa.array([[]] * n, box)] * 3], ["page", "candidates", "panels", "tails", "dark"])
+    monkeypatch.setattr(PG, "_cut", lambda run: run)
+    monkeypatch.setattr(PG.R, "dealt", lambda rows, _: rows)
+    out = list(PG.groups(Pages(), (32, 32))(iter([batch])))
+    assert [b.num_rows for b in out] == [PG.PAGES, PG.PAGES, 1]
+    assert [p for b in out for p in b.column("page").to_pylist()] == list(range(n))
+
+
 def test_mapping_against_drawn_masks(spark, sf):
     """Coverage, status and parts of every text box again from drawn masks."""
     from inkspring.operators import page_geometry as PG
