@@ -69,12 +69,14 @@ def text_regions(allowed: DataFrame, sources: DataFrame, width: int, height: int
     low = lambda c, most: F.greatest(F.lit(0), F.least(F.lit(most), F.ceil(c))).cast("int")
     high = lambda c, most: F.greatest(F.lit(0), F.least(F.lit(most), F.floor(c))).cast("int")
     boxes = sources.select(*key, "reading_order", low("x1", width).alias("x1"), low("y1", height).alias("y1"), high("x2", width).alias("x2"), high("y2", height).alias("y2"), ((F.col("x1") + F.col("x2")) / 2).alias("ax"), ((F.col("y1") + F.col("y2")) / 2).alias("ay"))
-    rectangles = R.from_boxes(boxes, key)
-    runs = R.intersection(key, rectangles, boxes.select(*key).join(allowed.select("page", "y", "a", "b"), "page"))
-    ranked = runs.join(boxes.select(*key, "reading_order"), key).withColumn("rank", F.struct("reading_order", "source"))
+    # rows of boxes meet the runs of their row; a run's part within a box is a run
+    rows = boxes.where("x1 < x2 and y1 < y2").select("page", F.explode(F.sequence("y1", F.col("y2") - 1)).alias("y"), "x1", "x2", F.struct("reading_order", "source").alias("rank"))
+    cut = rows.join(allowed.select("page", "y", "a", "b"), ["page", "y"]).where("a < x2 and x1 < b")
+    ranked = cut.select("page", "y", "rank", F.greatest("a", "x1").alias("a"), F.least("b", "x2").alias("b"))
+    runs = ranked.select("page", "rank.source", "y", "a", "b")
     # two runs of one row meet where the later begins within the earlier: their rows meet, never their pixels
     earlier = ranked.select("page", "y", F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("rank").alias("_rank"))
-    clash = ranked.join(earlier, ["page", "y"]).where("_rank < rank and _a < b and a < _b").select(*key).distinct().withColumn("clash", F.lit(True))
+    clash = ranked.join(earlier, ["page", "y"]).where("_rank < rank and _a < b and a < _b").select("page", "rank.source").distinct().withColumn("clash", F.lit(True))
     area = R.measured(runs, key).select(*key, F.col("area").alias("usable"))
     out = boxes.join(area, key, "left").join(clash, key, "left").withColumn("usable", F.coalesce("usable", F.lit(0)).cast("long"))
     out = out.withColumn("issue", F.when(F.col("clash"), "overlaps").when(F.col("usable") == 0, "empty"))

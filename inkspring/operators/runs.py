@@ -1,7 +1,7 @@
 """Masks as tables: a mask is the set of its row runs (key, y, a, b), set pixels a <= x < b of row y.
 
-Everything here is joins, explodes and one sweep over the ends of runs, so a page of any size is dealt over tasks by its
-rows, and no page is ever drawn. ``key`` names the columns that tell masks apart (a page, a page and a part, ...). Runs of
+Everything here is joins, explodes and one sweep over the ends of runs, and no page is ever drawn. A mask's boxes or runs are
+dealt to a task, and what a disk or a box makes of them is summed up there: only boxes and runs are shuffled. ``key`` names the columns that tell masks apart (a page, a page and a part, ...). Runs of
 a row that come from an operator are disjoint and do not touch.
 """
 
@@ -20,9 +20,14 @@ def dealt(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
 
 
-def swept(spans: DataFrame, key: list[str], least: Column | int = 1) -> DataFrame:
-    """Runs of the pixels whose spans ``(key, y, a, b, v)`` add up to ``least``, a column of the key or a number."""
+def swept(spans: DataFrame, key: list[str], least: Column | int = 1, near: bool = False) -> DataFrame:
+    """Runs of the pixels whose spans ``(key, y, a, b, v)`` add up to ``least``, a column of the key or a number.
+
+    ``near``: the spans of a key are in one task already. Spans are dealt, never their ends, once for the sums and the rows.
+    """
     spans = spans.where("a < b").withColumn("_least", least if isinstance(least, Column) else F.lit(least))
+    spans = spans.select(*key, "y", "a", "b", "v", "_least")
+    spans = spans if near else dealt(spans, key)
     ends = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("v").alias("d")), F.struct(F.col("b").alias("x"), (-F.col("v")).alias("d")))).alias("e")
     ends = spans.select(*key, "y", "_least", ends).groupBy(*key, "y", "e.x").agg(F.sum("e.d").alias("d"), F.max("_least").alias("_least"))
     row = W.partitionBy(*key, "y").orderBy("x")
@@ -37,8 +42,9 @@ def valued(runs: DataFrame, v: int = 1) -> DataFrame:
 
 def from_boxes(boxes: DataFrame, key: list[str]) -> DataFrame:
     """The union of half-open pixel boxes (key, x1, y1, x2, y2)."""
-    rows = boxes.where("x1 < x2 and y1 < y2").select(*key, F.explode(F.sequence("y1", F.col("y2") - 1)).alias("y"), F.col("x1").alias("a"), F.col("x2").alias("b"))
-    return swept(valued(rows), key)
+    boxes = dealt(boxes.where("x1 < x2 and y1 < y2").select(*key, "x1", "y1", "x2", "y2"), key)
+    rows = boxes.select(*key, F.explode(F.sequence("y1", F.col("y2") - 1)).alias("y"), F.col("x1").alias("a"), F.col("x2").alias("b"))
+    return swept(valued(rows), key, near=True)
 
 
 def union(key: list[str], *masks: DataFrame) -> DataFrame:
@@ -63,41 +69,42 @@ def minus(key: list[str], mask: DataFrame, *gone: DataFrame) -> DataFrame:
 
 
 def _rows_of_disk(runs: DataFrame, radius: Column | int) -> DataFrame:
-    """Every run once for each row of a disk around it, with ``_w``, the half width of that row."""
+    """Every run once for each row of a disk around it, with ``_w``, the half width of that row; once without a radius."""
     r = radius if isinstance(radius, Column) else F.lit(radius)
-    rows = runs.withColumn("_r", r.cast("int")).withColumn("_dy", F.explode(F.sequence(-F.col("_r"), F.col("_r"))))
-    return rows.withColumn("_w", F.floor(F.sqrt(F.col("_r") * F.col("_r") - F.col("_dy") * F.col("_dy"))).cast("int"))
-
-
-def eroded_spans(runs: DataFrame, key: list[str], radius: Column | int) -> tuple[DataFrame, Column]:
-    """(spans, sum): a pixel stays where all rows of the disk around it lie in runs, that is, where spans reach the sum."""
-    rows = _rows_of_disk(runs, radius)
-    spans = rows.select(*key, (F.col("y") + F.col("_dy")).alias("y"), (F.col("a") + F.col("_w")).alias("a"), (F.col("b") - F.col("_w")).alias("b"), F.lit(1).alias("v"), (2 * F.col("_r") + 1).alias("_need"))
-    return spans, F.col("_need")
+    rows = runs.withColumn("_r", r.cast("int"))
+    rows = rows.withColumn("_dy", F.explode(F.when(F.col("_r").isNull(), F.array(F.lit(0))).otherwise(F.sequence(-F.col("_r"), F.col("_r")))))
+    return rows.withColumn("_w", F.coalesce(F.floor(F.sqrt(F.col("_r") * F.col("_r") - F.col("_dy") * F.col("_dy"))).cast("int"), F.lit(0)))
 
 
 def eroded(runs: DataFrame, key: list[str], radius: Column | int, *gone: DataFrame) -> DataFrame:
     """Pixels with the whole disk of ``radius`` (a number or a column of the key) in the mask, without the masks ``gone``.
 
-    What lies beyond the page is clear.
+    What lies beyond the page is clear. A pixel stays where all rows of the disk around it lie in runs.
     """
-    spans, need = eroded_spans(runs, key, radius)
+    mask = runs.select(*key, "y", "a", "b", (radius if isinstance(radius, Column) else F.lit(radius)).cast("int").alias("_radius"))
     for m in gone:
-        spans = spans.unionByName(m.select(*key, "y", "a", "b", F.lit(_NEVER).alias("v"), F.lit(1).alias("_need")))
-    return swept(spans, key, need)
+        mask = mask.unionByName(m.select(*key, "y", "a", "b", F.lit(None).cast("int").alias("_radius")))
+    rows = _rows_of_disk(dealt(mask, key), F.col("_radius"))
+    off = F.col("_r").isNull()
+    spans = rows.select(
+        *key, (F.col("y") + F.col("_dy")).alias("y"), (F.col("a") + F.col("_w")).alias("a"), (F.col("b") - F.col("_w")).alias("b"),
+        F.when(off, _NEVER).otherwise(1).alias("v"), F.when(off, 1).otherwise(2 * F.col("_r") + 1).alias("_need"),
+    )
+    return swept(spans, key, F.col("_need"), near=True)
 
 
 def dilated(runs: DataFrame, key: list[str], radius: Column | int, width: int, height: int) -> DataFrame:
     """Pixels of the page with a set pixel within ``radius``."""
-    rows = _rows_of_disk(runs, radius).select(*key, (F.col("y") + F.col("_dy")).alias("y"), F.greatest(F.lit(0), F.col("a") - F.col("_w")).alias("a"), F.least(F.lit(width), F.col("b") + F.col("_w")).alias("b"))
-    return swept(valued(rows.where((F.col("y") >= 0) & (F.col("y") < height))), key)
+    runs = dealt(runs.withColumn("_radius", radius if isinstance(radius, Column) else F.lit(radius)).select(*key, "y", "a", "b", "_radius"), key)
+    rows = _rows_of_disk(runs, F.col("_radius")).select(*key, (F.col("y") + F.col("_dy")).alias("y"), F.greatest(F.lit(0), F.col("a") - F.col("_w")).alias("a"), F.least(F.lit(width), F.col("b") + F.col("_w")).alias("b"))
+    return swept(valued(rows.where((F.col("y") >= 0) & (F.col("y") < height))), key, near=True)
 
 
 def spread(runs: DataFrame, key: list[str], steps: int, width: int, height: int) -> DataFrame:
     """Pixels of the page at most ``steps`` sideways or upright moves from a set one."""
-    rows = runs.withColumn("_dy", F.explode(F.sequence(F.lit(-steps), F.lit(steps)))).withColumn("_w", steps - F.abs("_dy"))
+    rows = dealt(runs.select(*key, "y", "a", "b"), key).withColumn("_dy", F.explode(F.sequence(F.lit(-steps), F.lit(steps)))).withColumn("_w", steps - F.abs("_dy"))
     rows = rows.select(*key, (F.col("y") + F.col("_dy")).alias("y"), F.greatest(F.lit(0), F.col("a") - F.col("_w")).alias("a"), F.least(F.lit(width), F.col("b") + F.col("_w")).alias("b"))
-    return swept(valued(rows.where((F.col("y") >= 0) & (F.col("y") < height))), key)
+    return swept(valued(rows.where((F.col("y") >= 0) & (F.col("y") < height))), key, near=True)
 
 
 def boundary(runs: DataFrame, key: list[str]) -> DataFrame:

@@ -103,6 +103,14 @@ def test_algebra_refinement_and_support(spark):
     assert len(got) == sum(m.any() for m in a.values())
 
 
+@pytest.mark.parametrize("made", [lambda m: R.eroded(m, ["page"], 3, m), lambda m: R.dilated(m, ["page"], 3, 99, 99), lambda m: R.spread(m, ["page"], 3, 99, 99), lambda m: R.from_boxes(m.selectExpr("page", "a x1", "y y1", "b x2", "y + 9 y2"), ["page"])])
+def test_rows_of_disks_and_boxes_are_not_shuffled(spark, made):
+    """What a disk or a box made of a run was shuffled, row by row, and the ends of all rows once more."""
+    plan = made(spark.createDataFrame([(1, 2, 3, 9)], "page long, y int, a int, b int"))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate", 1)
+    assert "Exchange" not in above and "Exchange" in below
+
+
 def test_nearest_against_all_pairs(spark):
     a, b = pages(21), pages(22)
     got = {(r["page"]): r["d2"] for r in R.nearest(frame(spark, a).selectExpr("*", "1 AS piece"), frame(spark, b).selectExpr("*", "2 AS body"), ["page"], "piece", "body").collect()}
